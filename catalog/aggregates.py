@@ -12,7 +12,7 @@ from tessella.operators import aggregate
 
 # --- duplicate ids: lines by part ---
 
-COLS = ["l_quantity", "l_extendedprice", "l_discount"]
+COLS = ["l_quantity", "discount", "tax"]
 SQL_AGG = {
     "sum": "coalesce(sum({c}), 0)",
     "mean": "avg({c})",
@@ -46,7 +46,7 @@ SQL_AGG = {
 # results that are not doubles keep their type
 EXACT = {"count", "size", "nunique", "any", "all", "num_zero", "num_nonzero", "num_positive",
          "num_negative"}
-PLACES = 4
+PLACES = 6
 
 
 def agg_sql(func: str, c: str) -> str:
@@ -55,14 +55,15 @@ def agg_sql(func: str, c: str) -> str:
 
 
 def by_part(spark, sf, key=False):
+    """Quantity, and discount and tax in percent, of each line by part."""
     more = [F.concat_ws("-", "l_orderkey", "l_linenumber", "l_suppkey").alias("k")] if key else []
     return table(spark, sf, "lineitem").select(
-        "l_partkey", "l_quantity", "l_extendedprice", (F.col("l_discount") + 0.0).alias("l_discount"),
-        *more)
+        "l_partkey", "l_quantity", F.round(F.col("l_discount") * 100 + 0.0).alias("discount"),
+        F.round(F.col("l_tax") * 100 + 0.0).alias("tax"), *more)
 
 
-BY_PART = """bp AS (SELECT l_partkey, l_quantity, l_extendedprice, l_discount + 0.0 AS l_discount,
-  concat_ws('-', l_orderkey, l_linenumber, l_suppkey) AS k FROM lineitem)"""
+BY_PART = """bp AS (SELECT l_partkey, l_quantity, round(l_discount * 100 + 0.0) AS discount,
+  round(l_tax * 100 + 0.0) AS tax, concat_ws('-', l_orderkey, l_linenumber, l_suppkey) AS k FROM lineitem)"""
 
 
 def _duplicates(func: str) -> None:

@@ -77,7 +77,7 @@ def _(spark, sf):
 
 @query("branch_main", with_ctes(
     part_months_sql("sm", "p_size"), f"c AS (SELECT p_size, {CPM} FROM sm)",
-    f"t AS (SELECT *, {' + '.join(SCALED)} AS s FROM c)",
+    f"t AS (SELECT *, {' + '.join(f'coalesce({m}, 0)' for m in SCALED)} AS s FROM c)",
     f"""SELECT p_size, {", ".join(f"{r(m)} AS {m}" for m in SCALED)} FROM t
 WHERE s > (SELECT quantile_cont(s, 0.5) FROM t)"""))
 def _(spark, sf):
@@ -136,15 +136,15 @@ def _(spark, sf):
     return readers.load_matrix(spark, path)
 
 
-@query("load_gmt", """SELECT 'brand ' || p_brand AS set_name, p_type AS description, count(*) AS n FROM part
-GROUP BY 1, 2 HAVING count(*) > 12""")
+@query("load_gmt", """SELECT p_brand AS set_name, 'parts' AS description, count(*) AS n FROM part
+GROUP BY 1, 2 HAVING count(*) > 7""")
 def _(spark, sf):
     path = _folder(spark) + ".gmt"
-    sets = table(spark, sf, "part").groupBy("p_brand", "p_type").agg(
+    sets = table(spark, sf, "part").groupBy("p_brand").agg(
         F.concat_ws("\t", F.collect_list(F.col("p_partkey").cast("string"))).alias("members"))
-    sets.select(F.concat_ws("\t", F.concat(F.lit("brand "), "p_brand"), "p_type", "members")
-                .alias("value")).write.text(path)
-    return readers.load_gmt(spark, path, min_size=12).select(
+    (sets.select(F.concat_ws("\t", "p_brand", F.lit("parts"), "members").alias("value"))
+     .write.text(path))
+    return readers.load_gmt(spark, path, min_size=7).select(
         "set_name", "description", F.size("members").cast("long").alias("n"))
 
 

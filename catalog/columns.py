@@ -72,9 +72,9 @@ def _kept(cte: str, source: str, id_col: str, cols: list[str], test: str) -> str
                      f"SELECT col_id, {r('total', 4)} AS total FROM s WHERE {test}")
 
 
-@query("filter_cols_by_func", _kept(USER_DAYS, "ud", "user_id", DAYS, "mx > 400"))
+@query("filter_cols_by_func", _kept(USER_DAYS, "ud", "user_id", DAYS, "mx > 40000"))
 def _(spark, sf):
-    return kept(columns.filter_cols_by_func(user_days(spark, sf), "max", "gt", value=400))
+    return kept(columns.filter_cols_by_func(user_days(spark, sf), "max", "gt", value=40000))
 
 
 @query("filter_cols_by_func_quantile", _kept(

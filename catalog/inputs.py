@@ -1,7 +1,7 @@
 """Matrices and long tables built from the given tables, as DataFrames and as SQL.
 
-Each function reads whole tables; each SQL constant is the body of a CTE of the same shape. Sums of
-two-decimal amounts are rounded to two places, so both sides hold the same doubles.
+Each function reads whole tables; each SQL constant is the body of a CTE of the same shape. Amounts
+are in cents, whole numbers held as doubles, so that sums do not depend on the order of adding.
 """
 
 from __future__ import annotations
@@ -33,12 +33,12 @@ LINES = """li AS (SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_s
 
 
 def _spread(at: Column, value: Column, names: list) -> list[Column]:
-    return [F.round(F.sum(F.when(at == v, value)), 2).alias(n) for v, n in names]
+    return [F.round(F.sum(F.when(at == v, value)) * 100).alias(n) for v, n in names]
 
 
 def _cases(at: str, value: str, names: list) -> str:
     return ", ".join(
-        f"round(sum(CASE WHEN {at} = {v!r} THEN {value} END), 2) + 0.0 AS {n}" for v, n in names)
+        f"round(sum(CASE WHEN {at} = {v!r} THEN {value} END) * 100) + 0.0 AS {n}" for v, n in names)
 
 
 def _user_matrix(spark, sf, at: Column, names: list) -> DataFrame:
@@ -114,18 +114,18 @@ EMBEDDINGS = f"""em AS (SELECT CAST(vec_id AS VARCHAR) AS vec_id, {", ".join(
 
 
 def part_totals(spark: SparkSession, sf: str) -> DataFrame:
-    """Parts by totals over their lines; ``balance`` has negatives and zeros."""
+    """Parts by totals over their lines, price in thousands; ``balance`` has negatives and zeros."""
     returned = F.when(F.col("l_returnflag") == "R", F.col("l_quantity")).when(
         F.col("l_returnflag") == "A", -F.col("l_quantity")).otherwise(0.0)
     return (table(spark, sf, "lineitem").groupBy(F.col("l_partkey").cast("string").alias("part"))
             .agg(F.sum("l_quantity").alias("qty"),
-                 F.round(F.sum("l_extendedprice"), 2).alias("price"),
+                 F.round(F.sum("l_extendedprice") / 1000).alias("price"),
                  F.sum(returned).alias("balance"),
                  F.count_if(F.col("l_discount") == 0).cast("double").alias("full_price")))
 
 
 PART_TOTALS = """pt AS (SELECT CAST(l_partkey AS VARCHAR) AS part, sum(l_quantity) AS qty,
-  round(sum(l_extendedprice), 2) AS price,
+  round(sum(l_extendedprice) / 1000) AS price,
   sum(CASE l_returnflag WHEN 'R' THEN l_quantity WHEN 'A' THEN -l_quantity ELSE 0.0 END) + 0.0 AS balance,
   CAST(count(*) FILTER (l_discount = 0) AS DOUBLE) AS full_price FROM lineitem GROUP BY 1)"""
 TOTALS = ["qty", "price", "balance", "full_price"]

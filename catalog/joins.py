@@ -41,10 +41,10 @@ def _(spark, sf):
 
 @query("merge_features_mismatched", with_ctes(
     USER_TYPES, USER_WEEKDAYS, f"SELECT ut.*, {', '.join(WEEKDAYS)} FROM ut LEFT JOIN "
-    "(SELECT * FROM uw WHERE w1 > 400) uw ON ut.user_id = uw.user_id"))
+    "(SELECT * FROM uw WHERE w1 > 40000) uw ON ut.user_id = uw.user_id"))
 def _(spark, sf):
     return joins.merge_features(
-        {"a": user_types(spark, sf), "b": user_weekdays(spark, sf).where("w1 > 400")},
+        {"a": user_types(spark, sf), "b": user_weekdays(spark, sf).where("w1 > 40000")},
         include_column_prefix=False, allow_mismatched_indices=True)
 
 
@@ -100,8 +100,8 @@ def _(spark, sf):
 
 
 @query("shared_rows", with_ctes(USER_TYPES, USER_WEEKDAYS, """SELECT * FROM ut WHERE user_id IN (
-  SELECT user_id FROM uw WHERE w1 > 400) AND t_view > 300"""))
+  SELECT user_id FROM uw WHERE w1 > 40000) AND t_view > 30000"""))
 def _(spark, sf):
-    left, _ = joins.shared_rows(user_types(spark, sf).where("t_view > 300"),
-                                user_weekdays(spark, sf).where("w1 > 400"))
+    left, _ = joins.shared_rows(user_types(spark, sf).where("t_view > 30000"),
+                                user_weekdays(spark, sf).where("w1 > 40000"))
     return left

@@ -85,4 +85,6 @@ def _cogroup(a: DataFrame, b: DataFrame, fn, schema: str) -> DataFrame:
             return arrow.empty_table()
         return fn(key, left, right).cast(arrow)
 
+    # both sides may come from one frame; new names for the same columns keep them apart
+    b = b.select(*[F.col(c).alias(c) for c in b.columns])
     return a.groupBy("_a", "_b").cogroup(b.groupBy("_a", "_b")).applyInArrow(meet, schema)
