@@ -102,11 +102,11 @@ def _(spark, sf):
 
 
 @query("row_correlations_spearman", with_ctes(
-    part_months_sql("sm", "p_size"), long_sql("l0", "sm", "p_size", MONTHS),
+    part_months_sql("sm", "p_brand"), long_sql("l0", "sm", "p_brand", MONTHS),
     ranked_sql("l1", "l0", "row_id", "value"),
     "l AS (SELECT col_id AS row_id, row_id AS col_id, rk_value AS value FROM l1)", pair_sql()))
 def _(spark, sf):
-    return rounded(correlate.row_correlations(part_months(spark, sf, "p_size"), "spearman"))
+    return rounded(correlate.row_correlations(part_months(spark, sf, "p_brand"), "spearman"))
 
 
 BOTH = [USER_TYPES, USER_WEEKDAYS, long_sql("lx", "ut", "user_id", T_COLS),

@@ -100,29 +100,40 @@ def expression_aggregate(text: str) -> Callable[[str], Column]:
     return lambda name: F.expr(re.sub(r"\bx\b", lambda _: f"`{name}`", text))
 
 
-def _hot_groups(df: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
-    """Keys of groups too large for one buffer: at most ``MAX_HOT_GROUPS`` by construction."""
+def hot_groups(df: DataFrame, keys: Sequence[str],
+               hot_rows: int = HOT_GROUP_ROWS) -> DataFrame | None:
+    """Keys of groups too large for one buffer, or None; one job counts the rows per group.
+
+    The row limit grows with the data, so there are at most ``MAX_HOT_GROUPS`` of them.
+    """
     sizes = df.groupBy(*[col(k) for k in keys]).agg(_rows().alias("_rows"))
-    share = sizes.agg((F.sum("_rows") / MAX_HOT_GROUPS).alias("t")).scalar()
-    limit = F.greatest(F.lit(float(hot_rows)), F.coalesce(share, F.lit(0.0)))
+    found = sizes.agg(F.sum("_rows").alias("total"), F.max("_rows").alias("largest")).first()
+    if (found["largest"] or 0) <= hot_rows:
+        return None
+    limit = max(hot_rows, found["total"] // MAX_HOT_GROUPS)
     return sizes.where(F.col("_rows") > limit).select(*[col(k) for k in keys])
 
 
 def group_quantile(df: DataFrame, keys: Sequence[str], cols: Sequence[str], prob: float = 0.5,
-                   hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
-    """Exact quantile of each column per group, whatever the size of a group."""
+                   hot: DataFrame | None = None) -> DataFrame:
+    """Exact quantile of each column per group.
+
+    Groups of ordinary size take one pass of ``percentile``; the ``hot`` ones, few in number, go
+    through bracketed ranks, which hold no group in one task.
+    """
     keys, cols = list(keys), list(cols)
     kcols = [col(k) for k in keys]
     df = df.select(*kcols, *[col(c).cast("double").alias(c) for c in cols])
-    hot = _hot_groups(df, keys, hot_rows)
-    rest = (df.join(F.broadcast(hot), keys, "left_anti").groupBy(*kcols)
-            .agg(*[F.percentile(col(c), F.lit(prob)).alias(c) for c in cols]))
+    rest = df if hot is None else df.join(F.broadcast(hot), keys, "left_anti")
+    small = rest.groupBy(*kcols).agg(*[F.percentile(col(c), F.lit(prob)).alias(c) for c in cols])
+    if hot is None:
+        return small
     large = (df.join(F.broadcast(hot), keys, "left_semi")
              .unpivot(kcols, [col(c) for c in cols], "_col", "_v"))
     found = quantiles(large, "_v", [prob], [*keys, "_col"])
     wide = found.groupBy(*kcols).agg(
         *[F.max(F.when(F.col("_col") == c, F.col("q")[0])).alias(c) for c in cols])
-    return rest.unionByName(hot.join(wide, keys, "left"))
+    return small.unionByName(hot.join(wide, keys, "left"))
 
 
 def _mean_deviation(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
@@ -133,14 +144,16 @@ def _mean_deviation(df: DataFrame, keys: list[str], cols: list[str]) -> DataFram
 
 
 def _median_deviation(df: DataFrame, keys: list[str], cols: list[str],
-                      hot_rows: int) -> DataFrame:
+                      hot: DataFrame | None) -> DataFrame:
+    """Median of the absolute deviations from the median, scaled; a gap in a group voids it."""
     kcols = [col(k) for k in keys]
-    centre = group_quantile(df, keys, cols, 0.5, hot_rows).select(
+    centre = group_quantile(df, keys, cols, 0.5, hot).select(
         *kcols, F.struct(*[col(c) for c in cols]).alias("_m"))
+    # a deviation is missing where its value is, and counts as such below
     spread = df.join(centre, keys).select(
         *kcols, *[F.abs(col(c) - F.col("_m")[c]).alias(c) for c in cols])
-    scaled = group_quantile(spread, keys, cols, 0.5, hot_rows)
-    whole = df.groupBy(*kcols).agg(
+    scaled = group_quantile(spread, keys, cols, 0.5, hot)
+    whole = spread.groupBy(*kcols).agg(
         F.struct(*[(F.count(col(c)) == _rows()).alias(c) for c in cols]).alias("_whole"))
     return scaled.join(whole, keys).select(
         *kcols, *[F.when(F.col("_whole")[c], col(c) / NORMAL_MAD_SCALE).alias(c) for c in cols])
@@ -151,6 +164,8 @@ def aggregate_by(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
                  hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
     """One aggregate of every column per group; rows with a missing key are left out.
 
+    Lazy, but for the holistic ones, where one job looks for groups above ``hot_rows`` first.
+
     ``func`` is a name, an expression over ``x`` or a function of a column (a grouped-aggregate
     pandas UDF is one as well). ``first`` and ``last`` need ``order_col``.
     """
@@ -168,11 +183,12 @@ def aggregate_by(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
         return df.groupBy(*kcols).agg(
             *[pick(col(c), F.when(col(c).isNotNull(), col(order_col))).alias(c) for c in cols])
     if func in ("median", "quantile"):
-        return group_quantile(df, keys, cols, 0.5 if func == "median" else prob, hot_rows)
+        return group_quantile(df, keys, cols, 0.5 if func == "median" else prob,
+                              hot_groups(df, keys, hot_rows))
     if func == "mad":
         return _mean_deviation(df, keys, cols)
     if func == "mad_median":
-        return _median_deviation(df, keys, cols, hot_rows)
+        return _median_deviation(df, keys, cols, hot_groups(df, keys, hot_rows))
     if "(" in func:
         made = expression_aggregate(func)
         return df.groupBy(*kcols).agg(*[made(c).alias(c) for c in cols])

@@ -27,23 +27,28 @@ def column_means(df: DataFrame, cols: list[str]) -> Column:
 
 
 def cross_sums(df: DataFrame, x_cols: list[str], y_cols: list[str] | None = None,
-               shift: bool = True, keys: list[str] | None = None) -> DataFrame:
+               shift: bool = True, keys: list[str] | None = None,
+               means_from: DataFrame | None = None) -> DataFrame:
     """``keys…, i, j, n, sx, sy, sxx, syy, sxy`` for column numbers i of x and j of y.
 
     Without ``y_cols`` the pairs are those of x with i <= j. With ``shift`` the column means are
     taken off first, so that the sums of squares do not cancel. Column sets wider than one task
     can hold are covered in several passes over fewer columns each. ``keys`` (few distinct values)
-    keep separate sums.
+    keep separate sums. ``means_from`` is a smaller frame with the same columns to shift by.
     """
     same = y_cols is None
     y_cols = x_cols if same else y_cols
     keys = keys or []
-    means_x = column_means(df, x_cols) if shift else None
-    means_y = means_x if same else column_means(df, y_cols) if shift else None
+    source = df if means_from is None else means_from
+    if shift:
+        # as columns, so that each subquery stands in the plan once
+        df = df.withColumn("_mx", column_means(source, x_cols))
+        df = df if same else df.withColumn("_my", column_means(source, y_cols))
 
     def block(cols, means, b):
         part = range(b * BLOCK, min((b + 1) * BLOCK, len(cols)))
-        return F.array(*[double(cols[k]) - means[k] if shift else double(cols[k]) for k in part])
+        return F.array(*[double(cols[k]) - F.col(means)[k] if shift else double(cols[k])
+                         for k in part])
 
     pairs = [(a, b) for a in range(-(-len(x_cols) // BLOCK)) for b in range(-(-len(y_cols) // BLOCK))
              if not same or a <= b]
@@ -53,8 +58,8 @@ def cross_sums(df: DataFrame, x_cols: list[str], y_cols: list[str] | None = None
         xs = sorted({a for a, _ in chunk} | ({b for _, b in chunk} if same else set()))
         ys = [] if same else sorted({b for _, b in chunk})
         narrow = df.select(*[col(k).cast("string").alias(k) for k in keys],
-                           *[block(x_cols, means_x, a).alias(f"x{a}") for a in xs],
-                           *[block(y_cols, means_y, b).alias(f"y{b}") for b in ys])
+                           *[block(x_cols, "_mx", a).alias(f"x{a}") for a in xs],
+                           *[block(y_cols, "_my", b).alias(f"y{b}") for b in ys])
         ddl = "".join(f"`{k}` string, " for k in keys)
         part = narrow.mapInArrow(
             _summer(chunk, keys, same),

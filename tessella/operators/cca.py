@@ -12,11 +12,12 @@ import random
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tessella.frame import col, double, id_of, value_columns
 from tessella.functions.gram import cross_sums
 from tessella.functions.quantiles import average_ranks
+from tessella.runtime import cut_lineage
 
 # sums of absolute loadings, as shares of the largest possible (fixed values: 0.1 to 0.7 in ten steps)
 PENALTIES = tuple(np.linspace(0.1, 0.7, 10))
@@ -24,8 +25,9 @@ PENALTIES = tuple(np.linspace(0.1, 0.7, 10))
 SD_FLOOR = 0.05
 
 
-def _row_pairs(x: DataFrame, y: DataFrame, permutations: int, seed: int) -> DataFrame:
-    """``perm, x columns, y columns``: perm 0 pairs equal ids, the others reshuffled ones.
+def _row_pairs(x: DataFrame, y: DataFrame, permutations: int,
+               seed: int) -> tuple[DataFrame, DataFrame]:
+    """``perm, x columns, y columns`` for reshuffles 1, 2, …, and the rows as they belong.
 
     Rows get a number in the order of a seeded hash; a reshuffle maps number r to (a·r + b) mod n
     with a prime to n, so every row has exactly one partner and no list of rows is ever gathered.
@@ -34,10 +36,11 @@ def _row_pairs(x: DataFrame, y: DataFrame, permutations: int, seed: int) -> Data
     both = x.join(y, "_id")
     order = average_ranks(both.select(key.alias("_k")), "_k").select(
         F.col("_k.id").alias("_id"), (F.col("rank") - 1).cast("long").alias("_r"))
-    placed = both.join(order, "_id")
+    # written once: every reshuffle and both sides read it again
+    placed = cut_lineage(both.join(order, "_id"))
     n = placed.count()
     draw = random.Random(seed)
-    steps = [(0, 1, 0)]
+    steps = []
     for k in range(1, permutations + 1):
         a = draw.randrange(1, n) if n > 1 else 1
         while math.gcd(a, n) != 1:
@@ -49,7 +52,7 @@ def _row_pairs(x: DataFrame, y: DataFrame, permutations: int, seed: int) -> Data
     xs = xs.select("m.perm", ((F.col("_r") * F.col("m.a") + F.col("m.b")) % n).alias("_r"),
                    *[col(c) for c in x.columns if c != "_id"])
     ys = placed.select("_r", *[col(c) for c in y.columns if c != "_id"])
-    return xs.join(ys, "_r").drop("_r")
+    return xs.join(ys, "_r").drop("_r"), placed
 
 
 def _centred_square(cells: list, p: int, q: int, same: bool) -> np.ndarray:
@@ -110,15 +113,15 @@ def integrate_cca(x: DataFrame, y: DataFrame, permutations: int = 35, iterations
     b = y.select(col(id_of(y)).cast("string").alias("_id"),
                  *[double(c).alias(f"y:{c}") for c in value_columns(y)]).dropna()
     p, q = len(x_cols), len(y_cols)
-    paired = _row_pairs(a, b, permutations, seed)
-    cross = cross_sums(paired, x_cols, y_cols, keys=["perm"])
-    plain = paired.where("perm = 0")
+    paired, plain = _row_pairs(a, b, permutations, seed)
+    cross = cross_sums(paired, x_cols, y_cols, keys=["perm"], means_from=plain)
     xx = _centred_square(cross_sums(plain, x_cols).collect(), p, p, True)
     yy = _centred_square(cross_sums(plain, y_cols).collect(), q, q, True)
     sx, sy = np.sqrt(np.diag(xx)), np.sqrt(np.diag(yy))
     sx[sx == 0], sy[sy == 0] = 1.0, 1.0
     xx, yy = xx / np.outer(sx, sx), yy / np.outer(sy, sy)
-    real = _centred_square(cross.where("perm = '0'").collect(), p, q, False) / np.outer(sx, sy)
+    real = _centred_square(cross_sums(plain, x_cols, y_cols).collect(), p, q, False)
+    real /= np.outer(sx, sy)
     start = np.linalg.svd(real, full_matrices=False)[2][0]
 
     def fit(cells: pd.DataFrame) -> pd.DataFrame:
@@ -130,16 +133,20 @@ def integrate_cca(x: DataFrame, y: DataFrame, permutations: int = 35, iterations
              _correlation(*sparse_vectors(k, c, start, iterations), k, xx, yy))
             for c in PENALTIES], columns=["perm", "penalty", "r"])
 
+    true = [(float(c), _correlation(*sparse_vectors(real, c, start, iterations), real, xx, yy))
+            for c in PENALTIES]
     fits = cross.groupBy("perm").applyInPandas(fit, "perm string, penalty double, r double")
-    found = fits.withColumn("real", F.col("perm") == "0")
-    true = found.where("real").select("penalty", F.col("r").alias("correlation"))
-    other = found.where("not real").select("penalty", "r")
-    fisher = F.atanh(F.greatest(F.lit(-1 + 1e-12), F.least(F.lit(1 - 1e-12), F.col("r"))))
-    fisher_real = F.atanh(F.greatest(F.lit(-1 + 1e-12), F.least(F.lit(1 - 1e-12),
-                                                                F.col("correlation"))))
-    return (true.join(other, "penalty").groupBy("penalty", "correlation").agg(
+    # p-value and z for each penalty; correlations are compared on the Fisher scale
+    known = F.create_map(*[F.lit(v) for pair in true for v in pair])
+    compared = fits.withColumn("correlation", known[F.col("penalty")])
+    return compared.groupBy("penalty", "correlation").agg(
         F.avg("r").alias("mean_permuted"),
         F.avg((F.col("r") >= F.col("correlation")).cast("int")).alias("p_value"),
-        F.avg(fisher).alias("_m"), F.stddev_samp(fisher).alias("_s"))
-        .select("penalty", "correlation", "mean_permuted", "p_value",
-                ((fisher_real - F.col("_m")) / (F.col("_s") + SD_FLOOR)).alias("z")))
+        F.avg(_fisher("r")).alias("_m"), F.stddev_samp(_fisher("r")).alias("_s")).select(
+        "penalty", "correlation", "mean_permuted", "p_value",
+        ((_fisher("correlation") - F.col("_m")) / (F.col("_s") + SD_FLOOR)).alias("z"))
+
+
+def _fisher(name: str) -> Column:
+    edge = 1 - 1e-12
+    return F.atanh(F.greatest(F.lit(-edge), F.least(F.lit(edge), F.col(name))))

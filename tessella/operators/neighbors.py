@@ -122,9 +122,10 @@ def impute_knn(df: DataFrame, k: int = 5, metric: str = "euclidean", agg: str =
              .groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("column", "v")))
                                 .alias("_found")))
     means = df.agg(F.array(*[F.avg(double(c)) for c in cols]).alias("m")).scalar()
-    joined = df.join(found, col(id_col).cast("string") == F.col("id"), "left")
+    joined = df.withColumn("_means", means).join(
+        found, col(id_col).cast("string") == F.col("id"), "left")
     return joined.select(col(id_col), *[
-        F.coalesce(double(c), F.col("_found")[c], means[i]).alias(c) for i, c in enumerate(cols)])
+        F.coalesce(double(c), F.col("_found")[c], F.col("_means")[i]).alias(c) for i, c in enumerate(cols)])
 
 
 def default_neighbors(rows: int) -> int:

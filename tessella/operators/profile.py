@@ -40,10 +40,11 @@ def value_histogram(df: DataFrame, bins: int = 50, log: bool = False,
     x = signed_log2(F.col("value")) if log else F.col("value")
     values = raw.select(x.alias("x"))
     ends = values.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi")).alias("s")).scalar()
-    step = (ends["hi"] - ends["lo"]) / bins
-    place = F.when(step > 0, F.least(F.floor(F.try_divide(F.col("x") - ends["lo"], step)),
+    lo, step = F.col("_e.lo"), (F.col("_e.hi") - F.col("_e.lo")) / bins
+    place = F.when(step > 0, F.least(F.floor(F.try_divide(F.col("x") - lo, step)),
                                      F.lit(bins - 1))).otherwise(F.lit(0)).cast("int")
-    return (values.select(place.alias("bin"), ends["lo"].alias("lo"), step.alias("step"))
+    return (values.withColumn("_e", ends)
+            .select(place.alias("bin"), lo.alias("lo"), step.alias("step"))
             .groupBy("bin", "lo", "step").agg(F.count(F.lit(1)).alias("n"))
             .select("bin", (F.col("lo") + F.col("bin") * F.col("step")).alias("low"),
                     (F.col("lo") + (F.col("bin") + 1) * F.col("step")).alias("high"), "n"))
@@ -60,8 +61,8 @@ def value_summary(df: DataFrame, id_col: str | None = None) -> DataFrame:
     n = [F.count(col(c)) for c in cols]
     return df.agg(F.try_divide(
         sum((F.coalesce(t, F.lit(0.0)) for t in total[1:]), F.coalesce(total[0], F.lit(0.0))),
-        sum(n[1:], n[0])).alias("mean")).select(
-        *[ranks[i].alias(name) for i, name in
+        sum(n[1:], n[0])).alias("mean")).withColumn("_q", ranks).select(
+        *[F.col("_q")[i].alias(name) for i, name in
           enumerate(("min", "q25", "median", "q75", "max"))], "mean")
 
 
@@ -116,8 +117,9 @@ def profile_summary(profile: DataFrame) -> DataFrame:
     """``min, median, mean, max`` of a row or column profile."""
     stat = profile.columns[1]
     ranks = quantiles(profile, stat, [0.0, 0.5, 1.0]).scalar()
-    return profile.agg(F.avg(col(stat)).alias("mean")).select(
-        ranks[0].alias("min"), ranks[1].alias("median"), "mean", ranks[2].alias("max"))
+    return profile.agg(F.avg(col(stat)).alias("mean")).withColumn("_q", ranks).select(
+        F.col("_q")[0].alias("min"), F.col("_q")[1].alias("median"), "mean",
+        F.col("_q")[2].alias("max"))
 
 
 def profile_top(profile: DataFrame, largest: bool = True, k: int = TOP,

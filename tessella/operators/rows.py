@@ -1,7 +1,7 @@
 """Row filters.
 
 Every ``*_is`` / ``rows_*`` predicate is a column, so filters combine with ``&`` and ``|`` and reach
-the scan. Quantile cutoffs are scalar subqueries and stay lazy. Nothing here runs a job.
+the scan. Quantile cutoffs are scalar subqueries and stay lazy.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from tessella.functions.aggregates import Aggregate, aggregate_by
 from tessella.functions.quantiles import cutoff
 from tessella.functions.rowwise import (row_missing, row_nonzero, row_statistic, row_sum, row_var)
 from tessella.operators.columns import compare
+from tessella.runtime import cut_lineage
 
 Predicate = Callable[[DataFrame], Column]
 
@@ -175,10 +176,15 @@ def drop_zero_variance_rows(df: DataFrame, id_col: str | None = None) -> DataFra
 
 def passing_groups(df: DataFrame, group: str, column: str, func: str | Aggregate, op="gt",
                    value=None, quantile=None, **options) -> DataFrame:
-    """Groups whose statistic passes; a quantile is taken over the group statistics."""
+    """Groups whose statistic passes; a quantile is taken over the group statistics.
+
+    Those are then written out once, one row per group, since cutoff and filter both need them.
+    """
     narrow = df.select(col(group).alias("_g"), col(column).alias("_x"))
     func = "mad_median" if func == "mad" else func
     stats = aggregate_by(narrow, ["_g"], ["_x"], func, **options)
+    if quantile is not None:
+        stats = cut_lineage(stats)
     kept = stats.where(compare(op)(F.col("_x"), cutoff(stats, "_x", value, quantile)))
     return kept.select(F.col("_g").alias(group))
 

@@ -13,19 +13,30 @@ def _map_cells(df: DataFrame, id_col: str | None, fn) -> DataFrame:
     return df.select(col(id_col), *[fn(c).alias(c) for c in value_columns(df, id_col)])
 
 
-def column_summary(df: DataFrame, id_col: str | None, **stats) -> dict[str, Column]:
-    """Named aggregates of all value columns from one pass, each an array in column order."""
+STATS = "_column_stats"
+
+
+def with_column_stats(df: DataFrame, id_col: str | None, **stats) -> DataFrame:
+    """Attach named aggregates of all value columns, from one pass, as arrays in column order.
+
+    They sit in one column, so the subquery stands in the plan once and not once per cell.
+    """
     cols = value_columns(df, id_col)
     row = df.agg(F.struct(*[F.array(*[fn(double(c)) for c in cols]).alias(name)
                             for name, fn in stats.items()]).alias("s")).scalar()
-    return {name: row[name] for name in stats}
+    return df.withColumn(STATS, row)
+
+
+def _with_stats_cells(df: DataFrame, id_col: str | None, fn, **stats) -> DataFrame:
+    id_col = id_of(df, id_col)
+    return with_column_stats(df, id_col, **stats).select(col(id_col), *[
+        fn(double(c), i, F.col(STATS)).alias(c) for i, c in enumerate(value_columns(df, id_col))])
 
 
 def transform_cpm(df: DataFrame, id_col: str | None = None) -> DataFrame:
     """Share of the column total, in counts per million."""
-    at = {c: i for i, c in enumerate(value_columns(df, id_col))}
-    total = column_summary(df, id_col, total=F.sum)["total"]
-    return _map_cells(df, id_col, lambda c: F.try_divide(double(c), total[at[c]]) * 1e6)
+    return _with_stats_cells(
+        df, id_col, lambda x, i, s: F.try_divide(x, s["total"][i]) * 1e6, total=F.sum)
 
 
 def transform_log2(df: DataFrame, id_col: str | None = None) -> DataFrame:
@@ -55,10 +66,9 @@ def transform_zscore(df: DataFrame, axis: int = 0, id_col: str | None = None) ->
     A zero sd gives missing cells.
     """
     if axis == 0:
-        at = {c: i for i, c in enumerate(value_columns(df, id_col))}
-        s = column_summary(df, id_col, mean=F.avg, sd=F.stddev_pop)
-        return _map_cells(df, id_col, lambda c: F.try_divide(
-            double(c) - s["mean"][at[c]], s["sd"][at[c]]))
+        return _with_stats_cells(
+            df, id_col, lambda x, i, s: F.try_divide(x - s["mean"][i], s["sd"][i]),
+            mean=F.avg, sd=F.stddev_pop)
     if axis != 1:
         raise ValueError("axis is 0 (columns) or 1 (rows)")
     id_col = id_of(df, id_col)
