@@ -28,7 +28,8 @@ def column_means(df: DataFrame, cols: list[str]) -> Column:
 
 def cross_sums(df: DataFrame, x_cols: list[str], y_cols: list[str] | None = None,
                shift: bool = True, keys: list[str] | None = None,
-               means_from: DataFrame | None = None) -> DataFrame:
+               means_from: DataFrame | None = None, block: int = BLOCK,
+               pairs_per_pass: int = PAIRS_PER_PASS) -> DataFrame:
     """``keys…, i, j, n, sx, sy, sxx, syy, sxy`` for column numbers i of x and j of y.
 
     Without ``y_cols`` the pairs are those of x with i <= j. With ``shift`` the column means are
@@ -45,24 +46,24 @@ def cross_sums(df: DataFrame, x_cols: list[str], y_cols: list[str] | None = None
         df = df.withColumn("_mx", column_means(source, x_cols))
         df = df if same else df.withColumn("_my", column_means(source, y_cols))
 
-    def block(cols, means, b):
-        part = range(b * BLOCK, min((b + 1) * BLOCK, len(cols)))
+    def cells(cols, means, b):
+        part = range(b * block, min((b + 1) * block, len(cols)))
         return F.array(*[double(cols[k]) - F.col(means)[k] if shift else double(cols[k])
                          for k in part])
 
-    pairs = [(a, b) for a in range(-(-len(x_cols) // BLOCK)) for b in range(-(-len(y_cols) // BLOCK))
+    pairs = [(a, b) for a in range(-(-len(x_cols) // block)) for b in range(-(-len(y_cols) // block))
              if not same or a <= b]
     out = None
-    for start in range(0, len(pairs), PAIRS_PER_PASS):
-        chunk = pairs[start:start + PAIRS_PER_PASS]
+    for start in range(0, len(pairs), pairs_per_pass):
+        chunk = pairs[start:start + pairs_per_pass]
         xs = sorted({a for a, _ in chunk} | ({b for _, b in chunk} if same else set()))
         ys = [] if same else sorted({b for _, b in chunk})
         narrow = df.select(*[col(k).cast("string").alias(k) for k in keys],
-                           *[block(x_cols, "_mx", a).alias(f"x{a}") for a in xs],
-                           *[block(y_cols, "_my", b).alias(f"y{b}") for b in ys])
+                           *[cells(x_cols, "_mx", a).alias(f"x{a}") for a in xs],
+                           *[cells(y_cols, "_my", b).alias(f"y{b}") for b in ys])
         ddl = "".join(f"`{k}` string, " for k in keys)
         part = narrow.mapInArrow(
-            _summer(chunk, keys, same),
+            _summer(chunk, keys, same, block),
             f"{ddl}i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double")
         out = part if out is None else out.unionByName(part)
     return out.groupBy(*keys, "i", "j").agg(*[F.sum(s).alias(s) for s in SUMS])
@@ -76,7 +77,7 @@ def matrix_of(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
-def _summer(pairs: list[tuple[int, int]], keys: list[str], same: bool):
+def _summer(pairs: list[tuple[int, int]], keys: list[str], same: bool, block: int):
     def add(sums, batch: pa.RecordBatch, key) -> None:
         filled, present = {}, {}
         for name in batch.schema.names:
@@ -110,10 +111,10 @@ def _summer(pairs: list[tuple[int, int]], keys: list[str], same: bool):
         for (key, a, b), found in sums.items():
             rows, cols = found.shape[1:]
             i, j = (v.ravel() for v in np.indices((rows, cols)))
-            keep = (i + a * BLOCK <= j + b * BLOCK) if same else np.ones(i.size, dtype=bool)
+            keep = (i + a * block <= j + b * block) if same else np.ones(i.size, dtype=bool)
             data = {k: pa.array([v] * int(keep.sum()), pa.string()) for k, v in zip(keys, key)}
-            data["i"] = pa.array((i + a * BLOCK)[keep], pa.int32())
-            data["j"] = pa.array((j + b * BLOCK)[keep], pa.int32())
+            data["i"] = pa.array((i + a * block)[keep], pa.int32())
+            data["j"] = pa.array((j + b * block)[keep], pa.int32())
             data.update({s: pa.array(found[q].ravel()[keep]) for q, s in enumerate(SUMS)})
             yield pa.RecordBatch.from_pydict(data)
 
