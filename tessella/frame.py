@@ -52,6 +52,12 @@ def wide_from_vector(df: DataFrame, id_col: str, vector: str, dim: int,
                                     for i in range(dim)])
 
 
+def join_by_id(df: DataFrame, side: DataFrame, id_col: str, how: str = "inner") -> DataFrame:
+    """Join with a result keyed by ``id`` as text, whatever the id column of the matrix is called."""
+    side = side.withColumnRenamed("id", "_id_text")
+    return df.join(side, col(id_col).cast("string") == F.col("_id_text"), how)
+
+
 def ensure_not_empty(df: DataFrame, what: str = "operator") -> DataFrame:
     """Raise when nothing is left. Runs a one-row job, so callers opt in."""
     if len(df.columns) < 2 or df.isEmpty():

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from tessella.frame import col, id_of, value_columns
+from tessella.frame import col, id_of, join_by_id, value_columns
 from tessella.functions.blocks import block_count, checked_size, pair_blocks, vectors
 from tessella.functions.gram import matrix_of
 from tessella.operators.correlate import block_euclidean
@@ -193,5 +193,6 @@ def cluster_hclust(df: DataFrame, num_clusters: int, col_name: str = "clusters",
     """Append the cluster of each row as a text column."""
     id_col = id_of(df, id_col)
     labels = hclust(df, num_clusters, id_col, **options)
-    return (df.join(labels, col(id_col).cast("string") == F.col("id"))
-            .select(*[col(c) for c in df.columns], F.col("cluster").alias(col_name)))
+    labels = labels.withColumnRenamed("cluster", "_cluster")
+    return join_by_id(df, labels, id_col).select(
+        *[col(c) for c in df.columns], F.col("_cluster").alias(col_name))

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tessella.errors import EmptyResultError
-from tessella.frame import cells, col, double, id_of, value_columns
+from tessella.frame import cells, col, double, id_of, join_by_id, value_columns
 from tessella.functions.blocks import (block_count, checked_size, pair_blocks, pair_own_blocks,
                                        vectors)
 from tessella.functions.gram import (cross_sums, euclidean, matrix_of, named, pearson)
@@ -388,4 +388,4 @@ def filter_rows_max_correlation(df: DataFrame, cutoff: float = 0.9, method: str
     """Remove rows until no two that are left correlate beyond the cutoff."""
     id_col = id_of(df, id_col)
     gone = correlated_rows(df, cutoff, method, id_col, block_rows)
-    return df.join(gone, col(id_col).cast("string") == F.col("id"), "left_anti")
+    return join_by_id(df, gone, id_col, "left_anti")

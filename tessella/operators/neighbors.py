@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from tessella.frame import col, double, id_of, value_columns
+from tessella.frame import col, double, id_of, join_by_id, value_columns
 from tessella.functions.blocks import block_count, checked_size, pair_blocks, vectors
 from tessella.functions.gram import matrix_of
 from tessella.operators.correlate import (block_euclidean, median_correlations,
@@ -122,8 +122,7 @@ def impute_knn(df: DataFrame, k: int = 5, metric: str = "euclidean", agg: str =
              .groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("column", "v")))
                                 .alias("_found")))
     means = df.agg(F.array(*[F.avg(double(c)) for c in cols]).alias("m")).scalar()
-    joined = df.withColumn("_means", means).join(
-        found, col(id_col).cast("string") == F.col("id"), "left")
+    joined = join_by_id(df.withColumn("_means", means), found, id_col, "left")
     return joined.select(col(id_col), *[
         F.coalesce(double(c), F.col("_found")[c], F.col("_means")[i]).alias(c) for i, c in enumerate(cols)])
 
