@@ -20,7 +20,7 @@ SCREEN_ACTIONS = [
     {"filter_rows_name_not_in": {"names": [7], "errors": "ignore"}},
     {"filter_rows_col_not_na": {"col": "value"}},
     {"filter_rows_col_gt": {"id": "positive", "col": "weight", "value": 0}},
-    {"filter_rows_group_size_ge": {"id": "enough", "group": "user_id", "size": 3}},
+    {"filter_rows_group_size_ge": {"id": "enough", "group": "user_id", "size": 3, "save": True}},
     {"filter_cols_name_not_in": {"names": ["weight"]}},
     {"filter_rows_group_func_ge": {"id": "variable", "group": "user_id", "col": "value",
                                    "func": "mad", "quantile": 0.5}},

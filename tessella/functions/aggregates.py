@@ -19,7 +19,9 @@ from tessella.functions.quantiles import quantiles
 NORMAL_MAD_SCALE = 0.674489750196082
 
 HOT_GROUP_ROWS = 1_000_000
-MAX_HOT_GROUPS = 100_000
+MAX_HOT_GROUPS = 10_000
+# hot groups times columns up to which their sketch edges are broadcast, about 100 MB
+MAX_BROADCAST_KEYS = 1_000_000
 
 Aggregate = Callable[[Column], Column]
 
@@ -130,7 +132,8 @@ def group_quantile(df: DataFrame, keys: Sequence[str], cols: Sequence[str], prob
         return small
     large = (df.join(F.broadcast(hot), keys, "left_semi")
              .unpivot(kcols, [col(c) for c in cols], "_col", "_v"))
-    found = quantiles(large, "_v", [prob], [*keys, "_col"])
+    found = quantiles(large, "_v", [prob], [*keys, "_col"],
+                      few_keys=MAX_HOT_GROUPS * len(cols) <= MAX_BROADCAST_KEYS)
     wide = found.groupBy(*kcols).agg(
         *[F.max(F.when(F.col("_col") == c, F.col("q")[0])).alias(c) for c in cols])
     return small.unionByName(hot.join(wide, keys, "left"))

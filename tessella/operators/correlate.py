@@ -20,6 +20,8 @@ from tessella.functions.blocks import (block_count, checked_size, pair_blocks, p
 from tessella.functions.gram import (cross_sums, euclidean, matrix_of, named, pearson)
 from tessella.functions.quantiles import average_ranks
 
+# a pair of blocks works on a handful of tables of this many rows and columns, 32 MB each
+BLOCK_ROWS = 2048
 PAIR_SCHEMA = "x_id string, y_id string, r double, n long"
 
 
@@ -86,7 +88,7 @@ def _spearman_with_gaps(df: DataFrame, x_cols: list[str],
 
 
 def _kendall(df: DataFrame, id_col: str, x_cols: list[str], y_cols: list[str] | None,
-             block_rows: int = 4096) -> DataFrame:
+             block_rows: int = BLOCK_ROWS) -> DataFrame:
     """tau-b by comparing all rows, block by block; a pair of blocks emits p·q sums only."""
     same_cols = y_cols is None
     cols = x_cols if same_cols else [*x_cols, *y_cols]
@@ -194,7 +196,7 @@ def _cells_table(left, right, keep, **values) -> pa.Table:
 
 def _own_pairs(df, id_col, cell_values, schema, block_rows, diagonal) -> DataFrame:
     rows = vectors(df, id_col)
-    blocks = block_count(checked_size(rows), len(value_columns(df, id_col)), block_rows or 4096)
+    blocks = block_count(checked_size(rows), len(value_columns(df, id_col)), block_rows or BLOCK_ROWS)
     before = np.less_equal if diagonal else np.less
 
     def meet(left, right, same):
@@ -259,7 +261,7 @@ def integrate_cross_cor(x: DataFrame, y: DataFrame, axis: int = 0, method: str =
         shared = sorted(set(x_cols) & set(y_cols))
         _report_shared(len(shared), max(len(x_cols), len(y_cols)))
         left, right = vectors(x, None, shared), vectors(y, None, shared)
-        sizes = [block_count(checked_size(v), len(shared), block_rows or 4096)
+        sizes = [block_count(checked_size(v), len(shared), block_rows or BLOCK_ROWS)
                  for v in (left, right)]
 
         def meet(a, b):
@@ -315,6 +317,38 @@ def median_correlations(pairs: DataFrame) -> DataFrame:
         F.percentile("r", F.lit(0.5)).alias("median_cor"))
 
 
+def has_negative_median(df: DataFrame, id_col: str | None = None,
+                        block_rows: int | None = None) -> bool:
+    """Whether the median correlation of some row with all rows, itself included, is negative.
+
+    A median is negative when most values are, or when the two middle ones add up to less than
+    zero. Both follow from four numbers per row that add up over blocks, so no pair is listed.
+    """
+    rows = vectors(df, id_col)
+    blocks = block_count(checked_size(rows), len(value_columns(df, id_col)),
+                         block_rows or BLOCK_ROWS)
+
+    def meet(left, right, same):
+        r, _ = block_pearson(matrix_of(left["vec"]), matrix_of(right["vec"]))
+        sides = [(left, r)] if same else [(left, r), (right, r.T)]
+        parts = []
+        for table, own in sides:
+            below = own < 0
+            parts.append((_ids(table), (~np.isnan(own)).sum(1), below.sum(1),
+                          np.where(below, own, -np.inf).max(1),
+                          np.where(own >= 0, own, np.inf).min(1)))
+        names = ("id", "n", "below", "under", "over")
+        return pa.table({k: np.concatenate(v) for k, v in zip(names, zip(*parts))})
+
+    found = pair_own_blocks(rows, blocks, meet,
+                            "id string, n long, below long, under double, over double")
+    per_row = found.groupBy("id").agg(F.sum("n").alias("n"), F.sum("below").alias("below"),
+                                      F.max("under").alias("under"), F.min("over").alias("over"))
+    twice = F.col("below") * 2
+    return not per_row.where((twice > F.col("n")) | (
+        (twice == F.col("n")) & (F.col("under") + F.col("over") < 0))).isEmpty()
+
+
 def correlation_summary(medians: DataFrame) -> DataFrame:
     return medians.agg(F.avg("median_cor").alias("mean"),
                        F.percentile("median_cor", F.lit(0.5)).alias("median"))
@@ -363,7 +397,7 @@ def correlated_rows(df: DataFrame, cutoff: float = 0.9, method: str = "pearson",
     large group of copies costs no more than other rows.
     """
     rows = vectors(df, id_col)
-    blocks = block_count(checked_size(rows), len(value_columns(df, id_col)), block_rows or 8192)
+    blocks = block_count(checked_size(rows), len(value_columns(df, id_col)), block_rows or BLOCK_ROWS)
     weighted = rows.join(mean_absolute_correlations(rows, blocks, method), "id")
 
     def meet(left, right, same):

@@ -15,8 +15,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from tessella.frame import col, double, id_of, join_by_id, value_columns
 from tessella.functions.blocks import block_count, checked_size, pair_blocks, vectors
 from tessella.functions.gram import matrix_of
-from tessella.operators.correlate import (block_euclidean, median_correlations,
-                                          row_correlations)
+from tessella.operators.correlate import block_euclidean, has_negative_median
 from tessella.operators.project import project_pca
 
 # cells of one distance table held at a time
@@ -145,9 +144,7 @@ def knn_graph(df: DataFrame, k: int | None = None, metric: str | None = None,
     n = checked_size(rows)
     k = k or default_neighbors(n)
     if metric is None:
-        lowest = median_correlations(row_correlations(df, id_col=id_col)).agg(
-            F.min("median_cor")).first()[0]
-        metric = "cosine" if lowest is not None and lowest < 0 else "euclidean"
+        metric = "cosine" if has_negative_median(df, id_col) else "euclidean"
     width = len(value_columns(df, id_col))
     if reduce_dims and n > 100 and width > 50:
         rows = vectors(project_pca(df, num_dims=50, id_col=id_col), id_col)

@@ -107,7 +107,7 @@ def column_profile(df: DataFrame, stat: str, id_col: str | None = None) -> DataF
     cols = value_columns(df, id_col)
     if stat == "median":
         long = cells(df, id_col).select("col_id", "value")
-        return quantiles(long, "value", [0.5], ["col_id"]).select(
+        return quantiles(long, "value", [0.5], ["col_id"], few_keys=True).select(
             F.col("col_id").alias("id"), F.col("q")[0].alias("median"))
     one = df.agg(*[COLUMN_STATISTICS[stat](c).alias(c) for c in cols])
     return one.unpivot([], [col(c) for c in cols], "id", stat)

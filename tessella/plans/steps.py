@@ -3,8 +3,9 @@
 A dataset is ``{"name", "path" or "data", "actions": [...]}``. An action is an operator name or
 ``{operator: parameters}``; ``id`` in the parameters names the result. ``{"branch": [...]}`` forks
 from the current result and leaves it in place; ``{"group": {"actions": [...]}}`` runs its actions
-in a row. ``dataset`` in the parameters refers to another result by name. Everything stays lazy;
-Catalyst sees one plan per result.
+in a row. ``dataset`` in the parameters refers to another result by name. Everything stays lazy and Catalyst
+sees one plan per result, except that ``save: true`` writes a result to the checkpoint folder: worth
+it where several later steps, or operators that look at the data first, would compute it again.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tessella.frame import ensure_not_empty
 from tessella.operators import (aggregate, cca, cluster, columns, correlate, neighbors, profile,
                                 project, rows, shape, transforms)
+from tessella.runtime import cut_lineage
 from tessella.sources.readers import load_gmt, load_mapping, load_matrix
 from tessella.sources.sampling import sample_columns, sample_rows
 
@@ -111,7 +113,7 @@ class _Run:
         if name not in OPERATORS:
             raise ValueError(f"unknown operator {name!r}")
         args = {ARGUMENTS.get(k, k): v for k, v in params.items()
-                if k not in ("id", "reports", "filename", "inline", "local")}
+                if k not in ("id", "reports", "save", "filename", "inline", "local")}
         if isinstance(args.get("dataset"), str):
             args["dataset"] = self.results[args["dataset"]]
         if name == "pivot_wide" and "index" in args and args["index"] is None:
@@ -137,6 +139,8 @@ class _Run:
                 df = self.apply(name, params, df)
             if self.check_empty:
                 ensure_not_empty(df, name)
+            if params.get("save"):
+                df = cut_lineage(df)
             step = self.name(params.get("id", f"{dataset}_{name}"), "id" in params)
             self.keep(step, df, params.get("reports", []))
         return df

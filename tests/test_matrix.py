@@ -301,6 +301,20 @@ def test_knn_graph(spark, block_rows):
         assert row["neighbor"] == f"r{want:04d}"
 
 
+@pytest.mark.parametrize("n", [6, 7])
+def test_negative_median_correlation(spark, n):
+    seen = set()
+    for seed in range(6):
+        df, frame = matrix(spark, np.random.default_rng(seed).normal(size=(n, 40)) + seed / 2)
+        if seed % 2:
+            frame = frame + np.linspace(0, 4, 40)
+            df, frame = matrix(spark, frame.to_numpy())
+        want = bool(frame.T.corr().median().min() < 0)
+        assert correlate.has_negative_median(df, block_rows=3) == want
+        seen.add(want)
+    assert seen == {True, False}
+
+
 def test_knn_graph_settings(spark):
     assert [neighbors.default_neighbors(n) for n in (3, 40, 200, 20_000)] == [2, 5, 20, 500]
     df, _ = matrix(spark, np.random.default_rng(0).normal(size=(20, 5)))

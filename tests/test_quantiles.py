@@ -19,19 +19,22 @@ def test_equal_to_pandas(spark, kind):
     df, data = frame(spark, values)
     probs = [0.0, 0.013, 0.25, 0.5, 0.77, 1.0]
     # an accuracy far below the row count, so that the brackets do the work
-    got = quantiles(df, "v", probs, accuracy=300).first()["q"]
-    assert np.allclose(got, data["v"].quantile(probs), rtol=1e-12)
+    for refine in (False, True):
+        got = quantiles(df, "v", probs, accuracy=300, refine=refine).first()["q"]
+        assert np.allclose(got, data["v"].quantile(probs), rtol=1e-12)
 
 
 def test_groups_of_very_different_size(spark):
     rng = np.random.default_rng(5)
     groups = np.where(rng.random(9000) < 0.4, "hot", rng.integers(0, 50, 9000).astype(str))
     df, data = frame(spark, rng.normal(size=9000), groups)
-    got = {r["g"]: r["q"] for r in quantiles(df, "v", [0.3, 0.5], ["g"], accuracy=500).collect()}
     want = data.groupby("g")["v"].quantile([0.3, 0.5]).unstack()
-    assert set(got) == set(want.index)
-    for g, q in got.items():
-        assert np.allclose(q, want.loc[g], rtol=1e-12)
+    for options in ({}, {"few_keys": True}, {"refine": True}):
+        found = quantiles(df, "v", [0.3, 0.5], ["g"], accuracy=500, **options)
+        got = {r["g"]: r["q"] for r in found.collect()}
+        assert set(got) == set(want.index)
+        for g, q in got.items():
+            assert np.allclose(q, want.loc[g], rtol=1e-12)
 
 
 def test_missing_and_empty(spark):
@@ -59,3 +62,12 @@ def test_average_ranks(spark):
     merged = want.merge(got, on=["g", "v"], suffixes=("", "_got"))
     assert len(merged) == len(want) == len(got)
     assert np.array_equal(merged["rank"], merged["rank_got"])
+
+
+@pytest.mark.parametrize("refine", [False, True])
+def test_last_task_stays_small(spark, refine):
+    from pyspark.sql import functions as F
+    df = spark.range(200_000).select(F.rand(1).alias("v"))
+    found = quantiles(df, "v", [0.5], accuracy=2000, refine=refine)
+    values = sorted(r["v"] for r in df.collect())
+    assert found.first()["q"] == [(values[99_999] + values[100_000]) / 2]
