@@ -93,6 +93,13 @@ def _(spark, sf):
         F.count("*").alias("n"), F.count_distinct("row_id").alias("ids"))
 
 
+@query("sample_columns", "SELECT count(*) AS n, CAST(2 AS BIGINT) AS cols FROM lineitem")
+def _(spark, sf):
+    part = sampling.sample_columns(lines(spark, sf), 0.5)
+    return part.agg(F.count("*").alias("n"),
+                    F.max(F.lit(len(part.columns) - 1)).cast("long").alias("cols"))
+
+
 @query("display_sample", "SELECT least(1000, count(*)) AS n, CAST(2 AS BIGINT) AS cols FROM lineitem")
 def _(spark, sf):
     part = sampling.display_sample(lines(spark, sf), columns=2)

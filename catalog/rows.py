@@ -172,6 +172,28 @@ def _(spark, sf):
                           rows.col_is("l_tax", "gt", value=0.07))
 
 
+EVENTS = "SELECT event_id, user_id, value FROM events"
+
+
+def events(spark, sf):
+    return table(spark, sf, "events").select("event_id", "user_id", "value")
+
+
+GROUP_MAX = "user_id IN (SELECT user_id FROM events GROUP BY 1 HAVING max(value) >= 300)"
+
+
+@query("filter_and_group", f"{EVENTS} WHERE value > 50 AND {GROUP_MAX}")
+def _(spark, sf):
+    return rows.filter_and(events(spark, sf), rows.col_is("value", "gt", value=50),
+                           rows.group_is("user_id", "value", "max", "ge", value=300))
+
+
+@query("filter_or_group", f"{EVENTS} WHERE value > 150 OR {GROUP_MAX}")
+def _(spark, sf):
+    return rows.filter_or(events(spark, sf), rows.col_is("value", "gt", value=150),
+                          rows.group_is("user_id", "value", "max", "ge", value=300))
+
+
 @query("complete_cases", with_ctes(USER_DAYS, f"SELECT * FROM ud WHERE {MISSING} = 0"))
 def _(spark, sf):
     return rows.complete_cases(user_days(spark, sf))
@@ -186,13 +208,6 @@ def _(spark, sf):
 
 # --- groups ---
 
-EVENTS = "SELECT event_id, user_id, value FROM events"
-
-
-def events(spark, sf):
-    return table(spark, sf, "events").select("event_id", "user_id", "value")
-
-
 def _groups(stat: str, test: str) -> str:
     return f"""WITH g AS (SELECT user_id, {stat} AS s FROM events GROUP BY 1)
 {EVENTS} WHERE user_id IN (SELECT user_id FROM g WHERE {test})"""

@@ -77,6 +77,12 @@ def matrix_of(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
+def array_column(rows: np.ndarray) -> pa.Array:
+    """The inverse of ``matrix_of``."""
+    ends = np.arange(0, rows.size + 1, max(1, rows.shape[1]), dtype=np.int64)
+    return pa.LargeListArray.from_arrays(ends, rows.ravel()).cast(pa.list_(pa.float64()))
+
+
 def _summer(pairs: list[tuple[int, int]], keys: list[str], same: bool, block: int):
     def add(sums, batch: pa.RecordBatch, key) -> None:
         filled, present = {}, {}

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from tessella.frame import col, id_of, join_by_id, value_columns
 from tessella.functions.blocks import block_count, checked_size, pair_blocks, vectors
-from tessella.functions.gram import matrix_of
+from tessella.functions.gram import array_column, matrix_of
 from tessella.operators.correlate import block_euclidean
 from tessella.runtime import cut_lineage
 
@@ -44,7 +44,7 @@ def _distances(rows: DataFrame, n: int, width: int, block_rows: int | None) -> D
         d, _ = block_euclidean(matrix_of(left["vec"]), matrix_of(right["vec"]))
         d[left["pos"].to_numpy()[:, None] == right["pos"].to_numpy()[None, :]] = np.inf
         return pa.table({"pos": left["pos"], "part": pa.array(
-            np.full(len(d), right["pos"][0].as_py() // size)), "d": pa.array(list(d))})
+            np.full(len(d), right["pos"][0].as_py() // size)), "d": array_column(d)})
 
     block = F.floor(F.col("pos") / size).cast("int")
     found = pair_blocks(rows.select("pos", "vec"), rows.select("pos", "vec"), blocks, blocks, meet,
@@ -139,7 +139,7 @@ def _round(state: DataFrame, tree: _Tree) -> DataFrame:
                 dist[np.arange(len(pos)), target[pos]] = np.inf
                 yield pa.RecordBatch.from_pydict({
                     "pos": pa.array(target[pos], pa.int32()), "weight": weight[pos],
-                    "mixed": mixed[pos], "dist": pa.array(list(dist))})
+                    "mixed": mixed[pos], "dist": array_column(dist)})
 
     def rows(table: pa.Table) -> pa.Table:
         dist = matrix_of(table["dist"]).T @ table["weight"].to_numpy()

@@ -55,7 +55,17 @@ def _by_id(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 
 def _nearest(distance: np.ndarray, k: int) -> np.ndarray:
     """Columns of the k smallest per row; equal distances go to the smaller id (sorted before)."""
-    return np.argsort(np.where(np.isnan(distance), np.inf, distance), axis=1, kind="stable")[:, :k]
+    distance = np.where(np.isnan(distance), np.inf, distance)
+    if k >= distance.shape[1]:
+        return np.argsort(distance, axis=1, kind="stable")
+    near = np.sort(np.argpartition(distance, k - 1, axis=1)[:, :k], axis=1)
+    found = np.take_along_axis(distance, near, axis=1)
+    near = np.take_along_axis(near, np.argsort(found, axis=1, kind="stable"), axis=1)
+    # rows where more than k are as near as the last one: only a full sort knows the smaller ids
+    tied = (distance <= found.max(axis=1, keepdims=True)).sum(axis=1) > k
+    if tied.any():
+        near[tied] = np.argsort(distance[tied], axis=1, kind="stable")[:, :k]
+    return near
 
 
 def knn_donors(df: DataFrame, k: int, distance: Distance, id_col: str | None = None,

@@ -87,6 +87,16 @@ def name_endswith(suffix, drop=True, id_col=None) -> Predicate:
     return predicate
 
 
+def group_is(group, column, func, op="gt", value=None, quantile=None, **options) -> Predicate:
+    """Rows whose group passes, as an IN subquery: a semi join, under ``filter_or`` a flag."""
+    return lambda df: col(group).isin(
+        passing_groups(df, group, column, func, op, value, quantile, **options))
+
+
+def annotation_in(annotation, key, column, values, id_col=None) -> Predicate:
+    return lambda df: col(id_of(df, id_col)).isin(_annotated(annotation, key, column, values))
+
+
 def filter_and(df: DataFrame, *predicates: Predicate) -> DataFrame:
     """Rows that pass every predicate, cutoffs taken from the unfiltered frame."""
     return df.where(reduce(and_, [p(df) for p in predicates]))
@@ -192,8 +202,7 @@ def passing_groups(df: DataFrame, group: str, column: str, func: str | Aggregate
 def filter_rows_by_group_func(df: DataFrame, group: str, column: str, func: str | Aggregate,
                               op="gt", value=None, quantile=None, **options) -> DataFrame:
     """Keep all rows of the passing groups; rows without a group are dropped."""
-    kept = passing_groups(df, group, column, func, op, value, quantile, **options)
-    return df.join(kept, group, "left_semi").select(*[col(c) for c in df.columns])
+    return df.where(group_is(group, column, func, op, value, quantile, **options)(df))
 
 
 def filter_rows_group_func_ge(df, group, column, func, value=None, quantile=None, **options):
@@ -216,8 +225,7 @@ def _annotated(annotation: DataFrame, key: str, column: str, values) -> DataFram
 
 def filter_rows_annotation_in(df, annotation, key, column, values, id_col=None):
     """Rows whose id has one of the listed values in the annotation table."""
-    hits = _annotated(annotation, key, column, values)
-    return df.join(hits, col(id_of(df, id_col)) == F.col("_key"), "left_semi")
+    return df.where(annotation_in(annotation, key, column, values, id_col)(df))
 
 
 def filter_rows_annotation_not_in(df, annotation, key, column, values, id_col=None):

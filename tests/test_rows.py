@@ -110,6 +110,12 @@ def test_combined(numeric):
     assert ids(either) == ["2", "3"]
 
 
+def test_groups_combined(grouped):
+    big = rows.group_is("group", "X", "sum", "gt", value=7)
+    assert ids(rows.filter_and(grouped, big, rows.col_is("Y", "lt", value=5))) == ["a", "c", "g"]
+    assert ids(rows.filter_or(grouped, big, rows.col_is("X", "eq", value=0))) == list("abcgh")
+
+
 def test_annotation(grouped, spark):
     side = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", "y")], "key string, kind string")
     assert ids(rows.filter_rows_annotation_in(grouped, side, "key", "kind", ["x", "y"])) == ["a", "b"]
