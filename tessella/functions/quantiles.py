@@ -38,7 +38,10 @@ def quantiles(df: DataFrame, value: str | Column, probs: Sequence[float],
     keys, probs = list(keys), [float(p) for p in probs]
     kcols = [col(k) for k in keys]
     v = (col(value) if isinstance(value, str) else value).cast("double")
-    present = df.select(*kcols, v.alias("_v")).dropna()
+    # missing values stay in and count for nothing: a filter would compute the value twice
+    present = df.select(*kcols, v.alias("_v"))
+    if keys:
+        present = present.dropna(subset=keys)
     if refine is None:
         refine = _estimated_bytes(present) > REFINE_BYTES
 
@@ -60,11 +63,11 @@ def quantiles(df: DataFrame, value: str | Column, probs: Sequence[float],
     segment = F.when(small, F.lit(0)).otherwise(
         reduce(add, [(x > b).cast("int") for b in high]))
     counted = (marked
-               .select(*kcols, n.alias("_n"), segment.alias("_seg"), F.when(inside, x).alias("_x"))
-               .groupBy(*kcols, "_n", "_seg", "_x").agg(F.count(F.lit(1)).alias("_c")))
+               .select(*kcols, n.alias("_n"), segment.alias("_seg"), F.when(inside, x).alias("_x"), x)
+               .groupBy(*kcols, "_n", "_seg", "_x").agg(F.count("_v").alias("_c")))
     order = (W.partitionBy(*kcols).orderBy("_seg", F.col("_x").asc_nulls_first())
              .rowsBetween(W.unboundedPreceding, W.currentRow))
-    ranked = counted.withColumn("_cum", F.sum("_c").over(order))
+    ranked = counted.withColumn("_cum", F.sum("_c").over(order)).where("_n > 0")
     return ranked.groupBy(*kcols).agg(F.array(*[_pick(p, nth) for p in probs]).alias("q"))
 
 

@@ -61,12 +61,26 @@ def row_moments(cols: list[str]) -> Column:
     return F.aggregate(row_values(cols), zero, step)
 
 
-def row_var(cols: list[str], ddof: int = 0) -> Column:
-    """Variance over the present cells; NULL where ``n <= ddof``."""
-    def finish(m):
-        return F.when(m["n"] > ddof, m["m2"] / (m["n"] - ddof))
+# columns up to which the variance is written out term by term
+PLAIN_COLUMNS = 8
+
 
-    return F.transform(F.array(row_moments(cols)), finish)[0]
+def row_var(cols: list[str], ddof: int = 0) -> Column:
+    """Variance over the present cells; NULL where ``n <= ddof``.
+
+    Cells are taken relative to the first present one. Its own deviation is part of the variance,
+    so the squares exceed the result by at most the number of cells and nothing cancels.
+    """
+    if len(cols) > PLAIN_COLUMNS:
+        return F.transform(F.array(row_moments(cols)), lambda m: F.when(
+            m["n"] > ddof, m["m2"] / (m["n"] - ddof)))[0]
+    origin = F.coalesce(*[double(c) for c in cols])
+    apart = [F.coalesce(double(c) - origin, F.lit(0.0)) for c in cols]
+    n = (F.lit(len(cols)) - row_missing(cols)).cast("double")
+    total = balanced(apart, add)
+    squares = balanced([d * d for d in apart], add)
+    left = F.greatest(squares - F.try_divide(total * total, n), F.lit(0.0))
+    return F.when(n > ddof, F.try_divide(left, n - ddof))
 
 
 def row_sd(cols: list[str], ddof: int = 1) -> Column:

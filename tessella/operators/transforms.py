@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tessella.frame import col, double, id_of, value_columns
-from tessella.functions.rowwise import row_moments
+from tessella.functions.rowwise import row_mean, row_sd
 
 
 def _map_cells(df: DataFrame, id_col: str | None, fn) -> DataFrame:
@@ -73,11 +73,7 @@ def transform_zscore(df: DataFrame, axis: int = 0, id_col: str | None = None) ->
         raise ValueError("axis is 0 (columns) or 1 (rows)")
     id_col = id_of(df, id_col)
     cols = value_columns(df, id_col)
-    # an array of cells keeps the row moments evaluated once, not once per column
-    scaled = F.transform(
-        F.array(F.struct(F.array(*[double(c) for c in cols]).alias("x"),
-                         row_moments(cols).alias("m"))),
-        lambda r: F.transform(r["x"], lambda x: F.try_divide(
-            x - r["m"]["mean"], F.sqrt(F.try_divide(r["m"]["m2"], r["m"]["n"])))))[0]
-    return (df.select(col(id_col), scaled.alias("_z"))
-            .select(col(id_col), *[F.col("_z")[i].alias(c) for i, c in enumerate(cols)]))
+    # the row's mean and sd in one column, computed once and not once per cell
+    stats = F.struct(row_mean(cols).alias("mean"), row_sd(cols, ddof=0).alias("sd"))
+    return df.withColumn(STATS, stats).select(col(id_col), *[
+        F.try_divide(double(c) - F.col(STATS)["mean"], F.col(STATS)["sd"]).alias(c) for c in cols])
