@@ -17,6 +17,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from tessella.errors import NotUniqueError
 from tessella.frame import col, double, id_of, value_columns
+from tessella.runtime import cut_lineage
 
 BLOCK_BYTES = 64 * 2**20
 
@@ -29,12 +30,17 @@ def vectors(df: DataFrame, id_col: str | None = None, cols: list[str] | None = N
                      F.array(*[double(c) for c in cols]).alias("vec"))
 
 
-def checked_size(rows: DataFrame) -> int:
-    """Number of rows; ids have to be unique, since a repeated id would fill one block."""
+def prepared(rows: DataFrame) -> tuple[DataFrame, int]:
+    """The rows, written once to the checkpoint folder, and their number.
+
+    Every block is read many times, and what leads to the rows should run once. Ids have to be
+    unique, since a repeated id would fill one block.
+    """
+    rows = cut_lineage(rows)
     found = rows.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("id").alias("ids")).first()
     if found["ids"] != found["n"]:
         raise NotUniqueError("row ids must be unique and present")
-    return found["n"]
+    return rows, found["n"]
 
 
 def block_count(rows: int, width: int, block_rows: int | None = None) -> int:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from tessella.frame import col, id_of, join_by_id, value_columns
-from tessella.functions.blocks import block_count, checked_size, pair_blocks, vectors
+from tessella.functions.blocks import block_count, pair_blocks, prepared, vectors
 from tessella.functions.gram import array_column, matrix_of
 from tessella.operators.correlate import block_euclidean
 from tessella.runtime import cut_lineage
@@ -27,9 +27,8 @@ SMALL = 2048
 Merge = tuple[int, int, float]
 
 
-def _numbered(df: DataFrame, id_col: str) -> DataFrame:
+def _numbered(rows: DataFrame) -> DataFrame:
     """``id, vec, pos`` with positions in id order. One task orders the n ids, not the rows."""
-    rows = vectors(df, id_col)
     order = rows.select("id").withColumn("pos", F.row_number().over(W.orderBy("id")) - 1)
     return rows.join(order, "id")
 
@@ -169,8 +168,8 @@ def hclust(df: DataFrame, num_clusters: int, id_col: str | None = None, small: i
            block_rows: int | None = None) -> DataFrame:
     """``id, cluster``: Euclidean average-linkage clusters ``cluster_0…`` by smallest member id."""
     id_col = id_of(df, id_col)
-    rows = _numbered(df, id_col)
-    n = checked_size(rows)
+    rows, n = prepared(vectors(df, id_col))
+    rows = _numbered(rows)
     if not 1 <= num_clusters <= n:
         raise ValueError(f"num_clusters has to be between 1 and the number of rows ({n})")
     tree = _Tree(n)

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tessella.errors import EmptyResultError
 from tessella.frame import cells, col, double, id_of, join_by_id, value_columns
-from tessella.functions.blocks import (block_count, checked_size, pair_blocks, pair_own_blocks,
+from tessella.functions.blocks import (block_count, pair_blocks, pair_own_blocks, prepared,
                                        vectors)
 from tessella.functions.gram import (cross_sums, euclidean, matrix_of, named, pearson)
 from tessella.functions.quantiles import average_ranks
@@ -92,8 +92,8 @@ def _kendall(df: DataFrame, id_col: str, x_cols: list[str], y_cols: list[str] |
     """tau-b by comparing all rows, block by block; a pair of blocks emits p·q sums only."""
     same_cols = y_cols is None
     cols = x_cols if same_cols else [*x_cols, *y_cols]
-    rows = vectors(df, id_col, cols)
-    blocks = block_count(checked_size(rows), len(cols), block_rows)
+    rows, n = prepared(vectors(df, id_col, cols))
+    blocks = block_count(n, len(cols), block_rows)
     p = len(x_cols)
 
     def compare(left: pa.Table, right: pa.Table, same: bool) -> pa.Table:
@@ -195,8 +195,8 @@ def _cells_table(left, right, keep, **values) -> pa.Table:
 
 
 def _own_pairs(df, id_col, cell_values, schema, block_rows, diagonal) -> DataFrame:
-    rows = vectors(df, id_col)
-    blocks = block_count(checked_size(rows), len(value_columns(df, id_col)), block_rows or BLOCK_ROWS)
+    rows, n = prepared(vectors(df, id_col))
+    blocks = block_count(n, len(value_columns(df, id_col)), block_rows or BLOCK_ROWS)
     before = np.less_equal if diagonal else np.less
 
     def meet(left, right, same):
@@ -260,9 +260,8 @@ def integrate_cross_cor(x: DataFrame, y: DataFrame, axis: int = 0, method: str =
     if axis == 1:
         shared = sorted(set(x_cols) & set(y_cols))
         _report_shared(len(shared), max(len(x_cols), len(y_cols)))
-        left, right = vectors(x, None, shared), vectors(y, None, shared)
-        sizes = [block_count(checked_size(v), len(shared), block_rows or BLOCK_ROWS)
-                 for v in (left, right)]
+        (left, n_left), (right, n_right) = (prepared(vectors(m, None, shared)) for m in (x, y))
+        sizes = [block_count(n, len(shared), block_rows or BLOCK_ROWS) for n in (n_left, n_right)]
 
         def meet(a, b):
             r, n = block_correlation(matrix_of(a["vec"]), matrix_of(b["vec"]), method)
@@ -324,8 +323,8 @@ def has_negative_median(df: DataFrame, id_col: str | None = None,
     A median is negative when most values are, or when the two middle ones add up to less than
     zero. Both follow from four numbers per row that add up over blocks, so no pair is listed.
     """
-    rows = vectors(df, id_col)
-    blocks = block_count(checked_size(rows), len(value_columns(df, id_col)),
+    rows, n = prepared(vectors(df, id_col))
+    blocks = block_count(n, len(value_columns(df, id_col)),
                          block_rows or BLOCK_ROWS)
 
     def meet(left, right, same):
@@ -396,8 +395,8 @@ def correlated_rows(df: DataFrame, cutoff: float = 0.9, method: str = "pearson",
     On a tie the smaller id goes. A pair of blocks emits the ids it removes, never the pairs, so a
     large group of copies costs no more than other rows.
     """
-    rows = vectors(df, id_col)
-    blocks = block_count(checked_size(rows), len(value_columns(df, id_col)), block_rows or BLOCK_ROWS)
+    rows, n = prepared(vectors(df, id_col))
+    blocks = block_count(n, len(value_columns(df, id_col)), block_rows or BLOCK_ROWS)
     weighted = rows.join(mean_absolute_correlations(rows, blocks, method), "id")
 
     def meet(left, right, same):

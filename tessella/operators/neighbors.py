@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from tessella.frame import col, double, id_of, join_by_id, value_columns
-from tessella.functions.blocks import block_count, checked_size, pair_blocks, vectors
+from tessella.functions.blocks import block_count, pair_blocks, prepared, vectors
 from tessella.functions.gram import matrix_of
 from tessella.operators.correlate import block_euclidean, has_negative_median
 from tessella.operators.project import project_pca
@@ -72,9 +72,9 @@ def knn_donors(df: DataFrame, k: int, distance: Distance, id_col: str | None = N
                block_rows: int | None = None) -> DataFrame:
     """``id, column, donor, distance, value``: the k nearest rows that have the missing cell."""
     cols = value_columns(df, id_col)
-    rows = vectors(df, id_col)
+    rows, n = prepared(vectors(df, id_col))
     gaps = rows.where(F.exists("vec", lambda x: x.isNull()))
-    sizes = [block_count(checked_size(r), len(cols), block_rows) for r in (gaps, rows)]
+    sizes = [block_count(size, len(cols), block_rows) for size in (gaps.count(), n)]
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         (ids, x), (donors, y) = _by_id(left), _by_id(right)
@@ -150,14 +150,13 @@ def knn_graph(df: DataFrame, k: int | None = None, metric: str | None = None,
     principal components, and the metric is cosine when a median row correlation is negative.
     """
     id_col = id_of(df, id_col)
-    rows = vectors(df, id_col)
-    n = checked_size(rows)
+    rows, n = prepared(vectors(df, id_col))
     k = k or default_neighbors(n)
     if metric is None:
         metric = "cosine" if has_negative_median(df, id_col) else "euclidean"
     width = len(value_columns(df, id_col))
     if reduce_dims and n > 100 and width > 50:
-        rows = vectors(project_pca(df, num_dims=50, id_col=id_col), id_col)
+        rows, _ = prepared(vectors(project_pca(df, num_dims=50, id_col=id_col), id_col))
         width = 50
     distance = {"cosine": _cosine, "euclidean": _euclidean}[metric]
     blocks = block_count(n, width, block_rows)

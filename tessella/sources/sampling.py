@@ -28,12 +28,15 @@ def sample_rows(df: DataFrame, frac: float | None = None, n: int | None = None,
     # 52 bits, so that the value is exact as a double
     keyed = df.withColumn("_h", F.shiftrightunsigned(
         F.xxhash64(F.lit(seed), *[col(c) for c in df.columns]), 12).cast("double"))
-    last = quantiles(keyed, "_h", [frac], nth=True).select(F.col("q")[0].alias("last")).scalar()
-    size = keyed.agg(F.count(F.lit(1)).alias("n"),
-                     F.count_if(F.col("_h") < last).alias("under")).first()
+    found = quantiles(keyed, "_h", [frac], nth=True).first()["q"]
+    last = F.lit(found[0] if found else None).cast("double")
+    size = keyed.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("_h") < last).alias("under"),
+                     F.count_if(F.col("_h") == last).alias("same")).first()
     wanted = n if n is not None else round(frac * size["n"])
     if wanted == 0:
         return df.limit(0)
+    if size["under"] + size["same"] == wanted:
+        return keyed.where(F.col("_h") <= last).drop("_h")
     under = keyed.where(F.col("_h") < last)
     ties = keyed.where(F.col("_h") == last).limit(wanted - size["under"])
     return under.unionByName(ties).drop("_h")
