@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tessella.llm import fertility, langid, pieces, quality, tokencounts
+from tessella.llm import fertility, langid, ngramjoin, pieces, quality, tokencounts, topk
 from tessella.llm.common import forget, materialize, remainder, table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -24,6 +24,20 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op1_top_k", """WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+  FROM p)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""")
+def top_k(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = topk.whole_vectors(table(spark, sf, "embeddings"), "vec_id", "embedding", 256.0)
+    return topk.top_k(vectors, F.col("id") % 50 == 0, 5).withColumnRenamed("id", "vec_id")
+
+
 @query("op2_language_id")
 def language_id(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
@@ -44,6 +58,12 @@ def sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
     return pieces.round_trip_digests(table(spark, sf, "documents"), PIECES)
 
 
+@query("op6_ngram_join")
+def ngram_join(spark: SparkSession, sf: str) -> DataFrame:
+    return (ngramjoin.jaccard_components(table(spark, sf, "documents"), words=3, percent=90)
+            .select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id")))
+
+
 def trained_quality(docs: DataFrame, labels: DataFrame) -> tuple[quality.QualityModel, DataFrame]:
     """The model and ``doc_id, x``: statistics of all documents, written once.
 
