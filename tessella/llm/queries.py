@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tessella.llm import fertility, langid, ngramjoin, pieces, quality, tokencounts, topk
+from tessella.llm import (fertility, langid, ngramjoin, pieces, quality, tokencounts, topk, urlfilter,
+                          warc)
 from tessella.llm.common import forget, materialize, remainder, table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -53,6 +54,62 @@ def token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return tokencounts.token_counts(table(spark, sf, "documents"), BYTE_RANKS)
 
 
+def _drawn(of: Column, salt: str, below: int) -> Column:
+    """A number drawn from a text: the same in SQL."""
+    return F.pmod(F.conv(F.substring(F.md5(F.concat(F.lit(salt), of)), 1, 8), 16, 10).cast("long"), F.lit(below))
+
+
+def dated_captures(pages: DataFrame) -> DataFrame:
+    """Pages as captures: the fetch time within 2024 is drawn from the URL."""
+    return pages.select("page_id", "url", (F.lit(1704067200) + _drawn(F.col("url"), "fetch", 31536000)).alias("fetched_at"))
+
+
+def dated_entries(pages: DataFrame) -> DataFrame:
+    """List entries on the hosts of the pages: every third host and every fifth domain is added once,
+    removed later and added again, at times drawn from its name."""
+    hosts = pages.select(urlfilter.host_of(F.col("url")).alias("host")).where("host is not null").distinct()
+    domain = F.regexp_extract("host", r"[^.]+\.[^.]+\.[^.]+$", 0)
+    names = (hosts.select(F.lit("hosts").alias("list"), F.lit("host").alias("kind"), F.col("host").alias("pattern"))
+             .where(_drawn(F.col("pattern"), "host", 3) == 0)
+             .union(hosts.select(F.lit("domains"), F.lit("domain"), domain).distinct()
+                    .toDF("list", "kind", "pattern").where("pattern <> ''")
+                    .where(_drawn(F.col("pattern"), "domain", 5) == 0)))
+    start = F.lit(1704067200) + _drawn(F.col("pattern"), "start", 15768000)
+    stop = start + 86400 + _drawn(F.col("pattern"), "stop", 7884000)
+    again = stop + 86400 + _drawn(F.col("pattern"), "again", 7884000)
+    return names.select("list", "kind", "pattern", F.explode(F.array(
+        F.struct(F.lit("add").alias("action"), start.alias("at")), F.struct(F.lit("remove").alias("action"), stop.alias("at")),
+        F.struct(F.lit("add").alias("action"), again.alias("at")))).alias("e")).select("list", "kind", "pattern", "e.*")
+
+
+_DRAWN = "(CAST('0x' || substr(md5('{}' || {}), 1, 8) AS BIGINT) % {})"
+_HOST = r"rtrim(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1)), '.')"
+
+
+@query("op4_url_filters", rf"""WITH c AS (SELECT page_id, nullif({_HOST}, '') AS host,
+    1704067200 + {_DRAWN.format('fetch', 'url', 31536000)} AS fetched_at FROM pages),
+h AS (SELECT DISTINCT host FROM c WHERE host IS NOT NULL),
+n AS (SELECT 'hosts' AS list, 'host' AS kind, host AS pattern FROM h WHERE {_DRAWN.format('host', 'host', 3)} = 0
+  UNION ALL SELECT 'domains', 'domain', d FROM (SELECT DISTINCT regexp_extract(host, '[^.]+\.[^.]+\.[^.]+$', 0) AS d FROM h)
+  WHERE d <> '' AND {_DRAWN.format('domain', 'd', 5)} = 0),
+s AS (SELECT *, 1704067200 + {_DRAWN.format('start', 'pattern', 15768000)} AS a FROM n),
+t AS (SELECT *, a + 86400 + {_DRAWN.format('stop', 'pattern', 7884000)} AS b FROM s),
+i AS (SELECT list, kind, pattern, a AS f, b AS u FROM t
+  UNION ALL SELECT list, kind, pattern, b + 86400 + {_DRAWN.format('again', 'pattern', 7884000)}, 4611686018427387903 FROM t),
+m AS (SELECT page_id, count(*) AS n_active, min(i.list || ' ' || i.pattern) AS first_match FROM c JOIN i
+  ON (i.pattern = c.host OR (i.kind = 'domain' AND ends_with(c.host, '.' || i.pattern)))
+  AND i.f <= c.fetched_at AND c.fetched_at < i.u GROUP BY page_id)
+SELECT c.page_id, c.host, c.fetched_at, coalesce(m.n_active, 0) > 0 AS blocked, coalesce(m.n_active, 0) AS n_active,
+  m.first_match FROM c LEFT JOIN m USING (page_id)""")
+def url_filters(spark: SparkSession, sf: str) -> DataFrame:
+    pages = table(spark, sf, "pages")
+    found = urlfilter.filter_urls(dated_captures(pages), dated_entries(pages))
+    names = F.transform("matches", lambda m: F.concat_ws(" ", m["list"], m["pattern"]))
+    return found.select("page_id", urlfilter.host_of(F.col("url")).alias("host"), "fetched_at",
+                        (F.size("matches") > 0).alias("blocked"), F.size("matches").cast("long").alias("n_active"),
+                        F.array_min(names).alias("first_match"))
+
+
 @query("op5_sentencepiece")
 def sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
     return pieces.round_trip_digests(table(spark, sf, "documents"), PIECES)
@@ -91,3 +148,41 @@ def fertility_rules(spark: SparkSession, sf: str) -> DataFrame:
     return judged.select("doc_id", *[f"_verdict.{c}" for c in (
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "n_tokens", *fertility.MEASURES)])
+
+
+RECORDS_PER_ARCHIVE = 1000
+
+
+def archived(pages: DataFrame) -> DataFrame:
+    """Pages as WARC records: a thousand to an archive, in the order of their file."""
+    place = F.col("_metadata.row_index")
+    return pages.select(
+        F.concat_ws("-", F.regexp_extract("_metadata.file_path", r"[^/]+$", 0),
+                    F.floor(place / RECORDS_PER_ARCHIVE)).alias("archive"),
+        F.pmod(place, F.lit(RECORDS_PER_ARCHIVE)).alias("seq"), "page_id",
+        warc.warc_record(F.col("url"), F.col("html")).alias("record"))
+
+
+def replica_of(records: DataFrame) -> DataFrame:
+    """A replica with damage drawn from the record's id: flipped, cut and lost records."""
+    kind = _drawn(F.coalesce(F.col("page_id").cast("string"), F.lit("")), "damage", 300)
+    n = F.octet_length("record")
+    damaged = (F.when(kind == 0, F.concat(F.substring("record", 1, n - 5), F.lit("#").cast("binary"),
+                                          F.substring("record", n - 3, 4)))
+               .when(kind == 1, F.substring("record", 1, n - 7)).otherwise(F.col("record")))
+    return records.where(kind != 2).withColumn("record", damaged)
+
+
+@query("op10_warc_fixity", f"""WITH p AS (SELECT *, row_number() OVER () - 1 AS place FROM pages),
+r AS (SELECT page_id, place // {RECORDS_PER_ARCHIVE} AS part, place % {RECORDS_PER_ARCHIVE} AS seq,
+  CAST(strlen('WARC/1.0  WARC-Type: response  WARC-Target-URI: ' || coalesce(url, '') || '  Content-Length: ' ||
+    CAST(strlen(coalesce(html, '')) AS VARCHAR) || '    ' || coalesce(html, '') || '    ') AS BIGINT) AS length,
+  {_DRAWN.format('damage', "coalesce(CAST(page_id AS VARCHAR), '')", 300)} AS kind FROM p),
+o AS (SELECT *, coalesce(sum(length) OVER (PARTITION BY part ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off FROM r)
+SELECT page_id, CAST(seq AS BIGINT) AS seq, CAST(off AS BIGINT) AS record_offset, length,
+  CASE kind WHEN 0 THEN 'changed' WHEN 1 THEN 'resized' ELSE 'missing' END AS problem FROM o WHERE kind < 3""")
+def warc_fixity(spark: SparkSession, sf: str) -> DataFrame:
+    ours = archived(table(spark, sf, "pages"))
+    found = warc.audit(ours, replica_of(ours))
+    return (found.join(ours.select("archive", "seq", "page_id"), ["archive", "seq"])
+            .select("page_id", "seq", "record_offset", "length", "problem"))
