@@ -5,13 +5,12 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tessella.llm import (fertility, langid, ngramjoin, pieces, quality, tokencounts, topk, urlfilter,
+from tessella.llm import (fertility, langid, ngramjoin, packing, pieces, quality, tokencounts, topk, urlfilter,
                           warc)
 from tessella.llm.common import forget, materialize, remainder, table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
-BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 QUERIES, ORACLES = {}, {}
 
@@ -142,6 +141,11 @@ def quality_scores(spark: SparkSession, sf: str) -> DataFrame:
             .withColumn("predicted", (F.col("score") >= 0.7).cast("int")))
 
 
+@query("op8_packing")
+def packed(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack(table(spark, sf, "documents"), BYTE_RANKS).withColumnRenamed("id", "doc_id")
+
+
 @query("op9_fertility_rules")
 def fertility_rules(spark: SparkSession, sf: str) -> DataFrame:
     judged = fertility.judge(table(spark, sf, "documents"), PIECES, carry=["doc_id"])
