@@ -55,7 +55,7 @@ def _(spark, sf):
     return rounded(ordered(correlate.column_correlations(user_types(spark, sf).dropna(), "spearman")))
 
 
-GAP_COLS = DAYS[:8]
+GAP_COLS = DAYS
 
 
 @query("column_correlations_spearman_with_gaps", with_ctes(
@@ -71,7 +71,7 @@ def _(spark, sf):
 
 
 @query("column_correlations_kendall", with_ctes(
-    part_months_sql("bm", "p_brand", 7), long_sql("l", "bm", "p_brand", MONTHS[:5]),
+    part_months_sql("bm", "p_brand"), long_sql("l", "bm", "p_brand", MONTHS),
     """v AS (SELECT * FROM l WHERE value IS NOT NULL)""",
     """d AS (SELECT a.row_id AS i, b.row_id AS j, a.col_id, sign(a.value - b.value) AS s
   FROM v a JOIN v b ON a.col_id = b.col_id WHERE a.row_id < b.row_id)""",
@@ -82,7 +82,7 @@ def _(spark, sf):
   ON a.row_id = b.row_id GROUP BY 1, 2)""",
     f"SELECT t.x_id, t.y_id, {r('s / sqrt(tx * ty)')} AS r, n FROM t JOIN n ON t.x_id = n.x_id AND t.y_id = n.y_id"))
 def _(spark, sf):
-    df = part_months(spark, sf, "p_brand", 7).select("p_brand", *MONTHS[:5])
+    df = part_months(spark, sf, "p_brand")
     return rounded(ordered(correlate.column_correlations(df, "kendall")))
 
 
@@ -229,20 +229,33 @@ def _(spark, sf):
                                         agg="median"), 4)
 
 
-@query("knn_graph", f"""WITH e AS (SELECT CAST(vec_id AS VARCHAR) AS id, CAST(embedding AS DOUBLE[]) AS v
+def _knn_graph_sql(cell: str) -> str:
+    return f"""WITH e AS (SELECT CAST(vec_id AS VARCHAR) AS id, {cell} AS v
   FROM embeddings), d AS (SELECT a.id, b.id AS neighbor, list_distance(a.v, b.v) AS d
   FROM e a JOIN e b ON a.id <> b.id), n AS (SELECT *, row_number() OVER (
   PARTITION BY id ORDER BY d, neighbor) AS rank FROM d)
-SELECT id, neighbor, rank, {r('d')} AS distance FROM n WHERE rank <= 5""")
+SELECT id, neighbor, rank, {r('d')} AS distance FROM n WHERE rank <= 5"""
+
+
+@query("knn_graph", _knn_graph_sql("CAST(embedding AS DOUBLE[])"))
+def _(spark, sf):
+    found = neighbors.knn_graph(embedding_wide(spark, sf), k=5)
+    return rounded(found.withColumn("rank", F.col("rank").cast("long")))
+
+
+@query("knn_graph_offset", _knn_graph_sql(
+    "list_transform(CAST(embedding AS DOUBLE[]), lambda x: x + 10000000)"))
 def _(spark, sf):
-    found = neighbors.knn_graph(embedding_wide(spark, sf), k=5, metric="euclidean",
-                                reduce_dims=False)
+    wide = embedding_wide(spark, sf)
+    moved = wide.select(wide.columns[0], *[(F.col(c) + 1e7).alias(c) for c in wide.columns[1:]])
+    found = neighbors.knn_graph(moved, k=5)
     return rounded(found.withColumn("rank", F.col("rank").cast("long")))
 
 
 @query("knn_graph_default")
 def _(spark, sf):
-    return rounded(neighbors.knn_graph(part_months(spark, sf, "p_size")))
+    df = part_months(spark, sf, "p_size")
+    return rounded(neighbors.knn_graph(df, neighbors.layout_neighbors(df.count()), neighbors.layout_metric(df)))
 
 
 # --- clustering and canonical correlation ---
@@ -254,4 +267,5 @@ def _(spark, sf):
 
 @query("integrate_cca")
 def _(spark, sf):
-    return rounded(cca.integrate_cca(user_types(spark, sf), user_weekdays(spark, sf)))
+    return rounded(cca.integrate_cca(user_types(spark, sf).na.fill(0.0),  # no events: nothing spent
+                                     user_weekdays(spark, sf).na.fill(0.0)))

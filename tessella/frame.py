@@ -61,7 +61,7 @@ def join_by_id(df: DataFrame, side: DataFrame, id_col: str, how: str = "inner")
 def ensure_not_empty(df: DataFrame, what: str = "operator") -> DataFrame:
     """Raise when nothing is left. Runs a one-row job, so callers opt in."""
     if len(df.columns) < 2 or df.isEmpty():
-        raise EmptyResultError(f"No data remaining after {what}")
+        raise EmptyResultError(f"{what} leaves no rows")
     return df
 
 

@@ -19,9 +19,6 @@ from tessella.functions.quantiles import quantiles
 NORMAL_MAD_SCALE = 0.674489750196082
 
 HOT_GROUP_ROWS = 1_000_000
-MAX_HOT_GROUPS = 10_000
-# hot groups times columns up to which their sketch edges are broadcast, about 100 MB
-MAX_BROADCAST_KEYS = 1_000_000
 
 Aggregate = Callable[[Column], Column]
 
@@ -106,34 +103,31 @@ def hot_groups(df: DataFrame, keys: Sequence[str],
                hot_rows: int = HOT_GROUP_ROWS) -> DataFrame | None:
     """Keys of groups too large for one buffer, or None; one job counts the rows per group.
 
-    The row limit grows with the data, so there are at most ``MAX_HOT_GROUPS`` of them.
+    The row limit is fixed; the groups above it, however many, are joined and not broadcast.
     """
     sizes = df.groupBy(*[col(k) for k in keys]).agg(_rows().alias("_rows"))
-    found = sizes.agg(F.sum("_rows").alias("total"), F.max("_rows").alias("largest")).first()
-    if (found["largest"] or 0) <= hot_rows:
+    if (sizes.agg(F.max("_rows")).first()[0] or 0) <= hot_rows:
         return None
-    limit = max(hot_rows, found["total"] // MAX_HOT_GROUPS)
-    return sizes.where(F.col("_rows") > limit).select(*[col(k) for k in keys])
+    return sizes.where(F.col("_rows") > hot_rows).select(*[col(k) for k in keys])
 
 
 def group_quantile(df: DataFrame, keys: Sequence[str], cols: Sequence[str], prob: float = 0.5,
                    hot: DataFrame | None = None) -> DataFrame:
     """Exact quantile of each column per group.
 
-    Groups of ordinary size take one pass of ``percentile``; the ``hot`` ones, few in number, go
+    Groups of ordinary size take one pass of ``percentile``; the ``hot`` ones go
     through bracketed ranks, which hold no group in one task.
     """
     keys, cols = list(keys), list(cols)
     kcols = [col(k) for k in keys]
     df = df.select(*kcols, *[col(c).cast("double").alias(c) for c in cols])
-    rest = df if hot is None else df.join(F.broadcast(hot), keys, "left_anti")
+    rest = df if hot is None else df.join(hot, keys, "left_anti")
     small = rest.groupBy(*kcols).agg(*[F.percentile(col(c), F.lit(prob)).alias(c) for c in cols])
     if hot is None:
         return small
-    large = (df.join(F.broadcast(hot), keys, "left_semi")
+    large = (df.join(hot, keys, "left_semi")
              .unpivot(kcols, [col(c) for c in cols], "_col", "_v"))
-    found = quantiles(large, "_v", [prob], [*keys, "_col"],
-                      few_keys=MAX_HOT_GROUPS * len(cols) <= MAX_BROADCAST_KEYS)
+    found = quantiles(large, "_v", [prob], [*keys, "_col"])
     wide = found.groupBy(*kcols).agg(
         *[F.max(F.when(F.col("_col") == c, F.col("q")[0])).alias(c) for c in cols])
     return small.unionByName(hot.join(wide, keys, "left"))

@@ -8,10 +8,11 @@ each row is sent B times, so blocks are as large as a task can hold.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -43,9 +44,23 @@ def prepared(rows: DataFrame) -> tuple[DataFrame, int]:
     return rows, found["n"]
 
 
-def block_count(rows: int, width: int, block_rows: int | None = None) -> int:
-    block_rows = block_rows or max(1, BLOCK_BYTES // (8 * max(1, width)))
-    return max(1, -(-rows // block_rows))
+# rows below which a block isn't cut further for the sake of more tasks
+LEAST_ROWS = 128
+
+
+def block_count(rows: int, width: int, block_rows: int | None = None,
+                most_rows: int | None = None) -> int:
+    """Blocks to cut the rows into: bounded in bytes, and enough to give every core a pair of them.
+
+    ``block_rows`` fixes the rows of a block, ``most_rows`` bounds them besides the bytes.
+    """
+    if block_rows:
+        return max(1, -(-rows // block_rows))
+    bound = max(1, BLOCK_BYTES // (8 * max(1, width)))
+    bound = min(bound, most_rows or bound)
+    cores = SparkSession.active().sparkContext.defaultParallelism
+    spread = min(math.ceil(math.sqrt(2 * cores)), rows // LEAST_ROWS)
+    return max(1, -(-rows // bound), spread)
 
 
 def _block(blocks: int) -> Column:

@@ -138,9 +138,11 @@ def pearson(n="n", sx="sx", sy="sy", sxx="sxx", syy="syy", sxy="sxy") -> Column:
     return F.when(varies, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
 
 
-def euclidean(width_scale: Column | None = None) -> Column:
-    """Distance from unshifted sums, over the rows where both columns are present."""
-    d2 = F.greatest(F.col("sxx") + F.col("syy") - 2 * F.col("sxy"), F.lit(0.0))
+def euclidean(apart: Column, width_scale: Column | None = None) -> Column:
+    """Distance over the rows where both columns are present, from sums of centred columns whose
+    centres are ``apart``."""
+    d2 = F.greatest(F.col("sxx") + F.col("syy") - 2 * F.col("sxy")
+                    + 2 * apart * (F.col("sx") - F.col("sy")) + F.col("n") * apart * apart, F.lit(0.0))
     return F.sqrt(d2 if width_scale is None else d2 * width_scale)
 
 

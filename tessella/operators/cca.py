@@ -42,14 +42,15 @@ def _row_pairs(x: DataFrame, y: DataFrame, permutations: int,
     draw = random.Random(seed)
     steps = []
     for k in range(1, permutations + 1):
-        a = draw.randrange(1, n) if n > 1 else 1
-        while math.gcd(a, n) != 1:
-            a = draw.randrange(1, n)
-        steps.append((k, a, draw.randrange(n)))
+        a, b = 1, 0
+        while n > 1 and (math.gcd(a, n) != 1 or (a, b) == (1, 0)):  # never the rows as they are
+            a, b = draw.randrange(1, n), draw.randrange(n)
+        steps.append((k, a, b))
     maps = F.array(*[F.struct(F.lit(k).alias("perm"), F.lit(a).cast("long").alias("a"),
                               F.lit(b).cast("long").alias("b")) for k, a, b in steps])
     xs = placed.select("_r", *[col(c) for c in x.columns if c != "_id"], F.explode(maps).alias("m"))
-    xs = xs.select("m.perm", ((F.col("_r") * F.col("m.a") + F.col("m.b")) % n).alias("_r"),
+    xs = xs.select("m.perm", ((F.col("_r").cast("decimal(19,0)") * F.col("m.a") + F.col("m.b")) % n)
+                   .cast("long").alias("_r"),
                    *[col(c) for c in x.columns if c != "_id"])
     ys = placed.select("_r", *[col(c) for c in y.columns if c != "_id"])
     return xs.join(ys, "_r").drop("_r"), placed
@@ -99,19 +100,24 @@ def _correlation(u, v, k, xx, yy) -> float:
     return float(u @ k @ v / spread) if spread else 0.0
 
 
+def _complete(name: str) -> Column:
+    missing = F.raise_error(F.lit("integrate_cca needs complete cells")).cast("double")
+    return F.coalesce(double(name), missing)
+
+
 def integrate_cca(x: DataFrame, y: DataFrame, permutations: int = 35, iterations: int = 5,
                   seed: int = 1) -> DataFrame:
     """``penalty, correlation, mean_permuted, p_value, z`` for each penalty.
 
-    Rows are the shared observations, matched by id; cells have to be complete. Columns are
+    Rows are the shared observations, matched by id; a missing cell is an error. Columns are
     standardised. Features in rows: transpose first.
     """
     x_cols = [f"x:{c}" for c in value_columns(x)]
     y_cols = [f"y:{c}" for c in value_columns(y)]
     a = x.select(col(id_of(x)).cast("string").alias("_id"),
-                 *[double(c).alias(f"x:{c}") for c in value_columns(x)]).dropna()
+                 *[_complete(c).alias(f"x:{c}") for c in value_columns(x)])
     b = y.select(col(id_of(y)).cast("string").alias("_id"),
-                 *[double(c).alias(f"y:{c}") for c in value_columns(y)]).dropna()
+                 *[_complete(c).alias(f"y:{c}") for c in value_columns(y)])
     p, q = len(x_cols), len(y_cols)
     paired, plain = _row_pairs(a, b, permutations, seed)
     cross = cross_sums(paired, x_cols, y_cols, keys=["perm"], means_from=plain)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tessella.errors import EmptyResultError
 from tessella.frame import col, double, id_of, numeric_columns, value_columns
-from tessella.functions.aggregates import SIMPLE, Aggregate
+from tessella.functions.aggregates import SIMPLE, Aggregate, aggregate_by
 from tessella.functions.quantiles import quantiles
 
 OPS: dict[str, Callable[[object, object], object]] = {
@@ -74,16 +74,25 @@ def prefix_columns(df: DataFrame, stem: str, id_col: str | None = None) -> DataF
     return df.withColumnsRenamed({c: f"{stem}_{c}" for c in value_columns(df, id_col)})
 
 
-def column_statistics(df: DataFrame, func: str | Aggregate,
-                      id_col: str | None = None) -> dict[str, float | None]:
-    """One statistic per value column: one pass, one row to the driver."""
+def column_statistics(df: DataFrame, func: str | Aggregate, id_col: str | None = None,
+                      prob: float | None = None) -> dict[str, float | None]:
+    """One statistic per value column: one row to the driver.
+
+    ``func`` is any aggregate name or expression; ``quantile`` needs ``prob``.
+    """
     cols = value_columns(df, id_col)
     if callable(func):
         row = df.agg(*[func(double(c)).alias(c) for c in cols]).first()
+    elif func == "quantile" and prob is None:
+        raise ValueError("quantile needs prob")
     elif func in ("median", "quantile"):
-        return column_quantile(df, 0.5, id_col)
-    else:
+        return column_quantile(df, 0.5 if func == "median" else prob, id_col)
+    elif func in SIMPLE:
         row = df.agg(*[SIMPLE[func](double(c)).alias(c) for c in cols]).first()
+    else:  # by name or expression, with all rows as one group
+        one = df.select(F.lit(0).alias("_all"), *[double(c).alias(c) for c in cols])
+        row = aggregate_by(one, ["_all"], cols, func).select(*[col(c) for c in cols]).first()
+        row = row or [None] * len(cols)
     return {c: row[i] for i, c in enumerate(cols)}
 
 
@@ -116,12 +125,12 @@ def _passing(stats: dict[str, float | None], op, value: float | None,
 
 def filter_cols_by_func(df: DataFrame, func: str | Aggregate, op: str = "gt",
                         value: float | None = None, quantile: float | None = None,
-                        id_col: str | None = None) -> DataFrame:
+                        id_col: str | None = None, prob: float | None = None) -> DataFrame:
     """Keep columns whose statistic passes the cutoff (a value, or a quantile of the statistics)."""
     if (value is None) == (quantile is None):
         raise ValueError("give either value or quantile")
     id_col = id_of(df, id_col)
-    kept = _passing(column_statistics(df, func, id_col), compare(op), value, quantile)
+    kept = _passing(column_statistics(df, func, id_col, prob), compare(op), value, quantile)
     if not kept:
         raise EmptyResultError("No columns remaining after filter_cols_by_func")
     return _keep(df, id_col, kept)

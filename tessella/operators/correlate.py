@@ -17,11 +17,15 @@ from tessella.errors import EmptyResultError
 from tessella.frame import cells, col, double, id_of, join_by_id, value_columns
 from tessella.functions.blocks import (block_count, pair_blocks, pair_own_blocks, prepared,
                                        vectors)
-from tessella.functions.gram import (cross_sums, euclidean, matrix_of, named, pearson)
+from tessella.functions.gram import (column_means, cross_sums, euclidean, matrix_of, named, pearson)
 from tessella.functions.quantiles import average_ranks
 
-# a pair of blocks works on a handful of tables of this many rows and columns, 32 MB each
+# a pair of blocks works on a handful of tables of this many rows and columns, 32 MB each; rows so
+# wide that they are larger than such a table make smaller blocks
 BLOCK_ROWS = 2048
+# squared distance, as a share of the squared lengths, below which it is taken from differences,
+# and the cells of one such step
+NEAR, DIFFERENCE_CELLS = 1e-3, 2**20
 PAIR_SCHEMA = "x_id string, y_id string, r double, n long"
 
 
@@ -132,8 +136,10 @@ def column_distances(df: DataFrame, id_col: str | None = None) -> DataFrame:
     """
     cols = value_columns(df, id_col)
     rows = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    sums = cross_sums(df, cols, shift=False).where("i < j")
-    out = sums.select("i", "j", euclidean(F.try_divide(rows, F.col("n"))).alias("distance"),
+    # sums of centred columns don't cancel; the means come back as a difference per pair
+    sums = cross_sums(df, cols).where("i < j").withColumn("_m", column_means(df, cols))
+    apart = F.col("_m")[F.col("i")] - F.col("_m")[F.col("j")]
+    out = sums.select("i", "j", euclidean(apart, F.try_divide(rows, F.col("n"))).alias("distance"),
                       F.col("n").cast("long").alias("n"))
     return named(out, cols, cols).select("x_id", "y_id", "distance", "n")
 
@@ -196,7 +202,7 @@ def _cells_table(left, right, keep, **values) -> pa.Table:
 
 def _own_pairs(df, id_col, cell_values, schema, block_rows, diagonal) -> DataFrame:
     rows, n = prepared(vectors(df, id_col))
-    blocks = block_count(n, len(value_columns(df, id_col)), block_rows or BLOCK_ROWS)
+    blocks = block_count(n, len(value_columns(df, id_col)), block_rows, BLOCK_ROWS)
     before = np.less_equal if diagonal else np.less
 
     def meet(left, right, same):
@@ -228,9 +234,18 @@ def row_correlations(df: DataFrame, method: str = "pearson", id_col: str | None
 def block_euclidean(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distances over the present cells, scaled up to all columns, and the number of cells."""
     mx, my = (~np.isnan(x)).astype(float), (~np.isnan(y)).astype(float)
-    x, y = np.nan_to_num(x), np.nan_to_num(y)
+    # distances don't change when both sides move, so large offsets of a column are taken off
+    origin = np.nan_to_num(x).sum(axis=0) / np.maximum(mx.sum(axis=0), 1)
+    x, y = np.nan_to_num(x - origin), np.nan_to_num(y - origin)
     n = mx @ my.T
-    d2 = np.maximum((x * x) @ my.T + mx @ (y * y).T - 2 * (x @ y.T), 0.0)
+    whole = (x * x) @ my.T + mx @ (y * y).T
+    d2 = np.maximum(whole - 2 * (x @ y.T), 0.0)
+    # rows that lie close for their length lose digits in the product: take their differences
+    near = np.argwhere((d2 < NEAR * whole) & (n > 0))
+    step = max(1, DIFFERENCE_CELLS // max(1, x.shape[1]))
+    for start in range(0, len(near), step):
+        i, j = near[start:start + step].T
+        d2[i, j] = ((x[i] - y[j]) ** 2 * mx[i] * my[j]).sum(axis=1)
     with np.errstate(divide="ignore", invalid="ignore"):
         return np.where(n > 0, np.sqrt(d2 * (x.shape[1] / n)), np.nan), n
 
@@ -261,7 +276,7 @@ def integrate_cross_cor(x: DataFrame, y: DataFrame, axis: int = 0, method: str =
         shared = sorted(set(x_cols) & set(y_cols))
         _report_shared(len(shared), max(len(x_cols), len(y_cols)))
         (left, n_left), (right, n_right) = (prepared(vectors(m, None, shared)) for m in (x, y))
-        sizes = [block_count(n, len(shared), block_rows or BLOCK_ROWS) for n in (n_left, n_right)]
+        sizes = [block_count(n, len(shared), block_rows, BLOCK_ROWS) for n in (n_left, n_right)]
 
         def meet(a, b):
             r, n = block_correlation(matrix_of(a["vec"]), matrix_of(b["vec"]), method)
@@ -325,7 +340,7 @@ def has_negative_median(df: DataFrame, id_col: str | None = None,
     """
     rows, n = prepared(vectors(df, id_col))
     blocks = block_count(n, len(value_columns(df, id_col)),
-                         block_rows or BLOCK_ROWS)
+                         block_rows, BLOCK_ROWS)
 
     def meet(left, right, same):
         r, _ = block_pearson(matrix_of(left["vec"]), matrix_of(right["vec"]))
@@ -396,7 +411,7 @@ def correlated_rows(df: DataFrame, cutoff: float = 0.9, method: str = "pearson",
     large group of copies costs no more than other rows.
     """
     rows, n = prepared(vectors(df, id_col))
-    blocks = block_count(n, len(value_columns(df, id_col)), block_rows or BLOCK_ROWS)
+    blocks = block_count(n, len(value_columns(df, id_col)), block_rows, BLOCK_ROWS)
     weighted = rows.join(mean_absolute_correlations(rows, blocks, method), "id")
 
     def meet(left, right, same):

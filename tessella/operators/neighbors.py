@@ -29,10 +29,12 @@ def _euclidean(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def _cosine(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """One minus the cosine over the cells both rows have; 1 where either has no length there."""
+    mx, my = (~np.isnan(x)).astype(float), (~np.isnan(y)).astype(float)
+    x, y = np.nan_to_num(x), np.nan_to_num(y)
+    lengths = np.sqrt((x * x) @ my.T) * np.sqrt(mx @ (y * y).T)
     with np.errstate(divide="ignore", invalid="ignore"):
-        a = x / np.linalg.norm(x, axis=1, keepdims=True)
-        b = y / np.linalg.norm(y, axis=1, keepdims=True)
-    return 1.0 - a @ b.T
+        return np.where(lengths > 0, 1.0 - (x @ y.T) / lengths, 1.0)
 
 
 def _gower(spans: np.ndarray) -> Distance:
@@ -136,28 +138,28 @@ def impute_knn(df: DataFrame, k: int = 5, metric: str = "euclidean", agg: str =
         F.coalesce(double(c), F.col("_found")[c], F.col("_means")[i]).alias(c) for i, c in enumerate(cols)])
 
 
-def default_neighbors(rows: int) -> int:
-    """A tenth of the rows, at least 5 and at most 500 or all others."""
+def layout_neighbors(rows: int) -> int:
+    """The number that layouts take: a tenth of the rows, at least 5, at most 500 or all others."""
     return min(500, min(rows - 1, max(5, round(rows / 10))))
 
 
-def knn_graph(df: DataFrame, k: int | None = None, metric: str | None = None,
-              reduce_dims: bool = True, id_col: str | None = None,
-              block_rows: int | None = None) -> DataFrame:
-    """``id, neighbor, rank, distance``: the exact nearest neighbours of every row.
+def layout_metric(df: DataFrame, id_col: str | None = None) -> str:
+    """The metric that layouts take: cosine when a median row correlation is negative."""
+    return "cosine" if has_negative_median(df, id_of(df, id_col)) else "euclidean"
 
-    By default k follows ``default_neighbors``, more than 100 rows are first brought to at most 50
-    principal components, and the metric is cosine when a median row correlation is negative.
+
+def knn_graph(df: DataFrame, k: int, metric: str = "euclidean", num_dims: int | None = None,
+              id_col: str | None = None, block_rows: int | None = None) -> DataFrame:
+    """``id, neighbor, rank, distance``: the exact k nearest neighbours of every row.
+
+    With ``num_dims`` the neighbours are those among that many principal components. Distances use
+    the cells both rows have; under ``cosine`` a row without length is at distance 1 from all.
     """
     id_col = id_of(df, id_col)
+    if num_dims is not None:
+        df = project_pca(df, num_dims=num_dims, id_col=id_col)
     rows, n = prepared(vectors(df, id_col))
-    k = k or default_neighbors(n)
-    if metric is None:
-        metric = "cosine" if has_negative_median(df, id_col) else "euclidean"
     width = len(value_columns(df, id_col))
-    if reduce_dims and n > 100 and width > 50:
-        rows, _ = prepared(vectors(project_pca(df, num_dims=50, id_col=id_col), id_col))
-        width = 50
     distance = {"cosine": _cosine, "euclidean": _euclidean}[metric]
     blocks = block_count(n, width, block_rows)
 

@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessella.frame import ensure_not_empty
+from tessella.frame import col, ensure_not_empty
 from tessella.operators import (aggregate, cca, cluster, columns, correlate, neighbors, profile,
                                 project, rows, shape, transforms)
 from tessella.runtime import cut_lineage
@@ -43,6 +43,30 @@ def _cross_cor(df: DataFrame, dataset: DataFrame, axis: int = 0, transpose: bool
     return correlate.cross_cor_wide(correlate.integrate_cross_cor(df, other, axis, method), axis)
 
 
+def _by_annotation(filter_rows: Operator) -> Operator:
+    """A filter by gene biotypes: the annotation table comes with the step."""
+    def run(df: DataFrame, annotation: DataFrame, gene_biotypes: list, key: str | None = None,
+            column: str = "biotype") -> DataFrame:
+        return filter_rows(df, annotation, key or annotation.columns[0], column, gene_biotypes)
+    return run
+
+
+def _combined(semi: bool) -> Operator:
+    """Rows that pass all (or any) of several row filters, each applied to the same input.
+
+    ``filters`` is a list of ``{name: parameters}``; rows are told apart by their unique ids.
+    """
+    def run(df: DataFrame, filters: list[dict]) -> DataFrame:
+        key, kept = df.columns[0], None
+        for action in filters:
+            name, params = _parse(action)
+            passed = OPERATORS[name](df, **params).select(col(key).alias("_id")).distinct()
+            kept = passed if kept is None else (
+                kept.union(passed).distinct() if semi else kept.intersect(passed))
+        return df if kept is None else df.join(kept, col(key).eqNullSafe(F.col("_id")), "left_semi")
+    return run
+
+
 OPERATORS: dict[str, Operator] = {
     **{f.__name__: f for f in (
         columns.filter_cols_name_in, columns.filter_cols_name_not_in,
@@ -67,6 +91,14 @@ OPERATORS: dict[str, Operator] = {
     "map_gene_ids": _map_ids,
     "integrate_cross_cor": _cross_cor,
     "aggregate": lambda df, funcs: aggregate.aggregate_rows_many(df, funcs),
+    "filter_rows_by_group_func": rows.filter_rows_by_group_func,
+    "filter_rows_gene_biotype_in": _by_annotation(rows.filter_rows_annotation_in),
+    "filter_rows_gene_biotype_not_in": _by_annotation(rows.filter_rows_annotation_not_in),
+    "filter_and": _combined(semi=False),
+    "filter_or": _combined(semi=True),
+    "complete_cases": rows.complete_cases,
+    "knn_graph": neighbors.knn_graph,
+    "integrate_cca": lambda df, dataset, **options: cca.integrate_cca(df, dataset, **options),
 }
 
 # parameter names of a spec that differ from the argument names (fixed values)

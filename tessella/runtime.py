@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for cut lineage, as the session names it.
 
-    A temporary folder is made only in local mode; a cluster has to name a shared one.
+    Where the session names none it is a folder below its warehouse, on the same file system.
     """
     context = spark.sparkContext
     current = context._jsc.sc().getCheckpointDir()
@@ -18,9 +16,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current.get()
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="tessella-checkpoint-")
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     context.setCheckpointDir(folder)
     return folder
 

@@ -114,8 +114,9 @@ def load_feather(spark: SparkSession, path: str, index_col: int | str = 0,
     files = folder.load(path).select("path", "content")
     if schema is None:
         from pyspark.sql.pandas.types import from_arrow_schema
-        first = files.orderBy("path").limit(1).first()
-        schema = from_arrow_schema(next(_arrow_tables(bytes(first["content"]))).schema)
+        first = files.agg(F.min("path")).first()[0]  # paths only; then one file is read
+        content = spark.read.format("binaryFile").load(first).select("content").first()[0]
+        schema = from_arrow_schema(next(_arrow_tables(bytes(content))).schema)
     names = (schema if isinstance(schema, T.StructType)
              else T.StructType.fromDDL(schema)).fieldNames()
 
@@ -178,32 +179,37 @@ def load_mapping(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
 
 # text that starts as a plain number (fixed value)
 NUMERIC_TEXT = r"^[0-9]+\.?[0-9]*"
-MAX_LEVELS = 25
 
 
-def load_metadata(df: DataFrame, id_col: str | None = None) -> DataFrame:
+def load_metadata(df: DataFrame, id_col: str | None = None, max_levels: int = 25) -> DataFrame:
     """Type a metadata table: one job looks at every column.
 
-    Columns with a single level go. Up to 25 levels that repeat make a category (text); text that
+    Columns with a single level go. Up to ``max_levels`` levels that repeat make a category (text); text that
     is all numbers becomes double; text that differs in every row is an id and goes; other text
     stays. A missing cell is a level of its own.
     """
     key = id_col or df.columns[0]
     cols = [c for c in df.columns if c != key]
+    if not cols:
+        return df.select(col(key))
     text = {c: col(c).cast("string") for c in cols}
-    row = df.agg(F.count(F.lit(1)).alias("rows"), *[
-        F.struct((F.count_distinct(text[c]) + F.max(text[c].isNull().cast("int"))).alias("levels"),
-                 F.bool_and(F.coalesce(text[c].rlike(NUMERIC_TEXT), F.lit(False))).alias("numeric"))
-        .alias(f"s{i}") for i, c in enumerate(cols)]).first()
+    # levels are counted per column and value first, so that no row is expanded more than once
+    counts = (df.select(*[text[c].alias(c) for c in cols])
+              .unpivot([], [col(c) for c in cols], "_column", "_value")
+              .groupBy("_column", "_value").agg(F.count(F.lit(1)).alias("_rows")))
+    found = {r["_column"]: r for r in counts.groupBy("_column").agg(
+        F.count(F.lit(1)).alias("levels"), F.sum("_rows").alias("rows"),
+        F.bool_and(F.coalesce(F.col("_value").rlike(NUMERIC_TEXT), F.lit(False))).alias("numeric")).collect()}
     out = [col(key)]
-    for i, c in enumerate(cols):
-        levels, numeric = row[f"s{i}"]["levels"] or 0, row[f"s{i}"]["numeric"]
+    for c in cols:
+        levels, rows, numeric = ((found[c][n] for n in ("levels", "rows", "numeric")) if c in found
+                                 else (0, 0, False))
         if levels <= 1:
             continue
-        if levels < row["rows"] and levels <= MAX_LEVELS:
+        if levels < rows and levels <= max_levels:
             out.append(text[c].alias(c))
         elif numeric:
             out.append(text[c].try_cast("double").alias(c))
-        elif levels < row["rows"]:
+        elif levels < rows:
             out.append(text[c].alias(c))
     return df.select(*out)

@@ -316,12 +316,39 @@ def test_negative_median_correlation(spark, n):
 
 
 def test_knn_graph_settings(spark):
-    assert [neighbors.default_neighbors(n) for n in (3, 40, 200, 20_000)] == [2, 5, 20, 500]
+    assert [neighbors.layout_neighbors(n) for n in (3, 40, 200, 20_000)] == [2, 5, 20, 500]
     df, _ = matrix(spark, np.random.default_rng(0).normal(size=(20, 5)))
-    got = neighbors.knn_graph(df).toPandas()
+    got = neighbors.knn_graph(df, 5, neighbors.layout_metric(df)).toPandas()
     assert got.groupby("id").size().eq(5).all()
 
 
+@pytest.mark.parametrize("offset", [1e6, 1e8])
+def test_distances_do_not_cancel(spark, offset):
+    x = np.random.default_rng(1).normal(size=(40, 6)) + offset * np.arange(6)
+    x[1] = x[0] + 1e-3  # close for its length
+    df, frame = matrix(spark, x)
+    x = frame.to_numpy()
+    want = np.linalg.norm(x[:, None] - x[None], axis=2)
+    for row in correlate.row_distances(df, block_rows=16).collect():
+        i, j = int(row["x_id"][1:]), int(row["y_id"][1:])
+        assert row["distance"] == pytest.approx(want[i, j], rel=1e-9)
+    for row in correlate.column_distances(df).collect():
+        i, j = int(row["x_id"][1:]), int(row["y_id"][1:])
+        assert row["distance"] == pytest.approx(np.linalg.norm(x[:, i] - x[:, j]), rel=1e-9)
+    got = neighbors.knn_graph(df, 3, block_rows=16).toPandas()
+    np.fill_diagonal(want, np.inf)
+    near = np.argsort(want, axis=1)
+    assert all(r["neighbor"] == f"r{near[int(r['id'][1:]), r['rank'] - 1]:04d}" for _, r in got.iterrows())
+
+
+def test_cosine_keeps_rows_with_gaps_and_without_length(spark):
+    df = spark.createDataFrame([("a", 1.0, None), ("b", 2.0, 1.0), ("c", 0.0, 0.0), ("d", 1.0, 3.0)],
+                               "id string, x double, y double")
+    got = neighbors.knn_graph(df, 3, "cosine").toPandas()
+    assert got.groupby("id").size().to_dict() == {"a": 3, "b": 3, "c": 3, "d": 3}
+    assert (got[got["id"] == "c"]["distance"] == 1.0).all()
+
+
 # --- clustering ---
 
 def sequential_average_linkage(x, k):
