@@ -1,0 +1,228 @@
+"""Operators on several rows, against brute force."""
+
+import collections
+import hashlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tessella.llm import ngramjoin, topk, urlfilter, warc
+from tessella.llm.graph import components
+
+
+def roots(nodes, edges):
+    root = {n: n for n in nodes}
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        a, b = top(a), top(b)
+        root[max(a, b)] = min(a, b)
+    return {n: top(n) for n in nodes}
+
+
+@pytest.mark.parametrize("edges", [
+    [], [(1, 1)], [(i, i + 1) for i in range(30)], [(i + 1, i) for i in range(0, 40, 2)] + [(5, 9), (9, 30)],
+    [(0, i) for i in range(1, 50)] + [(7, -3)]])
+def test_components(spark, edges):
+    got = {r["id"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    real = [e for e in edges if e[0] != e[1]]
+    assert got == roots({n for e in real for n in e}, real)
+
+
+def plain_components(rows, words, percent):
+    sets = {}
+    for i, text in rows:
+        found = (text or "").encode().lower().split()
+        width = min(words, len(found))
+        sets[i] = {tuple(found[j:j + width]) for j in range(len(found) - width + 1)} if found else set()
+    ids = sorted(sets)
+    edges = []
+    for k, a in enumerate(ids):
+        for b in ids[k + 1:]:
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= percent * len(sets[a] | sets[b]):
+                edges.append((a, b))
+    top = roots(ids, edges)
+    return {i: (len(sets[i]), top[i]) for i in ids}
+
+
+def near_copies(seed, families=12, size=9):
+    """Texts of many lengths with copies that differ by a few words, and one passage in most."""
+    rng = np.random.default_rng(seed)
+    vocabulary = [f"w{i}" for i in range(60)]
+    passage = " ".join(rng.choice(vocabulary, 25))
+    rows = []
+    for _ in range(families):
+        base = list(rng.choice(vocabulary, int(rng.integers(1, 140))))
+        for _ in range(size):
+            text = list(base)
+            for _ in range(int(rng.integers(0, 5))):
+                text[int(rng.integers(len(text)))] = str(rng.choice(vocabulary))
+            rows.append(" ".join(text) + (" " + passage if rng.random() < 0.5 else ""))
+    rows += ["", None, " \n ", "One", "one", "one two", "ONE\ttwo", "a b c", "a b c a b c"]
+    return [(int(i), t) for i, t in zip(rng.permutation(len(rows)), rows)]
+
+
+@pytest.mark.parametrize("seed,words,percent", [(0, 3, 90), (1, 5, 80), (2, 1, 60), (3, 2, 100)])
+def test_jaccard_components(spark, seed, words, percent):
+    rows = near_copies(seed)
+    docs = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, n string, component int")
+    got = ngramjoin.jaccard_components(docs.union(docs.limit(5)), words, percent).collect()
+    assert len(got) == len(rows) + 5
+    assert {r["id"]: (r["n_shingles"], r["component"]) for r in got} == plain_components(rows, words, percent)
+
+
+def test_jaccard_blocks_of_one_family(spark, monkeypatch):
+    monkeypatch.setattr(ngramjoin, "BLOCK_GRAMS", 400)
+    rng = np.random.default_rng(5)
+    base = [f"w{i}" for i in range(80)]
+    rows = []
+    for i in range(60):
+        text = list(base)
+        for _ in range(int(rng.integers(0, 7))):
+            text[int(rng.integers(80))] = f"x{rng.integers(1000)}"
+        rows.append((i, " ".join(text)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = ngramjoin.jaccard_components(docs, 3, 90).collect()
+    assert {r["id"]: (r["n_shingles"], r["component"]) for r in got} == plain_components(rows, 3, 90)
+
+
+def test_jaccard_odd_ids_and_no_rows(spark):
+    docs = spark.createDataFrame([(None, "a b c d"), (1, "a b c d"), (None, None), (2, "A B C D"), (3, "p q r"),
+                                  (3, "a b c d"), (3, "p q r")], "doc_id long, text string")
+    got = ngramjoin.jaccard_components(docs, 3, 90).collect()
+    assert len(got) == 7
+    assert {r["component"] for r in got if r["id"] is None} == {None}
+    assert {r["component"] for r in got if r["id"] in (1, 2)} == {1}
+    assert len({r["component"] for r in got if r["id"] == 3}) == 1
+    assert ngramjoin.jaccard_components(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("percent", [60, 80, 90])
+def test_linked_sets_share_a_signature(percent):
+    rng = np.random.default_rng(percent)
+    for _ in range(300):
+        n = int(rng.integers(1, 200))
+        a = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        drop = int(rng.integers(0, n // 5 + 2))
+        b = np.concatenate([a[drop:], rng.integers(0, 1 << 63, int(rng.integers(0, n // 5 + 2)), dtype=np.uint64)])
+        a, b = np.unique(a), np.unique(b)
+        both = len(np.intersect1d(a, b))
+        if len(b) and len(a) and 100 * both >= percent * (len(a) + len(b) - both) and not np.array_equal(a, b):
+            assert np.intersect1d(ngramjoin.signatures(a, percent), ngramjoin.signatures(b, percent)).size
+
+
+def plain_top(vectors, k, every):
+    out = {}
+    for q, x in vectors.items():
+        if q % every == 0:
+            scores = sorted((-sum(a * b for a, b in zip(x, y)), i) for i, y in vectors.items() if i != q)[:k]
+            out[q] = [(rank, i, -s) for rank, (s, i) in enumerate(scores, 1)]
+    return out
+
+
+@pytest.mark.parametrize("scale,block_rows", [(1.0, None), (1.0, 40), (1e3, 64), (3e6, 100)])
+def test_top_k(spark, scale, block_rows):
+    rng = np.random.default_rng(0)
+    x = np.round(rng.normal(size=(300, 40)) * 20) / 256 * scale
+    x[50:80] = x[50]  # ties
+    rows = [(i, [float(v) for v in r], 1) for i, r in enumerate(x)]
+    want = plain_top({i: [int(np.floor(256 * v)) for v in r] for i, r, _ in rows}, 5, 10)
+    bad = [(1000, None, 0), (1010, [1.0, None], 0), (1020, [float("nan")] * 40, 0), (None, [1.0] * 40, 0),
+           (1030, [float("inf")], 0)]
+    df = spark.createDataFrame(rows + bad + rows[:20], "vec_id long, embedding array<double>, score int")
+    got = topk.top_k(topk.whole_vectors(df, "vec_id", "embedding", 256.0), F.col("id") % 10 == 0, 5, block_rows)
+    found = collections.defaultdict(list)
+    for r in sorted(got.collect()):
+        found[r["query_id"]].append((r["rank"], r["id"], r["score"]))
+    assert found == want
+
+
+def test_top_k_of_few_rows(spark):
+    df = spark.createDataFrame([(0, [1.0]), (7, [0.5, 2.0]), (10, [])], "id long, v array<double>")
+    got = topk.top_k(topk.whole_vectors(df, "id", "v", 256.0), F.col("id") % 10 == 0, 5).collect()
+    assert sorted(map(tuple, got)) == [(0, 1, 7, 128 * 256), (0, 2, 10, 0), (10, 1, 0, 0), (10, 2, 7, 0)]
+    assert topk.top_k(topk.whole_vectors(df.limit(0), "id", "v", 256.0), F.col("id") % 10 == 0, 5).count() == 0
+
+
+def test_hosts(spark):
+    urls = {"http://A.example.com/x": "a.example.com", "https://u:p@b.org:81/": "b.org", "ftp://c.net.?q": "c.net",
+            "no url": None, "": None, None: None, "http:///x": None, "http://d.com#top": "d.com"}
+    df = spark.createDataFrame([(u,) for u in urls], "url string")
+    assert {r["url"]: r["h"] for r in df.select("url", urlfilter.host_of(F.col("url")).alias("h")).collect()} == urls
+    got = df.sparkSession.createDataFrame([("a.b.c.org",), ("org",)], "h string").select(
+        urlfilter.domains_of(F.col("h"))).collect()
+    assert [r[0] for r in got] == [["a.b.c.org", "b.c.org", "c.org"], ["org"]]
+
+
+def test_url_filters_at_fetch_time(spark, monkeypatch):
+    monkeypatch.setattr(urlfilter, "PERIOD", 50)
+    rng = np.random.default_rng(3)
+    hosts = ["a.com", "x.a.com", "y.x.a.com", "b.org", "c.b.org"]
+    captures = [(i, f"http://{hosts[int(rng.integers(5)) if i % 3 else 0]}/p", int(rng.integers(0, 300))) for i in range(120)]
+    captures += [(200, None, 5), (201, "http://a.com/", None), (202, "bad", 7), (0, captures[0][1], captures[0][2])]
+    entries = [("l" + str(rng.integers(2)), str(rng.choice(["host", "domain"])), str(rng.choice(hosts)).upper(),
+                str(rng.choice(["add", "remove"])), int(rng.integers(0, 300))) for _ in range(40)]
+    odd = [("l0", "host", None, "add", 1), ("l0", "host", "a.com", "add", None), ("l0", "what", "a.com", "add", 1),
+           ("l0", "host", "a.com", "oops", 1)]
+
+    def active(host, at):
+        state = {}
+        for name, kind, pattern, action, t in sorted(entries, key=lambda e: (e[4], e[3] == "remove")):
+            if t <= at:
+                state[name, kind, pattern.lower()] = action == "add"
+        return sorted(k for k, on in state.items() if on and (host == k[2] or k[1] == "domain" and host.endswith("." + k[2])))
+
+    seen = spark.createDataFrame(captures, "page_id long, url string, fetched_at long").withColumn("list", F.lit(1))
+    listed = spark.createDataFrame(entries + odd, "list string, kind string, pattern string, action string, at long")
+    got = urlfilter.filter_urls(seen, listed).collect()
+    assert len(got) == len(captures)
+    for r in got:
+        host = r["url"][7:-2] if r["page_id"] < 200 else None
+        want = active(host, r["fetched_at"]) if host else []
+        assert [(m["list"], m["kind"], m["pattern"]) for m in r["matches"]] == want
+    assert all(r["matches"] == [] for r in urlfilter.filter_urls(seen, listed.limit(0)).collect())
+    assert urlfilter.filter_urls(seen.limit(0), listed).count() == 0
+
+
+def test_merkle_audit(spark):
+    rows = [(a, s, bytes(f"record {a} {s} ", "ascii") * (s % 5 + 1)) for a in ("x", "y", "z") for s in range(300)]
+    other = [r for r in rows if r[:2] not in (("x", 17), ("z", 299))]
+    other = [(a, s, b[:-1] + b"!") if (a, s) == ("y", 100) else (a, s, b[:3]) if (a, s) == ("y", 255) else (a, s, b)
+             for a, s, b in other] + [("y", 300, b"more"), ("w", 0, b"new")]
+    schema = "archive string, seq long, record binary"
+    ours, theirs = spark.createDataFrame(rows, schema), spark.createDataFrame(other, schema)
+    got = {(r["archive"], r["seq"]): r for r in warc.audit(ours, theirs, fan=4).collect()}
+    assert {k: r["problem"] for k, r in got.items()} == {
+        ("x", 17): "missing", ("z", 299): "missing", ("y", 100): "changed", ("y", 255): "resized",
+        ("y", 300): "extra", ("w", 0): "extra"}
+    assert got["y", 100]["record_offset"] == sum(len(b) for a, s, b in rows if a == "y" and s < 100)
+    assert warc.audit(ours, ours.union(ours).withColumn("page_id", F.lit(1))).count() == 0
+    assert warc.audit(ours, theirs.limit(0)).count() == len(rows)
+    assert warc.audit(ours.limit(0), ours.limit(0)).count() == 0
+    odd = spark.createDataFrame([(None, 1, b"a"), ("x", None, b"a"), ("x", 1, None)], schema)
+    assert warc.audit(odd, ours.limit(0)).count() == 0
+
+
+def test_merkle_nodes_hash_their_children(spark):
+    rows = [("x", s, bytes([s])) for s in range(5)]
+    leaf = warc.leaves(spark.createDataFrame(rows, "archive string, seq long, record binary"))
+    levels = warc.merkle_levels(leaf, 2, fan=4)
+    digests = [hashlib.sha256(bytes([s])).hexdigest() for s in range(5)]
+    parts = [hashlib.sha256("|".join(f"{s}:{digests[s]}" for s in r).encode()).hexdigest() for r in (range(4), range(4, 5))]
+    assert [(r["node"], r["start"], r["stop"], r["digest"]) for r in levels[1].orderBy("node").collect()] == [
+        (0, 0, 4, parts[0]), (1, 4, 5, parts[1])]
+    root = hashlib.sha256(f"0:{parts[0]}|1:{parts[1]}".encode()).hexdigest()
+    assert [(r["start"], r["stop"], r["digest"]) for r in levels[2].collect()] == [(0, 5, root)]
+
+
+def test_warc_record(spark):
+    got = spark.createDataFrame([("http://a", "é"), (None, None)], "u string, h string").select(
+        warc.warc_record(F.col("u"), F.col("h")).alias("r")).collect()
+    assert bytes(got[0]["r"]).endswith("Content-Length: 2\r\n\r\né\r\n\r\n".encode())
+    assert b"Content-Length: 0\r\n" in bytes(got[1]["r"])
