@@ -35,7 +35,7 @@ def classified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def ruled(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rule and lie within the fertility bands of their language."""
     name = _unused(docs, "_verdict")
-    return fertility.judge(docs, PIECES, verdict=name).where(F.col(f"{name}.kept")).drop(name)
+    return fertility.judge(docs, PIECES, verdict=name, write=False).where(F.col(f"{name}.kept")).drop(name)
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

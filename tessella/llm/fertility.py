@@ -27,6 +27,8 @@ MEASURES = ("chars_per_token", "fallback_share", "entropy_share")
 #: bins per unit of each measure
 BINS = {"chars_per_token": 64, "fallback_share": 1024, "entropy_share": 1024}
 POOLED = "*"
+#: rows of bands up to which they are broadcast; more are joined
+SMALL_BANDS = 30_000
 
 _SYMBOL_BYTES = np.isin(np.arange(256), np.frombuffer(SYMBOLS.encode(), np.uint8))
 _SPACE_BYTES = np.isin(np.arange(256), np.frombuffer(WORD_SPACE.encode(), np.uint8))
@@ -183,30 +185,35 @@ def fertility_bands(rows: DataFrame, spread: float = 5.0) -> DataFrame:
 
 def judge(docs: DataFrame, model: str, text_col: str = "text", lang_col: str | None = "lang",
           carry: list[str] | None = None, verdict: str = "_verdict", spread: float = 5.0,
-          least_rows: int = 200) -> DataFrame:
+          least_rows: int = 200, write: bool = True) -> DataFrame:
     """The carried columns of every row (all by default) and a struct column with its verdict.
 
     The struct has the base counts, the three measures, ``base_failed`` and ``kept``: whether the
     base rule holds and every measure lies in the band of the row's language, or of its script where
     the language is null. Groups of fewer than ``least_rows`` documents that pass the base rule use
     the pooled band. A null text has no words and fails; without any passing document nothing is
-    kept. Repeated rows are judged alike, one by one. Rows are written once to the shared folder.
+    kept. Repeated rows are judged alike, one by one. With ``write`` the carried columns and measures are
+    written once to the shared folder; without, texts are measured a second time instead.
     """
     carry = docs.columns if carry is None else carry
     script = F.concat(F.lit("script "), F.col("_m.script"))
     group = (F.coalesce(F.concat(F.lit("lang "), F.col("_lang").cast("string")), script)
              if lang_col else script)
-    rows = materialize(docs.select(
+    rows = (docs.select(
         *[F.col(f"`{c}`") for c in carry], measured(F.col(f"`{text_col}`"), model).alias("_m"),
         (F.col(f"`{lang_col}`") if lang_col else F.lit(None)).alias("_lang"))
-        .withColumn("_group", group).drop("_lang"), "fertility")
+        .withColumn("_group", group).drop("_lang"))
+    if write:
+        rows = materialize(rows, "fertility")
     failed = ((F.col("_m.n_words") < LEAST_WORDS)
               | (100 * F.col("_m.n_repeat_words") > MOST_REPEATED * F.col("_m.n_words")))
-    bands = fertility_bands(rows.where(~failed).select(F.col("_group").alias("group"), *[
-        F.col(f"_m.{m}").alias(m) for m in MEASURES]), spread)
+    bands = materialize(fertility_bands(rows.where(~failed).select(F.col("_group").alias("group"), *[
+        F.col(f"_m.{m}").alias(m) for m in MEASURES]), spread), "bands")
     ends = F.map_from_entries(F.collect_list(F.struct("measure", F.struct("low", "high"))))
     by_group = (bands.where(F.col("rows") >= least_rows).where(F.col("group") != POOLED)
                 .groupBy(F.col("group").alias("_group")).agg(ends.alias("_own")))
+    if bands.count() <= SMALL_BANDS:  # else too many languages to send to every task
+        by_group = F.broadcast(by_group)
     pooled = bands.where(F.col("group") == POOLED).agg(ends.alias("e")).scalar()
     bands_of = F.coalesce(F.col("_own"), F.col("_pooled"))
 

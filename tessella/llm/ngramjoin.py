@@ -103,22 +103,40 @@ def fingerprint(hashes: np.ndarray) -> tuple[int | None, int | None]:
     return tuple(int(v) for v in both.view(np.int64))
 
 
-def _profile(text: Column, words: int, percent: int) -> Column:
-    @F.arrow_udf("struct<n long, fp1 long, fp2 long, sigs array<long>>")
+def _profile(text: Column, words: int) -> Column:
+    @F.arrow_udf("struct<n long, fp1 long, fp2 long>")
     def profile(texts: pa.Array) -> pa.Array:
-        n, fp1, fp2, sigs = [], [], [], []
-        for t in texts.to_pylist():
-            hashes = shingles(t, words)
-            a, b = fingerprint(hashes)
-            n.append(len(hashes))
-            fp1.append(a)
-            fp2.append(b)
-            sigs.append(signatures(hashes, percent))
-        return struct_array({"n": (n, pa.int64()), "fp1": (fp1, pa.int64()), "fp2": (fp2, pa.int64()),
-                             "sigs": (sigs, pa.list_(pa.int64()))})
+        sets = [shingles(t, words) for t in texts.to_pylist()]
+        fp1, fp2 = zip(*map(fingerprint, sets)) if sets else ((), ())
+        return struct_array({"n": (list(map(len, sets)), pa.int64()), "fp1": (fp1, pa.int64()),
+                             "fp2": (fp2, pa.int64())})
     return profile(text)
 
 
+def _signed(docs: DataFrame, words: int, percent: int, once: bool) -> DataFrame:
+    """``sig, id`` of the signatures of each text.
+
+    With ``once`` a set that a task meets again is left out: its ids hang together by their
+    fingerprint, so a large group of copies sends one row per signature and task.
+    """
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple] = set()
+        for batch in batches:
+            sigs, ids = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+            for i, text in zip(batch["id"].to_pylist(), batch["text"].to_pylist()):
+                hashes = shingles(text, words)
+                mark = fingerprint(hashes)
+                if once and mark in seen:
+                    continue
+                seen.add(mark)
+                sigs.append(signatures(hashes, percent))
+                ids.append(np.full(len(sigs[-1]), i))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(sigs)), pa.array(np.concatenate(ids))], ["sig", "id"])
+
+    return docs.mapInArrow(sign, "sig long, id long")
+
+
 def _segments(texts: DataFrame, words: int) -> DataFrame:
     """``hub, id, fragment, grams``: the segments of each document, sent to the hubs it is tested with.
 
@@ -275,18 +293,19 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, id_co
     the id; n_shingles is still each row's own. Other columns are not read.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    rows = materialize(docs.select("id", _profile(F.col("text"), words, percent).alias("p"))
+    rows = materialize(docs.select("id", _profile(F.col("text"), words).alias("p"))
                        .select("id", "p.*"), "profile")
     docs = docs.where("id is not null")
     known = rows.where("id is not null and n > 0")
     own = known.groupBy("id").agg(F.min(F.struct("fp1", "fp2", "n")).alias("s"),
                                   F.max(F.struct("fp1", "fp2", "n")).alias("t"))
-    if not own.where("s <> t").isEmpty():
-        known = known.join(own.select("id", "s.fp1", "s.fp2"), ["id", "fp1", "fp2"], "left_semi")
+    one_text_each = own.where("s <> t").isEmpty()
     own = own.select("id", "s.*")
     sets = materialize(own.join(own.groupBy("fp1", "fp2", "n").agg(F.min("id").alias("rep")),
                                 ["fp1", "fp2", "n"]).select("id", "n", "fp1", "rep"), "sets")
-    signed = known.select("id", F.explode("sigs").alias("sig"))
+    # shuffled once: counting and picking the signatures that meet use the same partitions
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    signed = _signed(docs, words, percent, one_text_each).repartition(parts, "sig")
     met = signed.groupBy("sig").agg(F.count("*").alias("c")).where("c > 1").select("sig")
     members = materialize(signed.join(met, "sig", "left_semi").join(sets.select("id", "rep"), "id")
                           .select("sig", "rep").distinct(), "members")
