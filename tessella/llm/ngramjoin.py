@@ -33,6 +33,8 @@ SLACK = 1
 FRAGMENTS = 8
 #: n-grams of a block, and of one fragment of the count between two blocks
 BLOCK_GRAMS, FRAGMENT_GRAMS = 1 << 18, 1 << 12
+#: members of a group up to which its open pairs are listed; larger groups meet in blocks
+SMALL_GROUP = 32
 
 
 def shingles(text: str | None, words: int) -> np.ndarray:
@@ -104,12 +106,13 @@ def fingerprint(hashes: np.ndarray) -> tuple[int | None, int | None]:
 
 
 def _profile(text: Column, words: int) -> Column:
-    @F.arrow_udf("struct<n long, fp1 long, fp2 long>")
+    @F.arrow_udf("struct<n long, fp1 long, fp2 long, bins array<int>>")
     def profile(texts: pa.Array) -> pa.Array:
         sets = [shingles(t, words) for t in texts.to_pylist()]
         fp1, fp2 = zip(*map(fingerprint, sets)) if sets else ((), ())
+        bins = [np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=64) for s in sets]
         return struct_array({"n": (list(map(len, sets)), pa.int64()), "fp1": (fp1, pa.int64()),
-                             "fp2": (fp2, pa.int64())})
+                             "fp2": (fp2, pa.int64()), "bins": (bins, pa.list_(pa.int32()))})
     return profile(text)
 
 
@@ -165,13 +168,17 @@ def _segments(texts: DataFrame, words: int) -> DataFrame:
 def _verified(docs: DataFrame, pairs: DataFrame, sizes: DataFrame, words: int, percent: int) -> DataFrame:
     """``id, hub`` of the pairs that link: partial overlaps per fragment, summed per pair.
 
-    ``docs`` is ``id, text``, ``pairs`` ``id, hub``, ``sizes`` ``id, n, fp1``.
+    ``docs`` is ``id, text``, ``pairs`` ``id, hub``, ``sizes`` ``id, n, fp1, bins``. Before any n-gram
+    is sent, pairs go whose sizes, or counts of n-grams in 64 ranges of the order, differ by more
+    than linked sets can.
     """
     n = F.col
-    sized = (pairs.join(sizes.select("id", F.col("n").alias("n_id")), "id")
-             .join(sizes.select(F.col("id").alias("hub"), F.col("n").alias("n_hub")), "hub")
-             .where(100 * F.least("n_id", "n_hub") >= percent * F.greatest("n_id", "n_hub")))
-    sized = materialize(sized, "pairs")
+    apart = F.aggregate(F.zip_with("bins_id", "bins_hub", lambda x, y: F.abs(x - y)), F.lit(0), lambda a, x: a + x)
+    sized = (pairs.join(sizes.select("id", F.col("n").alias("n_id"), F.col("bins").alias("bins_id")), "id")
+             .join(sizes.select(F.col("id").alias("hub"), F.col("n").alias("n_hub"), F.col("bins").alias("bins_hub")), "hub")
+             .where(100 * F.least("n_id", "n_hub") >= percent * F.greatest("n_id", "n_hub"))
+             .where((100 + percent) * apart <= (100 - percent) * (n("n_id") + n("n_hub"))))
+    sized = materialize(sized.select("id", "hub", "n_id", "n_hub"), "pairs")
     needed = (sized.select("id", "hub").union(sized.select(F.col("hub"), "hub")).distinct()
               .groupBy("id").agg(F.collect_set("hub").alias("hubs"))
               .join(sizes.select("id", "fp1"), "id"))
@@ -249,10 +256,19 @@ def _rest(docs: DataFrame, members: DataFrame, labels: DataFrame, sets: DataFram
                 .withColumn("label", F.coalesce("component", "rep")).drop("component"))
     split = (labelled.groupBy("sig").agg(F.min("rep").alias("hub"), F.count("*").alias("c"),
                                          F.min("label").alias("x"), F.max("label").alias("y"))
-             .where("c > 2 and x <> y").select("sig", "hub"))
-    split = materialize(labelled.join(split, "sig").select("rep", "hub", "label").distinct(), "split")
+             .where("c > 2 and x <> y").select("sig", "hub", "c"))
+    split = materialize(labelled.join(split, "sig"), "split")
     if split.isEmpty():
         return None
+    # few members: their pairs across labels, each at most SMALL_GROUP - 1 times the members
+    small = split.where(F.col("c") <= SMALL_GROUP).select("sig", "rep", "label")
+    other = small.select("sig", F.col("rep").alias("hub"), F.col("label").alias("l"))
+    pairs = (small.join(other, "sig").where("hub < rep and label <> l")
+             .select(F.col("rep").alias("id"), "hub").distinct())
+    made = _verified(docs, pairs, sets, words, percent).select(F.col("id").alias("a"), F.col("hub").alias("b"))
+    split = split.where(F.col("c") > SMALL_GROUP).select("rep", "hub", "label").distinct()
+    if split.isEmpty():
+        return made
     families = components(split.select(F.col("rep").alias("a"), F.col("hub").alias("b")))
     placed = (split.select(F.col("rep").alias("id"), "label").distinct()
               .join(families.withColumnRenamed("component", "family"), "id")
@@ -277,7 +293,7 @@ def _rest(docs: DataFrame, members: DataFrame, labels: DataFrame, sets: DataFram
     filled = _texts_of(docs, placed).mapInArrow(
         sets_of, "family long, blocks int, block int, label long, grams array<long>")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    return (filled.withColumn("other", other)
+    return made.union(filled.withColumn("other", other)
             .withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
             .groupBy("family", "i", "j").applyInArrow(lambda t: _between(t, percent), "a long, b long"))
 
@@ -297,16 +313,16 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, id_co
                        .select("id", "p.*"), "profile")
     docs = docs.where("id is not null")
     known = rows.where("id is not null and n > 0")
-    own = known.groupBy("id").agg(F.min(F.struct("fp1", "fp2", "n")).alias("s"),
-                                  F.max(F.struct("fp1", "fp2", "n")).alias("t"))
+    own = known.groupBy("id").agg(F.min(F.struct("fp1", "fp2", "n", "bins")).alias("s"),
+                                  F.max(F.struct("fp1", "fp2", "n", "bins")).alias("t"))
     one_text_each = own.where("s <> t").isEmpty()
     own = own.select("id", "s.*")
     sets = materialize(own.join(own.groupBy("fp1", "fp2", "n").agg(F.min("id").alias("rep")),
-                                ["fp1", "fp2", "n"]).select("id", "n", "fp1", "rep"), "sets")
+                                ["fp1", "fp2", "n"]).select("id", "n", "fp1", "bins", "rep"), "sets")
     # shuffled once: counting and picking the signatures that meet use the same partitions
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     signed = _signed(docs, words, percent, one_text_each).repartition(parts, "sig")
-    met = signed.groupBy("sig").agg(F.count("*").alias("c")).where("c > 1").select("sig")
+    met = signed.groupBy("sig").agg(F.count("id").alias("c")).where("c > 1").select("sig")
     members = materialize(signed.join(met, "sig", "left_semi").join(sets.select("id", "rep"), "id")
                           .select("sig", "rep").distinct(), "members")
     hubs = members.groupBy("sig").agg(F.min("rep").alias("hub"))

@@ -79,6 +79,7 @@ def test_jaccard_components(spark, seed, words, percent):
 
 def test_jaccard_blocks_of_one_family(spark, monkeypatch):
     monkeypatch.setattr(ngramjoin, "BLOCK_GRAMS", 400)
+    monkeypatch.setattr(ngramjoin, "SMALL_GROUP", 3)
     rng = np.random.default_rng(5)
     base = [f"w{i}" for i in range(80)]
     rows = []
