@@ -319,10 +319,10 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, id_co
     own = own.select("id", "s.*")
     sets = materialize(own.join(own.groupBy("fp1", "fp2", "n").agg(F.min("id").alias("rep")),
                                 ["fp1", "fp2", "n"]).select("id", "n", "fp1", "bins", "rep"), "sets")
-    # shuffled once: counting and picking the signatures that meet use the same partitions
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    signed = _signed(docs, words, percent, one_text_each).repartition(parts, "sig")
-    met = signed.groupBy("sig").agg(F.count("id").alias("c")).where("c > 1").select("sig")
+    # made twice, once to count and once to pick those that meet: writing them would cost more disk
+    # than hashing the texts again costs time, and either shuffle can split a large group
+    signed = _signed(docs, words, percent, one_text_each)
+    met = signed.groupBy("sig").agg(F.count("*").alias("c")).where("c > 1").select("sig")
     members = materialize(signed.join(met, "sig", "left_semi").join(sets.select("id", "rep"), "id")
                           .select("sig", "rep").distinct(), "members")
     hubs = members.groupBy("sig").agg(F.min("rep").alias("hub"))
