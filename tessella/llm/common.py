@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tessella.runtime import checkpoint_dir
 
+#: removes the shuffle files of a query as soon as it has ended
+_CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: [#*$%&|<>], \n and the ASCII white space that separates words: fixed values of the contracts.
 WORD_SPACE = " \t\n\x0b\x0c\r"
 
@@ -20,11 +22,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
     Lineage ends there, so nothing upstream runs twice and a lost executor costs only the tasks
     that it ran. The folder is the one the session names in ``spark.checkpoint.dir``; tables stay
-    until the folder is cleared, or until ``forget`` is called on them.
+    until the folder is cleared, or until ``forget`` is called on them. The shuffle files of the
+    write go once it has ended, as nothing can read them again.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEAN_SHUFFLES)
+    spark.conf.set(_CLEAN_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEAN_SHUFFLES, before)
     made = spark.read.schema(df.schema).parquet(path)
     made._tessella_path = path
     return made

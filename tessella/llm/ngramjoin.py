@@ -22,7 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tessella.llm.common import materialize, mix64, struct_array
+from tessella.llm.common import forget, materialize, mix64, struct_array
 from tessella.llm.graph import components
 
 #: size classes grow by this factor; a set also joins the class below when it can link into it
@@ -187,9 +187,12 @@ def _verified(docs: DataFrame, pairs: DataFrame, sizes: DataFrame, words: int, p
     shared = (segments.where("id <> hub").join(own, ["hub", "fragment"])
               .select("id", "hub", F.size(F.array_intersect("grams", "hub_grams")).alias("part"))
               .groupBy("id", "hub").agg(F.sum("part").alias("both")))
-    return (shared.join(sized, ["id", "hub"])
-            .where(100 * n("both") >= percent * (n("n_id") + n("n_hub") - n("both")))
-            .select("id", "hub"))
+    links = materialize(shared.join(sized, ["id", "hub"])
+                        .where(100 * n("both") >= percent * (n("n_id") + n("n_hub") - n("both")))
+                        .select("id", "hub"), "links")
+    forget(segments)
+    forget(sized)
+    return links
 
 
 def _between(table: pa.Table, percent: int) -> pa.Table:
@@ -328,9 +331,10 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, id_co
     hubs = members.groupBy("sig").agg(F.min("rep").alias("hub"))
     pairs = (members.join(hubs, "sig").where("rep <> hub")
              .select(F.col("rep").alias("id"), "hub").distinct())
-    links = materialize(_verified(docs, pairs, sets, words, percent), "links")
+    links = _verified(docs, pairs, sets, words, percent)
     edges = links.select(F.col("id").alias("a"), F.col("hub").alias("b"))
     rest = _rest(docs, members, components(edges), sets, words, percent)
+    forget(members)
     edges = edges.union(sets.where("id <> rep").select("id", "rep"))
     found = components(edges.union(rest) if rest is not None else edges)
     return (rows.select("id", F.col("n").alias("n_shingles")).join(found, "id", "left")
