@@ -3,8 +3,9 @@
 The n-grams of a document are hashed, and the hashes, in numeric order, are the global n-gram
 order. It is cut into fragments: equal ranges whose number depends on the size class of a set. Two
 sets that link differ in few n-grams, fewer than there are fragments, so they agree wholly in at
-least one of them: documents meet only where a whole segment is the same, and a frequent n-gram or
-passage alone brings nobody together. Pairs that met are counted exactly: each fragment gives a
+least one of them: documents meet only where a whole segment is the same. There are more fragments
+than that takes, so linked sets agree in several segments and each set may leave out its most
+frequent ones: a passage that many documents share brings nobody together. Pairs that met are counted exactly: each fragment gives a
 partial overlap, computed apart, and the overlaps are summed per pair.
 
 Groups that met are not paired up. Members are first tested against one of them, links are closed
@@ -14,21 +15,24 @@ Components are exact: every link between different sets is either tested or alre
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tessella.llm.common import forget, materialize, mix64, struct_array
 from tessella.llm.graph import components
 
 #: size classes grow by this factor; a set also joins the class below when it can link into it
 CLASS_RATIO = 1.25
-#: fragments beyond the number that the largest difference needs
-SLACK = 1
+#: fragments beyond those that the largest difference needs, as a share of them
+SLACK = 0.125
+#: low bits of a signature that hold its size class
+CLASS_BITS = 7
 #: fragments of the exact count
 FRAGMENTS = 8
 #: n-grams of a block, and of one fragment of the count between two blocks
@@ -71,32 +75,51 @@ def _classes(percent: int) -> list[tuple[int, int, int]]:
     return made
 
 
-def signatures(hashes: np.ndarray, percent: int) -> np.ndarray:
-    """One signature per fragment of each size class that the set belongs to.
+def _cut(hashes: np.ndarray, percent: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, int]]:
+    """``class, fragments, starts, fragment of each start, spare`` for the size classes of a set.
 
-    Sets that link have a signature in common. Equal sets are found by their fingerprint, so a
-    class in which only equal sets link needs none.
+    A set with p segments that links agrees with its partner in p minus their largest difference
+    at least; ``spare`` is one less. It is negative where they may agree in empty segments only.
+    Equal sets are found by their fingerprint, so a class in which only equal sets link is left out.
     """
-    n, out = len(hashes), []
-    marks = mix64(hashes)
+    n = len(hashes)
     for k, (first, reach, difference) in enumerate(_classes(percent)):
         if first > n:
             break
         if reach < n or not difference:
             continue
-        cuts = difference + 1 + SLACK
+        cuts = difference + 1 + math.ceil(SLACK * difference)
         fragment = ((hashes >> np.uint64(32)) * np.uint64(cuts)) >> np.uint64(32)
         starts = np.flatnonzero(np.append(True, fragment[1:] != fragment[:-1]))
-        present = fragment[starts]
+        own = largest_difference(n, min(reach, n * 100 // percent), percent)
+        yield k, cuts, starts, fragment[starts], len(starts) - own - 1
+
+
+def signatures(hashes: np.ndarray, percent: int) -> np.ndarray:
+    """One signature per segment of each size class that the set belongs to; the class is in its low bits.
+
+    Sets that link have a signature in common, even if each leaves out as many of its most
+    frequent ones, by one order for all sets, as ``spares`` says: the rarest they share has enough
+    others before it in both.
+    """
+    out = []
+    marks = mix64(hashes)
+    for k, cuts, starts, present, spare in _cut(hashes, percent):
         place = mix64((np.uint64(k) << np.uint64(40)) + present)
-        out.append(mix64(np.add.reduceat(marks, starts) ^ place))
-        if len(starts) <= difference:
-            # linked sets may then agree in empty segments only
+        made = [mix64(np.add.reduceat(marks, starts) ^ place)]
+        if spare < 0:
             empty = np.setdiff1d(np.arange(cuts, dtype=np.uint64), present)
-            out.append(mix64(mix64((np.uint64(k) << np.uint64(40)) + empty) + np.uint64(1)))
+            made.append(mix64(mix64((np.uint64(k) << np.uint64(40)) + empty) + np.uint64(1)))
+        low = np.uint64((1 << CLASS_BITS) - 1)
+        out += [(m & ~low) | np.uint64(k) for m in made]
     return np.concatenate(out).view(np.int64) if out else np.empty(0, np.int64)
 
 
+def spares(hashes: np.ndarray, percent: int) -> dict[int, int]:
+    """Signatures that a set may leave out, by size class."""
+    return {k: max(0, spare) for k, _, _, _, spare in _cut(hashes, percent)}
+
+
 def fingerprint(hashes: np.ndarray) -> tuple[int | None, int | None]:
     """Two 64-bit sums that stand for a set; none for the empty set."""
     if not len(hashes):
@@ -105,14 +128,16 @@ def fingerprint(hashes: np.ndarray) -> tuple[int | None, int | None]:
     return tuple(int(v) for v in both.view(np.int64))
 
 
-def _profile(text: Column, words: int) -> Column:
-    @F.arrow_udf("struct<n long, fp1 long, fp2 long, bins array<int>>")
+def _profile(text: Column, words: int, percent: int) -> Column:
+    @F.arrow_udf("struct<n long, fp1 long, fp2 long, bins array<int>, spare map<int, int>>")
     def profile(texts: pa.Array) -> pa.Array:
         sets = [shingles(t, words) for t in texts.to_pylist()]
         fp1, fp2 = zip(*map(fingerprint, sets)) if sets else ((), ())
         bins = [np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=64) for s in sets]
         return struct_array({"n": (list(map(len, sets)), pa.int64()), "fp1": (fp1, pa.int64()),
-                             "fp2": (fp2, pa.int64()), "bins": (bins, pa.list_(pa.int32()))})
+                             "fp2": (fp2, pa.int64()), "bins": (bins, pa.list_(pa.int32())),
+                             "spare": ([list(spares(s, percent).items()) for s in sets],
+                                       pa.map_(pa.int32(), pa.int32()))})
     return profile(text)
 
 
@@ -312,22 +337,29 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, id_co
     the id; n_shingles is still each row's own. Other columns are not read.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    rows = materialize(docs.select("id", _profile(F.col("text"), words).alias("p"))
+    rows = materialize(docs.select("id", _profile(F.col("text"), words, percent).alias("p"))
                        .select("id", "p.*"), "profile")
     docs = docs.where("id is not null")
     known = rows.where("id is not null and n > 0")
-    own = known.groupBy("id").agg(F.min(F.struct("fp1", "fp2", "n", "bins")).alias("s"),
-                                  F.max(F.struct("fp1", "fp2", "n", "bins")).alias("t"))
+    mark = F.struct("fp1", "fp2", "n")
+    own = known.groupBy("id").agg(F.min(mark).alias("s"), F.max(mark).alias("t"),
+                                  F.min_by(F.struct("bins", "spare"), mark).alias("u"))
     one_text_each = own.where("s <> t").isEmpty()
-    own = own.select("id", "s.*")
+    own = own.select("id", "s.*", "u.*")
     sets = materialize(own.join(own.groupBy("fp1", "fp2", "n").agg(F.min("id").alias("rep")),
-                                ["fp1", "fp2", "n"]).select("id", "n", "fp1", "bins", "rep"), "sets")
+                                ["fp1", "fp2", "n"]).select("id", "n", "fp1", "bins", "spare", "rep"), "sets")
     # made twice, once to count and once to pick those that meet: writing them would cost more disk
     # than hashing the texts again costs time, and either shuffle can split a large group
     signed = _signed(docs, words, percent, one_text_each)
-    met = signed.groupBy("sig").agg(F.count("*").alias("c")).where("c > 1").select("sig")
-    members = materialize(signed.join(met, "sig", "left_semi").join(sets.select("id", "rep"), "id")
-                          .select("sig", "rep").distinct(), "members")
+    met = signed.groupBy("sig").agg(F.count("*").alias("c")).where("c > 1")
+    kind = F.col("sig").bitwiseAND((1 << CLASS_BITS) - 1).cast("int")
+    shared = (signed.join(met, "sig").join(sets.select("id", "rep", "spare"), "id")
+              .select("sig", "rep", "c", kind.alias("kind"), F.element_at("spare", kind).alias("spare"))
+              .groupBy("rep", "sig", "kind").agg(F.max("c").alias("c"), F.max("spare").alias("spare")))
+    # the most frequent go, as many as a set may leave out; the order is the same for all sets
+    order = W.partitionBy("rep", "kind").orderBy(F.desc("c"), "sig")
+    members = materialize(shared.withColumn("place", F.row_number().over(order))
+                          .where("place > coalesce(spare, 0)").select("sig", "rep"), "members")
     hubs = members.groupBy("sig").agg(F.min("rep").alias("hub"))
     pairs = (members.join(hubs, "sig").where("rep <> hub")
              .select(F.col("rep").alias("id"), "hub").distinct())
