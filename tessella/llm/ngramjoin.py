@@ -31,6 +31,8 @@ from tessella.llm.graph import components
 CLASS_RATIO = 1.25
 #: fragments beyond those that the largest difference needs, as a share of them
 SLACK = 0.125
+#: signatures that a task hands over at a time
+BATCH_SIGNATURES = 1 << 16
 #: low bits of a signature that hold its size class
 CLASS_BITS = 7
 #: fragments of the exact count
@@ -131,13 +133,17 @@ def fingerprint(hashes: np.ndarray) -> tuple[int | None, int | None]:
 def _profile(text: Column, words: int, percent: int) -> Column:
     @F.arrow_udf("struct<n long, fp1 long, fp2 long, bins array<int>, spare map<int, int>>")
     def profile(texts: pa.Array) -> pa.Array:
-        sets = [shingles(t, words) for t in texts.to_pylist()]
-        fp1, fp2 = zip(*map(fingerprint, sets)) if sets else ((), ())
-        bins = [np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=64) for s in sets]
-        return struct_array({"n": (list(map(len, sets)), pa.int64()), "fp1": (fp1, pa.int64()),
-                             "fp2": (fp2, pa.int64()), "bins": (bins, pa.list_(pa.int32())),
-                             "spare": ([list(spares(s, percent).items()) for s in sets],
-                                       pa.map_(pa.int32(), pa.int32()))})
+        n, fp1, fp2, bins, spare = [], [], [], [], []
+        for t in texts:
+            grams = shingles(t.as_py(), words)
+            n.append(len(grams))
+            for out, part in zip((fp1, fp2), fingerprint(grams)):
+                out.append(part)
+            bins.append(np.bincount((grams >> np.uint64(58)).astype(np.int64), minlength=64).astype(np.int32))
+            spare.append(list(spares(grams, percent).items()))
+        return struct_array({"n": (n, pa.int64()), "fp1": (fp1, pa.int64()), "fp2": (fp2, pa.int64()),
+                             "bins": (bins, pa.list_(pa.int32())),
+                             "spare": (spare, pa.map_(pa.int32(), pa.int32()))})
     return profile(text)
 
 
@@ -150,17 +156,21 @@ def _signed(docs: DataFrame, words: int, percent: int, once: bool) -> DataFrame:
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple] = set()
         for batch in batches:
-            sigs, ids = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-            for i, text in zip(batch["id"].to_pylist(), batch["text"].to_pylist()):
-                hashes = shingles(text, words)
+            sigs, ids, size = [], [], 0
+            last = batch.num_rows - 1
+            for at, (i, text) in enumerate(zip(batch["id"], batch["text"])):
+                hashes = shingles(text.as_py(), words)
                 mark = fingerprint(hashes)
-                if once and mark in seen:
-                    continue
-                seen.add(mark)
-                sigs.append(signatures(hashes, percent))
-                ids.append(np.full(len(sigs[-1]), i))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(sigs)), pa.array(np.concatenate(ids))], ["sig", "id"])
+                if not (once and mark in seen):
+                    if once:
+                        seen.add(mark)
+                    sigs.append(signatures(hashes, percent))
+                    ids.append(np.full(len(sigs[-1]), i.as_py()))
+                    size += len(sigs[-1])
+                if sigs and (size >= BATCH_SIGNATURES or at == last):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.concatenate(sigs)), pa.array(np.concatenate(ids))], ["sig", "id"])
+                    sigs, ids, size = [], [], 0
 
     return docs.mapInArrow(sign, "sig long, id long")
 
@@ -172,7 +182,8 @@ def _segments(texts: DataFrame, words: int) -> DataFrame:
     """
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, t, fp1, hubs in zip(*(batch[c].to_pylist() for c in ("id", "text", "fp1", "hubs"))):
+            for row in zip(*(batch[c] for c in ("id", "text", "fp1", "hubs"))):
+                i, t, fp1, hubs = (value.as_py() for value in row)
                 hashes = shingles(t, words)
                 if fingerprint(hashes)[0] != fp1:
                     continue

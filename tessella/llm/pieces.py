@@ -22,7 +22,7 @@ from tessella.llm.common import struct_array, text_groups
 
 MARKER = "▁"
 CHUNKS = re.compile(f"[ {MARKER}]*[^ {MARKER}]+|[ {MARKER}]+")
-TABLE_CHUNKS = 400_000
+TABLE_CHUNKS = 200_000
 LONG_CHUNK = 64
 
 
