@@ -2,8 +2,9 @@
 
 Per document: characters per token, share of byte-fallback tokens and token entropy under a public
 SentencePiece vocabulary, besides plain counts of words, symbols and repetitions. The bands that a
-document has to lie in are learned for each language (or, where none is given, script) from all
-documents: robust quantiles of binned measures, so that the counting is one small aggregate.
+document has to lie in are learned for each language (or, where none is given, script) and class of
+token count from all documents: robust quantiles of binned measures, so that the counting is one
+small aggregate.
 """
 
 from __future__ import annotations
@@ -13,9 +14,9 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from tessella.llm.common import WORD_SPACE, materialize, mix64, struct_array, text_groups
+from tessella.llm.common import WORD_SPACE, forget, materialize, mix64, struct_array, text_groups
 from tessella.llm.pieces import piece_table
 
 #: characters that count as symbols: a fixed value of the contract
@@ -144,53 +145,108 @@ def measured(text: Column, model: str) -> Column:
     return measure(text)
 
 
-#: least distance of a band's end from its quartile, and what a text of one token may stray further;
-#: the latter shrinks with the square root of the tokens
-LEAST_REACH = {"chars_per_token": 0.25, "fallback_share": 0.05, "entropy_share": 0.08}
-SHORT_SLACK = {"chars_per_token": 2.0, "fallback_share": 0.5, "entropy_share": 1.0}
+#: classes of token counts per doubling, and the last one
+CLASSES_PER_OCTAVE, LAST_CLASS = 2, 64
+#: least distance of a band's end from its quartile, and what a text may stray further, in tokens
+LEAST_REACH = {"chars_per_token": 0.03, "fallback_share": 0.02, "entropy_share": 0.01}
+TOKEN_SLACK = {"chars_per_token": 0.0, "fallback_share": 8.0, "entropy_share": 0.0}
+#: rows that the neighbours of a class count for at most, and the share that is left per class away
+NEAR_ROWS, NEAR_SHARE = 50.0, 0.35
+#: rows times squared classes that the slope over the classes is held back by
+FLAT_ROWS = 100.0
 
 
-def fertility_bands(rows: DataFrame, spread: float = 5.0) -> DataFrame:
-    """``group, measure, rows, low, high``: the bands of each language or script.
+def class_of(n_tokens: Column) -> Column:
+    """Class of a token count: half of a doubling each."""
+    return F.least(F.floor(CLASSES_PER_OCTAVE * F.log2(F.greatest(n_tokens, F.lit(1)))),
+                   F.lit(LAST_CLASS)).cast("int")
 
-    ``rows`` has ``group`` and the measures of the documents to learn from. A band reaches
-    ``spread`` times the distance from the median to the quartile beyond each quartile, and
-    ``LEAST_REACH`` at least. The group ``*`` pools all rows. Measures are counted in bins first,
-    so whatever the rows, few counts per group are sorted.
+
+def class_bands(cls: np.ndarray, bins: np.ndarray, n: np.ndarray, wanted: np.ndarray, unit: float,
+                least: float, spread: float) -> np.ndarray:
+    """``rows, low, high`` of each wanted class, from the binned counts of one group and measure.
+
+    A class learns from its own counts and, for ``NEAR_ROWS`` rows at most, from those of its
+    neighbours, moved along the group's slope over the classes: the measures depend on the length. So
+    rare classes lean on the others, and one odd text doesn't make its own band. A band ends
+    ``spread`` times the distance from the median to the quartile beyond each quartile, further where
+    it rests on few rows.
+    """
+    def quantiles(at: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        order = np.argsort(at, kind="stable")
+        upto = np.cumsum(weight[order])
+        # rows lie evenly within their bin
+        found = np.minimum(np.searchsorted(upto, np.array([0.25, 0.5, 0.75]) * upto[-1]), len(at) - 1)
+        into = 1 - (upto[found] - np.array([0.25, 0.5, 0.75]) * upto[-1]) / weight[order][found]
+        return (at[order][found] + np.clip(into, 0, 1)) / unit
+
+    kinds, index = np.unique(cls, return_inverse=True)
+    rows = np.bincount(index, weights=n)
+    middle = np.array([quantiles(bins[index == k].astype(float), n[index == k].astype(float))[1]
+                       for k in range(len(kinds))])
+    off = kinds - np.average(kinds, weights=rows)
+    slope = (rows * off * (middle - np.average(middle, weights=rows))).sum() / ((rows * off ** 2).sum() + FLAT_ROWS)
+    out = []
+    for c in wanted:
+        near = n * NEAR_SHARE ** np.abs(cls - c) * (cls != c)
+        others = n[cls != c].sum()
+        if others:
+            # relative to the nearest class, so that a far one doesn't vanish
+            near = near / near.sum() * NEAR_ROWS * others / (others + NEAR_ROWS)
+        weight = np.where(cls == c, n, near).astype(float)
+        q1, q2, q3 = quantiles(bins + (c - cls) * slope * unit, weight)
+        few = 1 + 2 / np.sqrt(weight.sum())
+        out.append((int(n[cls == c].sum()), q1 - max(spread * (q2 - q1), least) * few,
+                    q3 + max(spread * (q3 - q2), least) * few))
+    return np.array(out).reshape(-1, 3)
+
+
+def _learned(table: pa.Table, spread: float, every: bool) -> pa.Table:
+    """The bands of one group from its counts; of ``every`` class, or of those it has."""
+    cls, at, bins, n = (table[c].to_numpy() for c in ("class", "at", "bin", "n"))
+    wanted = np.arange(LAST_CLASS + 1) if every else np.unique(cls)
+    cols = {"class": wanted.astype(np.int32)}
+    for k, m in enumerate(MEASURES):
+        own = at == k
+        made = class_bands(cls[own], bins[own], n[own], wanted, BINS[m], LEAST_REACH[m], spread)
+        cols |= {f"{m}_low": made[:, 1], f"{m}_high": made[:, 2]}
+    group = pa.array([table["group"][0].as_py()] * len(wanted), pa.string())
+    rows = pa.array([int(n[at == 0].sum())] * len(wanted), pa.int64())
+    return pa.table({"group": group, "rows": rows} | {c: pa.array(v) for c, v in cols.items()})
+
+
+_ENDS = ", ".join(f"{m}_low double, {m}_high double" for m in MEASURES)
+
+
+def fertility_bands(rows: DataFrame, spread: float = 4.0) -> DataFrame:
+    """``group, rows, class`` and the low and high ends of each measure: the bands, written once.
+
+    ``rows`` has ``group``, ``n_tokens`` and the measures of the documents to learn from; ``rows`` of
+    the result counts those of the group. The group ``*`` pools all rows and has every class. Measures
+    are counted in bins first, so whatever the rows, few counts per group are sorted.
     """
     bins = F.array(*[F.floor(F.col(m) * BINS[m]) for m in MEASURES])
-    counts = (rows.select("group", F.posexplode(bins).alias("at", "bin"))
-              .groupBy("group", "at", "bin").agg(F.count("*").alias("n")))
-    pooled = (counts.groupBy("at", "bin").agg(F.sum("n").alias("n"))
-              .withColumn("group", F.lit(POOLED)))
-    own = W.partitionBy("group", "at")
-    summed = (counts.unionByName(pooled)
-              .withColumn("upto", F.sum("n").over(own.orderBy("bin")))
-              .withColumn("all", F.sum("n").over(own)))
-    names = F.element_at(F.array(*[F.lit(m) for m in MEASURES]), F.col("at") + 1)
-    width = F.element_at(F.array(*[F.lit(float(BINS[m])) for m in MEASURES]), F.col("at") + 1)
-    least = F.element_at(F.array(*[F.lit(LEAST_REACH[m]) for m in MEASURES]), F.col("at") + 1)
-
-    def quantile(q: float, name: str) -> Column:
-        at = F.min(F.when(F.col("upto") >= q * F.col("all"), F.col("bin")))
-        return (at / F.first(width)).alias(name)
-
-    found = summed.groupBy("group", "at").agg(
-        F.first("all").alias("rows"), quantile(0.25, "q1"), quantile(0.5, "q2"), quantile(0.75, "q3"))
-    return found.select(
-        "group", names.alias("measure"), "rows",
-        (F.col("q1") - F.greatest(spread * (F.col("q2") - F.col("q1")), least)).alias("low"),
-        (F.col("q3") + 1 / width + F.greatest(spread * (F.col("q3") - F.col("q2")), least)).alias("high"))
+    counts = materialize(rows.select("group", class_of(F.col("n_tokens")).alias("class"),
+                                     F.posexplode(bins).alias("at", "bin"))
+                         .groupBy("group", "class", "at", "bin").agg(F.count("*").alias("n")), "counts")
+    pooled = (counts.groupBy("class", "at", "bin").agg(F.sum("n").alias("n"))
+              .select(F.lit(POOLED).alias("group"), "class", "at", "bin", "n"))
+    schema = f"group string, rows long, class int, {_ENDS}"
+    own = counts.groupBy("group").applyInArrow(lambda t: _learned(t, spread, False), schema)
+    every = pooled.groupBy("group").applyInArrow(lambda t: _learned(t, spread, True), schema)
+    bands = materialize(own.unionByName(every), "bands")
+    forget(counts)
+    return bands
 
 
 def judge(docs: DataFrame, model: str, text_col: str = "text", lang_col: str | None = "lang",
-          carry: list[str] | None = None, verdict: str = "_verdict", spread: float = 5.0,
+          carry: list[str] | None = None, verdict: str = "_verdict", spread: float = 4.0,
           least_rows: int = 200, write: bool = True) -> DataFrame:
     """The carried columns of every row (all by default) and a struct column with its verdict.
 
     The struct has the base counts, the three measures, ``base_failed`` and ``kept``: whether the
-    base rule holds and every measure lies in the band of the row's language, or of its script where
-    the language is null. Groups of fewer than ``least_rows`` documents that pass the base rule use
+    base rule holds and every measure lies in the band of the row's class of token counts in its
+    language, or in its script where the language is null. Groups of fewer than ``least_rows`` documents that pass the base rule use
     the pooled band. A null text has no words and fails; without any passing document nothing is
     kept. Repeated rows are judged alike, one by one. With ``write`` the carried columns and measures are
     written once to the shared folder; without, texts are measured a second time instead.
@@ -207,22 +263,24 @@ def judge(docs: DataFrame, model: str, text_col: str = "text", lang_col: str | N
         rows = materialize(rows, "fertility")
     failed = ((F.col("_m.n_words") < LEAST_WORDS)
               | (100 * F.col("_m.n_repeat_words") > MOST_REPEATED * F.col("_m.n_words")))
-    bands = materialize(fertility_bands(rows.where(~failed).select(F.col("_group").alias("group"), *[
-        F.col(f"_m.{m}").alias(m) for m in MEASURES]), spread), "bands")
-    ends = F.map_from_entries(F.collect_list(F.struct("measure", F.struct("low", "high"))))
-    by_group = (bands.where(F.col("rows") >= least_rows).where(F.col("group") != POOLED)
-                .groupBy(F.col("group").alias("_group")).agg(ends.alias("_own")))
+    bands = fertility_bands(rows.where(~failed).select(
+        F.col("_group").alias("group"), F.col("_m.n_tokens").alias("n_tokens"),
+        *[F.col(f"_m.{m}").alias(m) for m in MEASURES]), spread)
+    ends = F.struct(*[f"{m}_{end}" for m in MEASURES for end in ("low", "high")])
+    by_class = bands.select(F.col("group").alias("_group"), F.col("class").alias("_class"), "rows", ends.alias("_ends"))
+    by_group = by_class.where((F.col("rows") >= least_rows) & (F.col("_group") != POOLED)).drop("rows")
     if bands.count() <= SMALL_BANDS:  # else too many languages to send to every task
         by_group = F.broadcast(by_group)
-    pooled = bands.where(F.col("group") == POOLED).agg(ends.alias("e")).scalar()
-    bands_of = F.coalesce(F.col("_own"), F.col("_pooled"))
+    pooled = F.broadcast(by_class.where(F.col("_group") == POOLED).select("_class", F.col("_ends").alias("_pooled")))
+    band = F.coalesce(F.col("_ends"), F.col("_pooled"))
 
     def inside(m: str) -> Column:
-        slack = F.lit(SHORT_SLACK[m]) / F.sqrt(F.greatest(F.col("_m.n_tokens"), F.lit(1)))
-        return F.coalesce((F.col(f"_m.{m}") >= bands_of[m]["low"] - slack)
-                          & (F.col(f"_m.{m}") <= bands_of[m]["high"] + slack), F.lit(False))
+        slack = F.lit(TOKEN_SLACK[m]) / F.greatest(F.col("_m.n_tokens"), F.lit(1))
+        return F.coalesce((F.col(f"_m.{m}") >= band[f"{m}_low"] - slack)
+                          & (F.col(f"_m.{m}") <= band[f"{m}_high"] + slack), F.lit(False))
 
     kept = ~failed & inside(MEASURES[0]) & inside(MEASURES[1]) & inside(MEASURES[2])
-    return (rows.join(by_group, "_group", "left").withColumn("_pooled", pooled)
+    return (rows.withColumn("_class", class_of(F.col("_m.n_tokens")))
+            .join(by_group, ["_group", "_class"], "left").join(pooled, "_class", "left")
             .select(*[F.col(f"`{c}`") for c in carry],
                     F.col("_m").withField("base_failed", failed).withField("kept", kept).alias(verdict)))

@@ -138,6 +138,34 @@ def test_fertility_verdicts(spark, docs, empty):
     assert fertility.judge(empty, PIECES, lang_col=None).count() == 0
 
 
+SYLLABLES = {"en": "th he in er an re on at en nd ti es or te of ed is it al ar", "de": "er en ch de ei ie in te ge un nd sch be st ver ung",
+             "es": "de la que el en os as ci ón es ar do ra men to ad", "fr": "le es ent de la ou re ai eu é tion qu ux en an ment"}
+
+
+def prose(rng, lang, n):
+    parts = SYLLABLES[lang].split()
+    return ["".join(rng.choice(parts, int(rng.integers(1, 5)))) for _ in range(n)]
+
+
+def junk(rng, lang, n, table):
+    marks = ["***", "%%%", "&&&", "$$$"]
+    return " | ".join(prose(rng, lang, n)) if table else " ".join(w + str(rng.choice(marks)) for w in prose(rng, lang, n))
+
+
+def test_fertility_bands_reject_junk_of_any_length(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    for lang in SYLLABLES:
+        rows += [(f"{lang} clean {i}", " ".join(prose(rng, lang, int(rng.integers(30, 600)))), lang) for i in range(300)]
+        rows += [(f"{lang} junk {i}", junk(rng, lang, int(rng.integers(40, 600)), i % 2), lang) for i in range(16)]
+    got = fertility.judge(spark.createDataFrame(rows, "doc_id string, text string, lang string"), PIECES, carry=["doc_id"])
+    kept = [r["doc_id"] for r in got.where("_verdict.kept").select("doc_id").collect()]
+    assert not got.where("_verdict.base_failed").count()
+    for lang in SYLLABLES:
+        assert sum(k.startswith(f"{lang} clean") for k in kept) >= 290
+        assert sum(k.startswith(f"{lang} junk") for k in kept) <= 2
+
+
 def test_scripts():
     assert [fertility.script_of(t) for t in ("", "abc", "абв", "漢字", "ひら", "12", "한국")] == [
         "none", "Latin", "Cyrillic", "Han", "Kana", "none", "Hangul"]
