@@ -27,7 +27,6 @@ REPEAT_WINDOW, LEAST_WORDS, MOST_REPEATED = 8, 20, 30
 MEASURES = ("chars_per_token", "fallback_share", "entropy_share")
 #: bins per unit of each measure
 BINS = {"chars_per_token": 64, "fallback_share": 1024, "entropy_share": 1024}
-POOLED = "*"
 #: rows of bands up to which they are broadcast; more are joined
 SMALL_BANDS = 30_000
 
@@ -152,6 +151,8 @@ LEAST_REACH = {"chars_per_token": 0.03, "fallback_share": 0.02, "entropy_share":
 TOKEN_SLACK = {"chars_per_token": 0.0, "fallback_share": 8.0, "entropy_share": 0.0}
 #: rows that the neighbours of a class count for at most, and the share that is left per class away
 NEAR_ROWS, NEAR_SHARE = 50.0, 0.35
+#: rows that the script's band counts for beside a language's own
+SCRIPT_ROWS = 5.0
 #: rows times squared classes that the slope over the classes is held back by
 FLAT_ROWS = 100.0
 
@@ -219,35 +220,45 @@ _ENDS = ", ".join(f"{m}_low double, {m}_high double" for m in MEASURES)
 
 
 def fertility_bands(rows: DataFrame, spread: float = 4.0) -> DataFrame:
-    """``group, rows, class`` and the low and high ends of each measure: the bands, written once.
+    """``group, class`` and the low and high ends of each measure: the bands, written once.
 
-    ``rows`` has ``group``, ``n_tokens`` and the measures of the documents to learn from; ``rows`` of
-    the result counts those of the group. The group ``*`` pools all rows and has every class. Measures
-    are counted in bins first, so whatever the rows, few counts per group are sorted.
+    ``rows`` has ``group``, ``script``, ``n_tokens`` and the measures of the documents to learn from.
+    Every group has its own bands, whatever its size. The ends move towards those of all documents of
+    the script that most of its texts are in, which weigh as much as ``SCRIPT_ROWS`` of its rows.
+    Measures are counted in bins first, so whatever the rows, few counts per group are sorted.
     """
     bins = F.array(*[F.floor(F.col(m) * BINS[m]) for m in MEASURES])
-    counts = materialize(rows.select("group", class_of(F.col("n_tokens")).alias("class"),
+    counts = materialize(rows.select("group", "script", class_of(F.col("n_tokens")).alias("class"),
                                      F.posexplode(bins).alias("at", "bin"))
-                         .groupBy("group", "class", "at", "bin").agg(F.count("*").alias("n")), "counts")
-    pooled = (counts.groupBy("class", "at", "bin").agg(F.sum("n").alias("n"))
-              .select(F.lit(POOLED).alias("group"), "class", "at", "bin", "n"))
-    schema = f"group string, rows long, class int, {_ENDS}"
-    own = counts.groupBy("group").applyInArrow(lambda t: _learned(t, spread, False), schema)
-    every = pooled.groupBy("group").applyInArrow(lambda t: _learned(t, spread, True), schema)
-    bands = materialize(own.unionByName(every), "bands")
+                         .groupBy("group", "script", "class", "at", "bin").agg(F.count("*").alias("n")), "counts")
+
+    def learned(key: str, every: bool) -> DataFrame:
+        return (counts.groupBy(F.col(key).alias("group"), "class", "at", "bin").agg(F.sum("n").alias("n"))
+                .groupBy("group").applyInArrow(lambda t: _learned(t, spread, every),
+                                               f"group string, rows long, class int, {_ENDS}"))
+
+    script_of_group = (counts.where("at = 0").groupBy("group", "script").agg(F.sum("n").alias("n"))
+                       .groupBy("group").agg(F.min_by("script", F.struct(-F.col("n"), "script")).alias("_script")))
+    ends = [f"{m}_{end}" for m in MEASURES for end in ("low", "high")]
+    by_script = learned("script", True).select(F.col("group").alias("_script"), "class",
+                                               *[F.col(c).alias(f"_{c}") for c in ends])
+    share = F.col("rows") / (F.col("rows") + SCRIPT_ROWS)
+    bands = materialize(
+        learned("group", False).join(script_of_group, "group").join(by_script, ["_script", "class"])
+        .select("group", "class", *[(share * F.col(c) + (1 - share) * F.col(f"_{c}")).alias(c) for c in ends]), "bands")
     forget(counts)
     return bands
 
 
 def judge(docs: DataFrame, model: str, text_col: str = "text", lang_col: str | None = "lang",
           carry: list[str] | None = None, verdict: str = "_verdict", spread: float = 4.0,
-          least_rows: int = 200, write: bool = True) -> DataFrame:
+          write: bool = True) -> DataFrame:
     """The carried columns of every row (all by default) and a struct column with its verdict.
 
     The struct has the base counts, the three measures, ``base_failed`` and ``kept``: whether the
     base rule holds and every measure lies in the band of the row's class of token counts in its
-    language, or in its script where the language is null. Groups of fewer than ``least_rows`` documents that pass the base rule use
-    the pooled band. A null text has no words and fails; without any passing document nothing is
+    language, or in its script where the language is null. The fewer documents of a group pass the base rule, the wider its bands and the
+    nearer to those of its script. A null text has no words and fails; without any passing document nothing is
     kept. Repeated rows are judged alike, one by one. With ``write`` the carried columns and measures are
     written once to the shared folder; without, texts are measured a second time instead.
     """
@@ -264,23 +275,20 @@ def judge(docs: DataFrame, model: str, text_col: str = "text", lang_col: str | N
     failed = ((F.col("_m.n_words") < LEAST_WORDS)
               | (100 * F.col("_m.n_repeat_words") > MOST_REPEATED * F.col("_m.n_words")))
     bands = fertility_bands(rows.where(~failed).select(
-        F.col("_group").alias("group"), F.col("_m.n_tokens").alias("n_tokens"),
+        F.col("_group").alias("group"), F.col("_m.script").alias("script"), F.col("_m.n_tokens").alias("n_tokens"),
         *[F.col(f"_m.{m}").alias(m) for m in MEASURES]), spread)
     ends = F.struct(*[f"{m}_{end}" for m in MEASURES for end in ("low", "high")])
-    by_class = bands.select(F.col("group").alias("_group"), F.col("class").alias("_class"), "rows", ends.alias("_ends"))
-    by_group = by_class.where((F.col("rows") >= least_rows) & (F.col("_group") != POOLED)).drop("rows")
+    by_class = bands.select(F.col("group").alias("_group"), F.col("class").alias("_class"), ends.alias("_ends"))
     if bands.count() <= SMALL_BANDS:  # else too many languages to send to every task
-        by_group = F.broadcast(by_group)
-    pooled = F.broadcast(by_class.where(F.col("_group") == POOLED).select("_class", F.col("_ends").alias("_pooled")))
-    band = F.coalesce(F.col("_ends"), F.col("_pooled"))
+        by_class = F.broadcast(by_class)
 
     def inside(m: str) -> Column:
         slack = F.lit(TOKEN_SLACK[m]) / F.greatest(F.col("_m.n_tokens"), F.lit(1))
-        return F.coalesce((F.col(f"_m.{m}") >= band[f"{m}_low"] - slack)
-                          & (F.col(f"_m.{m}") <= band[f"{m}_high"] + slack), F.lit(False))
+        return F.coalesce((F.col(f"_m.{m}") >= F.col("_ends")[f"{m}_low"] - slack)
+                          & (F.col(f"_m.{m}") <= F.col("_ends")[f"{m}_high"] + slack), F.lit(False))
 
     kept = ~failed & inside(MEASURES[0]) & inside(MEASURES[1]) & inside(MEASURES[2])
     return (rows.withColumn("_class", class_of(F.col("_m.n_tokens")))
-            .join(by_group, ["_group", "_class"], "left").join(pooled, "_class", "left")
+            .join(by_class, ["_group", "_class"], "left")
             .select(*[F.col(f"`{c}`") for c in carry],
                     F.col("_m").withField("base_failed", failed).withField("kept", kept).alias(verdict)))

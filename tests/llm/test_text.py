@@ -166,6 +166,27 @@ def test_fertility_bands_reject_junk_of_any_length(spark):
         assert sum(k.startswith(f"{lang} junk") for k in kept) <= 2
 
 
+def test_fertility_bands_of_small_groups(spark):
+    rng = np.random.default_rng(5)
+    han, thai = [chr(0x4E00 + 7 * i) for i in range(60)], "ก ข ค ง จ ช ซ ด ต ท น บ ป พ ม ย ร ล ว ส ห อ า ิ ี เ แ".split()
+
+    def spaced(letters):
+        return " ".join("".join(rng.choice(letters, int(rng.integers(3, 9)))) for _ in range(int(rng.integers(40, 200))))
+
+    def clean(lang):
+        return " ".join(prose(rng, lang, int(rng.integers(30, 300))))
+
+    rows = [(f"en {i}", clean("en"), "en") for i in range(600)] + [(f"es {i}", clean("es"), "es") for i in range(60)]
+    rows += [(f"es junk {i}", junk(rng, "es", int(rng.integers(40, 200)), i % 2), "es") for i in range(6)]
+    rows += [(f"zh {i}", spaced(han), "zh") for i in range(30)] + [(f"null {i}", spaced(thai), None) for i in range(25)]
+    rows += [("fr 0", clean("fr"), "fr"), ("de 0", clean("de"), "de"), ("th 0", spaced(thai), "th")]
+    got = fertility.judge(spark.createDataFrame(rows, "doc_id string, text string, lang string"), PIECES, carry=["doc_id"])
+    kept = [r["doc_id"] for r in got.where("_verdict.kept").select("doc_id").collect()]
+    assert sum("junk" in k for k in kept) <= 2
+    assert [sum(k.startswith(f"{g} ") and "junk" not in k for k in kept) for g in ("zh", "null", "fr", "de", "th")] == [30, 25, 1, 1, 1]
+    assert sum(k.startswith("es ") and "junk" not in k for k in kept) >= 58
+
+
 def test_scripts():
     assert [fertility.script_of(t) for t in ("", "abc", "абв", "漢字", "ひら", "12", "한국")] == [
         "none", "Latin", "Cyrillic", "Han", "Kana", "none", "Hangul"]
