@@ -64,7 +64,9 @@ def filter_urls(captures: DataFrame, entries: DataFrame, url_col: str = "url", a
              .withColumn(at, F.col(f"`{at_col}`").cast("long"))
              .withColumn("_period", F.floor(F.col(at) / PERIOD)))
     seen = dated.where("_host is not null and _period is not null").select("_host", "_period").distinct()
-    keyed = seen.select("_host", "_period", F.explode(domains_of(F.col(host))).alias("pattern"))
+    # a domain entry may be a top-level domain, so the last label is looked up as well
+    names = F.array_union(domains_of(F.col(host)), F.array(F.substring_index(F.col(host), ".", -1)))
+    keyed = seen.select("_host", "_period", F.explode(names).alias("pattern"))
     # the last period in which an interval can matter is the last one with a capture
     last = seen.agg(F.max("_period")).scalar()
     first = seen.agg(F.min("_period")).scalar()

@@ -198,6 +198,15 @@ def test_url_filters_at_fetch_time(spark, monkeypatch):
     assert urlfilter.filter_urls(seen.limit(0), listed).count() == 0
 
 
+def test_url_filters_of_top_level_domains(spark):
+    hosts = ["a.zip", "x.y.zip", "zip", "zip.com", "a.com", "ozip"]
+    seen = spark.createDataFrame([(i, f"http://{h}/", 5) for i, h in enumerate(hosts)], "page_id long, url string, fetched_at long")
+    listed = spark.createDataFrame([("l", "domain", "zip", "add", 1), ("l", "host", "com", "add", 1)],
+                                   "list string, kind string, pattern string, action string, at long")
+    got = urlfilter.filter_urls(seen, listed).where(F.size("matches") > 0)
+    assert sorted(r["page_id"] for r in got.collect()) == [0, 1, 2]
+
+
 def test_merkle_audit(spark):
     rows = [(a, s, bytes(f"record {a} {s} ", "ascii") * (s % 5 + 1)) for a in ("x", "y", "z") for s in range(300)]
     other = [r for r in rows if r[:2] not in (("x", 17), ("z", 299))]
