@@ -10,6 +10,7 @@ patterns, and every piece finds its sequence from its class and rank alone.
 from __future__ import annotations
 
 import base64
+import json
 import re
 import zlib
 from array import array
@@ -34,8 +35,11 @@ TABLE_CHUNKS, LONG_CHUNK = 400_000, 64
 class ByteTable(dict):
     """Ids of distinct chunks as little-endian unsigned 32-bit integers, filled on demand."""
 
-    def __init__(self, ranks: str):
+    def __init__(self, ranks: str, special: tuple[tuple[str, int], ...] = ()):
         super().__init__()
+        # special tokens are cut out of a text before anything else, the longer of two that begin together
+        self.special = {token: array("I", [i]).tobytes() for token, i in special}
+        self.splits = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
         with open(ranks, "rb") as lines:
             pairs = [line.split() for line in lines if line.strip()]
         self.encoding = tiktoken.Encoding(
@@ -51,20 +55,33 @@ class ByteTable(dict):
     def ids(self, texts: list[str]) -> list[bytes]:
         if len(self) > TABLE_CHUNKS:
             self.clear()
-        return [b"".join(map(self.__getitem__, CHUNKS.findall(t))) for t in texts]
+        return [self._ids(t) for t in texts]
+
+    def _ids(self, text: str) -> bytes:
+        if not any(token in text for token in self.special):
+            return b"".join(map(self.__getitem__, CHUNKS.findall(text)))
+        return b"".join(self.special.get(part) or b"".join(map(self.__getitem__, CHUNKS.findall(part)))
+                        for part in self.splits.split(text))
+
+
+def special_tokens(tokenizer: str) -> tuple[tuple[str, int], ...]:
+    """Special tokens that a tokenizer file (JSON) lists, with their ids: the library finds them in texts."""
+    with open(tokenizer, encoding="utf-8") as lines:
+        return tuple((t["content"], t["id"]) for t in json.load(lines)["added_tokens"] if t["special"])
 
 
 @lru_cache(maxsize=4)
-def byte_table(ranks: str) -> ByteTable:
+def byte_table(ranks: str, special: tuple[tuple[str, int], ...] = ()) -> ByteTable:
     """One table per vocabulary and Python worker."""
-    return ByteTable(ranks)
+    return ByteTable(ranks, special)
 
 
-def pieces_of(text: Column, ranks: str, end_id: int, length: int) -> Column:
+def pieces_of(text: Column, ranks: str, end_id: int, length: int,
+              special: tuple[tuple[str, int], ...] = ()) -> Column:
     """Column of ``array<struct<start, length, ids_crc32, doc_tokens>>``; a null text counts as empty."""
     @F.arrow_udf("array<struct<start long, length long, ids_crc32 long, doc_tokens long>>")
     def cut(texts: pa.Array) -> pa.Array:
-        table, tail = byte_table(ranks), array("I", [end_id]).tobytes()
+        table, tail = byte_table(ranks, special), array("I", [end_id]).tobytes()
         at, start, size, crc, total = [0], [], [], [], []
         for _, group in text_groups(texts.to_pylist()):
             for ids in table.ids(group):
@@ -104,17 +121,19 @@ def _dealt(plan: list[tuple[dict[int, int], int]]) -> dict[int, np.ndarray]:
 
 
 def pack(docs: DataFrame, ranks: str, id_col: str = "doc_id", text_col: str = "text", length: int = 2048,
-         end_id: int = 1, grain: int = 4) -> DataFrame:
+         end_id: int = 1, grain: int = 4, special: tuple[tuple[str, int], ...] = ()) -> DataFrame:
     """``id, start, length, ids_crc32, doc_tokens, sequence_id, offset`` of every piece.
 
     Sequences hold ``length`` tokens at most; pieces follow each other without a gap from offset 0,
     longer classes first. Each row of ``docs`` is packed by itself, repeated rows and rows without an
     id included; a null or empty text is the end id alone. Lengths are counted in steps of ``grain``
-    tokens, so a piece may leave up to ``grain - 1`` tokens unused. No rows give no pieces.
+    tokens, so a piece may leave up to ``grain - 1`` tokens unused. No rows give no pieces. The strings of
+    ``special`` in a text become their id, as ``special_tokens`` lists them for a vocabulary; without
+    it they are ordinary text.
     """
     if length % grain:
         raise ValueError("grain has to divide length")
-    piece = F.explode(pieces_of(F.col(text_col), ranks, end_id, length)).alias("p")
+    piece = F.explode(pieces_of(F.col(text_col), ranks, end_id, length, special)).alias("p")
     pieces = materialize(docs.select(F.col(id_col).alias("id"), piece).select("id", "p.*")
                          .withColumn("class", F.ceil(F.col("length") / grain).cast("int")), "pieces")
     full = length // grain

@@ -11,6 +11,7 @@ from tessella.llm.common import forget, materialize, remainder, table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+BYTE_SPECIAL = packing.special_tokens(public_tokenizers.path("byte_bpe_50k.json"))
 
 QUERIES, ORACLES = {}, {}
 
@@ -143,7 +144,7 @@ def quality_scores(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("op8_packing")
 def packed(spark: SparkSession, sf: str) -> DataFrame:
-    return packing.pack(table(spark, sf, "documents"), BYTE_RANKS).withColumnRenamed("id", "doc_id")
+    return packing.pack(table(spark, sf, "documents"), BYTE_RANKS, special=BYTE_SPECIAL).withColumnRenamed("id", "doc_id")
 
 
 @query("op9_fertility_rules")

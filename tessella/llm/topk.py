@@ -122,7 +122,9 @@ def whole_vectors(df: DataFrame, id_col: str, vector_col: str, scale: float) ->
     return (df.where(F.col(id_col).isNotNull() & vec.isNotNull() & ~bad)
             .select(F.col(id_col).cast("long").alias("id"),
                     F.transform(vec, lambda x: F.lit(scale) * x.cast("double")).alias("vec"))
-            .select("id", F.transform("vec", lambda x: x - F.pmod(x, F.lit(1.0))).alias("vec"))
+            # doubles from 2 ** 53 on are whole, and floor gives a long
+            .select("id", F.transform("vec", lambda x: F.when(F.abs(x) < 2.0 ** 53, F.floor(x).cast("double"))
+                                      .otherwise(x)).alias("vec"))
             .groupBy("id").agg(F.min("vec").alias("vec")))
 
 

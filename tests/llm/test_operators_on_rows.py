@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 
 import numpy as np
 import pytest
@@ -158,6 +159,13 @@ def test_top_k_of_few_rows(spark):
     assert topk.top_k(topk.whole_vectors(df.limit(0), "id", "v", 256.0), F.col("id") % 10 == 0, 5).count() == 0
 
 
+def test_components_are_floored(spark):
+    values = [-1e-20, -0.0, 0.0, 1e-20, -1.0, -0.00390625, 0.999, 2.0 ** 60, -2.0 ** 60, 2.0 ** 45 + 0.5, -5e-324]
+    df = spark.createDataFrame([(0, values)], "id long, v array<double>")
+    got = topk.whole_vectors(df, "id", "v", 256.0).first()["vec"]
+    assert got == [float(math.floor(256.0 * v)) for v in values]
+
+
 def test_hosts(spark):
     urls = {"http://A.example.com/x": "a.example.com", "https://u:p@b.org:81/": "b.org", "ftp://c.net.?q": "c.net",
             "no url": None, "": None, None: None, "http:///x": None, "http://d.com#top": "d.com"}

@@ -239,13 +239,19 @@ def test_best_pattern_equals_all_patterns():
     assert worth == pytest.approx(max(every)) and counts @ size <= 13 and counts @ value == pytest.approx(worth)
 
 
-def test_packing(docs, empty):
+SPECIAL_TEXTS = ["<|endoftext|>", "hello <|endoftext|>", "a<|endoftext|> <|endoftext|><|endoftext|>b  <|endoftext|>\n c",
+                 "<|endoftext| >", "x  <|endoftext|>  y<|endoftext"]
+
+
+def test_packing(spark, docs, empty):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
-    got = packing.pack(docs.where("doc_id <> 3"), BYTE_RANKS).toPandas()
-    for i, text in enumerate(TEXTS):
-        if i == 3:
-            continue
+    special = packing.special_tokens(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = dict(enumerate(TEXTS)) | {1000 + i: t for i, t in enumerate(SPECIAL_TEXTS)}
+    del texts[3]
+    more = spark.createDataFrame([(1000 + i, t) for i, t in enumerate(SPECIAL_TEXTS)], "doc_id long, text string")
+    rows = docs.where("doc_id <> 3").select("doc_id", "text").union(more)
+    got = packing.pack(rows, BYTE_RANKS, special=special).toPandas()
+    for i, text in texts.items():
         ids = np.array(tokenizer.encode(text or "", add_special_tokens=False).ids + [1], "<u4")
         own = got[got["id"] == i].sort_values("start")
         assert own["length"].sum() == len(ids) and set(own["doc_tokens"]) == {len(ids)}
@@ -256,10 +262,18 @@ def test_packing(docs, empty):
     for _, sequence in got.sort_values("offset").groupby("sequence_id"):
         assert sequence["length"].sum() <= 2048
         assert sequence["offset"].tolist() == [0, *sequence["length"].cumsum().tolist()[:-1]]
-    assert packing.pack(docs, BYTE_RANKS).count() == len(got) + 3
+    assert packing.pack(docs, BYTE_RANKS).count() == len(got) + 3 - len(SPECIAL_TEXTS)
     assert packing.pack(empty, BYTE_RANKS).count() == 0
 
 
+def test_special_tokens_are_plain_text_unless_named():
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    tokenizer.encode_special_tokens = True
+    made = packing.ByteTable(BYTE_RANKS).ids(SPECIAL_TEXTS)
+    assert [np.frombuffer(m, "<u4").tolist() for m in made] == [
+        tokenizer.encode(t, add_special_tokens=False).ids for t in SPECIAL_TEXTS]
+
+
 def test_remainder_is_crc32_of_the_text(spark):
     got = spark.range(-3, 200).union(spark.createDataFrame([(None,)], "id long")).select(
         "id", remainder(F.col("id"), 5).alias("r")).collect()
