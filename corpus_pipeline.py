@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tessella.llm import fertility, ngramjoin, packing, quality
 from tessella.llm.common import materialize, table
-from tessella.llm.queries import BYTE_RANKS, PIECES, trained_quality
+from tessella.llm.queries import BYTE_RANKS, BYTE_SPECIAL, PIECES, trained_quality
 
 #: a document of lower score goes
 LEAST_QUALITY = 0.7
@@ -56,7 +56,7 @@ def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents, packed into sequences of 2048 tokens."""
-    return packing.pack(docs, BYTE_RANKS).withColumnRenamed("id", "doc_id")
+    return packing.pack(docs, BYTE_RANKS, special=BYTE_SPECIAL).withColumnRenamed("id", "doc_id")
 
 
 STAGES = [("quality_classifier", classified), ("quality_rules", ruled), ("ngram_join", deduplicated),
