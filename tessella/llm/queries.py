@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tessella.llm import (fertility, langid, ngramjoin, packing, pieces, quality, tokencounts, topk, urlfilter,
-                          warc)
+from tessella.llm import (fertility, langid, ngramjoin, packing, pieces, quality, repeats,
+                          tokencounts, topk, urlfilter, warc)
 from tessella.llm.common import forget, materialize, remainder, table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -191,3 +191,19 @@ def warc_fixity(spark: SparkSession, sf: str) -> DataFrame:
     found = warc.audit(ours, replica_of(ours))
     return (found.join(ours.select("archive", "seq", "page_id"), ["archive", "seq"])
             .select("page_id", "seq", "record_offset", "length", "problem"))
+
+
+@query("op13_suffix_dedup", """WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(coalesce(text, '')) AS h FROM documents),
+w AS (SELECT r, unnest(range(0, len(h) // 2 - 199)) AS p, h FROM d),
+k AS (SELECT r, p, md5(substr(h, 2 * p + 1, 400)) AS k FROM w),
+s AS (SELECT r, p FROM (SELECT r, p, count(*) OVER (PARTITION BY k) AS c FROM k) WHERE c > 1),
+n AS (SELECT r, p, CASE WHEN p <= lag(p) OVER (PARTITION BY r ORDER BY p) + 200 THEN 0 ELSE 1 END AS new FROM s),
+g AS (SELECT r, p, sum(new) OVER (PARTITION BY r ORDER BY p) AS g FROM n),
+i AS (SELECT r, min(p) AS a, max(p) + 200 AS b FROM g GROUP BY r, g),
+j AS (SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS e FROM i),
+t AS (SELECT r, sum(b - a) AS removed, count(*) AS spans, max(b) AS z,
+  string_agg(substr(h, 2 * e + 1, 2 * (a - e)), '' ORDER BY a) AS front FROM j JOIN d USING (r) GROUP BY r)
+SELECT doc_id, len(h) // 2 AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, coalesce(spans, 0) AS n_spans,
+  sha256(unhex(coalesce(front || substr(h, 2 * z + 1), h))) AS kept_sha256 FROM d LEFT JOIN t USING (r)""")
+def suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf, "documents")).withColumnRenamed("id", "doc_id")
