@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tessella.llm import (fertility, langid, ngramjoin, packing, pieces, quality, repeats,
+from tessella.llm import (fertility, langid, lexical, negatives, ngramjoin, packing, pieces, quality, repeats,
                           tokencounts, topk, urlfilter, warc)
 from tessella.llm.common import forget, materialize, remainder, table
 
@@ -193,6 +193,46 @@ def warc_fixity(spark: SparkSession, sf: str) -> DataFrame:
             .select("page_id", "seq", "record_offset", "length", "problem"))
 
 
+_TERMS = (r"unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))")
+
+
+@query("op11_ranked_search", f"""WITH i AS (SELECT DISTINCT item_id, {_TERMS} AS term FROM benchmark),
+d AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+f AS (SELECT r, doc_id, term, count(*) AS tf FROM (SELECT r, doc_id, {_TERMS} AS term FROM d) GROUP BY ALL),
+n AS (SELECT r, CAST(sum(tf) AS BIGINT) AS n FROM f GROUP BY r),
+g AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS len FROM n),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM f, g GROUP BY term, docs),
+m AS (SELECT r, 50 + (50 * n * docs) // len AS m FROM n, g),
+s AS (SELECT item_id, r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+  FROM i JOIN f USING (term) JOIN w USING (term) JOIN m USING (r) GROUP BY ALL),
+o AS (SELECT item_id, doc_id, score, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+  FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM o WHERE rank <= 50""")
+def ranked_search(spark: SparkSession, sf: str) -> DataFrame:
+    return (lexical.ranked_search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+            .withColumnsRenamed({"item": "item_id", "id": "doc_id"}))
+
+
+@query("op12_hard_negatives", """WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(list_dot_product(a.e, c.e) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 50 = 0),
+q AS (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS n FROM p WHERE same),
+r AS (SELECT q.anchor_id, q.vec_id AS positive_id, p.vec_id AS negative_id, q.score AS positive_score, p.score AS negative_score,
+    CAST(row_number() OVER (PARTITION BY q.anchor_id, q.vec_id ORDER BY p.score DESC, p.vec_id) AS INTEGER) AS rank
+  FROM q JOIN p ON p.anchor_id = q.anchor_id AND NOT p.same AND 50 * q.score <= 100 * p.score AND 100 * p.score <= 95 * q.score
+  WHERE q.n <= 5)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM r WHERE rank <= 3""")
+def hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf, "embeddings").withColumn("label", label)
+    return negatives.hard_negatives(rows, F.col("id") % 50 == 0, "vec_id", "embedding", "label", scale=256.0)
+
+
 @query("op13_suffix_dedup", """WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(coalesce(text, '')) AS h FROM documents),
 w AS (SELECT r, unnest(range(0, len(h) // 2 - 199)) AS p, h FROM d),
 k AS (SELECT r, p, md5(substr(h, 2 * p + 1, 400)) AS k FROM w),
