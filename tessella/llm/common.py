@@ -51,6 +51,18 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """The name, with underscores in front until no column of the frame has it."""
+    while name in df.columns:
+        name = "_" + name
+    return name
+
+
+def row_of(columns: list[str]) -> Column:
+    """The columns as one struct, so that their names can't clash with any others."""
+    return F.struct(*[F.col(f"`{c}`") for c in columns])
+
+
 def remainder(doc_id: Column, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``; -1 for rows without an id."""
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(parts)),
@@ -69,6 +81,25 @@ def in_sample(key: Column, share: float) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))
 
 
+_TABLE: dict[tuple, object] = {}
+
+
+def worker_table(make, *args):
+    """What ``make(*args)`` gives, kept by this Python worker; the table of another operator goes first.
+
+    Workers serve one stage after the other, so tables of earlier stages would add up.
+    """
+    if (make, args) not in _TABLE:
+        _TABLE.clear()
+        _TABLE[make, args] = make(*args)
+    return _TABLE[make, args]
+
+
+def drop_tables() -> None:
+    """Free what this Python worker keeps for other operators."""
+    _TABLE.clear()
+
+
 def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tessella.llm.common import WORD_SPACE, forget, materialize, mix64, struct_array, text_groups
+from tessella.llm.common import WORD_SPACE, forget, materialize, mix64, row_of, struct_array, text_groups
 from tessella.llm.pieces import piece_table
 
 #: characters that count as symbols: a fixed value of the contract
@@ -251,27 +251,26 @@ def fertility_bands(rows: DataFrame, spread: float = 4.0) -> DataFrame:
 
 
 def judge(docs: DataFrame, model: str, text_col: str = "text", lang_col: str | None = "lang",
-          carry: list[str] | None = None, verdict: str = "_verdict", spread: float = 4.0,
-          write: bool = True) -> DataFrame:
+          carry: list[str] | None = None, verdict: str = "_verdict", spread: float = 4.0) -> DataFrame:
     """The carried columns of every row (all by default) and a struct column with its verdict.
 
     The struct has the base counts, the three measures, ``base_failed`` and ``kept``: whether the
     base rule holds and every measure lies in the band of the row's class of token counts in its
     language, or in its script where the language is null. The fewer documents of a group pass the base rule, the wider its bands and the
     nearer to those of its script. A null text has no words and fails; without any passing document nothing is
-    kept. Repeated rows are judged alike, one by one. With ``write`` the carried columns and measures are
-    written once to the shared folder; without, texts are measured a second time instead.
+    kept. Repeated rows are judged alike, one by one. The carried columns may have any names but that of
+    the verdict. They and the measures are written once to the shared folder.
     """
     carry = docs.columns if carry is None else carry
+    if verdict in carry:
+        raise ValueError(f"the rows have a column {verdict} of their own")
     script = F.concat(F.lit("script "), F.col("_m.script"))
     group = (F.coalesce(F.concat(F.lit("lang "), F.col("_lang").cast("string")), script)
              if lang_col else script)
-    rows = (docs.select(
-        *[F.col(f"`{c}`") for c in carry], measured(F.col(f"`{text_col}`"), model).alias("_m"),
+    rows = materialize(docs.select(
+        row_of(carry).alias("_row"), measured(F.col(f"`{text_col}`"), model).alias("_m"),
         (F.col(f"`{lang_col}`") if lang_col else F.lit(None)).alias("_lang"))
-        .withColumn("_group", group).drop("_lang"))
-    if write:
-        rows = materialize(rows, "fertility")
+        .withColumn("_group", group).drop("_lang"), "fertility")
     failed = ((F.col("_m.n_words") < LEAST_WORDS)
               | (100 * F.col("_m.n_repeat_words") > MOST_REPEATED * F.col("_m.n_words")))
     bands = fertility_bands(rows.where(~failed).select(
@@ -290,5 +289,5 @@ def judge(docs: DataFrame, model: str, text_col: str = "text", lang_col: str | N
     kept = ~failed & inside(MEASURES[0]) & inside(MEASURES[1]) & inside(MEASURES[2])
     return (rows.withColumn("_class", class_of(F.col("_m.n_tokens")))
             .join(by_class, ["_group", "_class"], "left")
-            .select(*[F.col(f"`{c}`") for c in carry],
-                    F.col("_m").withField("base_failed", failed).withField("kept", kept).alias(verdict)))
+            .select("_row", F.col("_m").withField("base_failed", failed).withField("kept", kept).alias("_v"))
+            .select("_row.*", F.col("_v").alias(verdict)))

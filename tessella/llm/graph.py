@@ -27,16 +27,18 @@ def components(edges: DataFrame) -> DataFrame:
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     while not _is_stars(now):
         both = now.union(now.select("b", "a"))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
+        # written, since a join splits a hot centre only between two scans, not beside an aggregate
+        least = materialize(both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m")), "least")
         # large star: neighbours above an id move to the smallest around it
-        large = (both.where("b > a").join(least, "a")
-                 .select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
+        large = materialize(both.where("b > a").join(least, "a")
+                            .select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "large")
         # small star: an id and its smaller neighbours move to the smallest of them
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        low = materialize(large.groupBy("a").agg(F.min("b").alias("m")), "low")
         small = (large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .union(low.select("a", F.col("m").alias("b"))).where("a <> b").distinct())
         made = materialize(small, "edges")
-        forget(now)
+        for used in (now, least, large, low):
+            forget(used)
         now = made
     own = now.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
     return now.select(F.col("a").alias("id"), F.col("b").alias("component")).union(own)

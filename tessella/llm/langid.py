@@ -22,6 +22,8 @@ UNDETERMINED = "und"
 ORDERS = (1, 2, 3)
 #: code points of one text that are scored at a time
 WINDOW = 1 << 20
+#: grams of a batch of sparse rows, and cells of its product with the model at a time
+BATCH_GRAMS, PRODUCT_CELLS = 1 << 18, 1 << 20
 
 
 @dataclass
@@ -76,19 +78,19 @@ def _windows(text: str, buckets: int) -> Iterator[np.ndarray]:
 
 def fit_language_model(docs: DataFrame, text: Column, lang: Column, key: Column,
                        n_buckets: int = 1 << 15, smoothing: float = 0.1, fit_rows: int = 100_000,
-                       max_languages: int = 256) -> LanguageModel:
+                       max_cells: int = 1 << 23) -> LanguageModel:
     """Learn from the rows of ``docs`` that have a text and a language.
 
-    At most about ``fit_rows`` rows are used, picked by a hash of ``key``: the bound of the sample.
-    Without any row the model knows no language.
+    At most about ``fit_rows`` rows are used, picked by a hash of ``key``: the bound of the sample, so the
+    model knows as many languages at most. Buckets are halved until buckets x languages, what is broadcast,
+    is within ``max_cells`` (from 257 languages on, as it stands). Without any row the model knows no language.
     """
     rows = (docs.select(text.alias("t"), lang.alias("l"), key.alias("k"))
             .where("t is not null and l is not null"))
-    sizes = rows.groupBy("l").count().limit(max_languages + 1).collect()
-    if len(sizes) > max_languages:
-        raise ValueError(f"more than {max_languages} languages")
-    share = sample_share(sum(r["count"] for r in sizes), fit_rows)
-    rows = rows.where(in_sample(F.col("k"), share))
+    rows = rows.where(in_sample(F.col("k"), sample_share(rows.count(), fit_rows)))
+    languages = rows.select("l").distinct().count()
+    while n_buckets > 2 and n_buckets * languages > max_cells:
+        n_buckets //= 2
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, np.ndarray] = {}
@@ -122,16 +124,32 @@ def fit_language_model(docs: DataFrame, text: Column, lang: Column, key: Column,
                          np.log(texts / texts.sum()) if names else texts)
 
 
+def _add_rows(out: np.ndarray, keys: list[np.ndarray], log_prob: np.ndarray) -> None:
+    """Add the product of a sparse matrix (texts x buckets, entries as keys) and the log-probabilities."""
+    if not keys:
+        return
+    cell, count = np.unique(np.concatenate(keys), return_counts=True)
+    row, bucket = np.divmod(cell, len(log_prob))
+    step = max(1, PRODUCT_CELLS // log_prob.shape[1])
+    for a in range(0, len(row), step):
+        own, first = np.unique(row[a:a + step], return_index=True)
+        product = count[a:a + step, None] * log_prob[bucket[a:a + step]]
+        out[own] += np.add.reduceat(product, first, axis=0)
+
+
 def _score(model: LanguageModel, texts: list[str]) -> np.ndarray:
-    """Log-probability of each text and language."""
+    """Log-probability of each text and language, a batch of sparse rows at a time."""
     n_buckets = len(model.log_prob)
     out = np.tile(model.log_prior, (len(texts), 1))
+    keys, held = [], 0
     for i, text in enumerate(texts):
         for grams in _windows(text, n_buckets):
-            # sparse row of the text: its buckets and how often each occurs
-            counts = np.bincount(grams, minlength=n_buckets)
-            hit = np.flatnonzero(counts)
-            out[i] += counts[hit] @ model.log_prob[hit]
+            keys.append(grams + i * n_buckets)
+            held += len(grams)
+            if held >= BATCH_GRAMS:
+                _add_rows(out, keys, model.log_prob)
+                keys, held = [], 0
+    _add_rows(out, keys, model.log_prob)
     return out
 
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from tessella.llm.common import forget, materialize, mix64, struct_array
+from tessella.llm.common import drop_tables, forget, materialize, mix64, struct_array
 from tessella.llm.graph import components
 
 #: size classes grow by this factor; a set also joins the class below when it can link into it
@@ -133,6 +133,7 @@ def fingerprint(hashes: np.ndarray) -> tuple[int | None, int | None]:
 def _profile(text: Column, words: int, percent: int) -> Column:
     @F.arrow_udf("struct<n long, fp1 long, fp2 long, bins array<int>, spare map<int, int>>")
     def profile(texts: pa.Array) -> pa.Array:
+        drop_tables()
         n, fp1, fp2, bins, spare = [], [], [], [], []
         for t in texts:
             grams = shingles(t.as_py(), words)
@@ -154,6 +155,7 @@ def _signed(docs: DataFrame, words: int, percent: int, once: bool) -> DataFrame:
     fingerprint, so a large group of copies sends one row per signature and task.
     """
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_tables()
         seen: set[tuple] = set()
         for batch in batches:
             sigs, ids, size = [], [], 0
@@ -293,9 +295,10 @@ def _rest(docs: DataFrame, members: DataFrame, labels: DataFrame, sets: DataFram
     """
     labelled = (members.join(labels.select(F.col("id").alias("rep"), "component"), "rep", "left")
                 .withColumn("label", F.coalesce("component", "rep")).drop("component"))
-    split = (labelled.groupBy("sig").agg(F.min("rep").alias("hub"), F.count("*").alias("c"),
-                                         F.min("label").alias("x"), F.max("label").alias("y"))
-             .where("c > 2 and x <> y").select("sig", "hub", "c"))
+    labelled = materialize(labelled, "labelled")
+    split = materialize(labelled.groupBy("sig").agg(F.min("rep").alias("hub"), F.count("*").alias("c"),
+                                                    F.min("label").alias("x"), F.max("label").alias("y"))
+                        .where("c > 2 and x <> y").select("sig", "hub", "c"), "several")
     split = materialize(labelled.join(split, "sig"), "split")
     if split.isEmpty():
         return None
@@ -356,13 +359,15 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, id_co
     own = known.groupBy("id").agg(F.min(mark).alias("s"), F.max(mark).alias("t"),
                                   F.min_by(F.struct("bins", "spare"), mark).alias("u"))
     one_text_each = own.where("s <> t").isEmpty()
-    own = own.select("id", "s.*", "u.*")
-    sets = materialize(own.join(own.groupBy("fp1", "fp2", "n").agg(F.min("id").alias("rep")),
-                                ["fp1", "fp2", "n"]).select("id", "n", "fp1", "bins", "spare", "rep"), "sets")
-    # made twice, once to count and once to pick those that meet: writing them would cost more disk
-    # than hashing the texts again costs time, and either shuffle can split a large group
+    # joins split a large group only between two tables as they are, so aggregates are written first
+    own = materialize(own.select("id", "s.*", "u.*"), "own")
+    reps = materialize(own.groupBy("fp1", "fp2", "n").agg(F.min("id").alias("rep")), "reps")
+    sets = materialize(own.join(reps, ["fp1", "fp2", "n"]).select("id", "n", "fp1", "bins", "spare", "rep"), "sets")
+    forget(own)
+    # made twice, once to count and then to pick those that meet: writing them would cost more disk
+    # than hashing the texts again costs time
     signed = _signed(docs, words, percent, one_text_each)
-    met = signed.groupBy("sig").agg(F.count("*").alias("c")).where("c > 1")
+    met = materialize(signed.groupBy("sig").agg(F.count("*").alias("c")).where("c > 1"), "met")
     kind = F.col("sig").bitwiseAND((1 << CLASS_BITS) - 1).cast("int")
     shared = (signed.join(met, "sig").join(sets.select("id", "rep", "spare"), "id")
               .select("sig", "rep", "c", kind.alias("kind"), F.element_at("spare", kind).alias("spare"))
@@ -371,7 +376,8 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, id_co
     order = W.partitionBy("rep", "kind").orderBy(F.desc("c"), "sig")
     members = materialize(shared.withColumn("place", F.row_number().over(order))
                           .where("place > coalesce(spare, 0)").select("sig", "rep"), "members")
-    hubs = members.groupBy("sig").agg(F.min("rep").alias("hub"))
+    forget(met)
+    hubs = materialize(members.groupBy("sig").agg(F.min("rep").alias("hub")), "hubs")
     pairs = (members.join(hubs, "sig").where("rep <> hub")
              .select(F.col("rep").alias("id"), "hub").distinct())
     links = _verified(docs, pairs, sets, words, percent)

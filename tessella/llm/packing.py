@@ -14,14 +14,13 @@ import json
 import re
 import zlib
 from array import array
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import tiktoken
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from tessella.llm.common import materialize, text_groups
+from tessella.llm.common import materialize, text_groups, worker_table
 from tessella.llm.cutting import stock_plan
 
 #: Unicode white space and the pattern that splits a text before byte merges: fixed values
@@ -30,6 +29,8 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 #: no pre-token goes on after white space that follows another character
 CHUNKS = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 TABLE_CHUNKS, LONG_CHUNK = 400_000, 64
+#: pieces of a chunk of ranks, as a power of two
+CHUNK_BITS = 15
 
 
 class ByteTable(dict):
@@ -70,10 +71,9 @@ def special_tokens(tokenizer: str) -> tuple[tuple[str, int], ...]:
         return tuple((t["content"], t["id"]) for t in json.load(lines)["added_tokens"] if t["special"])
 
 
-@lru_cache(maxsize=4)
 def byte_table(ranks: str, special: tuple[tuple[str, int], ...] = ()) -> ByteTable:
-    """One table per vocabulary and Python worker."""
-    return ByteTable(ranks, special)
+    """The table of a vocabulary in this Python worker."""
+    return worker_table(ByteTable, ranks, special)
 
 
 def pieces_of(text: Column, ranks: str, end_id: int, length: int,
@@ -135,7 +135,9 @@ def pack(docs: DataFrame, ranks: str, id_col: str = "doc_id", text_col: str = "t
         raise ValueError("grain has to divide length")
     piece = F.explode(pieces_of(F.col(text_col), ranks, end_id, length, special)).alias("p")
     pieces = materialize(docs.select(F.col(id_col).alias("id"), piece).select("id", "p.*")
-                         .withColumn("class", F.ceil(F.col("length") / grain).cast("int")), "pieces")
+                         .withColumn("class", F.ceil(F.col("length") / grain).cast("int"))
+                         # runs of rows as they are written: their number grows with the rows, whatever the ids
+                         .withColumn("chunk", F.shiftright(F.monotonically_increasing_id(), CHUNK_BITS)), "pieces")
     full = length // grain
     histogram = {r["class"]: r["n"] for r in pieces.groupBy("class").agg(F.count("*").alias("n")).collect()}
     short = np.array(sorted(c for c in histogram if c < full), np.int64)  # length / grain classes at most
@@ -143,14 +145,12 @@ def pack(docs: DataFrame, ranks: str, id_col: str = "doc_id", text_col: str = "t
     plan += stock_plan(short, np.array([histogram[c] for c in short], np.int64), full)
     dealt = docs.sparkSession.sparkContext.broadcast(_dealt(plan))  # bounded by the classes
 
-    # ranks within a class: chunks by a hash, so that a class with a third of all pieces is split
-    chunks = max(64, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    # ranks within a class by chunks, so that a class with a third of all pieces is split
     every = ["id", "start", "ids_crc32", "length", "doc_tokens"]
-    chunked = pieces.withColumn("chunk", F.pmod(F.xxhash64("id", "start"), F.lit(chunks)))
     before = W.partitionBy("class").orderBy("chunk").rowsBetween(W.unboundedPreceding, -1)
-    offsets = (chunked.groupBy("class", "chunk").agg(F.count("*").alias("n"))
+    offsets = (pieces.groupBy("class", "chunk").agg(F.count("*").alias("n"))
                .select("class", "chunk", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")))
-    ranked = (chunked.join(offsets, ["class", "chunk"])
+    ranked = (pieces.join(offsets, ["class", "chunk"])
               .withColumn("rank", F.col("before") - 1 + F.row_number().over(
                   W.partitionBy("class", "chunk").orderBy(*every))))
 

@@ -11,14 +11,13 @@ from __future__ import annotations
 
 import hashlib
 import re
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tessella.llm.common import struct_array, text_groups
+from tessella.llm.common import struct_array, text_groups, worker_table
 
 MARKER = "▁"
 CHUNKS = re.compile(f"[ {MARKER}]*[^ {MARKER}]+|[ {MARKER}]+")
@@ -72,10 +71,9 @@ class PieceTable:
         return self.processor.decode(np.frombuffer(ids, "<u4").tolist())
 
 
-@lru_cache(maxsize=4)
 def piece_table(model: str) -> PieceTable:
-    """One table per model and Python worker."""
-    return PieceTable(model)
+    """The table of a model in this Python worker."""
+    return worker_table(PieceTable, model)
 
 
 def piece_ids(text: Column, model: str, begin: bool = True, end: bool = True) -> Column:

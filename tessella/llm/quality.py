@@ -91,8 +91,10 @@ class QualityModel:
         return np.einsum("ij,j->i", self.features(x), self.weight)
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        if not len(self.knots):
+        if not len(self.weight):
             return np.full(len(x), 0.5)
+        if not len(self.knots):
+            return np.clip(self.ridge(x), 0.0, 1.0)
         return np.clip(np.interp(self.ridge(x), self.knots, self.levels), 0.0, 1.0)
 
 
@@ -138,8 +140,9 @@ def fit_quality_model(rows: DataFrame, n_features: int = 192, width: float = 0.3
     """Learn from rows ``key, x array<double>, y 0 or 1, calibrate boolean``.
 
     Rows with ``calibrate`` only serve the calibration. At most about ``fit_rows`` rows are used,
-    picked by a hash of the key: the bound of the sample. Without rows of both kinds, or of both
-    labels, the model scores 0.5 or the share of label 1.
+    picked by a hash of the key: the bound of the sample. Without rows to calibrate by, the scores are
+    those of the ridge, cut off at 0 and 1; without rows to fit, all are 0.5. With one label only the
+    scores lie near it. ``rows`` are read several times, so they should be written beforehand.
     """
     rows = rows.where("x is not null and y in (0, 1)")
     n, names = rows.count(), len(STATISTICS)
@@ -152,8 +155,10 @@ def fit_quality_model(rows: DataFrame, n_features: int = 192, width: float = 0.3
     model = QualityModel(
         moments[:names], np.where(moments[names:] > 1e-9, moments[names:], 1.0),
         rng.standard_normal((names, n_features)) * width, rng.uniform(0, 2 * np.pi, n_features),
-        np.zeros(1), np.empty(0), np.empty(0))
+        np.empty(0), np.empty(0), np.empty(0))
     sums = _normal_equations(rows.where("not calibrate"), model)
+    if not sums[0, 0]:
+        return model
     total = max(1.0, sums[0, 0])
     penalty = np.eye(len(sums) - 1) * ridge * total
     penalty[0, 0] = 1e-9

@@ -128,9 +128,11 @@ def trained_quality(docs: DataFrame, labels: DataFrame) -> tuple[quality.Quality
     """
     stats = materialize(docs.select("doc_id", quality.statistics_of(F.col("text")).alias("x")), "statistics")
     rest = remainder(F.col("doc_id"), 4)
-    learned = (stats.where(~rest.isin(2, -1))
-               .join(labels.where("quality is not null").select("doc_id", F.col("quality").alias("y")), "doc_id")
-               .select(F.col("doc_id").alias("key"), "x", "y", (rest == 3).alias("calibrate")))
+    # few rows, read several times: to count, for moments, sums and bins
+    learned = materialize(
+        stats.where(~rest.isin(2, -1))
+        .join(labels.where("quality is not null").select("doc_id", F.col("quality").alias("y")), "doc_id")
+        .select(F.col("doc_id").alias("key"), "x", "y", (rest == 3).alias("calibrate")), "learned")
     return quality.fit_quality_model(learned), stats
 
 

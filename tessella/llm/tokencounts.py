@@ -13,13 +13,12 @@ from __future__ import annotations
 import base64
 import math
 import re
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tessella.llm.common import mix64, struct_array, text_groups
+from tessella.llm.common import mix64, struct_array, text_groups, worker_table
 
 PRETOKENS = re.compile(r"\s*\S+|\s+")
 KNOWN_WORDS = 600_000
@@ -137,11 +136,14 @@ class UnigramTrie:
         return made
 
 
-@lru_cache(maxsize=4)
-def _trie(path: str) -> UnigramTrie:
+def _made(path: str) -> UnigramTrie:
     return UnigramTrie(piece_costs(path))
 
 
+def _trie(path: str) -> UnigramTrie:
+    return worker_table(_made, path)
+
+
 def token_counts(docs: DataFrame, vocabulary: str, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
     """``id, n_bytes, n_pretokens, n_tokens`` of every row under a public rank file.

@@ -3,14 +3,17 @@
 Dated list entries become validity intervals. Captures first collapse to their distinct hosts and
 periods; those meet the intervals of the host and of its parent domains, and what a host has in a
 period becomes one array. Each capture then joins its host's array and keeps what was active at its
-fetch time, so a host with a third of all captures costs one small row on the list side, and the
-join that gives every capture its array can split such a host. Everything is DataFrame operations.
+fetch time, so a host with a third of all captures costs one small row on the list side. The arrays are
+written before that join: between two tables as they are Spark splits such a host, beside an aggregate
+it doesn't. Everything is DataFrame operations.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from tessella.llm.common import materialize, row_of, unused
+
 #: seconds of a period; intervals are cut at its borders, so arrays stay short on busy lists
 PERIOD = 30 * 86400
 FOREVER = (1 << 62) - 1
@@ -58,10 +61,11 @@ def filter_urls(captures: DataFrame, entries: DataFrame, url_col: str = "url", a
     holds from its start up to, not including, its end (both in seconds). A ``host`` entry matches that
     host, a ``domain`` entry the domain and all below it. Captures without a host or time, and all
     captures under an empty list, have an empty array. One row per capture, repeated rows included.
+    Captures may have any other columns; where one is called ``out``, the array's name gets an underscore.
     """
-    host, at = "_host", "_at"
-    dated = (captures.withColumn(host, host_of(F.col(f"`{url_col}`")))
-             .withColumn(at, F.col(f"`{at_col}`").cast("long"))
+    host, at, out = "_host", "_at", unused(captures, out)
+    dated = (captures.select(row_of(captures.columns).alias("_row"), host_of(F.col(f"`{url_col}`")).alias(host),
+                             F.col(f"`{at_col}`").cast("long").alias(at))
              .withColumn("_period", F.floor(F.col(at) / PERIOD)))
     seen = dated.where("_host is not null and _period is not null").select("_host", "_period").distinct()
     # a domain entry may be a top-level domain, so the last label is looked up as well
@@ -78,13 +82,13 @@ def filter_urls(captures: DataFrame, entries: DataFrame, url_col: str = "url", a
     # entries of one pattern become an array before they meet hosts, so hosts below a domain share it
     entry = F.struct("list", "kind", "pattern", "valid_from", "valid_to")
     by_pattern = spans.groupBy("pattern", "_period").agg(F.collect_list(entry).alias("_entries"))
-    by_host = (keyed.join(by_pattern, ["pattern", "_period"]).groupBy("_host", "_period")
-               .agg(F.flatten(F.collect_list("_entries")).alias("_entries"))
-               .select(F.col("_host").alias("_h"), F.col("_period").alias("_p"), "_entries"))
+    by_host = materialize(keyed.join(by_pattern, ["pattern", "_period"]).groupBy("_host", "_period")
+                          .agg(F.flatten(F.collect_list("_entries")).alias("_entries"))
+                          .select(F.col("_host").alias("_h"), F.col("_period").alias("_p"), "_entries"), "by-host")
     active = F.filter("_entries", lambda e: (e["valid_from"] <= F.col(at)) & (F.col(at) < e["valid_to"])
                       & ((e["kind"] == "domain") | (e["pattern"] == F.col(host))))
     return (dated.join(by_host, (F.col(host) == F.col("_h")) & (F.col("_period") == F.col("_p")), "left")
-            .withColumn(out, F.array_sort(F.coalesce(
+            .select("_row", F.array_sort(F.coalesce(
                 active, F.array().cast("array<struct<list:string,kind:string,pattern:string,"
-                                       "valid_from:bigint,valid_to:bigint>>"))))
-            .select(*[F.col(f"`{c}`") for c in captures.columns], F.col(f"`{out}`")))
+                                       "valid_from:bigint,valid_to:bigint>>"))).alias("_active"))
+            .select("_row.*", F.col("_active").alias(out)))

@@ -251,3 +251,12 @@ def test_warc_record(spark):
         warc.warc_record(F.col("u"), F.col("h")).alias("r")).collect()
     assert bytes(got[0]["r"]).endswith("Content-Length: 2\r\n\r\né\r\n\r\n".encode())
     assert b"Content-Length: 0\r\n" in bytes(got[1]["r"])
+
+
+def test_url_filters_keep_any_columns(spark):
+    pages = spark.createDataFrame([("http://a.b.com/x", 10, 1, "h", 2, 3, 4, 5)],
+                                  "url string, fetched_at long, _host int, matches string, _at int, _period int, _h int, _entries int")
+    entries = spark.createDataFrame([("l", "domain", "b.com", "add", 5)], "list string, kind string, pattern string, action string, at long")
+    got = urlfilter.filter_urls(pages, entries)
+    assert got.columns == [*pages.columns, "_matches"] and tuple(got.first())[:8] == tuple(pages.first())
+    assert len(got.first()["_matches"]) == 1

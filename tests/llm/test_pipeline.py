@@ -64,6 +64,19 @@ def test_pipeline_of_odd_rows(spark):
             assert out.count() >= 0
 
 
+def test_rows_that_share_an_id_are_documents_of_their_own(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    other = " ".join(f"v{i}" for i in range(60))
+    rows = [(1, text), (1, other), (2, text + " x"), (3, other), (3, other), (None, text), (None, "u " * 30), (None, "u " * 30),
+            (5, ""), (5, None), (4, "alone")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1, 7) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long, _row int")
+    got = corpus_pipeline.deduplicated(spark, docs, SF)
+    assert got.columns == docs.columns
+    assert sorted(map(str, ((r["doc_id"], r["text"]) for r in got.collect()))) == sorted(map(str, [
+        (1, text), (1, other), (None, "u " * 30), (5, ""), (5, None), (4, "alone")]))
+
+
 def test_one_query_per_operator():
     numbers = [int(n[2:].split("_")[0]) for n in queries.QUERIES]
     assert sorted(numbers) == list(range(1, 14)) and set(queries.ORACLES) <= set(queries.QUERIES)

@@ -92,6 +92,73 @@ def test_language_of_texts(spark):
     assert docs.select(langid.predict_language(F.col("text"), none, spark).lang_pred).distinct().first()[0] == "und"
 
 
+def plain_grams(text, buckets):
+    """Bucket of every 1- to 3-gram of a text."""
+    lower = re.sub(" +", " ", "".join(c if c.isalpha() else " " for c in text.lower()))
+    points = [32, *map(ord, lower), 32]
+    for n in (1, 2, 3):
+        for at in range(len(points) - n + 1):
+            value = n
+            for p in points[at:at + n]:
+                value = (value ^ p) * 0x9E3779B97F4A7C15 % 2 ** 64
+                value ^= value >> 29
+            yield value % buckets
+
+
+def test_language_equals_a_plain_model(spark):
+    rng = np.random.default_rng(4)
+    alphabets = {"x": "abcdef", "y": "defghi", "z": "ghiéa1 "}
+    rows = [(i, "".join(rng.choice(list(alphabets[lang]), int(rng.integers(1, 60)))), lang)
+            for i, lang in enumerate(rng.choice(list(alphabets), 60).tolist())]
+    rows += [(60, rows[0][1], "x"), (61, rows[0][1], "y"), (62, None, "x"), (63, "no language", None), (64, "", "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    buckets, smoothing = 256, 0.1
+    counts = {k: np.zeros(buckets) for k in alphabets}
+    texts = dict.fromkeys(alphabets, 0)
+    for _, text, lang in rows:
+        if text is not None and lang is not None:
+            texts[lang] += 1
+            for b in plain_grams(text, buckets):
+                counts[lang][b] += 1
+    model = langid.fit_language_model(docs, F.col("text"), F.col("lang"), F.col("doc_id"), buckets, smoothing)
+    got = docs.select("doc_id", langid.predict_language(F.col("text"), model, spark).alias("p")).collect()
+    for row, (_, text, _) in zip(sorted(got), rows):
+        if text is None or not any(map(str.isalpha, text)):
+            assert tuple(row["p"]) == ("und", 0.0)
+            continue
+        log = {}
+        for lang in alphabets:
+            prob = np.log((counts[lang] + smoothing) / (counts[lang] + smoothing).sum())
+            log[lang] = np.log(texts[lang] / sum(texts.values())) + sum(prob[b] for b in plain_grams(text, buckets))
+        best = max(sorted(log), key=log.get)
+        assert row["p"]["lang_pred"] == best
+        assert row["p"]["score"] == pytest.approx(1 / sum(np.exp(v - log[best]) for v in log.values()))
+
+
+def test_equal_languages_and_very_many(spark):
+    rows = [(i, "same text", lang) for i, lang in enumerate(["b", "a", "c"] * 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit_language_model(docs, F.col("text"), F.col("lang"), F.col("doc_id"))
+    assert docs.select(langid.predict_language(F.col("text"), model, spark).lang_pred).distinct().collect() == [("a",)]
+    many = spark.createDataFrame([(i, chr(0x4E00 + i) * 9, f"l{i}") for i in range(300)], docs.schema)
+    model = langid.fit_language_model(many, F.col("text"), F.col("lang"), F.col("doc_id"), max_cells=300 << 12)
+    assert len(model.languages) == 300 and len(model.log_prob) == 1 << 12
+    got = many.select("lang", langid.predict_language(F.col("text"), model, spark).lang_pred.alias("p"))
+    assert got.where("lang = p").count() >= 270
+
+
+def test_sparse_product_in_steps(monkeypatch):
+    texts = ["abc abd", "", "xyz " * 50, "abc"]
+    rng = np.random.default_rng(0)
+    model = langid.LanguageModel(["p", "q"], rng.normal(size=(64, 2)), np.array([0.5, 0.25]))
+    whole = langid._score(model, texts)
+    want = [model.log_prior + sum(model.log_prob[g] for g in plain_grams(t, 64)) for t in texts]
+    assert np.allclose(whole, want)
+    monkeypatch.setattr(langid, "BATCH_GRAMS", 10)
+    monkeypatch.setattr(langid, "PRODUCT_CELLS", 6)
+    assert np.allclose(langid._score(model, texts), want)
+
+
 def test_language_windows_lose_no_gram(monkeypatch):
     text = "Every gram of a long text counts, wherever a window ends."
     whole = np.sort(np.concatenate(list(langid._windows(text, 1 << 15))))
@@ -212,6 +279,40 @@ def test_quality_separates_and_is_monotone(spark):
     assert scores.between(0, 1).all()
 
 
+def test_quality_equals_a_plain_fit(spark):
+    """Normal equations, ridge and calibration against dense formulas over all rows."""
+    rng = np.random.default_rng(8)
+    width = len(quality.STATISTICS)
+    x = rng.normal(size=(300, width))
+    y = (x[:, 0] + 0.5 * rng.normal(size=300) > 0).astype(int)
+    fits = np.arange(300) % 3 != 0
+    rows = spark.createDataFrame([(i, x[i].tolist(), int(y[i]), bool(not fits[i])) for i in range(300)],
+                                 "key long, x array<double>, y int, calibrate boolean").repartition(5)
+    model = quality.fit_quality_model(rows, n_features=16, n_bins=64)
+    assert np.allclose(model.mean, x[fits].mean(axis=0)) and np.allclose(model.scale, x[fits].std(axis=0))
+    z = np.clip((x - model.mean) / model.scale, -6, 6)
+    f = np.hstack([np.ones((300, 1)), z, np.sqrt(2 / 16) * np.cos(z @ model.frequency + model.phase)])
+    penalty = np.eye(f.shape[1]) * 1e-3 * fits.sum()
+    penalty[0, 0] = 1e-9
+    weight = np.linalg.solve(f[fits].T @ f[fits] + penalty, f[fits].T @ y[fits])
+    assert np.allclose(model.weight, weight)
+    # isotonic regression: the largest of the least means around each bin
+    ridge = f @ weight
+    bins = np.floor(np.clip(ridge[~fits], -0.5, 1.5) * 32).astype(int)
+    kinds = np.unique(bins)
+    n, p = (np.array([np.sum(w[bins == b]) for b in kinds]) for w in (np.ones((~fits).sum()), y[~fits]))
+    level = [max(min(p[a:b].sum() / n[a:b].sum() for b in range(i + 1, len(n) + 1)) for a in range(i + 1)) for i in range(len(n))]
+    at_bins = np.interp((kinds + 0.5) / 32, model.knots, model.levels)
+    for value in np.unique(level):  # a block of bins has its level at its centre
+        own = np.array(level) == value
+        centre = np.average((kinds[own] + 0.5) / 32, weights=n[own])
+        assert np.interp(centre, model.knots, model.levels) == pytest.approx(value)
+    assert (np.diff(at_bins) >= -1e-12).all()
+    assert np.allclose(model.score(x), np.clip(np.interp(ridge, model.knots, model.levels), 0, 1))
+    plain = quality.fit_quality_model(rows.where("not calibrate"), n_features=16)
+    assert not len(plain.knots) and np.allclose(plain.score(x), np.clip(plain.ridge(x), 0, 1)) and plain.score(x).std() > 0.1
+
+
 def test_isotonic_pools_violators():
     knots, levels = quality.isotonic(np.arange(5.0), np.array([0, 2, 1, 3, 4]), np.full(5, 4))
     assert (np.diff(levels) > 0).all() and levels.tolist() == [0, 0.375, 0.75, 1.0] and knots[1] == 1.5
@@ -278,3 +379,12 @@ def test_remainder_is_crc32_of_the_text(spark):
     got = spark.range(-3, 200).union(spark.createDataFrame([(None,)], "id long")).select(
         "id", remainder(F.col("id"), 5).alias("r")).collect()
     assert all(r["r"] == (-1 if r["id"] is None else zlib.crc32(str(r["id"]).encode()) % 5) for r in got)
+
+
+def test_verdicts_keep_any_columns(spark):
+    rows = spark.createDataFrame([("a b c " * 20, "en", *range(8))],
+                                 "text string, lang string, _m int, _lang int, _ends int, _group int, _class int, _row int, _v int, script int")
+    got = fertility.judge(rows, PIECES)
+    assert got.columns == [*rows.columns, "_verdict"] and tuple(got.first())[:10] == tuple(rows.first())
+    with pytest.raises(ValueError):
+        fertility.judge(rows, PIECES, verdict="_m")
