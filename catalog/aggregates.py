@@ -204,7 +204,7 @@ def _(spark, sf):
   {r('median(l_extendedprice)', 4)} AS median FROM lineitem GROUP BY 1""")
 def _(spark, sf):
     found = quantiles(table(spark, sf, "lineitem"), "l_extendedprice", [0.25, 0.5],
-                      ["l_returnflag"], accuracy=1000, few_keys=True, refine=True)
+                      ["l_returnflag"], accuracy=1000, refine=True)
     return rounded(found.select("l_returnflag", F.col("q")[0].alias("q25"),
                                 F.col("q")[1].alias("median")), 4)
 

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tessella.frame import col
 from tessella.functions.quantiles import quantiles
+from tessella.functions.splitting import join_split
+from tessella.runtime import cut_lineage
 
 # scale that makes the median absolute deviation estimate a normal sd (fixed value)
 NORMAL_MAD_SCALE = 0.674489750196082
@@ -103,12 +105,12 @@ def hot_groups(df: DataFrame, keys: Sequence[str],
                hot_rows: int = HOT_GROUP_ROWS) -> DataFrame | None:
     """Keys of groups too large for one buffer, or None; one job counts the rows per group.
 
-    The row limit is fixed; the groups above it, however many, are joined and not broadcast.
+    The row limit is fixed; the groups above it, however many, are joined and not broadcast. They
+    are at most one for every ``hot_rows`` rows, and written once.
     """
     sizes = df.groupBy(*[col(k) for k in keys]).agg(_rows().alias("_rows"))
-    if (sizes.agg(F.max("_rows")).first()[0] or 0) <= hot_rows:
-        return None
-    return sizes.where(F.col("_rows") > hot_rows).select(*[col(k) for k in keys])
+    hot = cut_lineage(sizes.where(F.col("_rows") > hot_rows).select(*[col(k) for k in keys]))
+    return None if hot.isEmpty() else hot
 
 
 def group_quantile(df: DataFrame, keys: Sequence[str], cols: Sequence[str], prob: float = 0.5,
@@ -121,11 +123,11 @@ def group_quantile(df: DataFrame, keys: Sequence[str], cols: Sequence[str], prob
     keys, cols = list(keys), list(cols)
     kcols = [col(k) for k in keys]
     df = df.select(*kcols, *[col(c).cast("double").alias(c) for c in cols])
-    rest = df if hot is None else df.join(hot, keys, "left_anti")
+    rest = df if hot is None else join_split(df, hot, keys, "left_anti")
     small = rest.groupBy(*kcols).agg(*[F.percentile(col(c), F.lit(prob)).alias(c) for c in cols])
     if hot is None:
         return small
-    large = (df.join(hot, keys, "left_semi")
+    large = (join_split(df, hot, keys, "left_semi")
              .unpivot(kcols, [col(c) for c in cols], "_col", "_v"))
     found = quantiles(large, "_v", [prob], [*keys, "_col"])
     wide = found.groupBy(*kcols).agg(
@@ -133,10 +135,20 @@ def group_quantile(df: DataFrame, keys: Sequence[str], cols: Sequence[str], prob
     return small.unionByName(hot.join(wide, keys, "left"))
 
 
-def _mean_deviation(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
+def _with_centre(df: DataFrame, centre: DataFrame, keys: list[str], hot: DataFrame | None) -> DataFrame:
+    """Every row and what its group has in common; the rows of the hot groups in many parts."""
+    if hot is None:
+        return df.join(centre, keys)
+    rest = join_split(df, hot, keys, "left_anti").join(centre, keys)
+    large = join_split(join_split(df, hot, keys, "left_semi"), centre.join(hot, keys, "left_semi"), keys)
+    return rest.unionByName(large)
+
+
+def _mean_deviation(df: DataFrame, keys: list[str], cols: list[str],
+                    hot: DataFrame | None) -> DataFrame:
     centre = df.groupBy(*[col(k) for k in keys]).agg(
         F.struct(*[F.avg(col(c)).alias(c) for c in cols]).alias("_m"))
-    return df.join(centre, keys).groupBy(*[col(k) for k in keys]).agg(
+    return _with_centre(df, centre, keys, hot).groupBy(*[col(k) for k in keys]).agg(
         *[F.avg(F.abs(col(c) - F.col("_m")[c])).alias(c) for c in cols])
 
 
@@ -147,7 +159,7 @@ def _median_deviation(df: DataFrame, keys: list[str], cols: list[str],
     centre = group_quantile(df, keys, cols, 0.5, hot).select(
         *kcols, F.struct(*[col(c) for c in cols]).alias("_m"))
     # a deviation is missing where its value is, and counts as such below
-    spread = df.join(centre, keys).select(
+    spread = _with_centre(df, centre, keys, hot).select(
         *kcols, *[F.abs(col(c) - F.col("_m")[c]).alias(c) for c in cols])
     scaled = group_quantile(spread, keys, cols, 0.5, hot)
     whole = spread.groupBy(*kcols).agg(
@@ -183,7 +195,7 @@ def aggregate_by(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
         return group_quantile(df, keys, cols, 0.5 if func == "median" else prob,
                               hot_groups(df, keys, hot_rows))
     if func == "mad":
-        return _mean_deviation(df, keys, cols)
+        return _mean_deviation(df, keys, cols, hot_groups(df, keys, hot_rows))
     if func == "mad_median":
         return _median_deviation(df, keys, cols, hot_groups(df, keys, hot_rows))
     if "(" in func:

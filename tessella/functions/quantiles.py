@@ -1,5 +1,8 @@
 """Exact quantiles and ranks that never gather a whole group in one task.
 
+A sketch per key meets the rows of the key in many parts (``join_split``), parts count by themselves and
+the counts are added up, so a key with most of the rows costs no task more than others.
+
 ``percentile`` keeps every distinct value of a group in one buffer, which fails for a group that
 holds a large part of the data. ``quantiles`` brackets each wanted rank with a bounded sketch,
 counts what lies outside the brackets and keeps only the distinct values inside them. The rank is
@@ -16,6 +19,7 @@ from operator import add, or_
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tessella.frame import col
+from tessella.functions.splitting import join_split
 from tessella.runtime import cut_lineage
 
 SKETCH_ACCURACY = 20_000
@@ -26,13 +30,12 @@ REFINE_STEPS = 500
 
 def quantiles(df: DataFrame, value: str | Column, probs: Sequence[float],
               keys: Sequence[str] = (), accuracy: int = SKETCH_ACCURACY, nth: bool = False,
-              few_keys: bool = False, refine: bool | None = None) -> DataFrame:
+              refine: bool | None = None) -> DataFrame:
     """Exact quantiles per key: ``keys…, q array<double>`` in the order of ``probs``.
 
     Linear interpolation between the two neighbouring ranks, missing values skipped. With ``nth``
     the value of rank ``round(prob * n)`` is returned instead. Groups without values vanish.
-    ``few_keys`` says that the number of keys is bounded, so that their sketch edges may be
-    broadcast. ``refine`` (by default from the estimated size) takes one more pass and leaves a few
+    There should be few keys beside the rows. ``refine`` (by default from the estimated size) takes one more pass and leaves a few
     millionths of the rows for the last task instead of a few ten-thousandths.
     """
     keys, probs = list(keys), [float(p) for p in probs]
@@ -50,10 +53,10 @@ def quantiles(df: DataFrame, value: str | Column, probs: Sequence[float],
     sketch = present.groupBy(*kcols).agg(
         F.struct(F.count("_v").alias("n"),
                  F.percentile_approx("_v", edges, accuracy).alias("edge")).alias("_s"))
-    marked = _attach(present, sketch, keys, few_keys)
+    marked = _attach(present, sketch, keys)
     if refine:
         narrow = _narrowed(marked, kcols, probs, nth)
-        marked = _attach(present, narrow, keys, few_keys)
+        marked = _attach(present, narrow, keys)
 
     n, x = F.col("_s.n"), F.col("_v")
     low, high = _edges(len(probs))
@@ -77,10 +80,10 @@ def _estimated_bytes(df: DataFrame) -> int:
     return int(str(stats.sizeInBytes()))
 
 
-def _attach(df: DataFrame, stats: DataFrame, keys: list[str], few_keys: bool) -> DataFrame:
+def _attach(df: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:
     if not keys:
         return df.withColumn("_s", stats.scalar())
-    return df.join(F.broadcast(stats) if few_keys else stats, keys)
+    return join_split(df, stats, keys)
 
 
 def _edges(probs: int) -> tuple[list[Column], list[Column]]:

@@ -103,7 +103,7 @@ def column_quantile(df: DataFrame, prob: float,
     long = df.select(*[double(c).alias(c) for c in cols]).unpivot(
         [], [col(c) for c in cols], "_col", "_v")
     found = {r["_col"]: r["q"][0] for r in quantiles(
-        long, "_v", [prob], ["_col"], few_keys=True).collect()}
+        long, "_v", [prob], ["_col"]).collect()}
     return {c: found.get(c) for c in cols}
 
 

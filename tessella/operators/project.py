@@ -182,5 +182,5 @@ def robust_pca(df: DataFrame, num_dims: int = 2, id_col: str | None = None) -> D
 def _medians(df: DataFrame, cols: list[str]) -> list[float]:
     long = df.unpivot([], [col(c) for c in cols], "_col", "_v")
     found = {r["_col"]: r["q"][0] for r in quantiles(
-        long, "_v", [0.5], ["_col"], few_keys=True).collect()}
+        long, "_v", [0.5], ["_col"]).collect()}
     return [found[c] for c in cols]

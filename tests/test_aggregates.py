@@ -147,3 +147,20 @@ def test_set_mapping(spark):
     assert first["members"] == ["b", "c"]
     every = aggregate.map_sets(sets, mapping, "k", "t", many=True).first()
     assert every["members"] == ["a", "b", "c"]
+
+
+@pytest.mark.parametrize("func", ["median", "quantile", "mad", "mad_median"])
+def test_one_group_with_most_rows(spark, func):
+    """90 % of the rows in one group, well above the limit of one pass."""
+    rng = np.random.default_rng(2)
+    data = pd.DataFrame({"g": np.where(rng.random(6000) < 0.9, "hot", rng.choice(["a", "b", "c"], 6000)),
+                         "v": rng.lognormal(0, 3, 6000), "w": rng.integers(0, 9, 6000).astype(float)})
+    data.loc[(data.index % 50 == 0) & (data.g == "a"), "w"] = np.nan
+    rows = [(g, v, None if np.isnan(w) else w) for g, v, w in data.itertuples(index=False)]
+    df = spark.createDataFrame(rows, "g string, v double, w double").repartition(6)
+    got = aggregates.aggregate_by(df, ["g"], ["v", "w"], func, prob=0.3, hot_rows=1000).toPandas().set_index("g").sort_index()
+    own = data.groupby("g")
+    want = {"median": lambda: own.median(), "quantile": lambda: own.quantile(0.3),
+            "mad": lambda: own.agg(lambda x: (x - x.mean()).abs().mean()),
+            "mad_median": lambda: own.agg(lambda x: np.nan if x.isna().any() else (x - x.median()).abs().median() / aggregates.NORMAL_MAD_SCALE)}[func]()
+    assert np.allclose(got.astype(float), want.sort_index(), rtol=1e-9, equal_nan=True)

@@ -29,7 +29,7 @@ def test_groups_of_very_different_size(spark):
     groups = np.where(rng.random(9000) < 0.4, "hot", rng.integers(0, 50, 9000).astype(str))
     df, data = frame(spark, rng.normal(size=9000), groups)
     want = data.groupby("g")["v"].quantile([0.3, 0.5]).unstack()
-    for options in ({}, {"few_keys": True}, {"refine": True}):
+    for options in ({}, {"refine": True}):
         found = quantiles(df, "v", [0.3, 0.5], ["g"], accuracy=500, **options)
         got = {r["g"]: r["q"] for r in found.collect()}
         assert set(got) == set(want.index)
@@ -71,3 +71,32 @@ def test_last_task_stays_small(spark, refine):
     found = quantiles(df, "v", [0.5], accuracy=2000, refine=refine)
     values = sorted(r["v"] for r in df.collect())
     assert found.first()["q"] == [(values[99_999] + values[100_000]) / 2]
+
+
+def spread_of(df, key):
+    """Largest share of a key's rows in one partition."""
+    from pyspark.sql import functions as F
+    counts = [r["count"] for r in df.where(df.g == key).groupBy(F.spark_partition_id()).count().collect()]
+    return max(counts) / sum(counts)
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_join_splits_a_hot_key(spark, how):
+    from pyspark.sql import functions as F
+    from tessella.functions.splitting import join_split
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.coalescePartitions.enabled",
+                                           "spark.sql.shuffle.partitions")}
+    try:
+        for key, value in zip(kept, ("-1", "false", "16")):
+            spark.conf.set(key, value)
+        df = spark.range(20_000).select(F.when(F.col("id") % 10 > 0, "hot").otherwise(F.col("id").cast("string")).alias("g"),
+                                        F.col("id").alias("_part"), F.create_map(F.lit(1), F.lit(2)).alias("m"))
+        side = spark.createDataFrame([("hot", 1), ("10", 2), ("none", 3)], "g string, v int")
+        side = side.where("g <> 'hot'") if how == "left_anti" else side
+        found = join_split(df, side, ["g"], how)
+        plain = df.join(side, "g", how)
+        assert found.columns == plain.columns and found.count() == plain.count()
+        assert spread_of(plain, "hot") == 1 and spread_of(found, "hot") < 0.2
+    finally:
+        for key, value in kept.items():
+            spark.conf.set(key, value)
