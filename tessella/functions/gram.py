@@ -1,8 +1,10 @@
 """Masked cross-product sums of matrix columns, in one pass over the rows.
 
 For two columns x and y the sums over the rows where both are present (n, Σx, Σy, Σx², Σy², Σxy)
-give every pairwise statistic. Each task multiplies its Arrow batches block by block with numpy and
-emits its sums once; Spark adds them up. No row is ever paired with another row.
+give every pairwise statistic. Columns are cut into blocks; each task multiplies its Arrow batches with
+numpy and emits one value per pair of blocks, the array of its sums. Arrays are added up in a tree, so
+neither rows nor single cells are paired in Spark. More pairs of blocks than a task can hold are dealt
+to several tasks, which get the rows from one scan.
 """
 
 from __future__ import annotations
@@ -26,16 +28,16 @@ def column_means(df: DataFrame, cols: list[str]) -> Column:
     return df.agg(F.array(*[F.avg(double(c)) for c in cols]).alias("m")).scalar()
 
 
-def cross_sums(df: DataFrame, x_cols: list[str], y_cols: list[str] | None = None,
+def block_sums(df: DataFrame, x_cols: list[str], y_cols: list[str] | None = None,
                shift: bool = True, keys: list[str] | None = None,
                means_from: DataFrame | None = None, block: int = BLOCK,
                pairs_per_pass: int = PAIRS_PER_PASS) -> DataFrame:
-    """``keys…, i, j, n, sx, sy, sxx, syy, sxy`` for column numbers i of x and j of y.
+    """``keys…, a, b, sums``: the sums of block a of x and block b of y as one binary value of doubles.
 
-    Without ``y_cols`` the pairs are those of x with i <= j. With ``shift`` the column means are
-    taken off first, so that the sums of squares do not cancel. Column sets wider than one task
-    can hold are covered in several passes over fewer columns each. ``keys`` (few distinct values)
-    keep separate sums. ``means_from`` is a smaller frame with the same columns to shift by.
+    Without ``y_cols`` the pairs are those of x with a <= b. With ``shift`` the column means are
+    taken off first, so that the sums of squares do not cancel. A task holds the sums of
+    ``pairs_per_pass`` pairs of blocks. ``keys`` (few distinct values) keep separate sums. ``means_from``
+    is a smaller frame with the same columns to shift by.
     """
     same = y_cols is None
     y_cols = x_cols if same else y_cols
@@ -51,22 +53,89 @@ def cross_sums(df: DataFrame, x_cols: list[str], y_cols: list[str] | None = None
         return F.array(*[double(cols[k]) - F.col(means)[k] if shift else double(cols[k])
                          for k in part])
 
-    pairs = [(a, b) for a in range(-(-len(x_cols) // block)) for b in range(-(-len(y_cols) // block))
-             if not same or a <= b]
-    out = None
-    for start in range(0, len(pairs), pairs_per_pass):
-        chunk = pairs[start:start + pairs_per_pass]
-        xs = sorted({a for a, _ in chunk} | ({b for _, b in chunk} if same else set()))
-        ys = [] if same else sorted({b for _, b in chunk})
-        narrow = df.select(*[col(k).cast("string").alias(k) for k in keys],
-                           *[cells(x_cols, "_mx", a).alias(f"x{a}") for a in xs],
-                           *[cells(y_cols, "_my", b).alias(f"y{b}") for b in ys])
-        ddl = "".join(f"`{k}` string, " for k in keys)
-        part = narrow.mapInArrow(
-            _summer(chunk, keys, same, block),
-            f"{ddl}i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double")
-        out = part if out is None else out.unionByName(part)
-    return out.groupBy(*keys, "i", "j").agg(*[F.sum(s).alias(s) for s in SUMS])
+    xs, ys = range(-(-len(x_cols) // block)), range(-(-len(y_cols) // block))
+    pairs = [(a, b) for a in xs for b in ys if not same or a <= b]
+    passes = [pairs[k:k + pairs_per_pass] for k in range(0, len(pairs), pairs_per_pass)]
+    narrow = df.select(*[col(k).cast("string").alias(f"k{i}") for i, k in enumerate(keys)],
+                       *[cells(x_cols, "_mx", a).alias(f"x{a}") for a in xs],
+                       *([] if same else [cells(y_cols, "_my", b).alias(f"y{b}") for b in ys]))
+    if len(passes) > 1:
+        narrow = _fanned_out(narrow, passes, same)
+    names = [f"k{i}" for i in range(len(keys))]
+    ddl = "".join(f"{k} string, " for k in names) + "a int, b int, sums binary"
+    parts = narrow.mapInArrow(_summer(passes, names, same), ddl).withColumn("_task", F.spark_partition_id())
+    # a sum of a pair of whole blocks takes 12 MB, so few of them are added in one place
+    width = min(block, max(len(x_cols), len(y_cols)))
+    fan = max(16, 2**28 // (8 * len(SUMS) * width * width))
+    for level in range(1, 2 if fan >= 256 else 3):
+        parts = (parts.groupBy(*names, "a", "b", F.floor(F.col("_task") / fan**level).cast("int").alias("_up"))
+                 .applyInArrow(_added, ddl + ", _task int"))
+    whole = parts.groupBy(*names, "a", "b").applyInArrow(_added, ddl + ", _task int").drop("_task")
+    return whole.withColumnsRenamed({n: k for n, k in zip(names, keys)})
+
+
+def _fanned_out(narrow: DataFrame, passes: list[list[tuple[int, int]]], same: bool) -> DataFrame:
+    """Every row once per pass, with the blocks that the pass needs, the rows of a pass together."""
+    def needed(name: str) -> list[int]:
+        side, number = name[0], int(name[1:])
+        return [k for k, chunk in enumerate(passes) if any(
+            number == a and side == "x" or number == b and (same or side == "y") for a, b in chunk)]
+
+    deal = F.pmod(F.xxhash64(*narrow.columns), F.lit(narrow.sparkSession.sparkContext.defaultParallelism))
+    every = F.explode(F.sequence(F.lit(0), F.lit(len(passes) - 1)))
+    rows = narrow.select("*", deal.alias("_deal"), every.alias("_pass"))
+    blocks = [F.when(F.col("_pass").isin(needed(c)), F.col(c)).alias(c) if c[0] in "xy" else F.col(c)
+              for c in narrow.columns]
+    return (rows.select(*blocks, "_deal", "_pass").repartition("_pass", "_deal").drop("_deal")
+            .sortWithinPartitions("_pass"))
+
+
+def cross_sums(df: DataFrame, x_cols: list[str], y_cols: list[str] | None = None,
+               shift: bool = True, keys: list[str] | None = None,
+               means_from: DataFrame | None = None, block: int = BLOCK,
+               pairs_per_pass: int = PAIRS_PER_PASS) -> DataFrame:
+    """``keys…, i, j, n, sx, sy, sxx, syy, sxy`` for column numbers i of x and j of y: the cells of
+    ``block_sums``, a row each."""
+    whole = block_sums(df, x_cols, y_cols, shift, keys, means_from, block, pairs_per_pass)
+    same, keys = y_cols is None, keys or []
+    nx, ny = len(x_cols), len(x_cols if same else y_cols)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                i, j, found = _cells_of(row, nx, ny, same, block)
+                data = {k: pa.array([row[k]] * len(i), pa.string()) for k in keys}
+                data |= {"i": pa.array(i, pa.int32()), "j": pa.array(j, pa.int32())}
+                yield pa.RecordBatch.from_pydict(data | {s: pa.array(v) for s, v in zip(SUMS, found)})
+
+    ddl = "".join(f"`{k}` string, " for k in keys)
+    return whole.mapInArrow(cut, f"{ddl}i int, j int, " + ", ".join(f"{s} double" for s in SUMS))
+
+
+def _cells_of(row: dict, nx: int, ny: int, same: bool, block: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Column numbers and sums of the cells of a pair of blocks; of equal columns only i <= j."""
+    a, b = row["a"] * block, row["b"] * block
+    shape = (min(block, nx - a), min(block, ny - b))
+    i, j = (v.ravel() for v in np.indices(shape))
+    found = np.frombuffer(row["sums"]).reshape(len(SUMS), -1)
+    keep = (i + a <= j + b) if same else np.ones(len(i), bool)
+    return (i + a)[keep], (j + b)[keep], found[:, keep]
+
+
+def gram_arrays(df: DataFrame, x_cols: list[str], y_cols: list[str] | None = None,
+                block: int = BLOCK, **options) -> dict[str, np.ndarray]:
+    """The sums as one array each on the driver, columns by columns, from one value per pair of blocks."""
+    same = y_cols is None
+    nx, ny = len(x_cols), len(x_cols if same else y_cols)
+    out = {s: np.zeros((nx, ny)) for s in SUMS}
+    for row in block_sums(df, x_cols, y_cols, block=block, **options).toLocalIterator():
+        i, j, found = _cells_of(row.asDict(), nx, ny, same, block)
+        for s, v in zip(SUMS, found):
+            out[s][i, j] = v
+        if same:
+            for s, v in zip(("n", "sy", "sx", "syy", "sxx", "sxy"), found):
+                out[s][j, i] = v
+    return out
 
 
 def matrix_of(column: pa.Array) -> np.ndarray:
@@ -83,15 +152,15 @@ def array_column(rows: np.ndarray) -> pa.Array:
     return pa.LargeListArray.from_arrays(ends, rows.ravel()).cast(pa.list_(pa.float64()))
 
 
-def _summer(pairs: list[tuple[int, int]], keys: list[str], same: bool, block: int):
-    def add(sums, batch: pa.RecordBatch, key) -> None:
+def _summer(passes: list[list[tuple[int, int]]], keys: list[str], same: bool):
+    def add(sums, batch: pa.RecordBatch, pairs, key) -> None:
         filled, present = {}, {}
-        for name in batch.schema.names:
-            if name in keys:
-                continue
-            values = matrix_of(batch.column(name))
-            present[name] = (~np.isnan(values)).astype(float)
-            filled[name] = np.nan_to_num(values, nan=0.0)
+        for a, b in pairs:
+            for name in (f"x{a}", f"x{b}" if same else f"y{b}"):
+                if name not in filled:
+                    values = matrix_of(batch.column(name))
+                    present[name] = (~np.isnan(values)).astype(float)
+                    filled[name] = np.nan_to_num(values, nan=0.0)
         for a, b in pairs:
             x, m = filled[f"x{a}"], present[f"x{a}"]
             right = f"x{b}" if same else f"y{b}"
@@ -99,34 +168,49 @@ def _summer(pairs: list[tuple[int, int]], keys: list[str], same: bool, block: in
             found = np.stack([m.T @ k, x.T @ k, m.T @ y, (x * x).T @ k, m.T @ (y * y), x.T @ y])
             sums[key, a, b] = sums[key, a, b] + found if (key, a, b) in sums else found
 
+    def out(sums) -> Iterator[pa.RecordBatch]:
+        for (key, a, b), found in sums.items():
+            data = {k: pa.array([v], pa.string()) for k, v in zip(keys, key)}
+            yield pa.RecordBatch.from_pydict(data | {
+                "a": pa.array([a], pa.int32()), "b": pa.array([b], pa.int32()),
+                "sums": pa.array([found.tobytes()], pa.binary())})
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict = {}
+        here = 0
         for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            if not keys:
-                add(sums, batch, ())
-                continue
-            table = pa.Table.from_batches([batch])
-            for key in table.select(keys).group_by(keys).aggregate([]).to_pylist():
-                mask = np.ones(batch.num_rows, dtype=bool)
-                for k in keys:
-                    mask &= batch.column(k).to_numpy(zero_copy_only=False) == key[k]
-                part = batch.filter(pa.array(mask))
-                add(sums, part, tuple(key[k] for k in keys))
-        for (key, a, b), found in sums.items():
-            rows, cols = found.shape[1:]
-            i, j = (v.ravel() for v in np.indices((rows, cols)))
-            keep = (i + a * block <= j + b * block) if same else np.ones(i.size, dtype=bool)
-            data = {k: pa.array([v] * int(keep.sum()), pa.string()) for k, v in zip(keys, key)}
-            data["i"] = pa.array((i + a * block)[keep], pa.int32())
-            data["j"] = pa.array((j + b * block)[keep], pa.int32())
-            data.update({s: pa.array(found[q].ravel()[keep]) for q, s in enumerate(SUMS)})
-            yield pa.RecordBatch.from_pydict(data)
+            split = [*keys, "_pass"] if len(passes) > 1 else keys
+            for key, part in _split(batch, split):
+                number = key[-1] if len(passes) > 1 else 0
+                if number != here:  # rows come pass by pass
+                    yield from out(sums)
+                    sums, here = {}, number
+                add(sums, part, passes[number], key[:len(keys)])
+        yield from out(sums)
 
     return run
 
 
+def _split(batch: pa.RecordBatch, by: list[str]) -> Iterator[tuple[tuple, pa.RecordBatch]]:
+    """The rows of each combination of values, in the order of the last column."""
+    if not by or not batch.num_rows:
+        if batch.num_rows:
+            yield (), batch
+        return
+    found = pa.Table.from_batches([batch]).select(by).group_by(by).aggregate([]).to_pylist()
+    for key in sorted(found, key=lambda k: (k[by[-1]] is None, k[by[-1]])):
+        mask = np.ones(batch.num_rows, dtype=bool)
+        for name in by:
+            mask &= np.array([v == key[name] for v in batch.column(name).to_pylist()])
+        yield tuple(key[name] for name in by), batch.filter(pa.array(mask))
+
+
+def _added(table: pa.Table) -> pa.Table:
+    total = sum(np.frombuffer(v.as_buffer()) for v in table["sums"])
+    first = table.slice(0, 1)
+    return first.set_column(first.schema.get_field_index("sums"), "sums", pa.array([total.tobytes()], pa.binary()))
+
+
 def pearson(n="n", sx="sx", sy="sy", sxx="sxx", syy="syy", sxy="sxy") -> Column:
     """r from the sums; NULL for fewer than two rows or a constant side."""
     n, sx, sy, sxx, syy, sxy = (F.col(c) for c in (n, sx, sy, sxx, syy, sxy))
@@ -138,12 +222,11 @@ def pearson(n="n", sx="sx", sy="sy", sxx="sxx", syy="syy", sxy="sxy") -> Column:
     return F.when(varies, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
 
 
-def euclidean(apart: Column, width_scale: Column | None = None) -> Column:
-    """Distance over the rows where both columns are present, from sums of centred columns whose
+def squared_distance(apart: Column) -> Column:
+    """Squared distance over the rows where both columns are present, from sums of centred columns whose
     centres are ``apart``."""
-    d2 = F.greatest(F.col("sxx") + F.col("syy") - 2 * F.col("sxy")
-                    + 2 * apart * (F.col("sx") - F.col("sy")) + F.col("n") * apart * apart, F.lit(0.0))
-    return F.sqrt(d2 if width_scale is None else d2 * width_scale)
+    return F.greatest(F.col("sxx") + F.col("syy") - 2 * F.col("sxy")
+                      + 2 * apart * (F.col("sx") - F.col("sy")) + F.col("n") * apart * apart, F.lit(0.0))
 
 
 def named(df: DataFrame, x_names: list[str], y_names: list[str]) -> DataFrame:

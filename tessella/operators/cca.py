@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tessella.frame import col, double, id_of, value_columns
-from tessella.functions.gram import cross_sums
+from tessella.functions.gram import cross_sums, gram_arrays
 from tessella.functions.quantiles import average_ranks
 from tessella.runtime import cut_lineage
 
@@ -56,14 +56,8 @@ def _row_pairs(x: DataFrame, y: DataFrame, permutations: int,
     return xs.join(ys, "_r").drop("_r"), placed
 
 
-def _centred_square(cells: list, p: int, q: int, same: bool) -> np.ndarray:
-    out = np.zeros((p, q))
-    for r in cells:
-        v = r["sxy"] - r["sx"] * r["sy"] / r["n"]
-        out[r["i"], r["j"]] = v
-        if same:
-            out[r["j"], r["i"]] = v
-    return out
+def _centred_square(sums: dict[str, np.ndarray]) -> np.ndarray:
+    return sums["sxy"] - sums["sx"] * sums["sy"] / sums["n"]
 
 
 def shrink_to(values: np.ndarray, bound: float) -> np.ndarray:
@@ -121,13 +115,12 @@ def integrate_cca(x: DataFrame, y: DataFrame, permutations: int = 35, iterations
     p, q = len(x_cols), len(y_cols)
     paired, plain = _row_pairs(a, b, permutations, seed)
     cross = cross_sums(paired, x_cols, y_cols, keys=["perm"], means_from=plain)
-    xx = _centred_square(cross_sums(plain, x_cols).collect(), p, p, True)
-    yy = _centred_square(cross_sums(plain, y_cols).collect(), q, q, True)
+    xx = _centred_square(gram_arrays(plain, x_cols))
+    yy = _centred_square(gram_arrays(plain, y_cols))
     sx, sy = np.sqrt(np.diag(xx)), np.sqrt(np.diag(yy))
     sx[sx == 0], sy[sy == 0] = 1.0, 1.0
     xx, yy = xx / np.outer(sx, sx), yy / np.outer(sy, sy)
-    real = _centred_square(cross_sums(plain, x_cols, y_cols).collect(), p, q, False)
-    real /= np.outer(sx, sy)
+    real = _centred_square(gram_arrays(plain, x_cols, y_cols)) / np.outer(sx, sy)
     start = np.linalg.svd(real, full_matrices=False)[2][0]
 
     def fit(cells: pd.DataFrame) -> pd.DataFrame:

@@ -1,190 +1,167 @@
 """Average-linkage clustering of rows.
 
-The distances between clusters are kept as one row per cluster, spread over the executors. In each
-round all pairs of clusters that are each other's nearest merge at once. Average linkage allows
-that: merging one pair never brings another nearest pair apart, so the tree is the sequential one
-(up to equal distances). A merge is a weighted mean, first within each row, then of the two rows.
-The matrix has n² cells by nature; a task holds rows of n numbers, the driver the list of merges.
+Distances are rows ``i, j, d`` of two clusters, spread over the executors. In each round all pairs of
+clusters that are each other's nearest merge at once; they are found by joining the nearest of every
+cluster with itself. Average linkage allows that: merging one pair never brings another nearest pair
+apart, so the tree is the sequential one (up to equal distances). A merge relabels both ends of every
+distance by joins and adds up weighted distances. A round leaves about half of the distances, so all
+of them together cost little more than the first. Merges, sizes and labels are tables as well: nothing
+as long as the rows comes to the driver.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tessella.frame import col, id_of, join_by_id, value_columns
-from tessella.functions.blocks import block_count, pair_blocks, prepared, vectors
-from tessella.functions.gram import array_column, matrix_of
-from tessella.operators.correlate import block_euclidean
+from tessella.functions.blocks import block_count, pair_own_blocks, prepared, vectors
+from tessella.functions.gram import matrix_of
+from tessella.functions.ordering import numbered
+from tessella.operators.correlate import BLOCK_ROWS, block_euclidean
 from tessella.runtime import cut_lineage
 
-# clusters left at which the rest of the tree, 32 MB of distances, is finished in one place
+# clusters left at which the rest of the tree, 2 million distances, is finished in one task
 SMALL = 2048
-
-Merge = tuple[int, int, float]
-
-
-def _numbered(rows: DataFrame) -> DataFrame:
-    """``id, vec, pos`` with positions in id order. One task orders the n ids, not the rows."""
-    order = rows.select("id").withColumn("pos", F.row_number().over(W.orderBy("id")) - 1)
-    return rows.join(order, "id")
+MERGE = "a long, b long, height double, round int"
 
 
 def _distances(rows: DataFrame, n: int, width: int, block_rows: int | None) -> DataFrame:
-    """``pos, dist``: the distances of each row to all rows, in position order."""
-    size = block_rows or max(1, -(-n // block_count(n, width, 4096)))
-    blocks = -(-n // size)
+    """``i, j, d``: the distance of each unordered pair of positions, the smaller one first."""
+    blocks = block_count(n, width, block_rows, BLOCK_ROWS)
 
-    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        right = right.sort_by("pos")
+    def meet(left: pa.Table, right: pa.Table, same: bool) -> pa.Table:
         d, _ = block_euclidean(matrix_of(left["vec"]), matrix_of(right["vec"]))
-        d[left["pos"].to_numpy()[:, None] == right["pos"].to_numpy()[None, :]] = np.inf
-        return pa.table({"pos": left["pos"], "part": pa.array(
-            np.full(len(d), right["pos"][0].as_py() // size)), "d": array_column(d)})
-
-    block = F.floor(F.col("pos") / size).cast("int")
-    found = pair_blocks(rows.select("pos", "vec"), rows.select("pos", "vec"), blocks, blocks, meet,
-                        "pos int, part int, d array<double>", (block, block))
-    return found.groupBy("pos").agg(
-        F.array_sort(F.collect_list(F.struct("part", "d"))).alias("p")).select(
-        "pos", F.flatten("p.d").alias("dist"))
-
-
-def _nearest(dist: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    near = dist.argmin(axis=1)
-    return near, dist[np.arange(len(dist)), near]
-
-
-def _mutual(near: np.ndarray) -> np.ndarray:
-    """Positions i < near[i] that are the nearest of their own nearest."""
-    here = np.arange(len(near))
-    return here[(near[near] == here) & (here < near)]
-
-
-def _merged_columns(dist: np.ndarray, a, b, share, kept) -> np.ndarray:
-    """Bring columns a and b of each pair together in a, then keep the listed columns."""
-    out = dist.copy()
-    out[:, a] = dist[:, a] * share + dist[:, b] * (1 - share)
-    return out[:, kept]
-
-
-class _Tree:
-    """Clusters still apart, their sizes, and the merges so far."""
-
-    def __init__(self, n: int) -> None:
-        self.members = np.arange(n)
-        self.sizes = np.ones(n)
-        self.merges: list[Merge] = []
-
-    def merge(self, a: np.ndarray, b: np.ndarray, height: np.ndarray):
-        """Note the merges of positions a and b; returns how the matrix has to change."""
-        self.merges += [(int(self.members[i]), int(self.members[j]), float(h))
-                        for i, j, h in zip(a, b, height)]
-        share = self.sizes[a] / (self.sizes[a] + self.sizes[b])
-        self.sizes[a] += self.sizes[b]
-        kept = np.setdiff1d(np.arange(len(self.members)), b)
-        self.members, self.sizes = self.members[kept], self.sizes[kept]
-        return share, kept
-
-    def labels(self, n: int, clusters: int) -> np.ndarray:
-        """Cluster number per position after the n - clusters lowest merges."""
-        parent = np.arange(n)
-
-        def root(i: int) -> int:
-            while parent[i] != i:
-                parent[i] = parent[parent[i]]
-                i = parent[i]
-            return i
-
-        heights = np.array([h for _, _, h in self.merges])
-        for m in np.argsort(heights, kind="stable")[:max(0, n - clusters)]:
-            i, j, _ = self.merges[m]
-            i, j = root(i), root(j)
-            parent[max(i, j)] = min(i, j)
-        roots = np.array([root(i) for i in range(n)])
-        return np.unique(roots, return_inverse=True)[1]
-
-
-def _round(state: DataFrame, tree: _Tree) -> DataFrame:
-    """One distributed round of merges."""
-    def nearest(batches: Iterator[pa.RecordBatch]):
-        for batch in batches:
-            if batch.num_rows:
-                near, d = _nearest(matrix_of(batch.column("dist")))
-                yield pa.RecordBatch.from_pydict(
-                    {"pos": batch.column("pos"), "near": pa.array(near, pa.int32()), "d": d})
-
-    found = state.mapInArrow(nearest, "pos int, near int, d double").toPandas().sort_values("pos")
-    near, d = found["near"].to_numpy(), found["d"].to_numpy()
-    a = _mutual(near)
-    b = near[a]
-    before = len(tree.members)
-    share, kept = tree.merge(a, b, d[a])
-    target = np.full(before, -1)
-    target[kept] = np.arange(len(kept))
-    target[b] = target[a]
-    weight = np.ones(before)
-    weight[a], weight[b] = share, 1 - share
-    mixed = np.isin(np.arange(before), np.concatenate([a, b]))
-
-    def columns(batches: Iterator[pa.RecordBatch]):
-        for batch in batches:
-            if batch.num_rows:
-                pos = batch.column("pos").to_numpy()
-                dist = _merged_columns(matrix_of(batch.column("dist")), a, b, share, kept)
-                dist[np.arange(len(pos)), target[pos]] = np.inf
-                yield pa.RecordBatch.from_pydict({
-                    "pos": pa.array(target[pos], pa.int32()), "weight": weight[pos],
-                    "mixed": mixed[pos], "dist": array_column(dist)})
-
-    def rows(table: pa.Table) -> pa.Table:
-        dist = matrix_of(table["dist"]).T @ table["weight"].to_numpy()
-        return pa.table({"pos": table["pos"][:1], "dist": pa.array([dist])})
-
-    # written once, then read by both halves
-    changed = cut_lineage(state.mapInArrow(
-        columns, "pos int, weight double, mixed boolean, dist array<double>"))
-    same = changed.where("not mixed").select("pos", "dist")
-    both = changed.where("mixed").select("pos", "weight", "dist").groupBy("pos").applyInArrow(
-        rows, "pos int, dist array<double>")
-    return same.unionByName(both)
-
-
-def _finish(dist: np.ndarray, tree: _Tree) -> None:
-    while len(dist) > 1:
-        near, d = _nearest(dist)
-        a = _mutual(near)
+        a, b = left["pos"].to_numpy(), right["pos"].to_numpy()
+        x, y = np.nonzero(a[:, None] < b[None, :]) if same else (v.ravel() for v in np.indices(d.shape))
+        return pa.table({"i": np.minimum(a[x], b[y]), "j": np.maximum(a[x], b[y]), "d": d[x, y]})
+
+    return pair_own_blocks(rows, blocks, meet, "i long, j long, d double")
+
+
+def _merged(pairs: DataFrame, sizes: DataFrame, number: int) -> DataFrame:
+    """``a, b, height, round, share`` of the clusters that are each other's nearest, a < b.
+
+    ``share`` is the part of a's members in both. Of equal distances the smaller cluster is nearer,
+    so the first of the nearest pairs of all is always among them and every round merges.
+    """
+    ways = pairs.union(pairs.select("j", "i", "d"))
+    near = cut_lineage(ways.groupBy("i").agg(F.min(F.struct("d", "j")).alias("m")).select("i", "m.j", "m.d"))
+    other = near.select(F.col("i").alias("j"), F.col("j").alias("i"))
+    found = near.join(other, ["i", "j"]).where("i < j").select(
+        F.col("i").alias("a"), F.col("j").alias("b"), F.col("d").alias("height"), F.lit(number).alias("round"))
+    a, b = (sizes.select(F.col("pos").alias(c), F.col("size").alias(f"size_{c}")) for c in "ab")
+    return cut_lineage(found.join(a, "a").join(b, "b").select(
+        "a", "b", "height", "round", (F.col("size_a") / (F.col("size_a") + F.col("size_b"))).alias("share")))
+
+
+def _relabelled(df: DataFrame, merges: DataFrame, column: str, weight: str) -> DataFrame:
+    """The column with b in place of a, and the weight that the old cluster has in the new one."""
+    moved = merges.select(F.col("a").alias("_old"), F.col("a").alias("_new"), F.col("share").alias("_w")).union(
+        merges.select("b", "a", 1 - F.col("share")))
+    return (df.join(moved, F.col(column) == F.col("_old"), "left")
+            .withColumn(column, F.coalesce("_new", column)).withColumn(weight, F.coalesce("_w", F.lit(1.0)))
+            .drop("_old", "_new", "_w"))
+
+
+def _round(pairs: DataFrame, sizes: DataFrame, merges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Distances and sizes after the merges of a round."""
+    ends = _relabelled(_relabelled(pairs, merges, "i", "wi"), merges, "j", "wj").where("i <> j")
+    part = F.col("d") * F.col("wi") * F.col("wj")
+    # four terms at most; sorted, so that the sum doesn't depend on the order of arrival
+    total = F.aggregate(F.array_sort(F.collect_list(part)), F.lit(0.0), lambda x, y: x + y)
+    pairs = ends.groupBy(F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j")).agg(total.alias("d"))
+    sizes = _relabelled(sizes, merges, "pos", "_s").groupBy("pos").agg(F.sum("size").alias("size"))
+    return cut_lineage(pairs), cut_lineage(sizes)
+
+
+def _finish(table: pa.Table, number: int) -> pa.Table:
+    """Merges of the clusters that are left, round by round in one task."""
+    names = table["pos"].to_numpy()
+    order = np.argsort(names)
+    names, sizes = names[order], table["size"].to_numpy()[order]
+    dist = np.full((len(names), len(names)), np.inf)
+    for other, d in zip(table["other"].combine_chunks(), table["pos"].to_numpy()):
+        if len(other.values):
+            at, to = np.searchsorted(names, d), np.searchsorted(names, other.values.field("j").to_numpy())
+            dist[at, to] = dist[to, at] = other.values.field("d").to_numpy()
+    out = []
+    while len(names) > 1:
+        here = np.arange(len(names))
+        near = dist.argmin(axis=1)
+        a = here[(near[near] == here) & (here < near)]
         b = near[a]
-        share, kept = tree.merge(a, b, d[a])
-        dist = _merged_columns(dist, a, b, share, kept)
-        dist = _merged_columns(dist.T, a, b, share, kept).T.copy()
+        out += [(int(names[x]), int(names[y]), float(dist[x, y]), number) for x, y in zip(a, b)]
+        share = sizes[a] / (sizes[a] + sizes[b])
+        kept = np.setdiff1d(here, b)
+        for _ in range(2):  # columns, then rows
+            dist[:, a] = dist[:, a] * share + dist[:, b] * (1 - share)
+            dist = dist.T
+        sizes[a] += sizes[b]
+        names, sizes, dist = names[kept], sizes[kept], dist[np.ix_(kept, kept)]
         np.fill_diagonal(dist, np.inf)
+        number += 1
+    columns = list(zip(*out)) or [[]] * 4
+    return pa.table({n: pa.array(c, k) for n, c, k in zip(
+        ("a", "b", "height", "round"), columns, (pa.int64(), pa.int64(), pa.float64(), pa.int32()))})
+
+
+def _labels(positions: DataFrame, merges: DataFrame) -> DataFrame:
+    """``pos, root``: the smallest position of each position's cluster after the given merges.
+
+    A cluster merges into a smaller one once at most, so merges are pointers; every join doubles the
+    steps that they take.
+    """
+    steps = cut_lineage(positions.join(merges.select(F.col("b").alias("pos"), F.col("a").alias("root")), "pos", "left")
+                        .select("pos", F.coalesce("root", "pos").alias("root")))
+    while True:
+        ahead = steps.select(F.col("pos").alias("root"), F.col("root").alias("_next"))
+        moved = cut_lineage(steps.join(ahead, "root").select("pos", F.col("_next").alias("root"),
+                                                             (F.col("_next") != F.col("root")).alias("moved")))
+        steps = moved.select("pos", "root")
+        if moved.where("moved").isEmpty():
+            return steps
 
 
 def hclust(df: DataFrame, num_clusters: int, id_col: str | None = None, small: int = SMALL,
            block_rows: int | None = None) -> DataFrame:
-    """``id, cluster``: Euclidean average-linkage clusters ``cluster_0…`` by smallest member id."""
+    """``id, cluster``: Euclidean average-linkage clusters ``cluster_0…`` by smallest member id.
+
+    Missing and infinite cells are an error, as distances to such rows say nothing about linkage.
+    """
     id_col = id_of(df, id_col)
     rows, n = prepared(vectors(df, id_col))
-    rows = _numbered(rows)
+    bad = F.exists("vec", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    if not rows.where(bad).isEmpty():
+        raise ValueError("unable to cluster: missing or infinite values encountered")
     if not 1 <= num_clusters <= n:
         raise ValueError(f"num_clusters has to be between 1 and the number of rows ({n})")
-    tree = _Tree(n)
-    state = _distances(rows, n, len(value_columns(df, id_col)), block_rows)
-    if n > small:
-        state = cut_lineage(state)
-    while len(tree.members) > small:
-        state = cut_lineage(_round(state, tree))
-    if n > 1:
-        left = state.orderBy("pos").toPandas()
-        _finish(np.stack(left["dist"].to_numpy()), tree)
-    labels = df.sparkSession.createDataFrame(
-        [(i, f"cluster_{c}") for i, c in enumerate(tree.labels(n, num_clusters).tolist())],
-        "pos int, cluster string")
-    return rows.join(labels, "pos").select("id", "cluster")
+    rows = cut_lineage(numbered(rows, ["id"], "pos"))
+    pairs = _distances(rows, n, len(value_columns(df, id_col)), block_rows)
+    sizes = rows.select("pos", F.lit(1.0).alias("size"))
+    merges, left, number = [], n, 0
+    if left > small:
+        pairs = cut_lineage(pairs)
+    while left > small:
+        made = _merged(pairs, sizes, number)
+        merges.append(made.drop("share"))
+        pairs, sizes = _round(pairs, sizes, made)
+        left, number = left - made.count(), number + 1
+    # a row per cluster with its distances to larger ones
+    rest = sizes.join(pairs.groupBy(F.col("i").alias("pos")).agg(
+        F.collect_list(F.struct("j", "d")).alias("other")), "pos", "left").withColumn(
+        "other", F.coalesce("other", F.array().cast("array<struct<j:bigint,d:double>>")))
+    merges.append(rest.groupBy(F.lit(0).alias("g")).applyInArrow(
+        lambda t: _finish(t, number), MERGE))
+    every = merges[0]
+    for more in merges[1:]:
+        every = every.union(more)
+    lowest = numbered(every, ["height", "round", "a"], "place").where(F.col("place") < n - num_clusters)
+    labels = _labels(rows.select("pos"), lowest)
+    names = numbered(labels.select("root").distinct(), ["root"], "_c")
+    return (rows.select("id", "pos").join(labels, "pos").join(names, "root")
+            .select("id", F.concat(F.lit("cluster_"), F.col("_c").cast("string")).alias("cluster")))
 
 
 def cluster_hclust(df: DataFrame, num_clusters: int, col_name: str = "clusters",

@@ -6,19 +6,24 @@ blocks. Missing cells are left out pair by pair.
 
 from __future__ import annotations
 
+import math
 import warnings
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tessella.errors import EmptyResultError
 from tessella.frame import cells, col, double, id_of, join_by_id, value_columns
 from tessella.functions.blocks import (block_count, pair_blocks, pair_own_blocks, prepared,
                                        vectors)
-from tessella.functions.gram import (column_means, cross_sums, euclidean, matrix_of, named, pearson)
+from tessella.functions.gram import (SUMS, array_column, column_means, cross_sums, matrix_of, named, pearson,
+                                     squared_distance)
 from tessella.functions.quantiles import average_ranks
+from tessella.functions.ranges import (PARTS, RANGE_ROWS, between_ranges, by_range, concordance, cuts_of,
+                                       range_codes, range_counts)
+from tessella.runtime import cut_lineage
 
 # a pair of blocks works on a handful of tables of this many rows and columns, 32 MB each; rows so
 # wide that they are larger than such a table make smaller blocks
@@ -69,81 +74,183 @@ def _spearman(df: DataFrame, id_col: str, x_cols: list[str],
         "i", "j", pearson().alias("r"), F.col("n").cast("long").alias("n"))
 
 
-def _spearman_with_gaps(df: DataFrame, x_cols: list[str],
-                        y_cols: list[str] | None) -> DataFrame:
-    """Ranks among the rows complete for the pair, so each pair of columns has its own ranks."""
+def _placed(df: DataFrame, cols: list[str]) -> tuple[DataFrame, int]:
+    """``row, vec`` of all rows, written once, and their number."""
+    rows = cut_lineage(df.select(F.monotonically_increasing_id().alias("row"),
+                                 F.array(*[double(c) for c in cols]).alias("vec")))
+    return rows, rows.count()
+
+
+def _wanted(p: int, q: int, same: bool) -> np.ndarray:
+    """Which columns are compared, of all columns in a line: x by y, or x by x with i <= j."""
+    if same:
+        return np.triu(np.ones((p, p), bool))
+    out = np.zeros((p + q, p + q), bool)
+    out[:p, p:] = True
+    return out
+
+
+def _spearman_with_gaps(df: DataFrame, x_cols: list[str], y_cols: list[str] | None,
+                        range_rows: int = RANGE_ROWS) -> DataFrame:
+    """Ranks among the rows complete for the pair, so each pair of columns has its own ranks.
+
+    The rank of a row in column c beside d is the number of rows with d in lower ranges of c, plus its
+    rank within its range. A row's ranks come together again and only their sums leave a task.
+    """
     same = y_cols is None
-    y_cols = x_cols if same else y_cols
-    pairs = F.array(*[
-        F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), double(x).alias("x"),
-                 double(y).alias("y"))
-        for i, x in enumerate(x_cols) for j, y in enumerate(y_cols) if not same or i <= j])
-    points = (df.select(F.explode(pairs).alias("p")).select("p.*").dropna()
-              .groupBy("i", "j", "x", "y").agg(F.count(F.lit(1)).alias("c")))
-    rank_x = average_ranks(points, "x", ["i", "j"], "c").withColumnRenamed("rank", "rx")
-    rank_y = average_ranks(points, "y", ["i", "j"], "c").withColumnRenamed("rank", "ry")
-    both = points.join(rank_x, ["i", "j", "x"]).join(rank_y, ["i", "j", "y"])
-    c, rx, ry = F.col("c"), F.col("rx"), F.col("ry")
-    sums = both.groupBy("i", "j").agg(
-        F.sum(c).cast("double").alias("n"), F.sum(c * rx).alias("sx"), F.sum(c * ry).alias("sy"),
-        F.sum(c * rx * rx).alias("sxx"), F.sum(c * ry * ry).alias("syy"),
-        F.sum(c * rx * ry).alias("sxy"))
+    cols = x_cols if same else [*x_cols, *y_cols]
+    rows, n = _placed(df, cols)
+    cuts = cuts_of(rows, len(cols), n, range_rows)
+    pairs = _wanted(len(x_cols), 0 if same else len(y_cols), same)
+    present = F.aggregate("counts", F.lit(0).cast("long"), lambda a, v: a + v)
+    sizes = (range_counts(rows, cuts).groupBy("c", "range", "d").agg(F.sum(present).alias("m")))
+    before = W.partitionBy("c", "d").orderBy("range").rowsBetween(W.unboundedPreceding, -1)
+    lower = cut_lineage(sizes.withColumn("lower", F.coalesce(F.sum("m").over(before), F.lit(0)))
+                        .groupBy("c", "range").agg(F.array_sort(F.collect_list(F.struct("d", "lower", "m"))).alias("at"))
+                        .withColumn("part", F.explode(F.when(F.col("range") % 2 == 1, F.sequence(
+                            F.lit(0), F.lit(PARTS - 1))).otherwise(F.array(F.lit(0))))))
+
+    def place(key: tuple, part: pa.Table, base: pa.Table) -> pa.Table:
+        c, code = key[0].as_py(), key[1].as_py()
+        x = matrix_of(part["vec"]) if part.num_rows else np.empty((0, len(cols)))
+        out = np.full(x.shape, np.nan)
+        for d, lower_rows, m in (tuple(v.values()) for v in (base["at"][0].as_py() if base.num_rows else [])):
+            here = ~np.isnan(x[:, d])
+            # all rows of a cut are equal; other ranges are here as a whole
+            own = (m + 1) / 2 if code % 2 else pd.Series(x[here, c]).rank().to_numpy()
+            out[here, d] = lower_rows + own
+        return pa.table({"row": part["row"], "c": pa.array(np.full(len(x), c, np.int32)), "ranks": array_column(out)})
+
+    ranked = by_range(rows, cuts, True).groupBy("c", "range", "part").cogroup(
+        lower.groupBy("c", "range", "part")).applyInArrow(place, "row long, c int, ranks array<double>")
+    whole = ranked.groupBy("row").agg(F.collect_list(F.struct("c", "ranks")).alias("r"))
+
+    def add(batches):
+        total = np.zeros((len(SUMS), len(cols), len(cols)))
+        step = max(1, DIFFERENCE_CELLS // len(cols) ** 2)
+        for batch in batches:
+            ends, flat = batch["r"].offsets.to_numpy(), batch["r"].flatten()
+            ends = ends - ends[0]
+            c, ranks = flat.field("c").to_numpy(), matrix_of(flat.field("ranks"))
+            owner = np.repeat(np.arange(batch.num_rows), np.diff(ends))
+            for a in range(0, batch.num_rows, step):
+                b = min(a + step, batch.num_rows)
+                x = np.full((b - a, len(cols), len(cols)), np.nan)
+                here = slice(ends[a], ends[b])
+                x[owner[here] - a, c[here]] = ranks[here]
+                y = x.transpose(0, 2, 1)
+                seen = ~(np.isnan(x) | np.isnan(y)) & pairs
+                x, y = np.where(seen, x, 0.0), np.where(seen, y, 0.0)
+                total += np.stack([v.sum(axis=0) for v in (seen, x, y, x * x, y * y, x * y)])
+        i, j = np.nonzero(pairs & (total[0] > 0))
+        yield pa.RecordBatch.from_pydict({
+            "i": pa.array(i, pa.int32()), "j": pa.array(j if same else j - len(x_cols), pa.int32()),
+            **{k: total[q][i, j] for q, k in enumerate(SUMS)}})
+
+    sums = (whole.select("r").mapInArrow(add, "i int, j int, " + ", ".join(f"{k} double" for k in SUMS))
+            .groupBy("i", "j").agg(*[F.sum(k).alias(k) for k in SUMS]))
     return sums.select("i", "j", pearson().alias("r"), F.col("n").cast("long").alias("n"))
 
 
 def _kendall(df: DataFrame, id_col: str, x_cols: list[str], y_cols: list[str] | None,
-             block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """tau-b by comparing all rows, block by block; a pair of blocks emits p·q sums only."""
-    same_cols = y_cols is None
-    cols = x_cols if same_cols else [*x_cols, *y_cols]
-    rows, n = prepared(vectors(df, id_col, cols))
-    blocks = block_count(n, len(cols), block_rows)
-    p = len(x_cols)
-
-    def compare(left: pa.Table, right: pa.Table, same: bool) -> pa.Table:
-        a, b = matrix_of(left["vec"]), matrix_of(right["vec"])
-        weight = 0.5 if same else 1.0
-        total = None
-        step = max(1, 2**21 // max(1, b.size))
-        for start in range(0, len(a), step):
-            diff = np.sign(a[start:start + step, None, :] - b[None, :, :]).reshape(-1, a.shape[1])
-            seen = (~np.isnan(diff)).astype(float)
-            diff = np.nan_to_num(diff)
-            x, mx = diff[:, :p], seen[:, :p]
-            y, my = (x, mx) if same_cols else (diff[:, p:], seen[:, p:])
-            part = np.stack([x.T @ y, np.abs(x).T @ my, mx.T @ np.abs(y), mx.T @ my]) * weight
-            total = part if total is None else total + part
-        i, j = (v.ravel() for v in np.indices(total.shape[1:]))
-        names = ("s", "tx", "ty", "m")
-        return pa.table({"i": i, "j": j, **{k: total[q].ravel() for q, k in enumerate(names)}})
-
-    parts = pair_own_blocks(rows, blocks, compare,
-                            "i int, j int, s double, tx double, ty double, m double")
-    sums = parts.groupBy("i", "j").agg(*[F.sum(k).alias(k) for k in ("s", "tx", "ty", "m")])
-    if same_cols:
-        sums = sums.where("i <= j")
-    # m counts the compared row pairs with every row against itself: n^2 / 2
-    return sums.select(
-        "i", "j", F.when((F.col("tx") > 0) & (F.col("ty") > 0), F.try_divide(
-            F.col("s"), F.sqrt("tx") * F.sqrt("ty"))).alias("r"),
-        F.round(F.sqrt(F.col("m") * 2)).cast("long").alias("n"))
+             range_rows: int = RANGE_ROWS) -> DataFrame:
+    """tau-b by counting inversions: within ranges of either column, and between ranges by their sizes."""
+    same = y_cols is None
+    cols = x_cols if same else [*x_cols, *y_cols]
+    rows, n = _placed(df, cols)
+    cuts = cuts_of(rows, len(cols), n, range_rows)
+    pairs = _wanted(len(x_cols), 0 if same else len(y_cols), same)
+    schema = "i int, j int, range int, s long, tied_x long, tied_y long, counts array<long>"
+    kinds = [pa.int32()] * 3 + [pa.int64()] * 3 + [pa.list_(pa.int64())]
+
+    def compare(key: tuple, part: pa.Table) -> pa.Table:
+        c, code = key[0].as_py(), key[1].as_py()
+        x = matrix_of(part["vec"])
+        codes = range_codes(x, cuts)
+        out = []
+        for d in range(len(cols)):
+            here = np.flatnonzero(codes[:, d] >= 0)
+            if not (pairs[c, d] or pairs[d, c]) or not len(here):
+                continue
+            whole, tied = concordance(x[here, c], x[here, d])
+            if pairs[c, d]:
+                # pairs within one range of both columns are counted from either side: once too often
+                twice, _ = concordance(x[here, c], x[here, d], codes[here, d])
+                out.append((c, d, code, whole - twice, tied, 0,
+                            np.bincount(codes[here, d], minlength=2 * len(cuts[d]) + 1)))
+            if pairs[d, c]:
+                out.append((d, c, code, whole, 0, tied, np.empty(0, np.int64)))
+        return pa.table([pa.array(v, k) for v, k in zip(list(zip(*out)) or [[]] * 7, kinds)],
+                        [f.split()[0] for f in schema.split(", ")])
+
+    def joined(key: tuple, parts: pa.Table) -> pa.Table:
+        i, j = key[0].as_py(), key[1].as_py()
+        grid = np.zeros((2 * len(cuts[i]) + 1, 2 * len(cuts[j]) + 1), np.int64)
+        for code, counts in zip(parts["range"].to_pylist(), parts["counts"]):
+            if len(counts.values):
+                grid[code] += counts.values.to_numpy()
+        s, tied_x, tied_y = (int(np.sum(parts[k].to_numpy())) for k in ("s", "tied_x", "tied_y"))
+        s += between_ranges(grid)
+        cut_x, cut_y = grid.sum(axis=1)[1::2], grid.sum(axis=0)[1::2]  # all pairs of a cut are tied
+        tied_x += int((cut_x * (cut_x - 1) // 2).sum())
+        tied_y += int((cut_y * (cut_y - 1) // 2).sum())
+        m = int(grid.sum())
+        every = m * (m - 1) // 2
+        spread = math.sqrt(every - tied_x) * math.sqrt(every - tied_y)
+        return pa.table({"i": pa.array([i], pa.int32()), "j": pa.array([j if same else j - len(x_cols)], pa.int32()),
+                         "r": pa.array([s / spread if spread else None], pa.float64()), "n": pa.array([m], pa.int64())})
+
+    inside = by_range(rows, cuts, False).groupBy("c", "range").applyInArrow(compare, schema)
+    parts = inside
+    if any(len(own) for own in cuts):
+        zero = F.lit(0).cast("long")
+        on_cuts = range_counts(rows, cuts, odd_only=True).select(
+            F.col("c").alias("i"), F.col("d").alias("j"), "range", zero.alias("s"), zero.alias("tied_x"),
+            zero.alias("tied_y"), "counts")
+        wanted = F.array(*[F.array(*[F.lit(bool(v)) for v in row]) for row in pairs])
+        parts = inside.unionByName(on_cuts.where(wanted[F.col("i")][F.col("j")]))
+    return parts.groupBy("i", "j").applyInArrow(joined, "i int, j int, r double, n long").where("n > 0")
 
 
 def column_distances(df: DataFrame, id_col: str | None = None) -> DataFrame:
     """Euclidean distances ``x_id, y_id, distance, n`` between two different value columns.
 
-    With missing cells the squared distance over the present ones is scaled up to all rows.
+    With missing cells the squared distance over the present ones is scaled up to all rows. Pairs of
+    columns that lie very close, which one job looks for, take a second pass over the rows.
     """
     cols = value_columns(df, id_col)
     rows = df.agg(F.count(F.lit(1)).alias("n")).scalar()
     # sums of centred columns don't cancel; the means come back as a difference per pair
     sums = cross_sums(df, cols).where("i < j").withColumn("_m", column_means(df, cols))
     apart = F.col("_m")[F.col("i")] - F.col("_m")[F.col("j")]
-    out = sums.select("i", "j", euclidean(apart, F.try_divide(rows, F.col("n"))).alias("distance"),
-                      F.col("n").cast("long").alias("n"))
+    found = cut_lineage(sums.select("i", "j", "n", squared_distance(apart).alias("d2"),
+                                    (F.col("sxx") + F.col("syy") + F.col("n") * apart * apart).alias("_whole")))
+    # columns that lie close for their length lose digits in the sums: take their differences
+    near = found.where((F.col("d2") < NEAR * F.col("_whole")) & (F.col("n") > 0)).select("i", "j").toArrow()
+    if near.num_rows:
+        close = _column_differences(df, cols, near["i"].to_numpy(), near["j"].to_numpy())
+        found = (found.join(close.withColumnRenamed("d2", "_exact"), ["i", "j"], "left")
+                 .withColumn("d2", F.coalesce("_exact", "d2")))
+    out = found.select("i", "j", F.sqrt(F.col("d2") * F.try_divide(rows, F.col("n"))).alias("distance"),
+                       F.col("n").cast("long").alias("n"))
     return named(out, cols, cols).select("x_id", "y_id", "distance", "n")
 
 
+def _column_differences(df: DataFrame, cols: list[str], i: np.ndarray, j: np.ndarray) -> DataFrame:
+    """``i, j, d2``: squared distances of some pairs of columns from the differences of their cells."""
+    def add(batches):
+        total = np.zeros(len(i))
+        for batch in batches:
+            x = matrix_of(batch["vec"])
+            step = max(1, DIFFERENCE_CELLS // max(1, len(x)))
+            for a in range(0, len(i), step):
+                total[a:a + step] += np.nansum((x[:, i[a:a + step]] - x[:, j[a:a + step]]) ** 2, axis=0)
+        yield pa.RecordBatch.from_pydict({"i": pa.array(i, pa.int32()), "j": pa.array(j, pa.int32()), "d2": total})
+
+    rows = df.select(F.array(*[double(c) for c in cols]).alias("vec"))
+    return rows.mapInArrow(add, "i int, j int, d2 double").groupBy("i", "j").agg(F.sum("d2").alias("d2"))
+
+
 # --- between rows -----------------------------------------------------------------------------
 
 def _ranked(x: np.ndarray) -> np.ndarray:
@@ -181,12 +288,21 @@ def block_correlation(x: np.ndarray, y: np.ndarray, method: str):
         gap = np.isnan(row)[None, :] | np.isnan(y)
         a = _ranked(np.where(gap, np.nan, row[None, :]))
         b = _ranked(np.where(gap, np.nan, y))
-        ones = [block_pearson(a[k:k + 1], b[k:k + 1]) for k in range(len(y))]
-        r[i] = [v[0][0, 0] for v in ones]
-        n[i] = [v[1][0, 0] for v in ones]
+        r[i], n[i] = _row_by_row(a, b)
     return r, n
 
 
+def _row_by_row(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """r and n of each row of x with the same row of y; both miss the same cells."""
+    n = (~np.isnan(x)).sum(axis=1)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        x, y = (np.nan_to_num(v - (np.nansum(v, axis=1) / n)[:, None]) for v in (x, y))
+        xx, yy = (x * x).sum(axis=1), (y * y).sum(axis=1)
+        r = (x * y).sum(axis=1) / (np.sqrt(xx) * np.sqrt(yy))
+        r[~((n >= 2) & (xx > 0) & (yy > 0))] = np.nan
+    return np.clip(r, -1.0, 1.0), n
+
+
 def _ids(table: pa.Table) -> np.ndarray:
     return table["id"].to_numpy()
 
@@ -331,6 +447,81 @@ def median_correlations(pairs: DataFrame) -> DataFrame:
         F.percentile("r", F.lit(0.5)).alias("median_cor"))
 
 
+# bins of the first look at a row's correlations
+MEDIAN_BINS = 512
+
+
+def row_median_correlations(df: DataFrame, method: str = "pearson", id_col: str | None = None,
+                            block_rows: int | None = None) -> DataFrame:
+    """``id, median_cor``: the median of each row's correlations with all rows, itself included.
+
+    No pair is listed. Pairs of blocks count each row's correlations in bins, the counts add up to the
+    bin that holds the middle, and a second look at the blocks returns what lies in that bin only. Exact;
+    a row without any correlation has none.
+    """
+    rows, n = prepared(vectors(df, id_col))
+    blocks = block_count(n, len(value_columns(df, id_col)), block_rows, BLOCK_ROWS)
+
+    def sides(left, right, same):
+        r, _ = block_correlation(matrix_of(left["vec"]), matrix_of(right["vec"]), method)
+        return [(left, r)] if same else [(left, r), (right, r.T)]
+
+    def bins(r):
+        return np.clip(np.floor((r + 1) / 2 * MEDIAN_BINS), 0, MEDIAN_BINS - 1)
+
+    def count(left, right, same):
+        out = []
+        for own, r in sides(left, right, same):
+            place = np.where(np.isnan(r), MEDIAN_BINS, bins(r)).astype(np.int64)
+            place += np.arange(len(r))[:, None] * (MEDIAN_BINS + 1)
+            found = np.bincount(place.ravel(), minlength=len(r) * (MEDIAN_BINS + 1))
+            found = found.reshape(len(r), -1)[:, :MEDIAN_BINS].astype(float)
+            out.append(pa.table({"id": own["id"], "counts": array_column(found)}))
+        return pa.concat_tables(out)
+
+    def middle(counts: pa.Table) -> pa.Table:
+        total = matrix_of(counts["counts"]).sum(axis=0)
+        upto, m = np.cumsum(total), total.sum()
+        # bins of the two middle ranks, and how many lie below the first
+        low, high = (int(np.searchsorted(upto, rank, side="right")) for rank in ((m - 1) // 2, m // 2))
+        return pa.table({"id": counts["id"].slice(0, 1), "low": pa.array([low if m else -1], pa.int32()),
+                         "high": pa.array([high if m else -1], pa.int32()),
+                         "m": pa.array([int(m)], pa.int64()),
+                         "below": pa.array([int(upto[low] - total[low]) if m else 0], pa.int64())})
+
+    counted = pair_own_blocks(rows, blocks, count, "id string, counts array<double>")
+    # a pair of blocks sends one array per row; arrays of a row are added in two steps
+    part = F.pmod(F.spark_partition_id(), F.lit(16)).alias("_part")
+    added = counted.groupBy("id", part).applyInArrow(
+        lambda t: pa.table({"id": t["id"].slice(0, 1), "counts": array_column(
+            matrix_of(t["counts"]).sum(axis=0, keepdims=True))}), "id string, counts array<double>")
+    bracket = cut_lineage(added.groupBy("id").applyInArrow(
+        middle, "id string, low int, high int, m long, below long"))
+    bracketed = cut_lineage(rows.join(bracket, "id"))
+
+    def inside(left, right, same):
+        out = []
+        for own, r in sides(left, right, same):
+            place = bins(r)
+            low, high = (own[k].to_numpy()[:, None] for k in ("low", "high"))
+            # between the two bins there is nothing
+            i, j = np.nonzero((place == low) | (place == high))
+            out.append(pa.table({"id": own["id"].take(pa.array(i)), "r": r[i, j]}))
+        return pa.concat_tables(out)
+
+    held = (pair_own_blocks(bracketed, blocks, inside, "id string, r double")
+            .groupBy("id", "r").agg(F.count(F.lit(1)).alias("c")))
+    upto = F.sum("c").over(W.partitionBy("id").orderBy("r").rowsBetween(W.unboundedPreceding, W.currentRow))
+    ranked = held.join(bracket, "id").withColumn("upto", F.col("below") + upto)
+
+    def value_at(rank):
+        return F.min(F.when(F.col("upto") > rank, F.col("r")))
+
+    return ranked.groupBy("id").agg(
+        ((value_at(F.floor((F.col("m") - 1) / 2)) + value_at(F.floor(F.col("m") / 2))) / 2).alias("median_cor")
+    ).join(bracket.select("id"), "id", "right").select("id", "median_cor")
+
+
 def has_negative_median(df: DataFrame, id_col: str | None = None,
                         block_rows: int | None = None) -> bool:
     """Whether the median correlation of some row with all rows, itself included, is negative.

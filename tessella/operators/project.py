@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tessella.frame import col, double, id_of, value_columns
 from tessella.functions.aggregates import NORMAL_MAD_SCALE
-from tessella.functions.gram import cross_sums
+from tessella.functions.gram import gram_arrays
 from tessella.functions.quantiles import quantiles
 
 NOT_FINITE = "unable to perform PCA: missing or infinite values encountered"
@@ -38,14 +38,6 @@ def _eigen(matrix: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return np.maximum(values[order], 0.0), vectors * _signs(vectors)
 
 
-def _square(cells: DataFrame, size: int, value: Column) -> np.ndarray:
-    """A small symmetric matrix, columns by columns, on the driver."""
-    out = np.zeros((size, size))
-    for r in cells.select("i", "j", value.alias("v")).collect():
-        out[r["i"], r["j"]] = out[r["j"], r["i"]] = r["v"]
-    return out
-
-
 class ColumnPCA:
     """PCA with rows as observations. Only the p×p loadings come to the driver."""
 
@@ -103,8 +95,7 @@ def _row_eigen(df: DataFrame, num_dims: int, scale: bool, id_col: str | None):
     """
     id_col = id_of(df, id_col)
     cols = value_columns(df, id_col)
-    sums = cross_sums(_row_centred(df, id_col, cols, scale), cols, shift=False)
-    inner = _square(sums, len(cols), F.col("sxy"))
+    inner = gram_arrays(_row_centred(df, id_col, cols, scale), cols, shift=False)["sxy"]
     values, vectors = np.linalg.eigh(inner)
     order = np.argsort(values)[::-1][:min(num_dims, len(cols))]
     values, vectors = np.maximum(values[order], 0.0), vectors[:, order]
@@ -170,8 +161,8 @@ def robust_pca(df: DataFrame, num_dims: int = 2, id_col: str | None = None) -> D
     signs = (scaled.withColumn("_len", length)
              .select(*[F.coalesce(F.try_divide(F.col("_z")[i], F.col("_len")), F.lit(0.0)).alias(c)
                        for i, c in enumerate(cols)]))
-    spread = _square(cross_sums(signs, cols, shift=False), len(cols),
-                     F.try_divide(F.col("sxy"), F.col("n")))
+    sums = gram_arrays(signs, cols, shift=False)
+    spread = sums["sxy"] / np.maximum(sums["n"], 1)
     _, loadings = _eigen(spread, min(num_dims, len(cols)))
     scores = [F.aggregate(F.zip_with("_z", F.lit([float(w) for w in loadings[:, k]]),
                                      lambda z, w: z * w), F.lit(0.0), lambda a, b: a + b)

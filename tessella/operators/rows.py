@@ -73,6 +73,21 @@ def name_in(names, id_col=None) -> Predicate:
     return lambda df: col(id_of(df, id_col)).isin(list(names))
 
 
+def name_not_in(names, errors="ignore", id_col=None) -> Predicate:
+    """With ``errors='raise'`` one job looks for names that are no row id: they are an error."""
+    names = list(names)
+
+    def predicate(df: DataFrame) -> Column:
+        key = col(id_of(df, id_col))
+        if errors == "raise":
+            found = {r[0] for r in df.where(key.isin(names)).select(key).distinct().collect()}
+            unknown = [n for n in names if n not in found]
+            if unknown:
+                raise KeyError(f"rows not found: {unknown}")
+        return ~key.isin(names)
+    return predicate
+
+
 def name_startswith(prefix, drop=True, id_col=None) -> Predicate:
     def predicate(df: DataFrame) -> Column:
         hit = col(id_of(df, id_col)).startswith(prefix)
@@ -97,13 +112,38 @@ def annotation_in(annotation, key, column, values, id_col=None) -> Predicate:
     return lambda df: col(id_of(df, id_col)).isin(_annotated(annotation, key, column, values))
 
 
+def annotation_not_in(annotation, key, column, values, id_col=None) -> Predicate:
+    """Rows without any listed annotation, also those without an id."""
+    def predicate(df: DataFrame) -> Column:
+        hits = _annotated(annotation, key, column, values).where("_key is not null")
+        return ~F.coalesce(col(id_of(df, id_col)).isin(hits), F.lit(False))
+    return predicate
+
+
+def complete(id_col=None) -> Predicate:
+    """No cell is missing."""
+    def predicate(df: DataFrame) -> Column:
+        cells = [col(c).isNotNull() & ~F.isnan(col(c)) if kind in ("double", "float") else col(c).isNotNull()
+                 for c, kind in df.dtypes if c != id_of(df, id_col)]
+        return reduce(and_, cells, F.lit(True))
+    return predicate
+
+
+def all_of(*predicates: Predicate) -> Predicate:
+    """Every predicate, cutoffs taken from the unfiltered frame."""
+    return lambda df: reduce(and_, [p(df) for p in predicates], F.lit(True))
+
+
+def any_of(*predicates: Predicate) -> Predicate:
+    return lambda df: reduce(or_, [p(df) for p in predicates], F.lit(False))
+
+
 def filter_and(df: DataFrame, *predicates: Predicate) -> DataFrame:
-    """Rows that pass every predicate, cutoffs taken from the unfiltered frame."""
-    return df.where(reduce(and_, [p(df) for p in predicates]))
+    return df.where(all_of(*predicates)(df))
 
 
 def filter_or(df: DataFrame, *predicates: Predicate) -> DataFrame:
-    return df.where(reduce(or_, [p(df) for p in predicates]))
+    return df.where(any_of(*predicates)(df))
 
 
 # --- row filters ------------------------------------------------------------------------------
@@ -154,15 +194,7 @@ def filter_rows_name_in(df, names, id_col=None):
 
 def filter_rows_name_not_in(df, names, errors="raise", id_col=None):
     """Drop rows by id. With ``errors='raise'`` a name that is no row id is an error."""
-    id_col = id_of(df, id_col)
-    if errors == "raise":
-        names = list(names)
-        found = {r[0] for r in df.where(col(id_col).isin(names)).select(col(id_col)).distinct()
-                 .collect()}
-        unknown = [n for n in names if n not in found]
-        if unknown:
-            raise KeyError(f"rows not found: {unknown}")
-    return df.where(~name_in(names, id_col)(df))
+    return df.where(name_not_in(names, errors, id_col)(df))
 
 
 def filter_rows_name_startswith(df, prefix, drop=True, id_col=None):

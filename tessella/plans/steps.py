@@ -51,19 +51,62 @@ def _by_annotation(filter_rows: Operator) -> Operator:
     return run
 
 
-def _combined(semi: bool) -> Operator:
-    """Rows that pass all (or any) of several row filters, each applied to the same input.
+# row filters as predicates, for filters that combine others: a row passes by its own cells
+MASKS: dict[str, Callable[..., rows.Predicate]] = {
+    "filter_rows_sum_gt": rows.sum_gt,
+    "filter_rows_var_gt": rows.var_gt,
+    "row_var_above": rows.var_gt,
+    "filter_rows_col_gt": lambda column, value=None, quantile=None: rows.col_is(column, "gt", value, quantile),
+    "filter_rows_max_na": rows.max_na,
+    "filter_rows_min_nonzero": rows.min_nonzero,
+    "filter_rows_col_not_na": rows.col_not_na,
+    "filter_rows_col_in": rows.col_in,
+    "filter_rows_col_not_in": rows.col_not_in,
+    "filter_rows_name_in": rows.name_in,
+    "filter_rows_name_not_in": rows.name_not_in,
+    "filter_rows_name_startswith": rows.name_startswith,
+    "filter_rows_name_endswith": rows.name_endswith,
+    "filter_rows_by_group_func": rows.group_is,
+    "filter_rows_group_func_ge": lambda group, column, func, value=None, quantile=None, **options: rows.group_is(
+        group, column, func, "ge", value, quantile, **options),
+    "filter_rows_group_func_le": lambda group, column, func, value=None, quantile=None, **options: rows.group_is(
+        group, column, func, "le", value, quantile, **options),
+    "filter_rows_group_size_ge": lambda group, size: rows.group_is(group, group, "size", "ge", size),
+    "filter_rows_gene_biotype_in": lambda annotation, gene_biotypes, key=None, column="biotype": rows.annotation_in(
+        annotation, key or annotation.columns[0], column, gene_biotypes),
+    "filter_rows_gene_biotype_not_in": lambda annotation, gene_biotypes, key=None, column="biotype": rows.annotation_not_in(
+        annotation, key or annotation.columns[0], column, gene_biotypes),
+    "complete_cases": rows.complete,
+    "filter_and": lambda filters=None, **spec: _mask_of(rows.all_of, filters, spec),
+    "filter_or": lambda filters=None, **spec: _mask_of(rows.any_of, filters, spec),
+}
+
+
+def _mask_of(combine: Callable[..., rows.Predicate], filters: list | None, spec: dict) -> rows.Predicate:
+    """The predicate of a combined filter: a list of ``{name: parameters}``, or two filters by name as
+    ``filter1, filter2`` with their parameters ``fargs1, fargs2``."""
+    if filters is None:
+        numbers = sorted(int(k[6:]) for k in spec if k.startswith("filter"))
+        filters = [{spec.pop(f"filter{n}"): spec.pop(f"fargs{n}", None)} for n in numbers]
+        if spec:
+            raise TypeError(f"unexpected parameters: {sorted(spec)}")
+    made = []
+    for action in filters:
+        name, params = _parse(action)
+        if name not in MASKS:
+            raise ValueError(f"{name!r} can't be combined: it doesn't judge rows one by one")
+        made.append(MASKS[name](**_arguments(params)))
+    return combine(*made)
+
 
-    ``filters`` is a list of ``{name: parameters}``; rows are told apart by their unique ids.
+def _combined(name: str) -> Operator:
+    """Rows that pass all (or any) of several row filters, each judged on the same input.
+
+    The filters are predicates on the row, so rows that share an id are told apart, and the input is
+    read once. Without any filter all rows stay.
     """
-    def run(df: DataFrame, filters: list[dict]) -> DataFrame:
-        key, kept = df.columns[0], None
-        for action in filters:
-            name, params = _parse(action)
-            passed = OPERATORS[name](df, **params).select(col(key).alias("_id")).distinct()
-            kept = passed if kept is None else (
-                kept.union(passed).distinct() if semi else kept.intersect(passed))
-        return df if kept is None else df.join(kept, col(key).eqNullSafe(F.col("_id")), "left_semi")
+    def run(df: DataFrame, filters: list[dict] | None = None, **spec) -> DataFrame:
+        return df.where(MASKS[name](filters, **spec)(df)) if filters or spec else df
     return run
 
 
@@ -94,8 +137,8 @@ OPERATORS: dict[str, Operator] = {
     "filter_rows_by_group_func": rows.filter_rows_by_group_func,
     "filter_rows_gene_biotype_in": _by_annotation(rows.filter_rows_annotation_in),
     "filter_rows_gene_biotype_not_in": _by_annotation(rows.filter_rows_annotation_not_in),
-    "filter_and": _combined(semi=False),
-    "filter_or": _combined(semi=True),
+    "filter_and": _combined("filter_and"),
+    "filter_or": _combined("filter_or"),
     "complete_cases": rows.complete_cases,
     "knn_graph": neighbors.knn_graph,
     "integrate_cca": lambda df, dataset, **options: cca.integrate_cca(df, dataset, **options),
@@ -105,8 +148,15 @@ OPERATORS: dict[str, Operator] = {
 ARGUMENTS = {"col": "column"}
 
 
-def register_operator(name: str, fn: Operator) -> None:
+def register_operator(name: str, fn: Operator, mask: Callable[..., rows.Predicate] | None = None) -> None:
+    """Add an operator; a row filter may come with a ``mask``, the same parameters to a predicate."""
     OPERATORS[name] = fn
+    if mask is not None:
+        MASKS[name] = mask
+
+
+def _arguments(params: dict) -> dict:
+    return {ARGUMENTS.get(k, k): v for k, v in params.items()}
 
 
 def _parse(action) -> tuple[str, dict | list]:
@@ -144,7 +194,7 @@ class _Run:
     def apply(self, name: str, params: dict, df: DataFrame) -> DataFrame:
         if name not in OPERATORS:
             raise ValueError(f"unknown operator {name!r}")
-        args = {ARGUMENTS.get(k, k): v for k, v in params.items()
+        args = {k: v for k, v in _arguments(params).items()
                 if k not in ("id", "reports", "save", "filename", "inline", "local")}
         if isinstance(args.get("dataset"), str):
             args["dataset"] = self.results[args["dataset"]]

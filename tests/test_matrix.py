@@ -5,7 +5,8 @@ from helpers import ids, matrix, pair_table, to_pandas
 from pyspark.sql import functions as F
 
 from tessella.errors import EmptyResultError, NotUniqueError
-from tessella.functions.gram import cross_sums
+from tessella.functions.gram import block_sums, cross_sums, gram_arrays
+from tessella.functions import ranges
 from tessella.operators import cca, cluster, correlate, neighbors, project, shape, transforms
 
 
@@ -44,13 +45,69 @@ def tau_b(x, y):
 
 def test_kendall_over_several_blocks(spark):
     df, frame = matrix(spark, np.round(values(30, 3)))
-    rows = correlate._kendall(df, "id", list(frame.columns), None, block_rows=7)
+    rows = correlate._kendall(df, "id", list(frame.columns), None, range_rows=7)
     for r in rows.collect():
         a, b = frame.columns[r["i"]], frame.columns[r["j"]]
         assert r["r"] == pytest.approx(tau_b(frame[a], frame[b]))
         assert r["n"] == 30
 
 
+@pytest.mark.parametrize("range_rows", [5, 20, 1000])
+def test_ranks_from_ranges(spark, range_rows):
+    """Values of which one makes up a third, ties and gaps, ranges of a few rows."""
+    rng = np.random.default_rng(12)
+    x = np.round(rng.normal(size=(90, 4)) + rng.normal(size=(90, 1)), 1)
+    x[rng.random((90, 4)) < 0.33] = 0.0
+    x[:, 3] = rng.normal(size=90)
+    df, frame = matrix(spark, x, 0.1)
+    cols = list(frame.columns)
+    df = df.union(df.limit(0)).repartition(3)
+    for kind, run in (("spearman", lambda *a: correlate._spearman_with_gaps(df, *a, range_rows)),
+                      ("kendall", lambda *a: correlate._kendall(df, "id", *a, range_rows))):
+        for xs, ys in ((cols, None), (cols[:3], cols[2:])):
+            got = {(xs[r["i"]], (ys or xs)[r["j"]]): (r["r"], r["n"]) for r in run(xs, ys).collect()}
+            wanted = [(a, b) for i, a in enumerate(xs) for b in (ys or xs[i:])]
+            assert set(got) == set(wanted)
+            for a, b in wanted:
+                both = frame[[a, b]].dropna() if a != b else frame[[a]].dropna()
+                own = both[a], both[b]
+                r = tau_b(*own) if kind == "kendall" else own[0].rank().corr(own[1].rank())
+                assert got[a, b] == (pytest.approx(r), len(both))
+
+
+def test_inversions():
+    rng = np.random.default_rng(0)
+    for n in (0, 1, 2, 3, 17, 64, 100):
+        x = rng.integers(0, max(1, n), n)
+        assert ranges.inversions(x) == sum(x[i] > x[j] for i in range(n) for j in range(i + 1, n))
+
+
+def test_close_columns_keep_their_distance(spark):
+    rng = np.random.default_rng(2)
+    base = rng.normal(0, 1e6, 400)
+    x = np.stack([base, base + rng.normal(0, 1e-3, 400), rng.normal(0, 1e6, 400), base], axis=1)
+    df, frame = matrix(spark, x, 0.02)
+    got = pair_table(correlate.column_distances(df), "distance")
+    for i, a in enumerate(frame):
+        for b in list(frame)[i + 1:]:
+            d = (frame[a] - frame[b]).dropna()
+            assert got[a, b] == pytest.approx(np.sqrt((d ** 2).sum() * len(frame) / len(d)), rel=1e-9, abs=1e-12)
+
+
+@pytest.mark.parametrize("method,block_rows", [("pearson", 7), ("spearman", 100)])
+def test_row_medians_without_pairs(spark, method, block_rows):
+    x = values(26, 6)
+    x[3] = x[4]
+    x[5] = 1.0  # constant: no correlation at all
+    df, frame = matrix(spark, x, 0.1)
+    got = {r["id"]: r["median_cor"] for r in correlate.row_median_correlations(df, method, block_rows=block_rows).collect()}
+    want = correlate.median_correlations(correlate.row_correlations(df, method, block_rows=9)).collect()
+    assert set(got) == set(frame.index)
+    for r in want:
+        assert got[r["id"]] == (None if r["median_cor"] is None else pytest.approx(r["median_cor"], abs=1e-12))
+    assert got["r0005"] is None
+
+
 def test_constant_columns_have_no_correlation(spark):
     df, _ = matrix(spark, [[0.1, 1.0], [0.1, 2.0], [0.1, 4.0]])
     got = pair_table(correlate.column_correlations(df))
@@ -68,7 +125,15 @@ def test_cross_sums_block_by_block(spark):
 
     whole = table()
     assert len(whole) == 28
-    assert np.allclose(whole, table(block=3, pairs_per_pass=2))
+    for options in ({"block": 3}, {"block": 3, "pairs_per_pass": 2}, {"block": 2, "pairs_per_pass": 1}):
+        assert np.allclose(whole, table(**options))
+    # three blocks make six pairs: a task hands over that many rows, and the sum as many
+    assert block_sums(df, cols, block=3).count() == 6
+    arrays = gram_arrays(df, cols, shift=False, block=3)
+    for i, j, n, sx, sy, sxx, syy, sxy in whole:
+        i, j = int(i), int(j)
+        assert np.allclose([arrays[k][i, j] for k in ("n", "sx", "sy", "sxx", "syy", "sxy")], [n, sx, sy, sxx, syy, sxy])
+        assert np.allclose([arrays[k][j, i] for k in ("n", "sx", "sy", "sxx", "syy", "sxy")], [n, sy, sx, syy, sxx, sxy])
     two = cross_sums(df, cols[:4], cols[4:], block=2, pairs_per_pass=1).count()
     assert two == 12
 
@@ -373,6 +438,18 @@ def test_hclust(spark, small, block_rows):
         assert [made[f"cluster_{i}"][0] for i in range(k)] == sorted(m[0] for m in made)
 
 
+def test_hclust_with_ties_and_gaps(spark):
+    x = np.array([[0.0], [0.0], [1.0], [1.0], [5.0], [6.0], [5.5], [20.0]])
+    df, _ = matrix(spark, x)
+    for small in (2048, 1, 3):
+        got = {r["id"]: r["cluster"] for r in cluster.hclust(df, 3, small=small).collect()}
+        assert list(got[f"r000{i}"] for i in range(8)) == ["cluster_0"] * 4 + ["cluster_1"] * 3 + ["cluster_2"]
+    for bad in (None, float("nan"), float("inf")):
+        rows = df.union(spark.createDataFrame([("x", bad)], "id string, c0 double"))
+        with pytest.raises(ValueError):
+            cluster.hclust(rows, 2)
+
+
 def test_hclust_of_a_single_row(spark):
     df, _ = matrix(spark, [[1.0, 2.0]])
     assert cluster.hclust(df, 1).first()["cluster"] == "cluster_0"
