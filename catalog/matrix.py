@@ -262,7 +262,8 @@ def _(spark, sf):
 
 @query("cluster_hclust")
 def _(spark, sf):
-    return cluster.cluster_hclust(part_months(spark, sf, "p_size"), num_clusters=4)
+    # no lines: nothing sold
+    return cluster.cluster_hclust(part_months(spark, sf, "p_size").na.fill(0.0), num_clusters=4)
 
 
 @query("integrate_cca")

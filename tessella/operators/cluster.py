@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tessella.frame import col, id_of, join_by_id, value_columns
 from tessella.functions.blocks import block_count, pair_own_blocks, prepared, vectors
@@ -47,7 +47,7 @@ def _merged(pairs: DataFrame, sizes: DataFrame, number: int) -> DataFrame:
     so the first of the nearest pairs of all is always among them and every round merges.
     """
     ways = pairs.union(pairs.select("j", "i", "d"))
-    near = cut_lineage(ways.groupBy("i").agg(F.min(F.struct("d", "j")).alias("m")).select("i", "m.j", "m.d"))
+    near = ways.groupBy("i").agg(F.min(F.struct("d", "j")).alias("m")).select("i", "m.j", "m.d")
     other = near.select(F.col("i").alias("j"), F.col("j").alias("i"))
     found = near.join(other, ["i", "j"]).where("i < j").select(
         F.col("i").alias("a"), F.col("j").alias("b"), F.col("d").alias("height"), F.lit(number).alias("round"))
@@ -76,7 +76,7 @@ def _round(pairs: DataFrame, sizes: DataFrame, merges: DataFrame) -> tuple[DataF
     return cut_lineage(pairs), cut_lineage(sizes)
 
 
-def _finish(table: pa.Table, number: int) -> pa.Table:
+def _rest_of_tree(table: pa.Table, number: int) -> list[tuple[int, int, float, int]]:
     """Merges of the clusters that are left, round by round in one task."""
     names = table["pos"].to_numpy()
     order = np.argsort(names)
@@ -102,11 +102,28 @@ def _finish(table: pa.Table, number: int) -> pa.Table:
         names, sizes, dist = names[kept], sizes[kept], dist[np.ix_(kept, kept)]
         np.fill_diagonal(dist, np.inf)
         number += 1
-    columns = list(zip(*out)) or [[]] * 4
+    return out
+
+
+def _finish(table: pa.Table, number: int) -> pa.Table:
+    columns = list(zip(*_rest_of_tree(table, number))) or [[]] * 4
     return pa.table({n: pa.array(c, k) for n, c, k in zip(
         ("a", "b", "height", "round"), columns, (pa.int64(), pa.int64(), pa.float64(), pa.int32()))})
 
 
+def _clusters(table: pa.Table, num_clusters: int) -> pa.Table:
+    """``pos, c`` of rows of which none has merged before: the number of each row's cluster."""
+    root = {int(p): int(p) for p in sorted(table["pos"].to_pylist())}
+    merges = sorted(_rest_of_tree(table, 0), key=lambda m: (m[2], m[3], m[0]))
+    for a, b, _, _ in merges[:len(root) - num_clusters]:
+        root[b] = a
+    for p in root:  # a cluster merges into a smaller one, which is settled before
+        root[p] = root[root[p]]
+    names = {r: c for c, r in enumerate(sorted(set(root.values())))}
+    return pa.table({"pos": pa.array(list(root), pa.int64()),
+                     "c": pa.array([names[r] for r in root.values()], pa.int64())})
+
+
 def _labels(positions: DataFrame, merges: DataFrame) -> DataFrame:
     """``pos, root``: the smallest position of each position's cluster after the given merges.
 
@@ -137,7 +154,7 @@ def hclust(df: DataFrame, num_clusters: int, id_col: str | None = None, small: i
         raise ValueError("unable to cluster: missing or infinite values encountered")
     if not 1 <= num_clusters <= n:
         raise ValueError(f"num_clusters has to be between 1 and the number of rows ({n})")
-    rows = cut_lineage(numbered(rows, ["id"], "pos"))
+    rows = numbered(rows, ["id"], "pos")
     pairs = _distances(rows, n, len(value_columns(df, id_col)), block_rows)
     sizes = rows.select("pos", F.lit(1.0).alias("size"))
     merges, left, number = [], n, 0
@@ -148,12 +165,15 @@ def hclust(df: DataFrame, num_clusters: int, id_col: str | None = None, small: i
         merges.append(made.drop("share"))
         pairs, sizes = _round(pairs, sizes, made)
         left, number = left - made.count(), number + 1
-    # a row per cluster with its distances to larger ones
+    # a row per cluster with its distances to larger ones, all in one task
     rest = sizes.join(pairs.groupBy(F.col("i").alias("pos")).agg(
         F.collect_list(F.struct("j", "d")).alias("other")), "pos", "left").withColumn(
         "other", F.coalesce("other", F.array().cast("array<struct<j:bigint,d:double>>")))
-    merges.append(rest.groupBy(F.lit(0).alias("g")).applyInArrow(
-        lambda t: _finish(t, number), MERGE))
+    rest = rest.groupBy(F.lit(0).alias("g"))
+    if n <= small:
+        found = rest.applyInArrow(lambda t: _clusters(t, num_clusters), "pos long, c long")
+        return rows.select("id", "pos").join(found, "pos").select("id", _name("c"))
+    merges.append(rest.applyInArrow(lambda t: _finish(t, number), MERGE))
     every = merges[0]
     for more in merges[1:]:
         every = every.union(more)
@@ -161,7 +181,11 @@ def hclust(df: DataFrame, num_clusters: int, id_col: str | None = None, small: i
     labels = _labels(rows.select("pos"), lowest)
     names = numbered(labels.select("root").distinct(), ["root"], "_c")
     return (rows.select("id", "pos").join(labels, "pos").join(names, "root")
-            .select("id", F.concat(F.lit("cluster_"), F.col("_c").cast("string")).alias("cluster")))
+            .select("id", _name("_c")))
+
+
+def _name(number: str) -> Column:
+    return F.concat(F.lit("cluster_"), F.col(number).cast("string")).alias("cluster")
 
 
 def cluster_hclust(df: DataFrame, num_clusters: int, col_name: str = "clusters",

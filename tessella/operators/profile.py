@@ -6,11 +6,14 @@ cells go through the bracketed exact form. Nothing gathers the cells.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tessella.frame import cells, col, double, id_of, value_columns
 from tessella.functions.quantiles import quantiles
 from tessella.functions.rowwise import (row_max, row_mean, row_median, row_missing, row_sd)
+from tessella.operators import correlate, project
 from tessella.operators.joins import annotate
 from tessella.operators.transforms import signed_log2
 
@@ -131,9 +134,56 @@ def profile_top(profile: DataFrame, largest: bool = True, k: int = TOP,
     return top if annotation is None else annotate(top, annotation)
 
 
-def profile(df: DataFrame, id_col: str | None = None) -> dict[str, DataFrame]:
-    """All report tables by name; each is computed only when used."""
-    out = {
+class Tables(dict):
+    """Tables by name, some given as functions that make them when they are first asked for."""
+
+    def __getitem__(self, name: str) -> DataFrame:
+        found = super().__getitem__(name)
+        if not isinstance(found, DataFrame) and callable(found):
+            found = self[name] = found()
+        return found
+
+    def get(self, name: str, default=None):
+        return self[name] if name in self else default
+
+    def values(self):
+        return [self[name] for name in self]
+
+    def items(self):
+        return [(name, self[name]) for name in self]
+
+    def add(self, prefix: str, tables: "Tables") -> None:
+        """Take over other tables under a prefix, as they are."""
+        for name in tables:
+            self[prefix + name] = dict.__getitem__(tables, name)
+
+
+def _pairwise(df: DataFrame, id_col: str | None) -> dict[str, Callable[[], DataFrame]]:
+    """Median correlations of rows and columns, their summaries and extremes, and component variances."""
+    medians = {"row": lambda: correlate.row_median_correlations(df, id_col=id_col),
+               "column": lambda: correlate.median_correlations(correlate.column_correlations(df, id_col=id_col))}
+    kept: dict[str, DataFrame] = {}
+
+    def of(side: str) -> DataFrame:
+        if side not in kept:
+            kept[side] = medians[side]()
+        return kept[side]
+
+    out = {}
+    for side in medians:
+        out[f"{side}_correlation"] = lambda side=side: correlate.correlation_summary(of(side))
+        for which in ("highest", "lowest", "closest_to_zero"):
+            out[f"{side}_correlation_{which}"] = lambda side=side, which=which: correlate.top_correlated(of(side), which)
+        target = side + "s"
+        out[f"pca_variance_{target}"] = lambda target=target: project.pca_variance(df, target, id_col=id_col)
+    return out
+
+
+def profile(df: DataFrame, id_col: str | None = None) -> Tables:
+    """All report tables by name; each is computed only when used, those between rows or columns are
+    not even planned before."""
+    out = Tables(_pairwise(df, id_col))
+    out |= {
         "dimensions": dimensions(df, id_col),
         "column_types": column_types(df, id_col),
         "histogram": value_histogram(df, id_col=id_col),

@@ -171,7 +171,7 @@ class _Run:
         self.spark = spark
         self.check_empty = check_empty
         self.persist_forks = persist_forks
-        self.results: dict[str, DataFrame] = {}
+        self.results = profile.Tables()
 
     def name(self, wanted: str, given: bool) -> str:
         if wanted not in self.results:
@@ -188,8 +188,7 @@ class _Run:
         for report in reports:
             if report != "general_eda":
                 raise ValueError(f"unknown report {report!r}")
-            for table, frame in profile.profile(df).items():
-                self.results[f"{step}/profile/{table}"] = frame
+            self.results.add(f"{step}/profile/", profile.profile(df))
 
     def apply(self, name: str, params: dict, df: DataFrame) -> DataFrame:
         if name not in OPERATORS:
