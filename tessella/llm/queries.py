@@ -170,14 +170,18 @@ def archived(pages: DataFrame) -> DataFrame:
         warc.warc_record(F.col("url"), F.col("html")).alias("record"))
 
 
-def replica_of(records: DataFrame) -> DataFrame:
-    """A replica with damage drawn from the record's id: flipped, cut and lost records."""
+def replica_of(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """A replica and its index, with damage drawn from the record's id: flipped, cut and lost records, and
+    index entries that are off."""
     kind = _drawn(F.coalesce(F.col("page_id").cast("string"), F.lit("")), "damage", 300)
     n = F.octet_length("record")
     damaged = (F.when(kind == 0, F.concat(F.substring("record", 1, n - 5), F.lit("#").cast("binary"),
                                           F.substring("record", n - 3, 4)))
                .when(kind == 1, F.substring("record", 1, n - 7)).otherwise(F.col("record")))
-    return records.where(kind != 2).withColumn("record", damaged)
+    replica = records.where(kind != 2).withColumn("off", F.when(kind == 3, 7).otherwise(0)).withColumn("record", damaged)
+    places = materialize(replica.select("archive", "seq", "off", F.octet_length("record").cast("long").alias("length")), "places")
+    index = warc.placed(places).select("archive", "seq", (F.col("expected") + F.col("off")).alias("record_offset"))
+    return replica, index
 
 
 @query("op10_warc_fixity", f"""WITH p AS (SELECT *, row_number() OVER () - 1 AS place FROM pages),
@@ -187,10 +191,12 @@ r AS (SELECT page_id, place // {RECORDS_PER_ARCHIVE} AS part, place % {RECORDS_P
   {_DRAWN.format('damage', "coalesce(CAST(page_id AS VARCHAR), '')", 300)} AS kind FROM p),
 o AS (SELECT *, coalesce(sum(length) OVER (PARTITION BY part ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off FROM r)
 SELECT page_id, CAST(seq AS BIGINT) AS seq, CAST(off AS BIGINT) AS record_offset, length,
-  CASE kind WHEN 0 THEN 'changed' WHEN 1 THEN 'resized' ELSE 'missing' END AS problem FROM o WHERE kind < 3""")
+  CASE kind WHEN 0 THEN 'changed' WHEN 1 THEN 'resized' WHEN 2 THEN 'missing' ELSE 'misplaced' END AS problem
+FROM o WHERE kind < 4""")
 def warc_fixity(spark: SparkSession, sf: str) -> DataFrame:
     ours = archived(table(spark, sf, "pages"))
-    found = warc.audit(ours, replica_of(ours))
+    replica, index = replica_of(ours)
+    found = warc.audit(ours, replica, replica_index=index)
     return (found.join(ours.select("archive", "seq", "page_id"), ["archive", "seq"])
             .select("page_id", "seq", "record_offset", "length", "problem"))
 
