@@ -59,21 +59,25 @@ def _drawn(of: Column, salt: str, below: int) -> Column:
     return F.pmod(F.conv(F.substring(F.md5(F.concat(F.lit(salt), of)), 1, 8), 16, 10).cast("long"), F.lit(below))
 
 
+#: salt of the draw of domains of three, two and one labels, and of how many one is listed
+_DOMAIN_DRAWS = (("domain", 5), ("pair", 7), ("top", 2))
+
+
 def dated_captures(pages: DataFrame) -> DataFrame:
     """Pages as captures: the fetch time within 2024 is drawn from the URL."""
     return pages.select("page_id", "url", (F.lit(1704067200) + _drawn(F.col("url"), "fetch", 31536000)).alias("fetched_at"))
 
 
 def dated_entries(pages: DataFrame) -> DataFrame:
-    """List entries on the hosts of the pages: every third host and every fifth domain is added once,
-    removed later and added again, at times drawn from its name."""
+    """List entries on the hosts of the pages and on domains of one to three labels, a share of each drawn:
+    added once, removed later and added again, at times drawn from the name."""
     hosts = pages.select(urlfilter.host_of(F.col("url")).alias("host")).where("host is not null").distinct()
-    domain = F.regexp_extract("host", r"[^.]+\.[^.]+\.[^.]+$", 0)
+    domains = [F.regexp_extract("host", r"[^.]+" + r"\.[^.]+" * (n - 1) + "$", 0) for n in (3, 2, 1)]
     names = (hosts.select(F.lit("hosts").alias("list"), F.lit("host").alias("kind"), F.col("host").alias("pattern"))
-             .where(_drawn(F.col("pattern"), "host", 3) == 0)
-             .union(hosts.select(F.lit("domains"), F.lit("domain"), domain).distinct()
-                    .toDF("list", "kind", "pattern").where("pattern <> ''")
-                    .where(_drawn(F.col("pattern"), "domain", 5) == 0)))
+             .where(_drawn(F.col("pattern"), "host", 3) == 0))
+    for domain, (salt, below) in zip(domains, _DOMAIN_DRAWS):
+        names = names.union(hosts.select(F.lit("domains"), F.lit("domain"), domain.alias("pattern")).distinct()
+                            .where("pattern <> ''").where(_drawn(F.col("pattern"), salt, below) == 0))
     start = F.lit(1704067200) + _drawn(F.col("pattern"), "start", 15768000)
     stop = start + 86400 + _drawn(F.col("pattern"), "stop", 7884000)
     again = stop + 86400 + _drawn(F.col("pattern"), "again", 7884000)
@@ -91,7 +95,11 @@ _HOST = r"rtrim(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@
 h AS (SELECT DISTINCT host FROM c WHERE host IS NOT NULL),
 n AS (SELECT 'hosts' AS list, 'host' AS kind, host AS pattern FROM h WHERE {_DRAWN.format('host', 'host', 3)} = 0
   UNION ALL SELECT 'domains', 'domain', d FROM (SELECT DISTINCT regexp_extract(host, '[^.]+\.[^.]+\.[^.]+$', 0) AS d FROM h)
-  WHERE d <> '' AND {_DRAWN.format('domain', 'd', 5)} = 0),
+  WHERE d <> '' AND {_DRAWN.format('domain', 'd', 5)} = 0
+  UNION ALL SELECT 'domains', 'domain', d FROM (SELECT DISTINCT regexp_extract(host, '[^.]+\.[^.]+$', 0) AS d FROM h)
+  WHERE d <> '' AND {_DRAWN.format('pair', 'd', 7)} = 0
+  UNION ALL SELECT 'domains', 'domain', d FROM (SELECT DISTINCT regexp_extract(host, '[^.]+$', 0) AS d FROM h)
+  WHERE d <> '' AND {_DRAWN.format('top', 'd', 2)} = 0),
 s AS (SELECT *, 1704067200 + {_DRAWN.format('start', 'pattern', 15768000)} AS a FROM n),
 t AS (SELECT *, a + 86400 + {_DRAWN.format('stop', 'pattern', 7884000)} AS b FROM s),
 i AS (SELECT list, kind, pattern, a AS f, b AS u FROM t
