@@ -144,14 +144,13 @@ def _(spark, sf):
 
 
 @query("map_sets", """SELECT 'brand ' || p_brand AS set_name, p_brand AS description,
-  count(DISTINCT p_type) AS n FROM part WHERE p_size <= 25 GROUP BY 1, 2""")
+  count(DISTINCT p_type) AS n FROM part GROUP BY 1, 2""")
 def _(spark, sf):
     part = table(spark, sf, "part")
     sets = part.groupBy(F.concat(F.lit("brand "), "p_brand").alias("set_name"),
                         F.col("p_brand").alias("description")).agg(
         F.sort_array(F.collect_set(F.col("p_partkey").cast("string"))).alias("members"))
-    mapping = part.where("p_size <= 25").select("p_partkey", "p_type")
-    mapped = aggregate.map_sets(sets, mapping, "p_partkey", "p_type")
+    mapped = aggregate.map_sets(sets, part.select("p_partkey", "p_type"), "p_partkey", "p_type")
     return mapped.select("set_name", "description",
                          F.size(F.array_distinct("members")).cast("long").alias("n"))
 

@@ -40,11 +40,11 @@ def _(spark, sf):
 
 
 @query("merge_features_mismatched", with_ctes(
-    USER_TYPES, USER_WEEKDAYS, f"SELECT ut.*, {', '.join(WEEKDAYS)} FROM ut LEFT JOIN "
-    "(SELECT * FROM uw WHERE w1 > 40000) uw ON ut.user_id = uw.user_id"))
+    USER_TYPES, "SELECT ut.*, c_acctbal, c_nationkey FROM ut LEFT JOIN customer ON user_id = CAST(c_custkey AS VARCHAR)"))
 def _(spark, sf):
     return joins.merge_features(
-        {"a": user_types(spark, sf), "b": user_weekdays(spark, sf).where("w1 > 40000")},
+        {"a": user_types(spark, sf), "b": table(spark, sf, "customer").select(
+            F.col("c_custkey").cast("string"), "c_acctbal", "c_nationkey")},
         include_column_prefix=False, allow_mismatched_indices=True)
 
 
@@ -92,16 +92,17 @@ def _(spark, sf):
 
 
 @query("annotate", with_ctes(PART_TOTALS, """SELECT pt.*, p_brand, p_type FROM pt
-JOIN part ON part = CAST(p_partkey AS VARCHAR) WHERE p_size < 10"""))
+JOIN part ON part = CAST(p_partkey AS VARCHAR)"""))
 def _(spark, sf):
-    side = table(spark, sf, "part").where("p_size < 10").select(
+    side = table(spark, sf, "part").select(
         F.col("p_partkey").cast("string"), "p_brand", "p_type")
     return joins.annotate(part_totals(spark, sf), side)
 
 
-@query("shared_rows", with_ctes(USER_TYPES, USER_WEEKDAYS, """SELECT * FROM ut WHERE user_id IN (
-  SELECT user_id FROM uw WHERE w1 > 40000) AND t_view > 30000"""))
+@query("shared_rows", with_ctes(PART_TOTALS, """SELECT * FROM pt
+WHERE part IN (SELECT CAST(s_suppkey AS VARCHAR) FROM supplier)"""))
 def _(spark, sf):
-    left, _ = joins.shared_rows(user_types(spark, sf).where("t_view > 30000"),
-                                user_weekdays(spark, sf).where("w1 > 40000"))
+    """Parts whose number is also a supplier's."""
+    left, _ = joins.shared_rows(part_totals(spark, sf), table(spark, sf, "supplier").select(
+        F.col("s_suppkey").cast("string"), "s_acctbal"))
     return left

@@ -48,11 +48,12 @@ def ranked_sql(out: str, source: str, keys: str, value: str) -> str:
 
 
 @query("column_correlations_spearman", with_ctes(
-    USER_TYPES, f"full_ut AS (SELECT * FROM ut WHERE {' AND '.join(f'{c} IS NOT NULL' for c in T_COLS)})",
+    USER_TYPES, f"full_ut AS (SELECT user_id, {', '.join(f'coalesce({c}, 0) AS {c}' for c in T_COLS)} FROM ut)",
     long_sql("l0", "full_ut", "user_id", T_COLS), ranked_sql("l1", "l0", "col_id", "value"),
     "l AS (SELECT row_id, col_id, rk_value AS value FROM l1)", pair_sql()))
 def _(spark, sf):
-    return rounded(ordered(correlate.column_correlations(user_types(spark, sf).dropna(), "spearman")))
+    df = user_types(spark, sf).na.fill(0.0)  # no events: nothing spent
+    return rounded(ordered(correlate.column_correlations(df, "spearman")))
 
 
 GAP_COLS = DAYS
@@ -93,12 +94,12 @@ def _(spark, sf):
 
 
 @query("row_distances", with_ctes(
-    part_months_sql("sm", "p_size", 7), long_sql("l0", "sm", "p_size", MONTHS),
+    part_months_sql("sm", "p_size"), long_sql("l0", "sm", "p_size", MONTHS),
     "l AS (SELECT col_id AS row_id, row_id AS col_id, value FROM l0)", pair_sql(
         value="sqrt(sum((a.value - b.value) * (a.value - b.value)) * 12 / count(*))",
         name="distance", strict=True, places=4)))
 def _(spark, sf):
-    return rounded(correlate.row_distances(part_months(spark, sf, "p_size", 7)), 4)
+    return rounded(correlate.row_distances(part_months(spark, sf, "p_size")), 4)
 
 
 @query("row_correlations_spearman", with_ctes(

@@ -47,28 +47,24 @@ def row_median(cols: list[str]) -> Column:
         + F.get(a, F.floor(F.size(a) / 2).cast("int")), F.lit(2.0)))[0]
 
 
-def row_moments(cols: list[str]) -> Column:
-    """``struct(n, mean, m2)`` by the running update, so that no square is subtracted."""
-    zero = F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
-
-    def step(acc, x):
-        n = acc["n"] + 1
-        delta = x - acc["mean"]
-        mean = acc["mean"] + delta / n
-        return F.struct(n.alias("n"), mean.alias("mean"),
-                        (acc["m2"] + delta * (x - mean)).alias("m2"))
-
-    return F.aggregate(row_values(cols), zero, step)
+# columns up to which the deviations are written out; beyond, the expression would get too long to plan
+WRITTEN_OUT = 16
 
 
 def row_var(cols: list[str], ddof: int = 0) -> Column:
     """Variance over the present cells; NULL where ``n <= ddof``.
 
-    Cells are taken relative to the first present one. Its own deviation is part of the variance,
-    so the squares exceed the result by at most the number of cells and nothing cancels.
+    Squared deviations from the mean, so nothing cancels: written out as one compiled sum for few
+    columns, as a loop over an array for many.
     """
-    return F.transform(F.array(row_moments(cols)), lambda m: F.when(
-        m["n"] > ddof, m["m2"] / (m["n"] - ddof)))[0]
+    n, mean = F.lit(len(cols)) - row_missing(cols), row_mean(cols)
+    if len(cols) <= WRITTEN_OUT:
+        off = [double(c) - mean for c in cols]
+        squares = balanced([F.coalesce(d * d, F.lit(0.0)) for d in off], lambda a, b: a + b)
+    else:
+        squares = F.transform(F.array(mean), lambda m: F.aggregate(
+            row_values(cols), F.lit(0.0), lambda a, x: a + (x - m) * (x - m)))[0]
+    return F.when(n > ddof, squares / (n - ddof))
 
 
 def row_sd(cols: list[str], ddof: int = 1) -> Column:

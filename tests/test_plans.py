@@ -16,7 +16,7 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", NATIVE[::4])
+@pytest.mark.parametrize("name", NATIVE)
 def test_native_plans(spark, name):
     plan = plan_of(catalog.QUERIES[name](spark, SF))
     for word in ("ArrowEvalPython", "BatchEvalPython", "MapInArrow", "MapInPandas",
