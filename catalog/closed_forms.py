@@ -84,6 +84,21 @@ def _(spark, sf):
     return rounded(found.select("penalty", "correlation"))
 
 
+def _column_graph_sql(distance: str) -> str:
+    return with_ctes(*EM_LONG, f"""d AS (SELECT a.col_id AS id, b.col_id AS neighbor, {distance} AS d
+  FROM l a JOIN l b ON a.row_id = b.row_id WHERE a.col_id <> b.col_id GROUP BY 1, 2)""",
+                     "n AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY d, neighbor) AS rank FROM d)",
+                     f"SELECT id, neighbor, rank, {r('d')} AS distance FROM n WHERE rank <= 5")
+
+
+for metric, distance in (("euclidean", "sqrt(sum((a.value - b.value) * (a.value - b.value)))"),
+                         ("cosine", "1 - sum(a.value * b.value) / (sqrt(sum(a.value * a.value)) * sqrt(sum(b.value * b.value)))")):
+    @query(f"knn_graph_columns_{metric}", _column_graph_sql(distance))
+    def _(spark, sf, metric=metric):
+        found = neighbors.knn_graph(embedding_wide(spark, sf), 5, metric, target="columns")
+        return rounded(found.withColumn("rank", F.col("rank").cast("long")))
+
+
 @query("knn_graph_layout", with_ctes(
     part_months_sql("sm", "p_size"), long_sql("l0", "sm", "p_size", MONTHS),
     "l AS (SELECT * FROM l0 WHERE value IS NOT NULL)",

@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from tessella.frame import col, double, id_of, join_by_id, value_columns
 from tessella.functions.blocks import block_count, pair_blocks, prepared, vectors
-from tessella.functions.gram import matrix_of
-from tessella.operators.correlate import block_euclidean, has_negative_median
+from tessella.functions.gram import cross_sums, matrix_of, named
+from tessella.operators.correlate import (block_euclidean, both_ways, column_distances,
+                                          has_negative_median)
 from tessella.operators.project import project_pca
 
 # cells of one distance table held at a time
@@ -148,14 +149,36 @@ def layout_metric(df: DataFrame, id_col: str | None = None) -> str:
     return "cosine" if has_negative_median(df, id_of(df, id_col)) else "euclidean"
 
 
+def _column_graph(df: DataFrame, k: int, metric: str, id_col: str) -> DataFrame:
+    """The k nearest columns of every column, from one pass of sums over the rows."""
+    if metric == "euclidean":
+        pairs = column_distances(df, id_col).select("x_id", "y_id", "distance")
+    else:
+        cols = value_columns(df, id_col)
+        lengths = F.sqrt("sxx") * F.sqrt("syy")
+        apart = F.when(lengths > 0, 1 - F.try_divide(F.col("sxy"), lengths)).otherwise(F.lit(1.0))
+        sums = cross_sums(df, cols, shift=False).where("i < j")
+        pairs = named(sums.select("i", "j", apart.alias("distance")), cols, cols)
+    nearest = W.partitionBy("x_id").orderBy("distance", "y_id")
+    return (both_ways(pairs.where("distance is not null")).withColumn("rank", F.row_number().over(nearest))
+            .where(F.col("rank") <= k)
+            .select(F.col("x_id").alias("id"), F.col("y_id").alias("neighbor"), "rank", "distance"))
+
+
 def knn_graph(df: DataFrame, k: int, metric: str = "euclidean", num_dims: int | None = None,
-              id_col: str | None = None, block_rows: int | None = None) -> DataFrame:
-    """``id, neighbor, rank, distance``: the exact k nearest neighbours of every row.
+              id_col: str | None = None, block_rows: int | None = None, target: str = "rows") -> DataFrame:
+    """``id, neighbor, rank, distance``: the exact k nearest neighbours of every row, or column.
 
     With ``num_dims`` the neighbours are those among that many principal components. Distances use
     the cells both rows have; under ``cosine`` a row without length is at distance 1 from all.
     """
     id_col = id_of(df, id_col)
+    if target == "columns":
+        if num_dims is not None:
+            df = project_pca(df, target="rows", num_dims=num_dims, id_col=id_col)
+        return _column_graph(df, k, metric, id_col)
+    if target != "rows":
+        raise ValueError("target is rows or columns")
     if num_dims is not None:
         df = project_pca(df, num_dims=num_dims, id_col=id_col)
     rows, n = prepared(vectors(df, id_col))

@@ -298,3 +298,11 @@ def test_feature_selection_and_integration(spark):
     made = steps.integrate({"x": df, "y": response}, [
         {"cca": {"datasets": ["x", "y"], "permutations": 3}}, {"cross_cor": {"datasets": ["x", "y"]}}])
     assert made["cca_x_y"].count() == 10 and made["cross_cor_x_y"].count() == 8
+
+
+def test_pivot_of_too_many_names(spark):
+    from tessella.operators import shape
+    df = spark.createDataFrame([("a", f"n{i}", 1.0) for i in range(5)], "id string, c string, v double")
+    assert len(shape.pivot_wide(df, "c", "v", most_columns=5).columns) == 6
+    with pytest.raises(ValueError):
+        shape.pivot_wide(df, "c", "v", most_columns=4)
