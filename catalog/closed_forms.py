@@ -42,6 +42,12 @@ def _(spark, sf):
     return rounded(project.project_pca(vector_pair(spark, sf), whiten=True))
 
 
+@query("project_pca_pair_random", with_ctes(PAIR, MOMENTS, EIGEN,
+                                            f"SELECT vec_id, {r(FIRST)} AS PC1, {r(SECOND)} AS PC2 FROM em, v"))
+def _(spark, sf):
+    return rounded(project.project_pca(vector_pair(spark, sf), method="random"))
+
+
 @query("pca_variance_pair", with_ctes(PAIR, "k AS (SELECT abs(corr(x, y)) AS k FROM em)", f"""SELECT
   'PC1' AS component, {r('1 + k')} AS variance, {r('50 * (1 + k)')} AS "percent", {r('50 * (1 + k)')} AS cumulative FROM k
 UNION ALL SELECT 'PC2', {r('1 - k')}, {r('50 * (1 - k)')}, 100.0 FROM k"""))

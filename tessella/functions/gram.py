@@ -69,8 +69,8 @@ def block_sums(df: DataFrame, x_cols: list[str], y_cols: list[str] | None = None
     fan = max(16, 2**28 // (8 * len(SUMS) * width * width))
     for level in range(1, 2 if fan >= 256 else 3):
         parts = (parts.groupBy(*names, "a", "b", F.floor(F.col("_task") / fan**level).cast("int").alias("_up"))
-                 .applyInArrow(_added, ddl + ", _task int"))
-    whole = parts.groupBy(*names, "a", "b").applyInArrow(_added, ddl + ", _task int").drop("_task")
+                 .applyInArrow(added, ddl + ", _task int"))
+    whole = parts.groupBy(*names, "a", "b").applyInArrow(added, ddl + ", _task int").drop("_task")
     return whole.withColumnsRenamed({n: k for n, k in zip(names, keys)})
 
 
@@ -205,7 +205,8 @@ def _split(batch: pa.RecordBatch, by: list[str]) -> Iterator[tuple[tuple, pa.Rec
         yield tuple(key[name] for name in by), batch.filter(pa.array(mask))
 
 
-def _added(table: pa.Table) -> pa.Table:
+def added(table: pa.Table) -> pa.Table:
+    """One row with the sum of the arrays ``sums``, and the first of all else."""
     total = sum(np.frombuffer(v.as_buffer()) for v in table["sums"])
     first = table.slice(0, 1)
     return first.set_column(first.schema.get_field_index("sums"), "sums", pa.array([total.tobytes()], pa.binary()))

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tessella.frame import col, double, id_of, value_columns
 from tessella.functions.aggregates import NORMAL_MAD_SCALE
-from tessella.functions.gram import gram_arrays
+from tessella.functions.gram import added, array_column, gram_arrays, matrix_of
 from tessella.functions.quantiles import quantiles
 
 NOT_FINITE = "unable to perform PCA: missing or infinite values encountered"
@@ -69,6 +70,79 @@ class ColumnPCA:
             (F.col("_pc")[i] * float(factor[i])).alias(f"PC{i + 1}") for i in range(self.dims)])
 
 
+class RandomPCA:
+    """PCA of wide matrices by a randomised range finder with power steps (Halko et al. 2011).
+
+    A few random directions are sent through X'X several times: each time every task adds up its part of
+    X'(X q), columns by directions, and the sums are added in a tree. What the driver sees is as wide as
+    the columns and as long as ``num_dims + extra``, never columns by columns. Every step reads the rows
+    once. With as many directions as columns the result is exact; else the leading components are close.
+    """
+
+    def __init__(self, df: DataFrame, num_dims: int, scale: bool, id_col: str | None, steps: int = 6,
+                 extra: int = 10, seed: int = 1) -> None:
+        self.id_col = id_of(df, id_col)
+        self.cols = value_columns(df, self.id_col)
+        p = len(self.cols)
+        self.dims = min(num_dims, p)
+        self.data = df.select(col(self.id_col), _finite(_cells(df, self.cols)).alias("_x"))
+        at = [F.col("_x")[i] for i in range(p)]
+        found = self.data.agg(F.count(F.lit(1)), *[F.avg(c) for c in at], *[F.stddev_samp(c) for c in at]).first()
+        self.rows = found[0]
+        self.mean = np.array([v or 0.0 for v in found[1:p + 1]])
+        sd = np.array([v or 0.0 for v in found[p + 1:]])
+        self.sd = np.where(sd > 0, sd, 1.0) if scale else np.ones(p)
+        self.total_variance = float((sd > 0).sum() if scale else (sd ** 2).sum())
+        wide = min(p, self.dims + extra)
+        q = np.linalg.qr(np.random.default_rng(seed).normal(size=(p, wide)))[0]
+        for _ in range(steps):
+            q = np.linalg.qr(self._through(q))[0]
+        inner = q.T @ self._through(q)
+        self.values, vectors = _eigen((inner + inner.T) / 2, self.dims)
+        loadings = q @ vectors
+        self.loadings = loadings * _signs(loadings)
+
+    def _through(self, q: np.ndarray) -> np.ndarray:
+        """X'X q of the centred and scaled rows."""
+        mean, sd = self.mean, self.sd
+
+        def add(batches):
+            total = np.zeros(q.shape)
+            for batch in batches:
+                x = (matrix_of(batch.column("_x")) - mean) / sd
+                total += x.T @ (x @ q)
+            yield pa.RecordBatch.from_pydict({"sums": pa.array([total.tobytes()], pa.binary())})
+
+        parts = self.data.select("_x").mapInArrow(add, "sums binary").withColumn("_task", F.spark_partition_id())
+        for fan in (16, 256):
+            parts = parts.groupBy(F.floor(F.col("_task") / fan).alias("_up")).applyInArrow(
+                added, "sums binary, _task int")
+        return sum((np.frombuffer(r["sums"]).reshape(q.shape) for r in parts.toLocalIterator()), np.zeros(q.shape))
+
+    @property
+    def variances(self) -> np.ndarray:
+        return self.values / max(1, self.rows - 1)
+
+    def scores(self, whiten: bool) -> DataFrame:
+        mean, sd, loadings = self.mean, self.sd, self.loadings
+        if whiten:
+            with np.errstate(divide="ignore"):
+                loadings = loadings * np.where(self.variances > 0, 1 / np.sqrt(self.variances), 0.0)
+
+        @F.arrow_udf("array<double>")
+        def project(x: pa.Array) -> pa.Array:
+            return array_column(((matrix_of(x) - mean) / sd) @ loadings)
+
+        return (self.data.select(col(self.id_col), project("_x").alias("_pc"))
+                .select(col(self.id_col), *[F.col("_pc")[i].alias(f"PC{i + 1}") for i in range(self.dims)]))
+
+
+def _column_fit(df: DataFrame, num_dims: int, scale: bool, id_col: str | None, method: str):
+    if method not in ("exact", "random"):
+        raise ValueError("method is exact or random")
+    return (ColumnPCA if method == "exact" else RandomPCA)(df, num_dims, scale, id_col)
+
+
 def _row_centred(df: DataFrame, id_col: str, cols: list[str], scale: bool) -> DataFrame:
     """Each row minus its mean, over its sample sd when scaled; constant rows become zero."""
     p = float(len(cols))
@@ -105,15 +179,16 @@ def _row_eigen(df: DataFrame, num_dims: int, scale: bool, id_col: str | None):
 
 def project_pca(df: DataFrame, target: str = "columns", num_dims: int = 10,
                 whiten: bool = False, scale: bool = False,
-                id_col: str | None = None) -> DataFrame:
+                id_col: str | None = None, method: str = "exact") -> DataFrame:
     """Project onto the first principal components, centred and by default unscaled.
 
     ``target='columns'`` replaces the columns by ``PC1…`` for each row; ``'rows'`` replaces the
     rows by ``PC1…`` for each column. Missing or infinite cells are an error. Of the two possible
-    signs the one that makes the largest loading (rows: score) positive is taken.
+    signs the one that makes the largest loading (rows: score) positive is taken. With the method
+    ``random``, for columns in the thousands, no matrix of columns by columns is formed.
     """
     if target == "columns":
-        return ColumnPCA(df, num_dims, scale, id_col).scores(whiten)
+        return _column_fit(df, num_dims, scale, id_col, method).scores(whiten)
     if target != "rows":
         raise ValueError("target is columns or rows")
     id_col, cols, values, vectors, _ = _row_eigen(df, num_dims, scale, id_col)
@@ -124,10 +199,10 @@ def project_pca(df: DataFrame, target: str = "columns", num_dims: int = 10,
 
 
 def pca_variance(df: DataFrame, target: str = "columns", num_dims: int = 10, scale: bool = True,
-                 id_col: str | None = None) -> DataFrame:
+                 id_col: str | None = None, method: str = "exact") -> DataFrame:
     """``component, variance, percent, cumulative`` of the leading components."""
     if target == "columns":
-        fit = ColumnPCA(df, num_dims, scale, id_col)
+        fit = _column_fit(df, num_dims, scale, id_col, method)
         variances, total = fit.variances, fit.total_variance
     else:
         _, cols, values, _, trace = _row_eigen(df, num_dims, scale, id_col)

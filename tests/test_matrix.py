@@ -414,6 +414,21 @@ def test_cosine_keeps_rows_with_gaps_and_without_length(spark):
     assert (got[got["id"] == "c"]["distance"] == 1.0).all()
 
 
+def test_random_components_of_a_wide_matrix(spark):
+    """Three strong directions among 40 columns, from 13 directions."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(60, 3)) @ (rng.normal(size=(3, 40)) * 5) + rng.normal(size=(60, 40)) * 0.05 + 7
+    df, frame = matrix(spark, x)
+    for whiten in (False, True):
+        got, want = (project.project_pca(df, num_dims=3, whiten=whiten, method=m).toPandas().set_index("id").sort_index()
+                     for m in ("random", "exact"))
+        assert np.allclose(got, want, atol=1e-4)
+    got, want = (project.pca_variance(df, num_dims=3, method=m).toPandas() for m in ("random", "exact"))
+    assert np.allclose(got.iloc[:, 1:], want.iloc[:, 1:], rtol=1e-4)
+    with pytest.raises(ValueError):
+        project.project_pca(df, method="other")
+
+
 # --- clustering ---
 
 def sequential_average_linkage(x, k):
