@@ -13,14 +13,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from tessella.frame import col, double, id_of, join_by_id, value_columns
-from tessella.functions.blocks import block_count, pair_blocks, prepared, vectors
+from tessella.functions.blocks import BLOCK_BYTES, block_count, pair_blocks, prepared, vectors
 from tessella.functions.gram import cross_sums, matrix_of, named
 from tessella.operators.correlate import (block_euclidean, both_ways, column_distances,
                                           has_negative_median)
 from tessella.operators.project import project_pca
+from tessella.runtime import cut_lineage
 
 # cells of one distance table held at a time
 DISTANCE_CELLS = 2**23
+# centres that rows are dealt to at most
+MOST_CENTRES = 4096
+NEIGHBORS = pa.schema([("id", pa.string()), ("neighbor", pa.string()), ("distance", pa.float64())])
 
 Distance = Callable[[np.ndarray, np.ndarray], np.ndarray]
 
@@ -149,6 +153,80 @@ def layout_metric(df: DataFrame, id_col: str | None = None) -> str:
     return "cosine" if has_negative_median(df, id_of(df, id_col)) else "euclidean"
 
 
+def reachable(centre: np.ndarray, radius: np.ndarray, reach: np.ndarray) -> np.ndarray:
+    """Which blocks may hold a row within ``reach`` of one of each block, by the triangle inequality."""
+    apart = np.stack([np.linalg.norm(centre - c, axis=1) for c in centre])
+    least = apart - radius[:, None] - radius[None, :]
+    return least <= reach[:, None] + 1e-9 * (1 + apart + radius[:, None])  # a hair more, for rounding
+
+
+def _first_pairs(centre: np.ndarray, same: np.ndarray, members: np.ndarray, k: int) -> np.ndarray:
+    """Each block with those of its own centre, and with the nearest others until there are k rows besides one."""
+    met = same[:, None] == same[None, :]
+    for a in range(len(centre)):
+        for b in np.argsort(np.linalg.norm(centre - centre[a], axis=1), kind="stable"):
+            if members[met[a]].sum() > k:
+                break
+            met[a, b] = True
+    return met
+
+
+def _pruned(rows: DataFrame, width: int, n: int, k: int, block_rows: int | None,
+            meet: Callable[[pa.Table, pa.Table], pa.Table]) -> tuple[DataFrame, int, int]:
+    """The k nearest rows of complete rows under the Euclidean distance, and the pairs of blocks that met
+    of all there are.
+
+    Rows go to the nearest of some centres; a centre with many rows has several blocks. Blocks first meet
+    themselves and their surroundings, which says how far the k-th neighbour is at most; then only
+    the pairs of blocks meet whose centres and radii leave room for a nearer one.
+    """
+    spark = rows.sparkSession
+    size = block_rows or max(1, BLOCK_BYTES // (8 * max(1, width)))
+    chosen = rows.orderBy(F.xxhash64("id"), "id").limit(min(MOST_CENTRES, -(-n // size))).select("vec").collect()
+    centres = np.array([r["vec"] for r in chosen], float)
+
+    @F.arrow_udf("struct<centre int, away double>")
+    def nearest(vec: pa.Array) -> pa.Array:
+        x, step = matrix_of(vec), max(1, DISTANCE_CELLS // len(centres))
+        near, away = np.zeros(len(x), np.int32), np.zeros(len(x))
+        for a in range(0, len(x), step):
+            d = _euclidean(x[a:a + step], centres)
+            near[a:a + step], away[a:a + step] = d.argmin(axis=1), d.min(axis=1)
+        return pa.StructArray.from_arrays([pa.array(near), pa.array(away)], ["centre", "away"])
+
+    placed = cut_lineage(rows.select("id", "vec", nearest("vec").alias("_c")).select("id", "vec", "_c.centre", "_c.away"))
+    stats = {r["centre"]: (r["n"], r["r"]) for r in placed.groupBy("centre").agg(
+        F.count(F.lit(1)).alias("n"), F.max("away").alias("r")).collect()}  # a row per centre at most
+    pieces = [-(-stats.get(c, (0, 0.0))[0] // size) for c in range(len(centres))]
+    offset = [0, *np.cumsum(pieces).tolist()]
+    same = np.repeat(np.arange(len(centres)), pieces)
+    radius = np.array([stats[c][1] for c in same])
+    members = np.array([stats[c][0] / pieces[c] for c in same])
+    at = F.lit(offset[:-1])[F.col("centre")] + F.pmod(F.xxhash64("id"), F.greatest(F.lit(pieces)[F.col("centre")], F.lit(1)))
+    placed = placed.select("id", "vec", at.cast("int").alias("block"))
+
+    def run(met: np.ndarray) -> DataFrame:
+        pairs = spark.createDataFrame([(int(a), int(b)) for a, b in np.argwhere(met)], "_a int, _b int")
+        left = placed.join(pairs, F.col("block") == F.col("_a")).select("_a", "_b", "id", "vec")
+        right = placed.join(pairs, F.col("block") == F.col("_b")).select("_a", "_b", "id", "vec")
+        right = right.select(*[F.col(c).alias(c) for c in right.columns])
+        found = left.groupBy("_a", "_b").cogroup(right.groupBy("_a", "_b")).applyInArrow(
+            lambda x, y: meet(x, y) if x.num_rows and y.num_rows else NEIGHBORS.empty_table(),
+            "id string, neighbor string, distance double")
+        order = W.partitionBy("id").orderBy("distance", "neighbor")
+        return found.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= k).drop("_n")
+
+    met = _first_pairs(centres[same], same, members, k)
+    first = cut_lineage(run(met))
+    last = first.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.max("distance").alias("d"))
+    far = F.when(F.col("n") == k, F.col("d")).otherwise(F.lit(float("inf")))
+    reach = {r["block"]: r["reach"] for r in placed.select("id", "block").join(last, "id", "left")
+             .groupBy("block").agg(F.max(far).alias("reach")).collect()}  # a row per block
+    more = reachable(centres[same], radius, np.array([reach.get(b, 0.0) for b in range(len(same))])) & ~met
+    found = first.unionByName(run(more)) if more.any() else first
+    return found, int(met.sum() + more.sum()), met.size
+
+
 def _column_graph(df: DataFrame, k: int, metric: str, id_col: str) -> DataFrame:
     """The k nearest columns of every column, from one pass of sums over the rows."""
     if metric == "euclidean":
@@ -170,7 +248,8 @@ def knn_graph(df: DataFrame, k: int, metric: str = "euclidean", num_dims: int |
     """``id, neighbor, rank, distance``: the exact k nearest neighbours of every row, or column.
 
     With ``num_dims`` the neighbours are those among that many principal components. Distances use
-    the cells both rows have; under ``cosine`` a row without length is at distance 1 from all.
+    the cells both rows have; under ``cosine`` a row without length is at distance 1 from all. Complete
+    rows of more than one block leave out the blocks that are too far for their Euclidean neighbours.
     """
     id_col = id_of(df, id_col)
     if target == "columns":
@@ -204,8 +283,12 @@ def knn_graph(df: DataFrame, k: int, metric: str = "euclidean", num_dims: int |
                          "neighbor": pa.array(np.concatenate(b), pa.string()),
                          "distance": np.concatenate(d)})
 
-    found = pair_blocks(rows, rows, blocks, blocks, meet,
-                        "id string, neighbor string, distance double")
+    gap = F.exists("vec", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    if metric == "euclidean" and n > (block_rows or BLOCK_BYTES // (8 * max(1, width))) and rows.where(gap).isEmpty():
+        found, _, _ = _pruned(rows, width, n, k, block_rows, meet)
+    else:
+        found = pair_blocks(rows, rows, blocks, blocks, meet,
+                            "id string, neighbor string, distance double")
     nearest = W.partitionBy("id").orderBy("distance", "neighbor")
     return (found.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= k)
             .select("id", "neighbor", "rank", "distance"))

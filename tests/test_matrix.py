@@ -414,6 +414,26 @@ def test_cosine_keeps_rows_with_gaps_and_without_length(spark):
     assert (got[got["id"] == "c"]["distance"] == 1.0).all()
 
 
+def test_neighbors_of_far_blocks_are_left_out(spark, monkeypatch):
+    """Rows in clusters, a third of them equal: the same neighbours from fewer pairs of blocks."""
+    rng = np.random.default_rng(9)
+    x = rng.choice([-50.0, 50.0], (12, 4))[rng.integers(0, 12, 240)] + rng.normal(size=(240, 4))
+    x[::3] = x[0]
+    df, frame = matrix(spark, x)
+    seen = []
+    pruned = neighbors._pruned
+    monkeypatch.setattr(neighbors, "_pruned", lambda *a: seen.append(pruned(*a)) or seen[-1])
+    got = neighbors.knn_graph(df, 3, block_rows=15).toPandas().set_index(["id", "rank"]).sort_index()
+    d = np.linalg.norm(x[:, None] - x[None], axis=2)
+    np.fill_diagonal(d, np.inf)
+    order = np.argsort(d, axis=1, kind="stable")[:, :3]  # ids are in the order of the rows
+    want = frame.index.to_numpy()[order]
+    assert got["neighbor"].tolist() == want.ravel().tolist()
+    assert np.allclose(got["distance"], np.take_along_axis(d, order, axis=1).ravel(), atol=1e-9)
+    (_, met, every), = seen
+    assert met < 0.7 * every
+
+
 def test_random_components_of_a_wide_matrix(spark):
     """Three strong directions among 40 columns, from 13 directions."""
     rng = np.random.default_rng(6)
