@@ -12,7 +12,8 @@ are sorted only where they can matter:
   a comparison takes logarithmic time. Neighbours are then compared byte by byte; a group in which a
   hash has collided is sorted anew by its bytes.
 * An anchor with very many contexts (a line that half of all documents have) is filed anew by the bytes
-  that blocks of 16 windows have in common, and at last by whole windows, which need only be counted.
+  that blocks of 76 windows have in common, then of 16, 4 and one. What has the same bytes becomes one
+  class each time, so only the edges of what is shared go on.
 """
 
 from __future__ import annotations
@@ -33,11 +34,11 @@ GRAM = 50
 #: bytes of text whose windows are hashed at a time; positions take this many bits
 CHUNK_BITS = 20
 #: contexts of one group that are sorted in one task, and suffixes that are sorted at a time
-GROUP_CONTEXTS, TASK_SUFFIXES = 512, 1 << 18
+GROUP_CONTEXTS, TASK_SUFFIXES = 4096, 1 << 18
 #: bytes of contexts in one group of a sort
 BUCKET_BYTES = 8 << 20
 #: windows per block when an anchor is filed anew, round by round
-BLOCK_WINDOWS = (16, 1)
+BLOCK_WINDOWS = (76, 16, 4, 1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _ONE = np.uint64(1)
 
@@ -308,68 +309,78 @@ def _with_texts(texts: DataFrame, wanted: DataFrame, fields: list[str]) -> DataF
 
 def _cut_out(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """The wanted contexts with their bytes."""
+    names = ["key", "anchor", "ctx", "lo", "hi", "open", "n"]
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 text, rows = batch["text"][i].as_py(), batch["rows"][i].values
                 at, lo, hi = (rows.field(c).to_numpy().astype(np.int64) for c in ("at", "lo", "hi"))
                 parts = [text[a:b] for a, b in zip((at - hi).tolist(), (at - lo + length).tolist())]
-                names = ["key", "anchor", "ctx", "lo", "hi", "open"]
                 yield pa.RecordBatch.from_arrays([*(rows.field(c) for c in names), pa.array(parts, pa.binary())],
                                                  [*names, "bytes"])
 
-    return (_with_texts(texts, wanted, ["key", "anchor", "ctx", "at", "lo", "hi", "open"])
-            .mapInArrow(cut, "key long, anchor long, ctx long, lo short, hi short, open boolean, bytes binary"))
+    return (_with_texts(texts, wanted, [*names, "at"])
+            .mapInArrow(cut, "key long, anchor long, ctx long, lo short, hi short, open boolean, n long, bytes binary"))
 
 
-def _filed_anew(texts: DataFrame, wanted: DataFrame, width: int, length: int) -> DataFrame:
-    """The wanted contexts, cut into blocks of ``width`` windows by their offset from the anchor.
+def _filed_anew(contexts: DataFrame, width: int, length: int) -> DataFrame:
+    """The contexts, cut into blocks of ``width`` windows by their offset from the anchor.
 
-    The key of a block is the hash of the bytes that all its windows have.
+    The key of a block is the hash of the bytes that all its windows have, ``whole`` that of all its bytes.
     """
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [*[pa.int64()] * 4, pa.int16(), pa.int16(), pa.bool_(), pa.binary()]
+        names = ["key", "whole", "anchor", "ctx", "lo", "hi", "open", "bytes"]
         for batch in batches:
-            for text, c1, c2, rows in zip(batch["text"], batch["c1"], batch["c2"], batch["rows"]):
-                text, out = text.as_py(), []
-                for r in rows.as_py():
-                    for block in range(r["lo"] // width, r["hi"] // width + 1):
-                        start = r["at"] - block * width
-                        seed = (r["anchor"] + block) & 0xFFFFFFFFFFFFFFFF
-                        key = xxhash.xxh3_64_intdigest(text[start:start - width + 1 + length], seed=seed)
-                        out.append((key - (1 << 63), r["anchor"], r["ctx"], c1.as_py(), c2.as_py(), r["at"],
-                                    max(r["lo"], block * width), min(r["hi"], block * width + width - 1), r["open"]))
-                kinds = [*[pa.int64()] * 5, pa.int32(), pa.int16(), pa.int16(), pa.bool_()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)],
-                                                 ["key", "anchor", "ctx", "c1", "c2", "at", "lo", "hi", "open"])
-
-    return (_with_texts(texts, wanted, ["anchor", "ctx", "at", "lo", "hi", "open"])
-            .mapInArrow(cut, "key long, anchor long, ctx long, c1 long, c2 long, at int, lo short, hi short, "
-                             "open boolean"))
+            out = []
+            for anchor, ctx, low, high, is_open, data in zip(*(batch[c].to_pylist() for c in names[2:])):
+                for block in range(low // width, high // width + 1):
+                    # the windows from lo to hi bytes before the anchor, which is high bytes into the context
+                    lo, hi = max(low, block * width), min(high, block * width + width - 1)
+                    part = data[high - hi:high - lo + length]
+                    seed = (anchor + block) & 0xFFFFFFFFFFFFFFFF
+                    start = hi - block * width
+                    key = xxhash.xxh3_64_intdigest(part[start:start - width + 1 + length], seed=seed)
+                    whole = xxhash.xxh3_64_intdigest(part, seed=seed)
+                    out.append((key - (1 << 63), whole - (1 << 63), anchor, ctx, lo, hi, is_open, part))
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*out)) or [[]] * 8, kinds)], names)
+
+    return contexts.select("anchor", "ctx", "lo", "hi", "open", "bytes").mapInArrow(
+        cut, "key long, whole long, anchor long, ctx long, lo short, hi short, open boolean, bytes binary")
 
 
 def _partly_repeated(texts: DataFrame, contexts: DataFrame, length: int, most: int) -> list[DataFrame]:
     """``anchor, ctx, lo, hi``: repeated windows of contexts whose anchor has several of them."""
-    found, sort = [], []
-    todo = contexts.withColumn("key", F.col("anchor"))
-    for width in (*BLOCK_WINDOWS, 0):
+    def met(todo: DataFrame) -> DataFrame:
+        """Contexts that share their key with others, not all of them known to be repeated."""
         groups = materialize(todo.groupBy("anchor", "key").agg(F.count("*").alias("n"), F.max("open").alias("o"))
                              .where("n > 1 and o").select("anchor", "key", "n"), "groups")
-        if not width:  # groups of equal windows
-            found.append(todo.where("open").join(groups, ["anchor", "key"], "left_semi").select("anchor", "ctx", "lo", "hi"))
-            break
-        met = materialize(todo.join(groups, ["anchor", "key"]), "met")
-        sort.append(met.where(F.col("n") <= most))
-        many = met.where(F.col("n") > most)
+        return todo.join(groups, ["anchor", "key"])
+
+    found, ranges = [], ["anchor", "ctx", "lo", "hi"]
+    todo = materialize(_cut_out(texts, met(contexts.withColumn("key", F.col("anchor"))), length), "contexts")
+    sort = [todo.where(F.col("n") <= most)]
+    for width in BLOCK_WINDOWS:
+        many = todo.where(F.col("n") > most)
         if many.isEmpty():
             break
-        todo = materialize(_filed_anew(texts, many, width, length), "blocks")
-    wanted = sort[0].unionByName(sort[1]) if len(sort) > 1 else sort[0]
+        blocks = materialize(_filed_anew(many, width, length), "blocks")
+        same = ["anchor", "key", "whole", "lo", "hi"]
+        classes = materialize(blocks.groupBy(*same).agg(F.count("*").alias("c"), F.min("ctx").alias("rep")), "classes")
+        blocks = blocks.join(classes, same)
+        found.append(blocks.where("open and c > 1").select(*ranges))
+        blocks = blocks.where("ctx = rep").withColumn("open", F.col("open") & (F.col("c") == 1)).drop("c", "rep", "whole")
+        todo = materialize(met(blocks), "contexts")
+        sort.append(todo.where(F.col("n") <= most))
+    wanted = sort[0]
+    for more in sort[1:]:
+        wanted = wanted.unionByName(more)
     # groups are dealt to buckets of bounded size, whole
     held = wanted.agg(F.sum(F.col("hi") - F.col("lo") + length)).first()[0] or 0
     cores = texts.sparkSession.sparkContext.defaultParallelism
     buckets = max(cores, -(-held // BUCKET_BYTES))
-    found.append(_cut_out(texts, wanted, length)
-                 .groupBy(F.pmod(F.xxhash64("key"), F.lit(buckets)).alias("bucket"))
+    found.append(wanted.drop("n").groupBy(F.pmod(F.xxhash64("key"), F.lit(buckets)).alias("bucket"))
                  .applyInArrow(lambda t: _sorted_contexts(t, length), "anchor long, ctx long, lo short, hi short"))
     return found
 
