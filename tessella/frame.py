@@ -38,9 +38,15 @@ def double(name: str) -> Column:
 
 def cells(df: DataFrame, id_col: str | None = None, cols: list[str] | None = None,
           row: str = "row_id", column: str = "col_id", value: str = "value") -> DataFrame:
-    """Long form ``(row_id, col_id, value)``; missing cells stay as NULL rows."""
+    """Long form ``(row_id, col_id, value)``; missing cells stay as NULL rows.
+
+    A matrix without value columns has no cells.
+    """
     id_col = id_of(df, id_col)
     cols = cols or value_columns(df, id_col)
+    if not cols:  # Spark has no unpivot of no columns
+        return df.select(col(id_col).alias(row), F.lit("").alias(column),
+                         F.lit(None).cast("double").alias(value)).where(F.lit(False))
     narrow = df.select(col(id_col).alias(row), *[double(c).alias(c) for c in cols])
     return narrow.unpivot([row], [col(c) for c in cols], column, value)
 

@@ -165,7 +165,7 @@ def drop_missing_cols(df: DataFrame, max_fraction: float = 0.1,
     """Drop columns with more than the given fraction of missing cells."""
     id_col = id_of(df, id_col)
     cols = value_columns(df, id_col)
-    share = df.agg(*[F.avg(col(c).isNull().cast("int")).alias(c) for c in cols]).first()
+    share = df.agg(F.count(F.lit(1)), *[F.avg(col(c).isNull().cast("int")).alias(c) for c in cols]).first()[1:]
     return _keep(df, id_col, [c for i, c in enumerate(cols) if (share[i] or 0) <= max_fraction])
 
 

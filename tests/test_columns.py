@@ -1,5 +1,6 @@
 import pytest
 
+from catalog import QUERIES
 from tessella.errors import EmptyResultError
 from tessella.operators import columns
 
@@ -60,6 +61,16 @@ def test_profiling_drops(missing, spark):
     assert columns.drop_zero_variance_cols(one).columns == ["id"]
 
 
+def test_no_column_is_left(spark, tmp_path):
+    """Every day of the month is missing for most users: no column stays, and there are no cells."""
+    spark.sql("""SELECT id AS event_id, make_timestamp(2024, 1, CAST(1 + id AS INT), 0, 0, 0) AS ts, id AS user_id,
+      'view' AS event_type, 1.5D AS value FROM range(30)""").write.parquet(f"{tmp_path}/events.parquet")
+    got = QUERIES["drop_missing_cols"](spark, str(tmp_path))
+    assert got.columns == ["col_id", "total"]
+    assert got.count() == 0
+    assert columns.drop_missing_cols(spark.createDataFrame([("a",)], "id string")).columns == ["id"]
+
+
 def test_informative_columns(spark):
     df = spark.createDataFrame([("a", "x", None, "t1"), ("b", "x", "u", "t2"), ("c", "x", "v", "t3")],
                                "id string, same string, kind string, title string")
