@@ -10,18 +10,23 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from tessella.frame import col, double, id_of, join_by_id, value_columns
 from tessella.functions.blocks import BLOCK_BYTES, block_count, pair_blocks, prepared, vectors
 from tessella.functions.gram import cross_sums, matrix_of, named
-from tessella.operators.correlate import (block_euclidean, both_ways, column_distances,
+from tessella.operators.correlate import (DIFFERENCE_CELLS, block_euclidean, both_ways, column_distances,
                                           has_negative_median)
 from tessella.operators.project import project_pca
 from tessella.runtime import cut_lineage
 
 # cells of one distance table held at a time
 DISTANCE_CELLS = 2**23
+# rows whose least distance is taken together
+STRETCH = 64
+# rounding of a sum of products, relative to its terms: twice the unit of a double, twice over
+ROUNDING = 4 * float(np.finfo(float).eps)
 # centres that rows are dealt to at most
 MOST_CENTRES = 4096
 NEIGHBORS = pa.schema([("id", pa.string()), ("neighbor", pa.string()), ("distance", pa.float64())])
@@ -75,6 +80,50 @@ def _nearest(distance: np.ndarray, k: int) -> np.ndarray:
     return near
 
 
+def _nearest_complete(x: np.ndarray, y: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+    """Rows of x, their k nearest rows of y and the distances, by row and then from near to far, for finite cells.
+
+    ``own`` is the place of each row of x in y, or -1; it is left out. One product orders the rows of y, up
+    to rounding. The k-th smallest of the least values of some stretches of y is no less than the k-th
+    smallest of all, so only what isn't above it, and a hair more for rounding, is compared by differences.
+    None where the cells are too large for such a product.
+    """
+    origin, cells, others = x.mean(axis=0), x, y  # large offsets are taken off, as in block_euclidean
+    x, y = x - origin, y - origin
+    with np.errstate(over="ignore", invalid="ignore"):
+        half = (y * y).sum(axis=1) / 2
+        lengths = np.sqrt((x * x).sum(axis=1))
+        hair = ROUNDING * (x.shape[1] + 8) * (lengths * np.sqrt(2 * half.max()) + half.max())
+    if not np.isfinite(hair).all():
+        return None
+    least = max(1, min(STRETCH, len(y) // (4 * k)))  # rows of y in a stretch
+    whole = len(y) - len(y) % least
+    left = np.hstack([x, np.ones((len(x), 1))])
+    right = np.vstack([-y.T, half])
+    out, step = [], max(1, DISTANCE_CELLS // len(y))
+    for start in range(0, len(x), step):
+        score = left[start:start + step] @ right  # half the squared distance, less half the row's squared length
+        rows = len(score)
+        at = np.flatnonzero(own[start:start + rows] >= 0)
+        score[at, own[start:start + rows][at]] = np.inf
+        low = score[:, :whole].reshape(rows, -1, least).min(axis=2)
+        if whole < len(y):
+            low = np.hstack([low, score[:, whole:].min(axis=1, keepdims=True)])
+        bound = np.partition(low, k - 1, axis=1)[:, k - 1] if k <= low.shape[1] else np.full(rows, np.inf)
+        i, j = np.nonzero(score <= (bound + hair[start:start + rows])[:, None])
+        keep = j != own[start + i]
+        i, j = i[keep], j[keep]
+        d = np.empty(len(i))
+        part = max(1, DIFFERENCE_CELLS // max(1, x.shape[1]))
+        for a in range(0, len(i), part):
+            d[a:a + part] = np.sqrt(((cells[start + i[a:a + part]] - others[j[a:a + part]]) ** 2).sum(axis=1))
+        order = np.lexsort((j, d, i))
+        i, j, d = i[order], j[order], d[order]
+        place = np.arange(len(i)) - np.searchsorted(i, i)  # within its row
+        out.append((start + i[place < k], j[place < k], d[place < k]))
+    return tuple(np.concatenate(c) for c in zip(*out))
+
+
 def knn_donors(df: DataFrame, k: int, distance: Distance, id_col: str | None = None,
                block_rows: int | None = None) -> DataFrame:
     """``id, column, donor, distance, value``: the k nearest rows that have the missing cell."""
@@ -181,7 +230,7 @@ def _pruned(rows: DataFrame, width: int, n: int, k: int, block_rows: int | None,
     the pairs of blocks meet whose centres and radii leave room for a nearer one.
     """
     spark = rows.sparkSession
-    size = block_rows or max(1, BLOCK_BYTES // (8 * max(1, width)))
+    size = -(-n // block_count(n, width, block_rows))  # no larger than a task can hold, and a pair for every core
     chosen = rows.orderBy(F.xxhash64("id"), "id").limit(min(MOST_CENTRES, -(-n // size))).select("vec").collect()
     centres = np.array([r["vec"] for r in chosen], float)
 
@@ -267,12 +316,20 @@ def knn_graph(df: DataFrame, k: int, metric: str = "euclidean", num_dims: int |
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         (ids, x), (others, y) = _by_id(left), _by_id(right)
+        own_place = pc.fill_null(pc.index_in(pa.array(ids, pa.string()), value_set=pa.array(others, pa.string())), -1).to_numpy()
+        if metric == "euclidean" and k > 0 and np.isfinite(x).all() and np.isfinite(y).all():
+            made = _nearest_complete(x, y, own_place, k)
+            if made is not None:
+                i, j, near = made
+                return pa.table({"id": pa.array(ids[i], pa.string()), "neighbor": pa.array(others[j], pa.string()),
+                                 "distance": near})
         a, b, d = [], [], []
         step = max(1, DISTANCE_CELLS // max(1, len(y)))
         for start in range(0, len(x), step):
             part = distance(x[start:start + step], y)
             own = ids[start:start + step]
-            part[own[:, None] == others[None, :]] = np.nan
+            at = np.flatnonzero(own_place[start:start + step] >= 0)
+            part[at, own_place[start:start + step][at]] = np.nan
             near = _nearest(part, k)
             dist = np.take_along_axis(part, near, axis=1)
             keep = ~np.isnan(dist)

@@ -434,6 +434,33 @@ def test_neighbors_of_far_blocks_are_left_out(spark, monkeypatch):
     assert met < 0.7 * every
 
 
+@pytest.mark.parametrize("offset, n, k", [(0.0, 3000, 5), (1e7, 3000, 5), (0.0, 70, 66), (0.0, 9, 12)])
+def test_neighbors_of_complete_rows(offset, n, k, monkeypatch):
+    """The k nearest from one product and few differences: every seventh row the same, own rows left out."""
+    x = np.random.default_rng(3).normal(size=(n, 8)) + offset
+    x[::7] = x[0]
+    some = x[2:n // 2]
+    d = np.sqrt(((some[:, None] - x[None]) ** 2).sum(axis=2))
+    d[np.arange(len(some)), np.arange(2, n // 2)] = np.inf
+    near = np.argsort(d, axis=1, kind="stable")[:, :min(k, n - 1)]
+    monkeypatch.setattr(neighbors, "DISTANCE_CELLS", 20 * n)
+    i, j, got = neighbors._nearest_complete(some, x, np.arange(2, n // 2), k)
+    assert i.tolist() == np.repeat(np.arange(len(some)), near.shape[1]).tolist()
+    assert j.tolist() == near.ravel().tolist()
+    assert got.tolist() == np.take_along_axis(d, near, axis=1).ravel().tolist()
+    assert neighbors._nearest_complete(some * 1e200, x, np.arange(2, n // 2), k) is None
+
+
+def test_complete_rows_are_not_compared_cell_by_cell(spark, monkeypatch):
+    """The distances of all pairs are worked out only where a cell is missing."""
+    monkeypatch.setattr(neighbors, "_euclidean", None)  # fails where it is called
+    df, frame = matrix(spark, np.random.default_rng(5).normal(size=(40, 4)))
+    d = np.linalg.norm(frame.to_numpy()[:, None] - frame.to_numpy()[None], axis=2)
+    np.fill_diagonal(d, np.inf)
+    got = neighbors.knn_graph(df, 3).toPandas().sort_values(["id", "rank"])
+    assert got["neighbor"].tolist() == frame.index.to_numpy()[np.argsort(d, axis=1)[:, :3]].ravel().tolist()
+
+
 def test_random_components_of_a_wide_matrix(spark):
     """Three strong directions among 40 columns, from 13 directions."""
     rng = np.random.default_rng(6)
