@@ -48,10 +48,11 @@ def _(spark, sf):
   CAST(l_suppkey AS VARCHAR) AS t FROM lineitem)""", """SELECT set_name, t AS member, count(*) AS n FROM ps
 JOIN t ON f = member GROUP BY 1, 2"""))
 def _(spark, sf):
-    sets = part_sets(spark, sf).groupBy("set_name").agg(F.sort_array(F.collect_list("member")).alias("members"))
+    # a row per member: an array would hold all members of a set in one row, and they grow with the parts
+    sets = part_sets(spark, sf).withColumns({"description": F.lit(""), "position": F.lit(None).cast("int")})
     lines = table(spark, sf, "lineitem").select(F.col("l_partkey").cast("string").alias("part"),
                                                 F.col("l_suppkey").cast("string").alias("supplier")).distinct()
-    found = aggregate.map_members(sets.withColumn("description", F.lit("")), lines, "part", "supplier", many=True)
+    found = aggregate.map_members(sets, lines, "part", "supplier", many=True)
     return found.groupBy("set_name", "member").agg(F.count("*").alias("n"))
 
 

@@ -51,11 +51,15 @@ def map_members(sets: DataFrame, mapping: DataFrame, from_col: str, to_col: str,
                 many: bool = False) -> DataFrame:
     """Translated members, one row each: ``set_name, description, position, member``.
 
+    ``sets`` has ``members`` (array), or one row per ``member`` with its ``position``, which is null where
+    the sets have no order. The second form keeps a set of any size out of a single row.
     With ``many`` an id may become several members; otherwise the first line of the mapping counts
     (by ``position`` where the mapping has one, else by target). Unmatched members are dropped.
     """
-    pairs = sets.select("set_name", "description",
-                        F.posexplode("members").alias("position", "_member"))
+    if "member" in sets.columns:
+        pairs = sets.select("set_name", "description", "position", F.col("member").alias("_member"))
+    else:
+        pairs = sets.select("set_name", "description", F.posexplode("members").alias("position", "_member"))
     order = ["position"] if "position" in mapping.columns else [col(to_col)]
     source, target = col(from_col).cast("string"), col(to_col).cast("string")
     table = mapping.where(source.isNotNull() & target.isNotNull())

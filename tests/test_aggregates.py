@@ -4,6 +4,7 @@ import pytest
 from helpers import matrix, to_pandas
 from pyspark.sql import functions as F
 
+from catalog import QUERIES
 from tessella.functions import aggregates
 from tessella.functions.aggregates import aggregate_by, register_agg
 from tessella.operators import aggregate
@@ -149,6 +150,24 @@ def test_set_mapping(spark):
     assert every["members"] == ["a", "b", "c"]
 
 
+def test_sets_of_one_row_per_member(spark, tmp_path):
+    """Sets without an array: repeated members stay, and no step of the query gathers a set in one row."""
+    sets = spark.createDataFrame([("s", "1"), ("s", "2"), ("s", "2"), ("t", None), ("t", "3")], "set_name string, member string")
+    mapping = spark.createDataFrame([("1", "b"), ("2", "c"), ("2", "d"), ("2", "d")], "k string, t string")
+    got = aggregate.map_members(sets.withColumns({"description": F.lit(""), "position": F.lit(None).cast("int")}),
+                                mapping, "k", "t", many=True)
+    assert got.columns == ["set_name", "description", "position", "member"]
+    assert sorted((r["set_name"], r["member"]) for r in got.collect()) == [
+        ("s", "b"), ("s", "c"), ("s", "c"), ("s", "d"), ("s", "d")]
+    spark.sql("""SELECT id AS p_partkey, 'b' AS p_brand, concat('t', id % 2) AS p_type, 3 AS p_size FROM range(6)
+              """).write.parquet(f"{tmp_path}/part.parquet")
+    spark.sql("SELECT id % 4 AS l_partkey, id % 3 AS l_suppkey FROM range(24)").write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = QUERIES["map_sets_to_many"](spark, str(tmp_path))
+    assert "collect_list" not in found._jdf.queryExecution().toString()
+    assert {(r["set_name"], r["member"]): r["n"] for r in found.collect()} == {
+        (s, m): n for s, n in [("brand b", 4), ("type t0", 2), ("type t1", 2), ("size 3", 4)] for m in "012"}
+
+
 @pytest.mark.parametrize("func", ["median", "quantile", "mad", "mad_median"])
 def test_one_group_with_most_rows(spark, func):
     """90 % of the rows in one group, well above the limit of one pass."""
