@@ -340,6 +340,13 @@ def _rest(docs: DataFrame, members: DataFrame, labels: DataFrame, sets: DataFram
             .groupBy("family", "i", "j").applyInArrow(lambda t: _between(t, percent), "a long, b long"))
 
 
+def _relabelled(df: DataFrame, column: str, labels: DataFrame) -> DataFrame:
+    """The frame with the ids of a column replaced by their component, where ``labels`` has one."""
+    known = labels.select(F.col("id").alias("_id"), F.col("component").alias("_label"))
+    return (df.join(known, F.col(column) == F.col("_id"), "left")
+            .withColumn(column, F.coalesce("_label", column)).drop("_id", "_label"))
+
+
 def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id",
                        text_col: str = "text") -> DataFrame:
     """``id, n_shingles, component`` of every row: the smallest id that links lead to, its own included.
@@ -358,9 +365,9 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, id_co
     mark = F.struct("fp1", "fp2", "n")
     own = known.groupBy("id").agg(F.min(mark).alias("s"), F.max(mark).alias("t"),
                                   F.min_by(F.struct("bins", "spare"), mark).alias("u"))
-    one_text_each = own.where("s <> t").isEmpty()
     # joins split a large group only between two tables as they are, so aggregates are written first
-    own = materialize(own.select("id", "s.*", "u.*"), "own")
+    own = materialize(own.select("id", "s.*", "u.*", (F.col("s") != F.col("t")).alias("several")), "own")
+    one_text_each = own.where("several").isEmpty()
     reps = materialize(own.groupBy("fp1", "fp2", "n").agg(F.min("id").alias("rep")), "reps")
     sets = materialize(own.join(reps, ["fp1", "fp2", "n"]).select("id", "n", "fp1", "bins", "spare", "rep"), "sets")
     forget(own)
@@ -382,9 +389,19 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, id_co
              .select(F.col("rep").alias("id"), "hub").distinct())
     links = _verified(docs, pairs, sets, words, percent)
     edges = links.select(F.col("id").alias("a"), F.col("hub").alias("b"))
-    rest = _rest(docs, members, components(edges), sets, words, percent)
+    labels = materialize(components(edges), "labels")
+    rest = _rest(docs, members, labels, sets, words, percent)
     forget(members)
-    edges = edges.union(sets.where("id <> rep").select("id", "rep"))
-    found = components(edges.union(rest) if rest is not None else edges)
+    if rest is not None:  # they join labels, so the links that made those needn't be followed again
+        rest = materialize(rest, "rest")
+        ends = rest.select("a", "b")
+        for end in ("a", "b"):
+            ends = _relabelled(ends, end, labels)
+        # every label is the smallest id of its links, so the smallest label is the smallest id
+        above = materialize(components(ends), "above")
+        labels = materialize(_relabelled(labels, "component", above).union(
+            above.join(labels, "id", "left_anti")), "labels")
+    # equal sets hang on their smallest id
+    found = _relabelled(sets.select("id", F.col("rep").alias("component")), "component", labels)
     return (rows.select("id", F.col("n").alias("n_shingles")).join(found, "id", "left")
             .withColumn("component", F.coalesce("component", "id")))

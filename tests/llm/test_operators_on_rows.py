@@ -8,7 +8,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessella.llm import ngramjoin, topk, urlfilter, warc
+from tessella.llm import graph, ngramjoin, topk, urlfilter, warc
+from tessella.llm.common import materialize
 from tessella.llm.graph import components
 
 
@@ -35,6 +36,18 @@ def test_components(spark, edges):
     assert got == roots({n for e in real for n in e}, real)
 
 
+@pytest.mark.parametrize("small", [0, 1 << 15])
+def test_components_of_few_and_many_edges(spark, monkeypatch, small):
+    """A chain of stars either way; with few edges a round writes one table."""
+    edges = [(10 * i, 10 * i + 10) for i in range(12)] + [(10 * i, 10 * i + k) for i in range(12) for k in range(1, 6)] + [(500, 501)]
+    written = []
+    monkeypatch.setattr(graph, "SMALL_EDGES", small)
+    monkeypatch.setattr(graph, "materialize", lambda df, name: written.append(name) or materialize(df, name))
+    got = {r["id"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == roots({n for e in edges for n in e}, edges)
+    assert (set(written) == {"edges"}) == bool(small)
+
+
 def plain_components(rows, words, percent):
     sets = {}
     for i, text in rows:
