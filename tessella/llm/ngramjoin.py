@@ -18,19 +18,24 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain, pairwise
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from tessella.llm.common import drop_tables, forget, materialize, mix64, struct_array
+from tessella.llm.common import drop_tables, forget, materialize, mix64
 from tessella.llm.graph import components
 
 #: size classes grow by this factor; a set also joins the class below when it can link into it
 CLASS_RATIO = 1.25
 #: fragments beyond those that the largest difference needs, as a share of them
 SLACK = 0.125
+#: bytes of the texts that are hashed together
+GROUP_BYTES = 1 << 18
 #: signatures that a task hands over at a time
 BATCH_SIGNATURES = 1 << 16
 #: low bits of a signature that hold its size class
@@ -43,21 +48,66 @@ BLOCK_GRAMS, FRAGMENT_GRAMS = 1 << 18, 1 << 12
 SMALL_GROUP = 32
 
 
-def shingles(text: str | None, words: int) -> np.ndarray:
-    """Sorted distinct hashes of the word n-grams; of the whole sequence if it has fewer words.
+class Sets(NamedTuple):
+    """Sorted distinct n-gram hashes of several texts, one after the other; a text's lie between two offsets."""
+
+    grams: np.ndarray
+    offsets: np.ndarray
+
+    @property
+    def sizes(self) -> np.ndarray:
+        return np.diff(self.offsets)
+
+    def sums(self, values: np.ndarray) -> np.ndarray:
+        """Sums over each set of a number per n-gram, modulo 2 ** 64; empty sets have 0."""
+        total = np.append(np.uint64(0), np.cumsum(values, dtype=np.uint64))
+        return total[self.offsets[1:]] - total[self.offsets[:-1]]
+
+    def where(self, keep: np.ndarray) -> Sets:
+        """The sets for which ``keep`` holds."""
+        if keep.all():
+            return self
+        sizes = self.sizes
+        return Sets(self.grams[np.repeat(keep, sizes)], np.append(0, np.cumsum(sizes[keep])))
 
-    Words are runs of anything but ASCII white space, with A-Z lower-cased.
+
+def shingle_sets(texts: list[bytes | None], words: int) -> Sets:
+    """Hashes of the word n-grams of each text; of the whole sequence if it has fewer words.
+
+    Words are runs of anything but ASCII white space, with A-Z lower-cased. The texts are hashed
+    together, since a call on the few hundred words of one text costs more than its work.
     """
-    found = (text or "").encode().lower().split()
-    if not found:
-        return np.empty(0, np.uint64)
-    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
-    width = min(words, len(found))
-    n = len(found) - width + 1
-    value = np.full(n, width, np.uint64)  # shorter sequences never equal an n-gram
-    for i in range(width):
-        value = mix64(value ^ hashes[i:n + i]) + np.uint64(i + 1)
-    return np.unique(value)
+    found = [(t or b"").lower().split() for t in texts]
+    count = np.fromiter(map(len, found), np.int64, len(found))
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, chain.from_iterable(found)), np.uint64, int(count.sum()))
+    width = np.minimum(count, words)
+    n = np.where(count > 0, count - width + 1, 0)
+    offsets = np.append(0, np.cumsum(n))
+    first = np.arange(offsets[-1]) + np.repeat(np.cumsum(count) - count - offsets[:-1], n)
+    value = np.repeat(width, n).astype(np.uint64)  # shorter sequences never equal an n-gram
+    whole = bool((width[count > 0] == words).all())
+    for i in range(words):
+        at = slice(None) if whole else np.flatnonzero(np.repeat(width > i, n))
+        value[at] = mix64(value[at] ^ hashes[first[at] + i]) + np.uint64(i + 1)
+    for start, end in pairwise(offsets.tolist()):
+        value[start:end].sort()
+    new = np.append(True, value[1:] != value[:-1])[:len(value)]
+    new[offsets[:-1][n > 0]] = True
+    return Sets(value[new], np.append(0, np.cumsum(new))[offsets])
+
+
+def shingles(text: str | None, words: int) -> np.ndarray:
+    """Sorted distinct hashes of the word n-grams of one text."""
+    return shingle_sets([(text or "").encode()], words).grams
+
+
+def _shingled(texts: pa.Array, words: int) -> Iterator[tuple[int, Sets]]:
+    """Runs of texts of about ``GROUP_BYTES``, or one longer text: the place of the first, and their sets."""
+    data = texts.cast(pa.binary())
+    size = pc.binary_length(data).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    starts = np.flatnonzero(np.diff((np.cumsum(size) - size) // GROUP_BYTES, prepend=-1))
+    for start, end in pairwise([*starts.tolist(), len(data)]):
+        yield start, shingle_sets(data.slice(start, end - start).to_pylist(), words)
 
 
 def largest_difference(a: int, b: int, percent: int) -> int:
@@ -77,74 +127,132 @@ def _classes(percent: int) -> list[tuple[int, int, int]]:
     return made
 
 
-def _cut(hashes: np.ndarray, percent: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, int]]:
-    """``class, fragments, starts, fragment of each start, spare`` for the size classes of a set.
+@lru_cache(maxsize=1 << 14)
+def _classes_of(n: int, percent: int) -> list[tuple[int, int, int]]:
+    """``class, fragments, largest difference of its own`` of the size classes of a set of n.
 
-    A set with p segments that links agrees with its partner in p minus their largest difference
-    at least; ``spare`` is one less. It is negative where they may agree in empty segments only.
     Equal sets are found by their fingerprint, so a class in which only equal sets link is left out.
     """
-    n = len(hashes)
+    made = []
     for k, (first, reach, difference) in enumerate(_classes(percent)):
         if first > n:
             break
-        if reach < n or not difference:
-            continue
-        cuts = difference + 1 + math.ceil(SLACK * difference)
-        fragment = ((hashes >> np.uint64(32)) * np.uint64(cuts)) >> np.uint64(32)
-        starts = np.flatnonzero(np.append(True, fragment[1:] != fragment[:-1]))
-        own = largest_difference(n, min(reach, n * 100 // percent), percent)
-        yield k, cuts, starts, fragment[starts], len(starts) - own - 1
+        if reach >= n and difference:
+            made.append((k, difference + 1 + math.ceil(SLACK * difference),
+                         largest_difference(n, min(reach, n * 100 // percent), percent)))
+    return made
 
 
-def signatures(hashes: np.ndarray, percent: int) -> np.ndarray:
-    """One signature per segment of each size class that the set belongs to; the class is in its low bits.
+class _Cut(NamedTuple):
+    """The segments of those sets that have a class left: one class for each of them.
+
+    ``has`` tells which sets, ``kind``, ``cuts`` and ``spare`` are theirs. ``starts`` counts the n-grams of
+    these sets alone; ``present`` is the fragment and ``owner`` the set, counted among these, of each segment.
+    """
+
+    has: np.ndarray
+    kind: np.ndarray
+    cuts: np.ndarray
+    spare: np.ndarray
+    starts: np.ndarray
+    present: np.ndarray
+    owner: np.ndarray
+
+
+def _cut(sets: Sets, percent: int) -> Iterator[_Cut]:
+    """The segments of each set in its size classes, the first class of all sets first.
+
+    A set with p segments that links agrees with its partner in p minus their largest difference
+    at least; ``spare`` is one less. It is negative where they may agree in empty segments only.
+    """
+    kinds = [_classes_of(n, percent) for n in sets.sizes.tolist()]
+    for place in range(max(map(len, kinds), default=0)):
+        has = np.fromiter((len(k) > place for k in kinds), bool, len(kinds))
+        kind, cuts, own = np.array([k[place] for k in kinds if len(k) > place], np.int64).T
+        those = sets.where(has)
+        fragment = ((those.grams >> np.uint64(32)) * np.repeat(cuts.astype(np.uint64), those.sizes)) >> np.uint64(32)
+        new = np.append(True, fragment[1:] != fragment[:-1])
+        new[those.offsets[:-1]] = True
+        starts = np.flatnonzero(new)
+        counts = np.add.reduceat(new, those.offsets[:-1], dtype=np.int64)
+        yield _Cut(has, kind, cuts, counts - own - 1, starts, fragment[starts], np.repeat(np.arange(len(kind)), counts))
+
+
+def signature_rows(sets: Sets, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures and the place of the set of each: one per segment of each size class that the set
+    belongs to; the class is in the low bits.
 
     Sets that link have a signature in common, even if each leaves out as many of its most
     frequent ones, by one order for all sets, as ``spares`` says: the rarest they share has enough
     others before it in both.
     """
-    out = []
-    marks = mix64(hashes)
-    for k, cuts, starts, present, spare in _cut(hashes, percent):
-        place = mix64((np.uint64(k) << np.uint64(40)) + present)
-        made = [mix64(np.add.reduceat(marks, starts) ^ place)]
-        if spare < 0:
-            empty = np.setdiff1d(np.arange(cuts, dtype=np.uint64), present)
-            made.append(mix64(mix64((np.uint64(k) << np.uint64(40)) + empty) + np.uint64(1)))
-        low = np.uint64((1 << CLASS_BITS) - 1)
-        out += [(m & ~low) | np.uint64(k) for m in made]
-    return np.concatenate(out).view(np.int64) if out else np.empty(0, np.int64)
+    sigs, places = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+    marks = mix64(sets.grams)
+    low = np.uint64((1 << CLASS_BITS) - 1)
+    for c in _cut(sets, percent):
+        at = np.flatnonzero(c.has)
+        kind = c.kind.astype(np.uint64)
+        place = mix64((kind[c.owner] << np.uint64(40)) + c.present)
+        those = marks if c.has.all() else marks[np.repeat(c.has, sets.sizes)]
+        made = mix64(np.add.reduceat(those, c.starts) ^ place)
+        sigs.append((made & ~low) | kind[c.owner])
+        places.append(at[c.owner])
+        for i in np.flatnonzero(c.spare < 0):
+            own = c.present[slice(*np.searchsorted(c.owner, [i, i + 1]))]
+            empty = np.setdiff1d(np.arange(c.cuts[i], dtype=np.uint64), own)
+            made = mix64(mix64((kind[i] << np.uint64(40)) + empty) + np.uint64(1))
+            sigs.append((made & ~low) | kind[i])
+            places.append(np.full(len(empty), at[i]))
+    return np.concatenate(sigs).view(np.int64), np.concatenate(places)
+
+
+def spare_rows(sets: Sets, percent: int) -> list[list[tuple[int, int]]]:
+    """``class, signatures that the set may leave out`` in each size class of each set."""
+    made: list[list[tuple[int, int]]] = [[] for _ in range(len(sets.offsets) - 1)]
+    for c in _cut(sets, percent):
+        for i, k, spare in zip(np.flatnonzero(c.has).tolist(), c.kind.tolist(), np.maximum(c.spare, 0).tolist()):
+            made[i].append((k, spare))
+    return made
+
+
+def _one(hashes: np.ndarray) -> Sets:
+    return Sets(hashes, np.array([0, len(hashes)]))
+
+
+def signatures(hashes: np.ndarray, percent: int) -> np.ndarray:
+    """The signatures of one set."""
+    return signature_rows(_one(hashes), percent)[0]
 
 
 def spares(hashes: np.ndarray, percent: int) -> dict[int, int]:
-    """Signatures that a set may leave out, by size class."""
-    return {k: max(0, spare) for k, _, _, _, spare in _cut(hashes, percent)}
+    """Signatures that one set may leave out, by size class."""
+    return dict(spare_rows(_one(hashes), percent)[0])
 
 
-def fingerprint(hashes: np.ndarray) -> tuple[int | None, int | None]:
-    """Two 64-bit sums that stand for a set; none for the empty set."""
-    if not len(hashes):
-        return None, None
-    both = np.array([mix64(hashes).sum(), mix64(hashes ^ np.uint64(0x5851F42D4C957F2D)).sum()])
-    return tuple(int(v) for v in both.view(np.int64))
+def fingerprints(sets: Sets) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit sums that stand for each set; both are 0 for the empty set."""
+    return (sets.sums(mix64(sets.grams)).view(np.int64),
+            sets.sums(mix64(sets.grams ^ np.uint64(0x5851F42D4C957F2D))).view(np.int64))
 
 
 def _profile(text: Column, words: int, percent: int) -> Column:
+    fields = {"n": pa.int64(), "fp1": pa.int64(), "fp2": pa.int64(), "bins": pa.list_(pa.int32()),
+              "spare": pa.map_(pa.int32(), pa.int32())}
+
     @F.arrow_udf("struct<n long, fp1 long, fp2 long, bins array<int>, spare map<int, int>>")
     def profile(texts: pa.Array) -> pa.Array:
         drop_tables()
-        n, fp1, fp2, bins, spare = [], [], [], [], []
-        for t in texts:
-            grams = shingles(t.as_py(), words)
-            n.append(len(grams))
-            for out, part in zip((fp1, fp2), fingerprint(grams)):
-                out.append(part)
-            bins.append(np.bincount((grams >> np.uint64(58)).astype(np.int64), minlength=64).astype(np.int32))
-            spare.append(list(spares(grams, percent).items()))
-        return struct_array({"n": (n, pa.int64()), "fp1": (fp1, pa.int64()), "fp2": (fp2, pa.int64()),
-                             "bins": (bins, pa.list_(pa.int32())),
-                             "spare": (spare, pa.map_(pa.int32(), pa.int32()))})
+        parts = [pa.array([], pa.struct(list(fields.items())))]
+        for _, sets in _shingled(texts, words):
+            sizes = sets.sizes
+            m = len(sizes)
+            bins = np.repeat(np.arange(m) << 6, sizes) + (sets.grams >> np.uint64(58)).astype(np.int64)
+            bins = np.bincount(bins, minlength=m << 6).astype(np.int32)
+            parts.append(pa.StructArray.from_arrays(
+                [pa.array(sizes, pa.int64()), *(pa.array(f, pa.int64(), mask=sizes == 0) for f in fingerprints(sets)),
+                 pa.ListArray.from_arrays(pa.array(np.arange(m + 1) << 6, pa.int32()), pa.array(bins)),
+                 pa.array(spare_rows(sets, percent), fields["spare"])], list(fields)))
+        return pa.concat_arrays(parts)
     return profile(text)
 
 
@@ -158,37 +266,40 @@ def _signed(docs: DataFrame, words: int, percent: int, once: bool) -> DataFrame:
         drop_tables()
         seen: set[tuple] = set()
         for batch in batches:
-            sigs, ids, size = [], [], 0
-            last = batch.num_rows - 1
-            for at, (i, text) in enumerate(zip(batch["id"], batch["text"])):
-                hashes = shingles(text.as_py(), words)
-                mark = fingerprint(hashes)
-                if not (once and mark in seen):
-                    if once:
+            ids = batch["id"].to_numpy()
+            for start, sets in _shingled(batch["text"], words):
+                keep = sets.sizes > 0
+                if once:
+                    for at, mark in enumerate(zip(*(f.tolist() for f in fingerprints(sets)))):
+                        keep[at] &= mark not in seen
                         seen.add(mark)
-                    sigs.append(signatures(hashes, percent))
-                    ids.append(np.full(len(sigs[-1]), i.as_py()))
-                    size += len(sigs[-1])
-                if sigs and (size >= BATCH_SIGNATURES or at == last):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(sigs)), pa.array(np.concatenate(ids))], ["sig", "id"])
-                    sigs, ids, size = [], [], 0
+                sigs, places = signature_rows(sets.where(keep), percent)
+                own = ids[start + np.flatnonzero(keep)[places]]
+                for a in range(0, len(sigs), BATCH_SIGNATURES):
+                    b = a + BATCH_SIGNATURES
+                    yield pa.RecordBatch.from_arrays([pa.array(sigs[a:b]), pa.array(own[a:b])], ["sig", "id"])
 
     return docs.mapInArrow(sign, "sig long, id long")
 
 
+def _own_sets(batch: pa.RecordBatch, words: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Place and set of the rows whose ``text`` has their ``fp1``: another text is not the id's own."""
+    fp1 = batch["fp1"].to_numpy()
+    for start, sets in _shingled(batch["text"], words):
+        own = fingerprints(sets)[0] == fp1[start:start + len(sets.sizes)]
+        for i in np.flatnonzero(own & (sets.sizes > 0)).tolist():
+            yield start + i, sets.grams[sets.offsets[i]:sets.offsets[i + 1]]
+
+
 def _segments(texts: DataFrame, words: int) -> DataFrame:
     """``hub, id, fragment, grams``: the segments of each document, sent to the hubs it is tested with.
 
-    ``texts`` has ``id, text, fp1, hubs``; a text with another fingerprint is not the id's own.
+    ``texts`` has ``id, text, fp1, hubs``.
     """
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in zip(*(batch[c] for c in ("id", "text", "fp1", "hubs"))):
-                i, t, fp1, hubs = (value.as_py() for value in row)
-                hashes = shingles(t, words)
-                if fingerprint(hashes)[0] != fp1:
-                    continue
+            for at, hashes in _own_sets(batch, words):
+                i, hubs = batch["id"][at].as_py(), batch["hubs"][at].as_py()
                 ends = np.searchsorted(hashes >> np.uint64(61), np.arange(FRAGMENTS + 1))
                 ends[-1] = len(hashes)
                 full = np.flatnonzero(ends[1:] > ends[:-1])
@@ -323,11 +434,9 @@ def _rest(docs: DataFrame, members: DataFrame, labels: DataFrame, sets: DataFram
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep, grams = [], []
-            for i, (t, fp1) in enumerate(zip(batch["text"].to_pylist(), batch["fp1"].to_pylist())):
-                hashes = shingles(t, words)
-                if fingerprint(hashes)[0] == fp1:
-                    keep.append(i)
-                    grams.append(hashes.view(np.int64))
+            for i, hashes in _own_sets(batch, words):
+                keep.append(i)
+                grams.append(hashes.view(np.int64))
             own = batch.select(["family", "blocks", "block", "label"]).take(pa.array(keep, pa.int64()))
             yield pa.RecordBatch.from_arrays([*own.columns, pa.array(grams, pa.list_(pa.int64()))],
                                              [*own.schema.names, "grams"])

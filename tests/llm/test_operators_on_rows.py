@@ -5,6 +5,7 @@ import hashlib
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -118,6 +119,35 @@ def test_jaccard_odd_ids_and_no_rows(spark):
     assert ngramjoin.jaccard_components(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("words,percent", [(3, 90), (5, 80), (1, 60), (2, 100)])
+def test_texts_are_hashed_in_groups(monkeypatch, words, percent):
+    texts = [t for _, t in near_copies(words)] * 3
+    alone = [ngramjoin.shingles(t, words) for t in texts]
+    plain = plain_components(enumerate(texts), words, 100)
+    assert [len(h) for h in alone] == [plain[i][0] for i in range(len(texts))]
+    for size in (1, 500, 1 << 20):
+        monkeypatch.setattr(ngramjoin, "GROUP_BYTES", size)
+        place = 0
+        for start, sets in ngramjoin._shingled(pa.array(texts), words):
+            assert start == place
+            sigs, owner = ngramjoin.signature_rows(sets, percent)
+            fp1, spare = ngramjoin.fingerprints(sets)[0], ngramjoin.spare_rows(sets, percent)
+            for i, hashes in enumerate(alone[start:start + len(sets.sizes)]):
+                assert np.array_equal(hashes, sets.grams[sets.offsets[i]:sets.offsets[i + 1]])
+                own = ngramjoin.signatures(hashes, percent)
+                assert np.array_equal(np.sort(sigs[owner == i]), np.sort(own))
+                assert dict(spare[i]) == ngramjoin.spares(hashes, percent)
+                assert fp1[i] == ngramjoin.mix64(hashes).sum().view(np.int64)
+            place += len(sets.sizes)
+        assert place == len(texts)
+    # one group: the work on its texts takes few calls, not some for each of them
+    calls, mix = [], ngramjoin.mix64
+    monkeypatch.setattr(ngramjoin, "mix64", lambda x: calls.append(len(x)) or mix(x))
+    [(_, sets)] = ngramjoin._shingled(pa.array(texts), words)
+    ngramjoin.fingerprints(sets)
+    assert len(calls) == words + 2 and len(texts) > 300
+
+
 @pytest.mark.parametrize("percent", [60, 80, 90])
 def test_linked_sets_share_a_signature(percent):
     rng = np.random.default_rng(percent)
