@@ -42,10 +42,14 @@ BATCH_SIGNATURES = 1 << 16
 CLASS_BITS = 7
 #: fragments of the exact count
 FRAGMENTS = 8
-#: n-grams of a block, and of one fragment of the count between two blocks
-BLOCK_GRAMS, FRAGMENT_GRAMS = 1 << 18, 1 << 12
-#: members of a group up to which its open pairs are listed; larger groups meet in blocks
+#: n-grams and sets of a block, and cells of one step of the count between two blocks
+BLOCK_GRAMS, BLOCK_SETS, STEP_CELLS = 1 << 18, 1 << 10, 1 << 21
+#: members of a group up to which its open pairs are tested by themselves; larger groups meet in blocks
 SMALL_GROUP = 32
+#: members of groups that are looked through together
+BUCKET_MEMBERS = 256
+#: ranges of a sketch are powers of two: 2 to 4 n-grams in each, and so many ranges at least
+SKETCH_GRAMS, SKETCH_BITS = 4, 6
 
 
 class Sets(NamedTuple):
@@ -235,23 +239,59 @@ def fingerprints(sets: Sets) -> tuple[np.ndarray, np.ndarray]:
             sets.sums(mix64(sets.grams ^ np.uint64(0x5851F42D4C957F2D))).view(np.int64))
 
 
+def sketches(sets: Sets) -> pa.Array:
+    """Bytes with the number of n-grams in equal ranges of the order, the more ranges the larger the set.
+
+    The sums of two neighbouring ranges are those of a sketch of half as many. A set with more than 255
+    n-grams in a range has an empty sketch, which says nothing.
+    """
+    bits = [max(SKETCH_BITS, ((n - 1) // SKETCH_GRAMS).bit_length()) for n in sets.sizes.tolist()]
+    starts = np.append(0, np.cumsum([1 << b for b in bits], dtype=np.int64))
+    shift = np.repeat(np.array([64 - b for b in bits], np.uint64), sets.sizes)
+    at = np.repeat(starts[:-1], sets.sizes) + (sets.grams >> shift).astype(np.int64)
+    counts = np.bincount(at, minlength=starts[-1])
+    parts = [counts[a:b] for a, b in pairwise(starts.tolist())]
+    return pa.array([c.astype(np.uint8).tobytes() if c.max() < 256 else b"" for c in parts], pa.binary())
+
+
+def _unpacked(sketch: bytes) -> np.ndarray:
+    return np.frombuffer(sketch, np.uint8).astype(np.int32)
+
+
+def _folded(sketch: np.ndarray, ranges: int) -> np.ndarray:
+    return sketch if len(sketch) == ranges else sketch.reshape(ranges, -1).sum(axis=1, dtype=np.int32)
+
+
+def may_link(sizes: np.ndarray, found: list[bytes], percent: int) -> np.ndarray:
+    """Whether sets of these sizes and sketches may link, each with each: false only where they can't.
+
+    What the counts of two sets differ by in a range is apart, at least.
+    """
+    able = 100 * np.minimum.outer(sizes, sizes) >= percent * np.maximum.outer(sizes, sizes)
+    opened = [_unpacked(s) for s in found]
+    for i, a in enumerate(opened):
+        near = [j for j in np.flatnonzero(able[i, i + 1:]) + i + 1 if len(a) and len(opened[j])]
+        if near:
+            ranges = min(len(a), *(len(opened[j]) for j in near))
+            others = np.stack([_folded(opened[j], ranges) for j in near])
+            apart = np.abs(others - _folded(a, ranges)).sum(axis=1, dtype=np.int64)
+            able[i, near] = (100 + percent) * apart <= (100 - percent) * (sizes[near] + sizes[i])
+    return np.triu(able, 1) | np.triu(able, 1).T
+
+
 def _profile(text: Column, words: int, percent: int) -> Column:
-    fields = {"n": pa.int64(), "fp1": pa.int64(), "fp2": pa.int64(), "bins": pa.list_(pa.int32()),
+    fields = {"n": pa.int64(), "fp1": pa.int64(), "fp2": pa.int64(), "sketch": pa.binary(),
               "spare": pa.map_(pa.int32(), pa.int32())}
 
-    @F.arrow_udf("struct<n long, fp1 long, fp2 long, bins array<int>, spare map<int, int>>")
+    @F.arrow_udf("struct<n long, fp1 long, fp2 long, sketch binary, spare map<int, int>>")
     def profile(texts: pa.Array) -> pa.Array:
         drop_tables()
         parts = [pa.array([], pa.struct(list(fields.items())))]
         for _, sets in _shingled(texts, words):
             sizes = sets.sizes
-            m = len(sizes)
-            bins = np.repeat(np.arange(m) << 6, sizes) + (sets.grams >> np.uint64(58)).astype(np.int64)
-            bins = np.bincount(bins, minlength=m << 6).astype(np.int32)
             parts.append(pa.StructArray.from_arrays(
                 [pa.array(sizes, pa.int64()), *(pa.array(f, pa.int64(), mask=sizes == 0) for f in fingerprints(sets)),
-                 pa.ListArray.from_arrays(pa.array(np.arange(m + 1) << 6, pa.int32()), pa.array(bins)),
-                 pa.array(spare_rows(sets, percent), fields["spare"])], list(fields)))
+                 sketches(sets), pa.array(spare_rows(sets, percent), fields["spare"])], list(fields)))
         return pa.concat_arrays(parts)
     return profile(text)
 
@@ -297,6 +337,7 @@ def _segments(texts: DataFrame, words: int) -> DataFrame:
     ``texts`` has ``id, text, fp1, hubs``.
     """
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_tables()
         for batch in batches:
             for at, hashes in _own_sets(batch, words):
                 i, hubs = batch["id"][at].as_py(), batch["hubs"][at].as_py()
@@ -314,20 +355,65 @@ def _segments(texts: DataFrame, words: int) -> DataFrame:
     return texts.mapInArrow(cut, "hub long, id long, fragment int, grams array<long>")
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, sizes: DataFrame, words: int, percent: int) -> DataFrame:
+def _near(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """``id, hub, n_id, n_hub`` of the pairs ``id, hub`` that may link by their sizes and sketches.
+
+    ``sizes`` is ``id, n, sketch``.
+    """
+    @F.arrow_udf("boolean")
+    def near(n_id: pa.Array, sketch_id: pa.Array, n_hub: pa.Array, sketch_hub: pa.Array) -> pa.Array:
+        drop_tables()
+        both = zip(np.stack([n_id.to_numpy(), n_hub.to_numpy()], axis=1), sketch_id.to_pylist(), sketch_hub.to_pylist())
+        return pa.array([bool(may_link(n, [x, y], percent)[0, 1]) for n, x, y in both], pa.bool_())
+
+    return (pairs.join(sizes.select("id", F.col("n").alias("n_id"), F.col("sketch").alias("sketch_id")), "id")
+            .join(sizes.select(F.col("id").alias("hub"), F.col("n").alias("n_hub"),
+                               F.col("sketch").alias("sketch_hub")), "hub")
+            .where(100 * F.least("n_id", "n_hub") >= percent * F.greatest("n_id", "n_hub"))
+            .where(near("n_id", "sketch_id", "n_hub", "sketch_hub")).select("id", "hub", "n_id", "n_hub"))
+
+
+def _near_in_groups(groups: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """``id, hub, n_id, n_hub`` of the pairs of different label in a group that may link.
+
+    ``groups`` is ``sig, rep, label``, a few members a group, and ``sizes`` ``id, n, sketch``. Groups
+    of the same members are one. A group's members come together with their sketches and only pairs
+    that may link become rows: rows grow with the members, not with their square.
+    """
+    def near(table: pa.Table) -> pa.Table:
+        drop_tables()
+        table = table.sort_by([("crowd", "ascending"), ("rep", "ascending")])
+        crowd, rep, label, n = (table[c].to_numpy() for c in ("crowd", "rep", "label", "n"))
+        found, ends = table["sketch"].to_pylist(), np.flatnonzero(np.diff(crowd)) + 1
+        ids, hubs = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for a, b in pairwise([0, *ends.tolist(), len(crowd)]):
+            able = may_link(n[a:b], found[a:b], percent) & (label[a:b, None] != label[None, a:b])
+            hub, other = np.nonzero(np.triu(able, 1))
+            ids.append(a + other)
+            hubs.append(a + hub)
+        i, j = np.concatenate(ids), np.concatenate(hubs)
+        return pa.table({"id": rep[i], "hub": rep[j], "n_id": n[i], "n_hub": n[j]})
+
+    reps = F.sort_array(F.collect_list("rep"))
+    crowds = groups.groupBy("sig").agg(reps.alias("reps")).select("reps").distinct()
+    # two lists of one hash are one group: more pairs are looked at, none is lost
+    crowds = materialize(crowds.select(F.xxhash64("reps").alias("crowd"), F.explode("reps").alias("rep")).distinct(),
+                         "crowds")
+    buckets = max(1, crowds.count() // BUCKET_MEMBERS)
+    return (crowds.join(groups.select("rep", "label").distinct(), "rep")
+            .join(sizes.select(F.col("id").alias("rep"), "n", "sketch"), "rep")
+            .groupBy(F.pmod("crowd", F.lit(buckets)).alias("bucket"))
+            .applyInArrow(near, "id long, hub long, n_id long, n_hub long").distinct())
+
+
+def _verified(docs: DataFrame, near: DataFrame, sizes: DataFrame, words: int, percent: int) -> DataFrame:
     """``id, hub`` of the pairs that link: partial overlaps per fragment, summed per pair.
 
-    ``docs`` is ``id, text``, ``pairs`` ``id, hub``, ``sizes`` ``id, n, fp1, bins``. Before any n-gram
-    is sent, pairs go whose sizes, or counts of n-grams in 64 ranges of the order, differ by more
-    than linked sets can.
+    ``docs`` is ``id, text``, ``near`` ``id, hub, n_id, n_hub``, ``sizes`` ``id, fp1``. No n-gram is
+    sent for pairs whose sizes or sketches differ by more than linked sets can.
     """
     n = F.col
-    apart = F.aggregate(F.zip_with("bins_id", "bins_hub", lambda x, y: F.abs(x - y)), F.lit(0), lambda a, x: a + x)
-    sized = (pairs.join(sizes.select("id", F.col("n").alias("n_id"), F.col("bins").alias("bins_id")), "id")
-             .join(sizes.select(F.col("id").alias("hub"), F.col("n").alias("n_hub"), F.col("bins").alias("bins_hub")), "hub")
-             .where(100 * F.least("n_id", "n_hub") >= percent * F.greatest("n_id", "n_hub"))
-             .where((100 + percent) * apart <= (100 - percent) * (n("n_id") + n("n_hub"))))
-    sized = materialize(sized.select("id", "hub", "n_id", "n_hub"), "pairs")
+    sized = materialize(near, "pairs")
     needed = (sized.select("id", "hub").union(sized.select(F.col("hub"), "hub")).distinct()
               .groupBy("id").agg(F.collect_set("hub").alias("hubs"))
               .join(sizes.select("id", "fp1"), "id"))
@@ -365,14 +451,15 @@ def _between(table: pa.Table, percent: int) -> pa.Table:
     column, owner = column[by_column], owner[by_column]
     both = np.zeros((len(left), len(right)), np.float32)  # whole numbers below 2 ** 24
     width = int(often.sum())
-    for start in range(0, width, FRAGMENT_GRAMS):
-        a, b = np.searchsorted(column, [start, start + FRAGMENT_GRAMS])
-        has = np.zeros((len(size), min(FRAGMENT_GRAMS, width - start)), np.float32)
+    step = max(1, STEP_CELLS // len(size))
+    for start in range(0, width, step):
+        a, b = np.searchsorted(column, [start, start + step])
+        has = np.zeros((len(size), min(step, width - start)), np.float32)
         has[owner[a:b], column[a:b] - start] = 1
         both += has[left] @ has[right].T
-    both = both.astype(np.int64)
-    union = size[left][:, None] + size[right][None, :] - both
-    linked = (100 * both >= percent * union) & (label[left][:, None] != label[right][None, :])
+    # both >= percent / 100 of the union, in whole numbers
+    linked = (100 + percent) * both.astype(np.int64) >= percent * (size[left][:, None] + size[right][None, :])
+    linked &= label[left][:, None] != label[right][None, :]
     i, j = np.nonzero(linked)
     pairs = np.unique(np.sort(np.stack([label[left][i], label[right][j]], axis=1), axis=1), axis=0)
     root: dict[int, int] = {}
@@ -413,12 +500,8 @@ def _rest(docs: DataFrame, members: DataFrame, labels: DataFrame, sets: DataFram
     split = materialize(labelled.join(split, "sig"), "split")
     if split.isEmpty():
         return None
-    # few members: their pairs across labels, each at most SMALL_GROUP - 1 times the members
-    small = split.where(F.col("c") <= SMALL_GROUP).select("sig", "rep", "label")
-    other = small.select("sig", F.col("rep").alias("hub"), F.col("label").alias("l"))
-    pairs = (small.join(other, "sig").where("hub < rep and label <> l")
-             .select(F.col("rep").alias("id"), "hub").distinct())
-    made = _verified(docs, pairs, sets, words, percent).select(F.col("id").alias("a"), F.col("hub").alias("b"))
+    near = _near_in_groups(split.where(F.col("c") <= SMALL_GROUP), sets, percent)
+    made = _verified(docs, near, sets, words, percent).select(F.col("id").alias("a"), F.col("hub").alias("b"))
     split = split.where(F.col("c") > SMALL_GROUP).select("rep", "hub", "label").distinct()
     if split.isEmpty():
         return made
@@ -427,11 +510,12 @@ def _rest(docs: DataFrame, members: DataFrame, labels: DataFrame, sets: DataFram
               .join(families.withColumnRenamed("component", "family"), "id")
               .join(sets.select("id", "n", "fp1"), "id"))
     blocks = placed.groupBy("family").agg(
-        F.ceil(F.sum("n") / BLOCK_GRAMS).cast("int").alias("blocks"))
+        F.ceil(F.greatest(F.sum("n") / BLOCK_GRAMS, F.count("*") / BLOCK_SETS)).cast("int").alias("blocks"))
     placed = (placed.join(blocks, "family")
               .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")))
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_tables()
         for batch in batches:
             keep, grams = [], []
             for i, hashes in _own_sets(batch, words):
@@ -473,12 +557,12 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, id_co
     known = rows.where("id is not null and n > 0")
     mark = F.struct("fp1", "fp2", "n")
     own = known.groupBy("id").agg(F.min(mark).alias("s"), F.max(mark).alias("t"),
-                                  F.min_by(F.struct("bins", "spare"), mark).alias("u"))
+                                  F.min_by(F.struct("sketch", "spare"), mark).alias("u"))
     # joins split a large group only between two tables as they are, so aggregates are written first
     own = materialize(own.select("id", "s.*", "u.*", (F.col("s") != F.col("t")).alias("several")), "own")
     one_text_each = own.where("several").isEmpty()
     reps = materialize(own.groupBy("fp1", "fp2", "n").agg(F.min("id").alias("rep")), "reps")
-    sets = materialize(own.join(reps, ["fp1", "fp2", "n"]).select("id", "n", "fp1", "bins", "spare", "rep"), "sets")
+    sets = materialize(own.join(reps, ["fp1", "fp2", "n"]).select("id", "n", "fp1", "sketch", "spare", "rep"), "sets")
     forget(own)
     # made twice, once to count and then to pick those that meet: writing them would cost more disk
     # than hashing the texts again costs time
@@ -496,7 +580,7 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, id_co
     hubs = materialize(members.groupBy("sig").agg(F.min("rep").alias("hub")), "hubs")
     pairs = (members.join(hubs, "sig").where("rep <> hub")
              .select(F.col("rep").alias("id"), "hub").distinct())
-    links = _verified(docs, pairs, sets, words, percent)
+    links = _verified(docs, _near(pairs, sets, percent), sets, words, percent)
     edges = links.select(F.col("id").alias("a"), F.col("hub").alias("b"))
     labels = materialize(components(edges), "labels")
     rest = _rest(docs, members, labels, sets, words, percent)

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import math
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -108,6 +109,77 @@ def test_jaccard_blocks_of_one_family(spark, monkeypatch):
     assert {r["id"]: (r["n_shingles"], r["component"]) for r in got} == plain_components(rows, 3, 90)
 
 
+def test_jaccard_small_blocks_of_few_sets(spark, monkeypatch):
+    for name, value in (("SMALL_GROUP", 3), ("BLOCK_SETS", 7), ("STEP_CELLS", 64), ("BUCKET_MEMBERS", 5)):
+        monkeypatch.setattr(ngramjoin, name, value)
+    rows = near_copies(7, families=3, size=25)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = ngramjoin.jaccard_components(docs, 3, 80).collect()
+    assert {r["id"]: (r["n_shingles"], r["component"]) for r in got} == plain_components(rows, 3, 80)
+
+
+def test_jaccard_pairs_that_cannot_link_are_not_tested(spark, monkeypatch):
+    # each shares about 6 of 10 n-grams with any other, and so whole segments, but none links
+    rng = np.random.default_rng(3)
+    base = [f"w{i}" for i in range(1500)]
+    rows = []
+    for i in range(24):
+        text = list(base)
+        for at in rng.choice(1500, 42, replace=False):
+            text[at] = f"x{rng.integers(1 << 40)}"
+        rows.append((i, " ".join(text)))
+    rows.append((24, rows[5][1] + " end"))
+    tested, write = [], ngramjoin.materialize
+
+    def written(df, name):
+        made = write(df, name)
+        if name == "pairs":
+            tested.append(made.count())
+        return made
+
+    monkeypatch.setattr(ngramjoin, "materialize", written)
+    got = ngramjoin.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80).collect()
+    assert {r["id"]: r["component"] for r in got} == {i: 5 if i == 24 else i for i in range(25)}
+    assert 1 <= sum(tested) <= 3
+
+
+@pytest.mark.parametrize("percent", [60, 80, 90, 100])
+def test_sketches_rule_out_no_link(percent):
+    rng = np.random.default_rng(percent)
+    ruled_out = 0
+    for n in (1, 7, 250, 256, 257, 1000, 3000):
+        base = rng.integers(0, 1 << 64, n, dtype=np.uint64)
+        sets = []
+        for share in (1, 1, 0.97, 0.9, 0.85, 0.8, 0.6, 0.3):
+            kept = base[rng.random(n) < share]
+            sets.append(np.unique(np.append(kept, rng.integers(0, 1 << 64, int(rng.integers(0, n // 9 + 2)), np.uint64))))
+        sets.append(np.arange(400, dtype=np.uint64))  # all in one range
+        offsets = np.append(0, np.cumsum([len(x) for x in sets]))
+        found = ngramjoin.sketches(ngramjoin.Sets(np.concatenate(sets), offsets)).to_pylist()
+        able = ngramjoin.may_link(np.diff(offsets), found, percent)
+        assert found[-1] == b"" and all(sum(f) == len(x) for f, x in zip(found[:-1], sets))
+        for i, j in zip(*np.triu_indices(len(sets), 1)):
+            both = len(np.intersect1d(sets[i], sets[j]))
+            linked = 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both)
+            assert able[i, j] == able[j, i] and (able[i, j] or not linked)
+            ruled_out += not able[i, j]
+    assert ruled_out > 50
+
+
+def test_blocks_of_short_sets_meet_in_little_memory():
+    rng = np.random.default_rng(1)
+    n = 2048
+    grams = [np.sort(rng.choice(6000, 8, replace=False)) for _ in range(n)]
+    grams[3] = grams[1500]
+    table = pa.table({"grams": pa.array(grams, pa.list_(pa.int64())), "label": np.arange(n), "block": np.arange(n) // 1024})
+    tracemalloc.start()
+    found = ngramjoin._between(table, 80)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found.to_pylist() == [{"a": 3, "b": 1500}]
+    assert most < 64 << 20
+
+
 def test_jaccard_odd_ids_and_no_rows(spark):
     docs = spark.createDataFrame([(None, "a b c d"), (1, "a b c d"), (None, None), (2, "A B C D"), (3, "p q r"),
                                   (3, "a b c d"), (3, "p q r")], "doc_id long, text string")
