@@ -9,6 +9,8 @@ from tessella.llm.common import forget, materialize
 
 #: edges up to which the smallest ids around them are broadcast; more are joined
 SMALL_EDGES = 1 << 15
+#: files that a round of few edges is written to, at most
+SMALL_FILES = 8
 
 
 def _moves(edges: DataFrame) -> tuple[int, bool]:
@@ -32,7 +34,7 @@ def _small_round(now: DataFrame) -> DataFrame:
     low = large.groupBy("a").agg(F.min("b").alias("m"))
     ends = F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")),
                              F.struct(F.col("a"), F.col("m").alias("b"))))
-    return large.join(F.broadcast(low), "a").select(ends.alias("e")).select("e.*").where("a <> b").distinct()
+    return large.join(F.broadcast(low), "a").select(ends.alias("e")).select("e.*").where("a <> b").distinct().coalesce(SMALL_FILES)
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -180,6 +180,28 @@ def test_blocks_of_short_sets_meet_in_little_memory():
     assert most < 64 << 20
 
 
+def test_rounds_of_few_edges_write_few_files(spark, monkeypatch):
+    files, write = [], graph.materialize
+
+    def written(df, name):
+        made = write(df, name)
+        files.append(len(made.inputFiles()))
+        return made
+
+    monkeypatch.setattr(graph, "materialize", written)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        for k, v in zip(before, ("64", "false")):
+            spark.conf.set(k, v)
+        edges = spark.createDataFrame([(i, i + 1) for i in range(300) if i % 30], "a long, b long")
+        got = {r["id"]: r["component"] for r in components(edges).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {i: (i - 1) // 30 * 30 + 1 for i in range(1, 301)}
+    assert len(files) > 2 and max(files[1:]) <= 8
+
+
 def test_jaccard_odd_ids_and_no_rows(spark):
     docs = spark.createDataFrame([(None, "a b c d"), (1, "a b c d"), (None, None), (2, "A B C D"), (3, "p q r"),
                                   (3, "a b c d"), (3, "p q r")], "doc_id long, text string")
